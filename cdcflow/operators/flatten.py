@@ -155,15 +155,15 @@ def namer(lookup: DataFrame, limit: int = LITERAL_ROWS) -> Namer | None:
 
 
 def with_named_values(df: DataFrame, names: Namer, xml: str = "xmlrecord") -> DataFrame:
-    """Add ``named``: the elements that have a name, as sorted ``array<struct<name, value>>``."""
+    """Add ``named``: the elements that have a name, as ``array<struct<name, value>>``."""
     name = names.name_of()
     pairs = F.transform(tag_arrays(F.col(xml)), lambda t: F.struct(name(t).alias("name"), t["value"].alias("value")))
-    return df.withColumn("named", F.array_sort(F.filter(pairs, lambda e: e["name"].isNotNull())))
+    return df.withColumn("named", F.filter(pairs, lambda e: e["name"].isNotNull()))
 
 
 def with_value_map(df: DataFrame, names: Namer, xml: str = "xmlrecord") -> DataFrame:
     """Add ``m``: column name to value, the last of equal names in sorted order being the greatest."""
-    named = with_named_values(df, names, xml)
+    named = with_named_values(df, names, xml).withColumn("named", F.array_sort("named"))
 
     def last_of_name(e: Column, i: Column) -> Column:
         following = F.get(F.col("named"), i + 1)["name"]

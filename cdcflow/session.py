@@ -8,9 +8,11 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def local_session(app: str = "cdcflow", cores: str = "*", partitions: int = 8, memory: str = "8g") -> SparkSession:
+def local_session(
+    app: str = "cdcflow", cores: str = "*", partitions: int = 8, memory: str = "8g", conf: dict[str, str] | None = None
+) -> SparkSession:
     """A quiet ``local[cores]`` session in UTC with adaptive execution; clusters bring their own."""
-    return (
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
@@ -19,8 +21,10 @@ def local_session(app: str = "cdcflow", cores: str = "*", partitions: int = 8, m
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        .getOrCreate()
     )
+    for key, value in (conf or {}).items():
+        builder = builder.config(key, value)
+    return builder.getOrCreate()
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:

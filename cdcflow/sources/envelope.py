@@ -15,8 +15,9 @@ def parse_envelope(messages: DataFrame, value_col: str = "value", envelope: str
     DDL to keep more of ``source``. Other columns of the input are kept behind the parsed ones.
     """
     rest = [c for c in messages.columns if c != value_col]
-    parsed = messages.withColumn("_e", F.from_json(F.col(value_col), envelope))
-    return with_metadata(parsed.select("_e.*", *rest))
+    # inline instead of a struct column: later filters on op stay above it, so the JSON is parsed once.
+    parsed = messages.select(F.inline(F.array(F.from_json(F.col(value_col), envelope))), *rest)
+    return with_metadata(parsed)
 
 
 def with_metadata(messages: DataFrame) -> DataFrame:

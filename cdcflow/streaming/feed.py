@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,6 +55,24 @@ def barrier(seconds: float | None = 1.0) -> dict:
     return {"processingTime": f"{int(seconds * 1000)} milliseconds"}
 
 
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+@contextmanager
+def rocksdb_state(spark: SparkSession) -> Iterator[None]:
+    """Queries started inside keep their state in RocksDB, so it may outgrow the memory of an executor."""
+    previous = spark.conf.get(PROVIDER, None)
+    spark.conf.set(PROVIDER, ROCKSDB)  # read once, when a query starts
+    try:
+        yield
+    finally:
+        if previous is None:
+            spark.conf.unset(PROVIDER)
+        else:
+            spark.conf.set(PROVIDER, previous)
+
+
 def drain(query: StreamingQuery) -> None:
     """Wait until everything that has arrived is visible."""
     query.processAllAvailable()

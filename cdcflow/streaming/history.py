@@ -18,13 +18,11 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 from cdcflow.operators.audit import HOT_ROWS, SPAN, edge_images, prior_images
 from cdcflow.operators.state import payload_known
 from cdcflow.sources.envelope import flat_changes
-from cdcflow.streaming.feed import barrier
+from cdcflow.streaming.feed import barrier, rocksdb_state
 from cdcflow.streaming.live import batch_writer
 
 EDGE = "recid STRING, first_offset BIGINT, known BOOLEAN, tail_xml STRING, gone BOOLEAN, batch_id INT"
 CARRY = "recid STRING, batch_id INT, before_xml STRING"
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def link_stream(
@@ -101,9 +99,7 @@ def carry_stream(
     carry = source.groupBy("recid").transformWithState(
         statefulProcessor=last_image(), outputStructType=CARRY, outputMode="Append", timeMode="None"
     )
-    previous = spark.conf.get(PROVIDER, None)
-    spark.conf.set(PROVIDER, ROCKSDB)  # read when the query starts
-    try:
+    with rocksdb_state(spark):
         return (
             carry.withColumnRenamed("batch_id", "link_batch")
             .writeStream.option("checkpointLocation", checkpoint)
@@ -111,11 +107,6 @@ def carry_stream(
             .trigger(**barrier(seconds))
             .start()
         )
-    finally:
-        if previous is None:
-            spark.conf.unset(PROVIDER)
-        else:
-            spark.conf.set(PROVIDER, previous)
 
 
 def read_audit(spark: SparkSession, links: str, carried: str) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
-from cdcflow.streaming.feed import barrier
+from cdcflow.streaming.feed import barrier, rocksdb_state
 
 
 def batch_writer(path: str, *derive: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
@@ -26,13 +26,14 @@ def materialize(
     stream: DataFrame, path: str, checkpoint: str, mode: str = "update", seconds: float | None = 1.0
 ) -> StreamingQuery:
     """Keep a query precomputed in ``path``. ``seconds=None`` processes what there is and stops."""
-    return (
-        stream.writeStream.outputMode(mode)
-        .option("checkpointLocation", checkpoint)
-        .foreachBatch(batch_writer(path))
-        .trigger(**barrier(seconds))
-        .start()
-    )
+    with rocksdb_state(stream.sparkSession):
+        return (
+            stream.writeStream.outputMode(mode)
+            .option("checkpointLocation", checkpoint)
+            .foreachBatch(batch_writer(path))
+            .trigger(**barrier(seconds))
+            .start()
+        )
 
 
 def read_live(
