@@ -346,14 +346,8 @@ def q_stream_flatten_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_stream_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "stream-audit")
-    links, edges, carried = f"{path}/links", f"{path}/edges", f"{path}/carried"
-    feed.run_to_end(
-        live_history.link_stream(
-            data.change_feed(spark, sf_dir), links, edges, f"{path}/checkpoint-links", seconds=None
-        )
-    )
-    feed.run_to_end(live_history.carry_stream(spark, edges, carried, f"{path}/checkpoint-carry", seconds=None))
-    return live_history.read_audit(spark, links, carried)
+    live_history.audit_stream(data.change_feed(spark, sf_dir), path, seconds=None)
+    return live_history.read_audit(spark, path)
 
 
 def q_stream_trace(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -50,8 +50,21 @@ SEEDED_PARSED = 120
 RECORDED = (200, 299)
 
 
+def _idle_cores(df: DataFrame) -> int:
+    """All cores if the scan of ``df`` has fewer splits than that, else 0."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return cores if df.rdd.getNumPartitions() < cores else 0
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table. One that is too small to occupy all cores is spread over them first.
+
+    The row work here (JSON, regular expressions) costs far more than moving a small table. A table with
+    enough splits is left as it is read.
+    """
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = _idle_cores(df)
+    return df.repartition(cores) if cores else df
 
 
 def lookup(spark: SparkSession) -> DataFrame:
@@ -207,7 +220,8 @@ def message_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         .option("maxFilesPerTrigger", 1000)
         .parquet(sf_dir)
     )
-    return change_messages(events)
+    cores = _idle_cores(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    return change_messages(events.repartition(cores) if cores else events)
 
 
 def change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,11 +18,11 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 from cdcflow.operators.audit import HOT_ROWS, SPAN, edge_images, prior_images
 from cdcflow.operators.state import payload_known
 from cdcflow.sources.envelope import flat_changes
-from cdcflow.streaming.feed import barrier, rocksdb_state
+from cdcflow.streaming.feed import barrier, rocksdb_state, run_to_end
 from cdcflow.streaming.live import batch_writer
 
 EDGE = "recid STRING, first_offset BIGINT, known BOOLEAN, tail_xml STRING, gone BOOLEAN, batch_id INT"
-CARRY = "recid STRING, batch_id INT, before_xml STRING"
+CARRY = "recid STRING, link_batch INT, before_xml STRING"
 
 
 def link_stream(
@@ -78,7 +78,7 @@ def last_image() -> StatefulProcessor:
                 if row.first_offset <= seen:
                     continue
                 if before is not None:
-                    yield Row(recid=key[0], batch_id=row.batch_id, before_xml=before)
+                    yield Row(recid=key[0], link_batch=row.batch_id, before_xml=before)
                 if row.gone:
                     image = None
                 else:
@@ -101,21 +101,45 @@ def carry_stream(
     )
     with rocksdb_state(spark):
         return (
-            carry.withColumnRenamed("batch_id", "link_batch")
-            .writeStream.option("checkpointLocation", checkpoint)
+            carry.writeStream.option("checkpointLocation", checkpoint)
             .foreachBatch(batch_writer(carried))
             .trigger(**barrier(seconds))
             .start()
         )
 
 
-def read_audit(spark: SparkSession, links: str, carried: str) -> DataFrame:
-    """The history so far: the same columns as the batch ``audit``."""
-    rows = spark.read.parquet(links)
-    carry = spark.read.parquet(carried).select("recid", F.col("link_batch").alias("batch_id"), "before_xml")
-    joined = rows.join(carry, ["recid", "batch_id"], "left")
-    before = F.when(F.col("prior").isNotNull(), F.col("prior.xmlrecord")).otherwise(F.col("before_xml"))
-    return joined.withColumn("before_xml", before).select(
+def audit_stream(
+    changes: DataFrame, folder: str, hot_rows: int = HOT_ROWS, span: int = SPAN, seconds: float | None = 1.0
+) -> list[StreamingQuery]:
+    """Keep the history of ``changes`` under ``folder``; read it with ``read_audit``.
+
+    Starts both queries. With ``seconds=None`` each one works off what there is, the second after the first.
+    """
+    spark = changes.sparkSession
+    links, edges, carried = (f"{folder}/{name}" for name in ("links", "edges", "carried"))
+    first = link_stream(changes, links, edges, f"{folder}/checkpoint-links", hot_rows, span, seconds)
+    if seconds is None:
+        run_to_end(first)
+    else:
+        spark.createDataFrame([], EDGE).write.mode("append").partitionBy("batch_id").parquet(edges)
+    second = carry_stream(spark, edges, carried, f"{folder}/checkpoint-carry", seconds)
+    if seconds is None:
+        run_to_end(second)
+    return [first, second]
+
+
+def read_audit(spark: SparkSession, folder: str) -> DataFrame:
+    """The history so far: the same columns as the batch ``audit``.
+
+    Only changes without an earlier image in their own micro-batch, mostly one per key and batch, are joined with
+    the carried images; the others are read as they are.
+    """
+    rows = spark.read.parquet(f"{folder}/links")
+    carry = spark.read.schema(CARRY).parquet(f"{folder}/carried")
+    carry = carry.select("recid", F.col("link_batch").alias("batch_id"), "before_xml")
+    closed = rows.filter(F.col("prior").isNotNull()).withColumn("before_xml", F.col("prior.xmlrecord"))
+    opened = rows.filter(F.col("prior").isNull()).join(carry, ["recid", "batch_id"], "left")
+    return closed.unionByName(opened).select(
         "recid",
         "op",
         "kafka_partition",

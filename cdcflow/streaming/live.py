@@ -22,15 +22,25 @@ def batch_writer(path: str, *derive: Callable[[DataFrame], DataFrame]) -> Callab
     return write
 
 
+def rebalanced(batch: DataFrame) -> DataFrame:
+    """Even out what the partitions of a state hold, so that a micro-batch leaves few and similar files."""
+    return batch.hint("rebalance")
+
+
 def materialize(
     stream: DataFrame, path: str, checkpoint: str, mode: str = "update", seconds: float | None = 1.0
 ) -> StreamingQuery:
-    """Keep a query precomputed in ``path``. ``seconds=None`` processes what there is and stops."""
+    """Keep a query precomputed in ``path``. ``seconds=None`` processes what there is and stops.
+
+    Update mode writes the few rows per state partition that changed, so they are rebalanced first; appended rows
+    are written where they are.
+    """
+    steps = [rebalanced] if mode == "update" else []
     with rocksdb_state(stream.sparkSession):
         return (
             stream.writeStream.outputMode(mode)
             .option("checkpointLocation", checkpoint)
-            .foreachBatch(batch_writer(path))
+            .foreachBatch(batch_writer(path, *steps))
             .trigger(**barrier(seconds))
             .start()
         )

@@ -124,17 +124,14 @@ def test_event_counts(spark, tmp_path, batches, names):
 @pytest.mark.parametrize("hot_rows, span", [(1_000_000, 1_000_000), (5, 16)])
 def test_audit_over_batches(spark, tmp_path, batches, hot_rows, span):
     topic = Topic(spark, tmp_path / "topic")
-    links, edges, carried = (str(tmp_path / n) for n in ("links", "edges", "carried"))
+    folder = str(tmp_path / "audit")
     for k, batch in enumerate(batches):
         topic.add(batch)
         if k == 1:
             continue  # two batches are waiting the next time
-        feed.run_to_end(
-            history.link_stream(topic.stream(), links, edges, str(tmp_path / "cp1"), hot_rows, span, seconds=None)
-        )
-        feed.run_to_end(history.carry_stream(spark, edges, carried, str(tmp_path / "cp2"), seconds=None))
+        history.audit_stream(topic.stream(), folder, hot_rows, span, seconds=None)
         so_far = everything(batches[: k + 1])
-        assert rows(history.read_audit(spark, links, carried), "kafka_offset") == brute_audit(so_far)
+        assert rows(history.read_audit(spark, folder), "kafka_offset") == brute_audit(so_far)
     assert rows(audit(changes(spark, everything(batches)), 5, 16), "kafka_offset") == brute_audit(everything(batches))
 
 
@@ -148,7 +145,23 @@ def test_audit_of_a_small_log_by_single_changes(spark, tmp_path):
     again = spark.read.parquet(f"{edges}/batch_id=1")
     again.coalesce(1).write.mode("append").parquet(f"{edges}/batch_id=1")
     feed.run_to_end(history.carry_stream(spark, edges, carried, str(tmp_path / "cp2"), seconds=None))
-    assert rows(history.read_audit(spark, links, carried), "kafka_offset") == brute_audit(LOG)
+    assert rows(history.read_audit(spark, str(tmp_path)), "kafka_offset") == brute_audit(LOG)
+
+
+def test_live_audit(spark, tmp_path, batches):
+    topic = Topic(spark, tmp_path / "topic")
+    topic.add(batches[0])
+    folder = str(tmp_path / "audit")
+    queries = history.audit_stream(topic.stream(), folder, seconds=0.2)
+    try:
+        topic.add(batches[1])
+        for query in queries:
+            feed.drain(query)
+        got = rows(history.read_audit(spark, folder), "kafka_offset")
+    finally:
+        for query in queries:
+            query.stop()
+    assert got == brute_audit(everything(batches[:2]))
 
 
 def test_batch_writer_can_be_replayed(spark, tmp_path):
