@@ -37,6 +37,7 @@ HEADLINE = [
     "q_snapshot_diff",
     "q_synth_mix",
     "q_stream_current_state",
+    "q_stream_upsert",
     "q_stream_flatten",
     "q_stream_flatten_events",
     "q_stream_audit",

@@ -15,8 +15,9 @@ def payload_known(op: str = "op", payload: str = "xmlrecord") -> Column:
 
 
 def latest_images(changes: DataFrame) -> DataFrame:
-    """The newest image per key, deleted keys included: ``recid, xmlrecord, kafka_offset, deleted``.
+    """The newest image per key, deleted keys included: ``recid, xmlrecord, known, kafka_offset, deleted``.
 
+    Not ``known``: every change of the key left its payload unchanged, so the image stands in an earlier batch.
     Aggregates combine before the shuffle, so a key with very many changes sends one row per map task.
     Used as it is on a stream (update mode), where a deleted key has to be reported.
     """
@@ -28,13 +29,29 @@ def latest_images(changes: DataFrame) -> DataFrame:
         image.alias("image"), F.max_by("op", order).alias("last_op"), F.max(order).alias("kafka_offset")
     )
     return latest.select(
-        "recid", F.col("image.xmlrecord").alias("xmlrecord"), "kafka_offset", (F.col("last_op") == "d").alias("deleted")
+        "recid",
+        F.col("image.xmlrecord").alias("xmlrecord"),
+        F.col("image").isNotNull().alias("known"),
+        "kafka_offset",
+        (F.col("last_op") == "d").alias("deleted"),
     )
 
 
+def newest_images(images: DataFrame) -> DataFrame:
+    """The live rows out of the ``latest_images`` of many batches."""
+    order = F.col("kafka_offset")
+    newest = images.groupBy("recid").agg(
+        F.max_by(F.struct("xmlrecord"), F.when(F.col("known"), order)).alias("image"),
+        F.max_by("deleted", order).alias("deleted"),
+        F.max(order).alias("kafka_offset"),
+    )
+    alive = newest.filter(~F.col("deleted"))
+    return alive.select("recid", F.col("image.xmlrecord").alias("xmlrecord"), "kafka_offset")
+
+
 def current_state(changes: DataFrame) -> DataFrame:
     """One row per live key: inserts, updates and snapshot reads replace it, a delete removes it."""
-    return latest_images(changes).filter(~F.col("deleted")).drop("deleted")
+    return latest_images(changes).filter(~F.col("deleted")).drop("deleted", "known")
 
 
 def latest_match(df: DataFrame, condition: Column, order: str) -> DataFrame:

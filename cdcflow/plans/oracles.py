@@ -167,6 +167,7 @@ SELECT event_id, epoch_us(ts) // 1000 AS ms_by_fields, epoch_us(ts) // 1000 AS m
   strftime(ts, '%H%M%S-') || lpad(CAST(epoch_us(ts) // 1000 % 1000 AS VARCHAR), 3, '0') AS suffix FROM events""",
     "q_current_state": _CURRENT,
     "q_stream_current_state": _CURRENT,
+    "q_stream_upsert": _CURRENT,
     "q_audit": _AUDIT,
     "q_audit_hot_keys": _AUDIT,
     "q_stream_audit": _AUDIT,

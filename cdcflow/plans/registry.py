@@ -329,6 +329,13 @@ def q_stream_current_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return live.read_live(spark, f"{path}/table", ["recid"])
 
 
+def q_stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_dir(spark, "stream-upsert")
+    changes = data.change_feed(spark, sf_dir)
+    feed.run_to_end(current.upsert_stream(changes, f"{path}/table", f"{path}/checkpoint", None))
+    return current.read_state(spark, f"{path}/table")
+
+
 def q_stream_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "stream-flatten")
     names = flatten.namer(data.lookup(spark))

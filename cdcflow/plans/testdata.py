@@ -79,6 +79,11 @@ def _tag(field: str, value: Column, position: Column | int | None = None) -> Col
     return F.concat(F.lit(f'<{field} m="'), at.cast("string"), F.lit('">'), value, F.lit(f"</{field}>"))
 
 
+def _day(ts: str) -> Column:
+    # Through a date, so that no session time zone can move the wall clock.
+    return F.date_format(F.to_date(ts), "yyyyMMdd")
+
+
 # ---- records ---------------------------------------------------------------------------------------
 
 
@@ -96,7 +101,7 @@ def order_records(orders: DataFrame, *extra: str) -> DataFrame:
         _tag("c1", F.col("o_custkey")),
         _tag("c8", F.col("o_orderstatus")),
         _tag("c23", amount_text(F.col("o_totalprice"))),
-        _tag("c28", F.date_format("o_orderdate", "yyyyMMdd")),
+        _tag("c28", _day("o_orderdate")),
         F.lit("</row>"),
     )
     return orders.select(recid.alias("recid"), xml.alias("xmlrecord"), *extra)
@@ -108,7 +113,7 @@ def orders_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
     Lines are gathered as a set of element texts: at most one per line number and ship date, whatever the
     number of lines, and combined before the shuffle.
     """
-    day = F.date_format("l_shipdate", "yyyyMMdd")
+    day = _day("l_shipdate")
     number = F.col("l_linenumber")
     line = F.when(number == 1, _tag("c46", day)).otherwise(_tag("c46", day, number))
     lines = (
@@ -128,7 +133,7 @@ def orders_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
         _tag("c20", F.col("o_orderpriority"), 2),
         _tag("c20", F.lit(""), 32),
         _tag("c23", amount_text(F.col("o_totalprice"))),
-        _tag("c28", F.date_format("o_orderdate", "yyyyMMdd")),
+        _tag("c28", _day("o_orderdate")),
         F.coalesce("lines", F.lit("")),
         F.lit("</row>"),
     )
@@ -168,7 +173,7 @@ def change_messages(events: DataFrame) -> DataFrame:
         event_op().alias("_op"),
         event_recid().alias("_recid"),
     )
-    day = F.date_format("ts", "yyyyMMdd")
+    day = _day("ts")
     xml = F.concat(
         F.lit('<row id="'),
         recid,
@@ -190,7 +195,7 @@ def change_messages(events: DataFrame) -> DataFrame:
         op.alias("op"),
         F.when(op.isin("u", "d"), image(F.lit(UNAVAILABLE))).alias("before"),
         F.when(op != "d", image(xml)).alias("after"),
-        F.struct(F.lit("oracle").alias("connector"), (ms - ms % 1000).alias("ts_ms")).alias("source"),
+        F.struct(F.lit("events").alias("table"), (ms - ms % 1000).alias("ts_ms")).alias("source"),
         (ms + 5).alias("ts_ms"),
     )
     value = F.to_json(envelope, {"ignoreNullFields": "false"})

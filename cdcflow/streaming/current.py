@@ -1,15 +1,23 @@
-"""Live current state and its live flattening."""
+"""Live current state and its live flattening.
+
+Two ways to keep the state. ``upsert_stream`` has no state store: each micro-batch adds its newest image per key to
+a table, and reading takes the newest of those. It is the one for large states. ``current_state_stream`` keeps the
+images in the state store and reports each changed key, for consumers that follow the stream.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.query import StreamingQuery
 
 from cdcflow.functions.records import has_tags
 from cdcflow.operators.flatten import Namer, flatten_events, with_value_map
-from cdcflow.operators.state import latest_images
+from cdcflow.operators.state import latest_images, newest_images
+from cdcflow.streaming.feed import barrier
+from cdcflow.streaming.live import batch_writer
 
 
 def current_state_stream(changes: DataFrame) -> DataFrame:
@@ -19,7 +27,36 @@ def current_state_stream(changes: DataFrame) -> DataFrame:
     changes in one micro-batch costs one row per task. A deleted key keeps a payload-free entry, which lets
     a delete win over older changes that are read later.
     """
-    return latest_images(changes)
+    return latest_images(changes).drop("known")
+
+
+def upsert_stream(
+    changes: DataFrame, path: str, checkpoint: str, seconds: float | None = 1.0
+) -> StreamingQuery:
+    """Keep the current state as a table of images per micro-batch; read it with ``read_state``."""
+    return (
+        changes.writeStream.option("checkpointLocation", checkpoint)
+        .foreachBatch(batch_writer(path, latest_images))
+        .trigger(**barrier(seconds))
+        .start()
+    )
+
+
+def read_state(spark: SparkSession, path: str) -> DataFrame:
+    """The current state out of an upsert table: ``recid, xmlrecord, kafka_offset``."""
+    return newest_images(spark.read.parquet(path))
+
+
+def compact_state(spark: SparkSession, path: str, into: str) -> int:
+    """Write the state of an upsert table to ``into`` as one batch, without deleted keys.
+
+    The batch gets the number of the newest one it covers, which is returned; later batches can be added next to
+    it. Run it while no query writes to ``path``.
+    """
+    last = spark.read.parquet(path).agg(F.max("batch_id")).head()[0]
+    state = read_state(spark, path).withColumns({"known": F.lit(True), "deleted": F.lit(False)})
+    state.write.mode("overwrite").parquet(f"{into}/batch_id={last}")
+    return last
 
 
 def flatten_stream(changes: DataFrame, names: Namer, columns: Sequence[str]) -> DataFrame:

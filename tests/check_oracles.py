@@ -51,8 +51,9 @@ def compare(spark, con, sf_dir: str, name: str) -> str:
 def main() -> int:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:] or list(entry.queries())
-    spark = local_session("check")
+    spark = local_session("check", partitions=int(os.environ.get("CHECK_PARTITIONS", "8")))
     spark.sparkContext.setLogLevel("OFF")
+    spark.conf.set("spark.sql.session.timeZone", os.environ.get("CHECK_ZONE", "UTC"))
     con = connect(sf_dir)
     failed = 0
     for name in names:

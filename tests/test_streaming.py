@@ -14,7 +14,7 @@ from cdcflow.schema import OBSERVATION, UNAVAILABLE
 from cdcflow.sources.lookup import lookup_rows
 from cdcflow.streaming import arrivals, current, feed, history, live
 from helpers import CHANGE, change, changes, record, rows
-from test_state import LOG, brute_audit
+from test_state import LOG, STATE, brute_audit
 
 NAMES = [("c1", None, "customer", False), ("c46", None, "day", True)]
 COLUMNS = ["customer", "day_01", "day_02"]
@@ -86,6 +86,28 @@ def test_current_state_over_batches(spark, tmp_path, batches):
     assert rows(live.read_live(spark, into, ["recid"]), "recid") == rows(so_far, "recid")
 
 
+def test_upserts_over_batches(spark, tmp_path, batches):
+    topic = Topic(spark, tmp_path / "topic")
+    table, checkpoint = str(tmp_path / "table"), str(tmp_path / "checkpoint")
+    for k, batch in enumerate(batches):
+        topic.add(batch)
+        feed.run_to_end(current.upsert_stream(topic.stream(), table, checkpoint, None))
+        want = rows(current_state(changes(spark, everything(batches[: k + 1]))), "recid")
+        assert rows(current.read_state(spark, table), "recid") == want
+    into = str(tmp_path / "compact")
+    assert current.compact_state(spark, table, into) == 3
+    assert rows(current.read_state(spark, into), "recid") == want
+
+
+def test_upserts_of_the_small_log(spark, tmp_path):
+    topic = Topic(spark, tmp_path / "topic")
+    for part in (LOG[:2], LOG[2:6], LOG[6:11], LOG[11:12], LOG[12:15], LOG[15:16], LOG[16:]):
+        topic.add(part)
+    table = str(tmp_path / "table")
+    feed.run_to_end(current.upsert_stream(topic.stream(), table, str(tmp_path / "cp"), None))
+    assert rows(current.read_state(spark, table), "recid") == STATE
+
+
 def test_flatten_over_batches(spark, tmp_path, batches, names):
     topic = Topic(spark, tmp_path / "topic")
     table, checkpoint = str(tmp_path / "table"), str(tmp_path / "checkpoint")
