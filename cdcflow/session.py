@@ -39,3 +39,19 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the whole cluster")
         base = tempfile.mkdtemp(prefix="cdcflow-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+# Settings to start a cluster with. Spark sizes the rest at run time.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Many small shuffle partitions, merged after the fact to about this size.
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "16000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    # Record text grows in memory when it is parsed, so keep scan tasks moderate.
+    "spark.sql.files.maxPartitionBytes": "128m",
+    # Partitions of streaming state are fixed when a query first starts.
+    "spark.sql.shuffle.partitions": "4000",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.session.timeZone": "UTC",
+}
