@@ -15,17 +15,20 @@ def epoch_ms(ts: Column) -> Column:
     return F.unix_millis(ts)
 
 
+def _since_epoch(ts: Column) -> Column:
+    # A difference of wall clocks: an interval, which no session time zone can change.
+    return ts - F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+
 def epoch_ms_of_utc(ts: Column) -> Column:
-    """Epoch milliseconds of a UTC wall clock (TIMESTAMP_NTZ), through the instant it names."""
-    return F.unix_millis(F.convert_timezone(F.lit("UTC"), F.current_timezone(), ts).cast("timestamp"))
+    """Epoch milliseconds of a UTC wall clock (TIMESTAMP_NTZ), fractions of a millisecond cut."""
+    seconds = _since_epoch(ts).cast("interval second").cast("decimal(20,6)")
+    return F.floor(seconds * 1000).cast("bigint")
 
 
 def epoch_ms_by_fields(ts: Column) -> Column:
-    """Epoch milliseconds of a UTC wall clock (TIMESTAMP_NTZ) from the fields of its distance to 1970.
-
-    Fractions below a millisecond are cut, so the result is the same as that of an integer clock.
-    """
-    since = ts - F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    """Epoch milliseconds of a UTC wall clock, added up from days, hours, minutes and rounded seconds."""
+    since = _since_epoch(ts)
 
     def part(name: str) -> Column:
         return F.extract(F.lit(name), since)
@@ -34,7 +37,7 @@ def epoch_ms_by_fields(ts: Column) -> Column:
         part("DAY").cast("bigint") * MS_PER_DAY
         + part("HOUR").cast("bigint") * MS_PER_HOUR
         + part("MINUTE").cast("bigint") * MS_PER_MINUTE
-        + F.floor(part("SECOND") * 1000).cast("bigint")
+        + F.round(part("SECOND") * 1000).cast("bigint")
     )
 
 

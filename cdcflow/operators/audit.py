@@ -15,8 +15,9 @@ from cdcflow.operators.skew import add_buckets
 from cdcflow.operators.state import payload_known
 from cdcflow.sources.envelope import flat_changes
 
-HOT_ROWS = 1_000_000
-SPAN = 1_000_000
+# Changes of one key that one task orders; with records of 10 kB that is a sort of 2.5 GB, which may spill.
+HOT_ROWS = 250_000
+SPAN = 250_000
 
 
 def _known_image():

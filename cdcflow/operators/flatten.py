@@ -23,12 +23,10 @@ from pyspark.sql import functions as F
 
 from cdcflow.functions.records import element_value, has_tags, tag_arrays, varchar_bytes
 from cdcflow.sources.envelope import drop_tombstones, image
-from cdcflow.sources.lookup import position_suffix
+from cdcflow.sources.lookup import DRIVER_ROWS, position_suffix
 
 # Largest lookup that is broadcast (rows of a few dozen bytes).
 BROADCAST_ROWS = 200_000
-# Largest lookup that becomes literal maps.
-LITERAL_ROWS = 5_000
 # Copies of a lookup that is too large to broadcast.
 SALTS = 64
 
@@ -144,7 +142,7 @@ def _literal_map(values: dict[str, str]) -> Column:
     return F.create_map(*[F.lit(x) for pair in values.items() for x in pair])
 
 
-def namer(lookup: DataFrame, limit: int = LITERAL_ROWS) -> Namer | None:
+def namer(lookup: DataFrame, limit: int = DRIVER_ROWS) -> Namer | None:
     """Read a lookup of at most ``limit`` rows to the driver; None for a larger or ambiguous one."""
     rows = lookup.select("field_index", "m_index", "resolved_name_en", "is_multivalue").limit(limit + 1).collect()
     exact = {(r.field_index, r.m_index): r.resolved_name_en for r in rows if r.m_index is not None}

@@ -30,6 +30,11 @@ def delete_where(base: DataFrame, condition: Column) -> DataFrame:
     return base.filter(~F.coalesce(condition, F.lit(False)))
 
 
+def delete_keys(base: DataFrame, keys: DataFrame, key: str = "recid") -> DataFrame:
+    """Remove the rows named by ``keys``."""
+    return base.join(keys.select(key), key, "left_anti")
+
+
 def has_prefix(column: str, *prefixes: str) -> Column:
     """True when the text starts with any of the prefixes."""
     found = F.lit(False)

@@ -163,7 +163,7 @@ SELECT kafka_offset, CASE op WHEN 'c' THEN 'insert' WHEN 'u' THEN 'update' WHEN
     + """
 SELECT kafka_partition, kafka_offset, recid, op, t1 AS t1_ms, t2 AS t2_ms, t2_precision, t3 AS t3_ms FROM timed""",
     "q_epoch_ms": """
-SELECT event_id, epoch_us(ts) // 1000 AS ms_by_fields, epoch_us(ts) // 1000 AS ms_by_clock,
+SELECT event_id, (epoch_us(ts) + 500) // 1000 AS ms_by_fields, epoch_us(ts) // 1000 AS ms_by_clock,
   strftime(ts, '%H%M%S-') || lpad(CAST(epoch_us(ts) // 1000 % 1000 AS VARCHAR), 3, '0') AS suffix FROM events""",
     "q_current_state": _CURRENT,
     "q_stream_current_state": _CURRENT,
@@ -180,6 +180,10 @@ SELECT count(*) FILTER (recid LIKE 'BENCH-%' OR recid LIKE 'BULK-%') AS matching
     "q_delete_prefix": _STATE
     + """
 SELECT recid, xml AS xmlrecord, kafka_offset FROM state WHERE NOT (recid LIKE 'BENCH-%' OR recid LIKE 'BULK-%')""",
+    "q_delete_latest": _STATE
+    + """
+SELECT recid, xml AS xmlrecord, kafka_offset FROM state
+WHERE recid <> (SELECT max(recid) FROM state WHERE recid LIKE 'LOAD-%')""",
     "q_merge_upsert": f"""
 SELECT {_RECID} AS recid, CASE WHEN {_URGENT} THEN {_NEW_XML} ELSE {_header()} END AS xmlrecord
 FROM orders WHERE o_orderstatus <> 'O' OR {_URGENT}""",

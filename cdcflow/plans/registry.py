@@ -99,6 +99,12 @@ def q_delete_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mutate.delete_where(now, mutate.has_prefix("recid", MIXED_PREFIX, BULK_PREFIX))
 
 
+def q_delete_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The state without its last LOAD key."""
+    now = state.current_state(data.changes(spark, sf_dir))
+    return mutate.delete_keys(now, state.latest_match(now, F.col("recid").like("LOAD-%"), "recid"))
+
+
 # ---- writes on tables ------------------------------------------------------------------------------
 
 
@@ -266,7 +272,7 @@ def q_stamp_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = data.table(spark, sf_dir, "orders")
     records = data.order_records(orders, "o_orderkey", "o_orderdate", "o_custkey")
     recid = F.concat(F.lit("COPY-"), F.col("o_orderkey").cast("string"))
-    client_ms = epoch_ms_by_fields(F.col("o_orderdate"))
+    client_ms = epoch_ms_of_utc(F.col("o_orderdate"))
     values = {
         "c8": F.lit("a\\b$0"),
         "c23": F.col("o_custkey").cast("decimal(10,2)").cast("string"),

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cdcflow.functions.numbers import amount_text
-from cdcflow.functions.times import epoch_ms_by_fields
+from cdcflow.functions.times import epoch_ms_of_utc
 from cdcflow.schema import OBSERVATION, UNAVAILABLE
 from cdcflow.sources.envelope import parse_envelope
 from cdcflow.sources.lookup import lookup_rows
@@ -161,7 +161,7 @@ def event_recid() -> Column:
 
 def event_log_ms() -> Column:
     """Time at which an event reached the log."""
-    return epoch_ms_by_fields(F.col("ts")) + F.col("event_id") % 3000
+    return epoch_ms_of_utc(F.col("ts")) + F.col("event_id") % 3000
 
 
 def change_messages(events: DataFrame) -> DataFrame:
@@ -169,7 +169,7 @@ def change_messages(events: DataFrame) -> DataFrame:
     event_id, ms, op, recid = F.col("event_id"), F.col("_ms"), F.col("_op"), F.col("_recid")
     rows = events.select(
         "*",
-        epoch_ms_by_fields(F.col("ts")).alias("_ms"),
+        epoch_ms_of_utc(F.col("ts")).alias("_ms"),
         event_op().alias("_op"),
         event_recid().alias("_recid"),
     )

@@ -7,7 +7,10 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cdcflow.schema import LOOKUP_CSV
+from cdcflow.schema import LOOKUP, LOOKUP_CSV
+
+# Largest lookup that is read to the driver.
+DRIVER_ROWS = 5_000
 
 
 def load_lookup(spark: SparkSession, path: str, multivalue_fields: Iterable[str] = ()) -> DataFrame:
@@ -26,8 +29,6 @@ def load_lookup(spark: SparkSession, path: str, multivalue_fields: Iterable[str]
 
 def lookup_rows(spark: SparkSession, rows: Iterable[tuple[str, str | None, str, bool]]) -> DataFrame:
     """A lookup given inline."""
-    from cdcflow.schema import LOOKUP
-
     return spark.createDataFrame(list(rows), LOOKUP)
 
 
@@ -38,8 +39,11 @@ def position_suffix(position: Column) -> Column:
 
 def names_from_lookup(lookup: DataFrame, max_position: int) -> list[str]:
     """Every column name the lookup can produce, repeated fields up to ``max_position``."""
+    rows = lookup.select("m_index", "resolved_name_en", "is_multivalue").limit(DRIVER_ROWS + 1).collect()
+    if len(rows) > DRIVER_ROWS:
+        raise ValueError(f"a lookup of more than {DRIVER_ROWS} rows gives too many columns")
     names: list[str] = []
-    for row in lookup.select("m_index", "resolved_name_en", "is_multivalue").collect():
+    for row in rows:
         if row.m_index is None and row.is_multivalue:
             names += [f"{row.resolved_name_en}_{k:02d}" for k in range(1, max_position + 1)]
         else:

@@ -67,12 +67,15 @@ def test_varchar_bytes_cuts_whole_characters(spark):
 
 
 def test_epoch_ms_both_ways(spark):
-    for zone in ("UTC", "Africa/Cairo"):
+    for zone in ("UTC", "Africa/Cairo", "America/New_York"):
         spark.conf.set("spark.sql.session.timeZone", zone)
         try:
             ts = F.lit("2024-01-01 00:00:07.179575").cast("timestamp_ntz")
-            assert one(spark, epoch_ms_by_fields(ts)) == 1704067207179
+            assert one(spark, epoch_ms_by_fields(ts)) == 1704067207180  # rounded, the other one cuts
             assert one(spark, epoch_ms_of_utc(ts)) == 1704067207179
+            # an hour that New York has twice, and one that it does not have
+            assert one(spark, epoch_ms_of_utc(F.lit("2024-11-03 01:30:00").cast("timestamp_ntz"))) == 1730597400000
+            assert one(spark, epoch_ms_of_utc(F.lit("2024-03-10 02:30:00").cast("timestamp_ntz"))) == 1710037800000
         finally:
             spark.conf.set("spark.sql.session.timeZone", "UTC")
 

@@ -127,6 +127,7 @@ def test_merge_update_delete(spark):
     assert rows(mutate.missing_keys(base, updates), "recid") == [("X",)]
     assert rows(mutate.delete_where(base, F.col("xmlrecord") == "1"), "recid") == [("B", "2"), ("C", None)]
     assert rows(mutate.delete_where(base, mutate.has_prefix("recid", "A", "B")), "recid") == [("C", None)]
+    assert rows(mutate.delete_keys(base, updates), "recid") == [("A", "1")]
     assert state.count_where(base, F.col("xmlrecord") == "1").head() == (1, 3)
     assert state.latest_match(base, F.col("recid") < "C", "recid").head() == ("B", "2")
     assert state.latest_match(base, F.col("recid") > "C", "recid").head() is None
