@@ -206,7 +206,7 @@ FROM orders WHERE o_orderstatus IN ('O', 'F') OR {_URGENT}""",
     "q_flatten_events_relational": _FLATTEN_EVENTS,
     "q_stream_flatten_events": _FLATTEN_EVENTS,
     "q_virtual_columns": f"""
-SELECT {_RECID} AS recid, CAST(o_custkey AS DECIMAL(38,0)) AS customer, o_orderstatus AS order_status,
+SELECT {_RECID} AS recid, {_RECID} AS xml_id, CAST(o_custkey AS DECIMAL(38,0)) AS customer, o_orderstatus AS order_status,
   substr(CAST(o_orderkey AS VARCHAR), 1, 3) AS priority_cut,
   CAST(CAST(o_totalprice AS DECIMAL(15,2)) AS VARCHAR) AS total_price,
   CAST(strftime(o_orderdate, '%Y%m%d') AS DECIMAL(38,0)) AS order_day, CAST(NULL AS DECIMAL(38,0)) AS status_number,
@@ -253,6 +253,15 @@ FROM trace WHERE total_ms IS NOT NULL AND gen2ora IS NOT NULL""",
 SELECT op, count(*) AS changes, {_MEANS}, {_mean("total_ms")} AS total_avg, min(total_ms) AS total_min,
   max(total_ms) AS total_max
 FROM trace WHERE total_ms IS NOT NULL AND kafka_offset >= 5000 GROUP BY op ORDER BY op""",
+    "q_sql_views": _TRACE
+    + """,
+ranked AS (SELECT *, row_number() OVER (PARTITION BY recid ORDER BY event_id DESC) AS rn FROM ev),
+t AS (SELECT split_part(recid, '-', 1) AS workload, count(*) AS changes, max(total_ms) AS slowest_ms
+      FROM trace GROUP BY 1),
+s AS (SELECT split_part(recid, '-', 1) AS workload, count(*) AS live_records,
+        count(*) FILTER (event_type = 'purchase') AS with_second_day
+      FROM ranked WHERE rn = 1 AND op <> 'd' GROUP BY 1)
+SELECT t.workload, changes, slowest_ms, live_records, with_second_day FROM t LEFT JOIN s ON s.workload = t.workload""",
     "q_stamp_records": f"""
 SELECT 'COPY-' || CAST(o_orderkey AS VARCHAR) AS recid, replace({
         _header(

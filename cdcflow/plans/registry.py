@@ -8,11 +8,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cdcflow.functions.numbers import keyed_amount
+from cdcflow.functions.records import record_id
 from cdcflow.functions.times import epoch_ms_by_fields, epoch_ms_of_utc, stamp_suffix
 from cdcflow.operators import audit as history
 from cdcflow.operators import flatten, mutate, reports, state, visibility
 from cdcflow.operators import trace as tracing
 from cdcflow.plans import testdata as data
+from cdcflow.plans.views import register_views
 from cdcflow.schema import BULK_PREFIX, MIXED_PREFIX
 from cdcflow.session import scratch_dir
 from cdcflow.sources import capture, envelope, workload
@@ -192,7 +194,8 @@ def q_virtual_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
         ("status_number", "c8", "decimal(38,0)"),
         ("missing", "c77", "varchar(250)"),
     )
-    return flatten.virtual_columns(data.orders_xml(spark, sf_dir), columns)
+    records = data.orders_xml(spark, sf_dir).withColumn("xml_id", record_id(F.col("xmlrecord")))
+    return flatten.virtual_columns(records, columns, keys=["recid", "xml_id"])
 
 
 # ---- latency trace ---------------------------------------------------------------------------------
@@ -265,6 +268,29 @@ def q_report_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.report_run(_trace(spark, sf_dir), RUN_START)
 
 
+def q_sql_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A report in SQL over the registered views: state, wide rows and trace by workload."""
+    register_views(
+        spark,
+        data.changes(spark, sf_dir),
+        data.lookup(spark),
+        _arrivals(spark, sf_dir),
+        data.EVENT_COLUMNS,
+        prefix="given_",
+    )
+    return spark.sql(
+        """
+        SELECT t.workload, t.changes, t.slowest_ms, s.live_records, s.with_second_day
+        FROM (SELECT split_part(recid, '-', 1) AS workload, count(*) AS changes, max(total_ms) AS slowest_ms
+              FROM given_cdc_trace GROUP BY 1) t
+        LEFT JOIN (SELECT split_part(a.recid, '-', 1) AS workload, count(*) AS live_records,
+                          count(c.ship_date_02) AS with_second_day
+                   FROM given_account a LEFT JOIN given_account_columns c ON c.recid = a.recid GROUP BY 1) s
+          ON s.workload = t.workload
+        """
+    )
+
+
 # ---- workloads -------------------------------------------------------------------------------------
 
 

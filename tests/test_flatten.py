@@ -1,10 +1,15 @@
 from __future__ import annotations
 
+import random
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from cdcflow.operators import flatten
 from cdcflow.plans import account
+from cdcflow.plans.views import register_views
+from cdcflow.schema import TAG_PATTERN
 from cdcflow.sources.lookup import load_lookup, lookup_rows, names_from_lookup
 from cdcflow.sources.records import read_records
 from helpers import change, changes, record, rows
@@ -92,6 +97,40 @@ def test_both_forms_agree(spark, records, lookup):
     assert wide_rows(relational) == WIDE
 
 
+def brute_wide(recid, xml, lookup):
+    """One record with the regular expressions of Python."""
+    exact = {(f, m): n for f, m, n, _ in lookup if m is not None}
+    base = {f: (n, multi) for f, m, n, multi in lookup if m is None}
+    found, out = re.findall(TAG_PATTERN, xml), {}
+    for field, position, value in found:
+        name = exact.get((field, position)) if position else None
+        if name is None and field in base:
+            name, multi = base[field]
+            if multi:
+                name += "_" + (position or "1").rjust(2, "0")[:2]
+        if name is not None:
+            out[name] = max(out.get(name, value).encode(), value.encode()).decode()
+    return out if found else None
+
+
+def test_random_records_against_brute_force(spark, lookup):
+    rng = random.Random(17)
+    pieces = ["x", "9", "10", "ع", "&amp;", ">", "$", "\\", '"', " ", "\n", ""]
+
+    def element():
+        field = rng.choice(["c1", "c3", "c20", "c23", "c46", "c99", "c046", "d1", "c"])
+        mark = rng.choice(["", "", ' m="2"', ' m="7"', ' m="11"', ' m="123"', '  m="3"', ' m=""', ' k="1"'])
+        close = field if rng.random() < 0.9 else "c1"
+        return f"<{field}{mark}>" + "".join(rng.choices(pieces, k=rng.randrange(4))) + f"</{close}>"
+
+    data = [(f"R{k}", record(f"R{k}", "".join(element() for _ in range(rng.randrange(8))))) for k in range(400)]
+    want = {k: w for k, x in data if (w := brute_wide(k, x, LOOKUP)) is not None}
+    names = sorted({n for w in want.values() for n in w})
+    df = spark.createDataFrame(data, "recid STRING, xmlrecord STRING").repartition(4)
+    assert wide_rows(flatten.flatten_wide(df, lookup, names)) == want
+    assert wide_rows(flatten.flatten_relational(df, lookup, names)) == want
+
+
 def test_large_lookup_is_salted(spark, records, lookup):
     tags = flatten.unpivot_tags(records, ["recid"])
     salted = flatten.resolve_names(tags, lookup, broadcast_rows=3)
@@ -169,6 +208,17 @@ def test_lookup_file_and_account_view(spark, tmp_path):
     assert list(view.head())[1:] == columns
 
 
+def test_views(spark, lookup):
+    log = changes(spark, [change("c", "A", record("A", RECORDS["full"]), 0), change("d", "A", None, 1),
+                          change("c", "B", record("B", "<c1>2</c1>"), 2)])
+    names = register_views(spark, log, lookup, columns=COLUMNS, prefix="bank_")
+    assert len(names) == 9 and all(spark.catalog.tableExists(n) for n in names)
+    assert rows(spark.table("bank_account_columns").select("recid", "customer"), "recid") == [("B", "2")]
+    got = spark.sql("SELECT before_xml FROM bank_account_audit WHERE op = 'd'").head()[0]
+    assert got == record("A", RECORDS["full"])
+    assert spark.sql("SELECT count(*), count(total_ms) FROM bank_cdc_trace WHERE recid LIKE 'A%'").head() == (2, 0)
+
+
 def test_virtual_columns(spark):
     data = [
         ("a", record("a", "<c1>12</c1><c2>6510</c2><c8>EGP</c8><c8 m=\"2\">USD</c8><c6>a&amp;b</c6><c13></c13>")),
