@@ -198,6 +198,12 @@ SELECT CASE WHEN {_ADDED} THEN 'c' WHEN o_orderstatus = 'F' THEN 'd' ELSE 'u' EN
   CASE WHEN {_ADDED} THEN NULL ELSE '__debezium_unavailable_value' END AS before_xml,
   CASE WHEN o_orderstatus = 'F' THEN NULL WHEN {_URGENT} THEN {_NEW_XML} ELSE {_header()} END AS after_xml
 FROM orders WHERE o_orderstatus IN ('O', 'F') OR {_URGENT}""",
+    "q_publish_diff": f"""
+SELECT {_RECID} AS key, false AS is_tombstone, CASE WHEN {_ADDED} THEN 'c' ELSE 'd' END AS op,
+  CASE WHEN NOT {_ADDED} THEN '__debezium_unavailable_value' END AS before_xml,
+  CASE WHEN {_ADDED} THEN {_header()} END AS after_xml
+FROM orders WHERE o_orderstatus IN ('O', 'F')
+UNION ALL SELECT {_RECID}, true, NULL, NULL, NULL FROM orders WHERE o_orderstatus = 'F'""",
     "q_unpivot_tags": f"SELECT recid, field, position, value FROM ({_TAGS})",
     "q_resolve_names": _TAGS,
     "q_flatten_wide": _WIDE,

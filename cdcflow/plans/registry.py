@@ -156,6 +156,17 @@ def q_snapshot_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat_envelope(capture.snapshot_diff(old, new))
 
 
+def q_publish_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The difference of two states, published as messages and parsed again."""
+    old = _orders(spark, sf_dir, _settled())
+    new = _orders(spark, sf_dir, F.col("o_orderstatus") != "F")
+    sent = envelope.to_messages(capture.snapshot_diff(old, new))
+    parsed = envelope.parse_envelope(sent)
+    return parsed.select(
+        "key", "is_tombstone", "op", F.col("before.XMLRECORD").alias("before_xml"), F.col("after.XMLRECORD").alias("after_xml")
+    )
+
+
 # ---- flattening ------------------------------------------------------------------------------------
 
 

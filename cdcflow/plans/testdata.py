@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from cdcflow.functions.numbers import amount_text
 from cdcflow.functions.times import epoch_ms_of_utc
 from cdcflow.schema import OBSERVATION, UNAVAILABLE
-from cdcflow.sources.envelope import parse_envelope
+from cdcflow.sources.envelope import parse_envelope, to_messages
 from cdcflow.sources.lookup import lookup_rows
 
 LOOKUP_ROWS = (
@@ -191,23 +191,20 @@ def change_messages(events: DataFrame) -> DataFrame:
     def image(payload: Column) -> Column:
         return F.struct(recid.alias("RECID"), payload.alias("XMLRECORD"))
 
-    envelope = F.struct(
+    changes = rows.select(
         op.alias("op"),
         F.when(op.isin("u", "d"), image(F.lit(UNAVAILABLE))).alias("before"),
         F.when(op != "d", image(xml)).alias("after"),
         F.struct(F.lit("events").alias("table"), (ms - ms % 1000).alias("ts_ms")).alias("source"),
         (ms + 5).alias("ts_ms"),
-    )
-    value = F.to_json(envelope, {"ignoreNullFields": "false"})
-    tombstone = F.lit(None).cast("string")
-    values = F.when(op == "d", F.array(value, tombstone)).otherwise(F.array(value))
-    return rows.select(
-        recid.alias("key"),
-        F.posexplode(values).alias("_pos", "value"),
         (F.col("user_id") % 4).cast("int").alias("partition"),
         (event_id * 2).alias("_offset"),
         F.timestamp_millis(ms + event_id % 3000).alias("timestamp"),
-    ).select("key", "value", "partition", (F.col("_offset") + F.col("_pos")).alias("offset"), "timestamp")
+    )
+    offset = F.col("_offset") + F.col("is_tombstone").cast("int")
+    return to_messages(changes, "partition", "_offset", "timestamp").select(
+        "key", "value", "partition", offset.alias("offset"), "timestamp"
+    )
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:

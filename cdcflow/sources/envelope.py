@@ -20,6 +20,20 @@ def parse_envelope(messages: DataFrame, value_col: str = "value", envelope: str
     return with_metadata(parsed)
 
 
+def to_messages(changes: DataFrame, *rest: str) -> DataFrame:
+    """The messages that publish changes: ``key, value, is_tombstone``, and the columns named in ``rest``.
+
+    The value is JSON without an embedded schema. Each delete is followed by a message of the same key without value,
+    which lets a compacted log forget the key.
+    """
+    columns = [c for c in ("op", "before", "after", "source", "ts_ms") if c in changes.columns]
+    value = F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
+    no_value = F.lit(None).cast("string")
+    values = F.when(F.col("op") == "d", F.array(value, no_value)).otherwise(F.array(value))
+    exploded = changes.select(image("RECID").alias("key"), F.posexplode(values).alias("_pos", "value"), *rest)
+    return exploded.select("key", "value", (F.col("_pos") == 1).alias("is_tombstone"), *rest)
+
+
 def with_metadata(messages: DataFrame) -> DataFrame:
     """Name the log metadata of a message ``kafka_partition, kafka_offset, kafka_ts``."""
     names = {"partition": "kafka_partition", "offset": "kafka_offset", "timestamp": "kafka_ts"}

@@ -83,6 +83,20 @@ def test_parse_messages(spark):
     assert envelope.since_offset(parsed, 3).count() == 2
 
 
+def test_published_messages_parse_back(spark):
+    df = changes(spark, [r for r in LOG if r[0]])
+    sent = envelope.to_messages(df, "kafka_offset")
+    assert sent.count() == len(LOG)
+    assert rows(sent.filter("value IS NULL").select("key", "is_tombstone", "kafka_offset"), "kafka_offset") == [
+        ("B", True, 3),
+        ("C", True, 6),
+    ]
+    back = envelope.parse_envelope(sent).filter("NOT is_tombstone")
+    assert rows(back.select("op", "before", "after", "kafka_offset"), "kafka_offset") == rows(
+        df.select("op", "before", "after", "kafka_offset"), "kafka_offset"
+    )
+
+
 @pytest.mark.parametrize("shuffled", [False, True])
 def test_current_state(spark, shuffled):
     log = list(LOG)
