@@ -38,12 +38,12 @@ def unpivot_tags(df: DataFrame, keys: Sequence[str], xml: str = "xmlrecord") ->
     """One row per element: ``keys, field, position, value``. Records without elements give no row."""
     # explode_outer and a filter on its output: plain explode would have Spark evaluate the regular
     # expressions a second time, in a filter on the size of the array.
-    exploded = df.select(*keys, F.explode_outer(tag_arrays(F.col(xml))).alias("tag")).filter(F.col("tag").isNotNull())
+    exploded = df.select(*keys, F.explode_outer(tag_arrays(F.col(xml))).alias("_tag")).filter(F.col("_tag").isNotNull())
     return exploded.select(
         *keys,
-        F.col("tag.field").alias("field"),
-        F.nullif(F.col("tag.position"), F.lit("")).alias("position"),
-        F.col("tag.value").alias("value"),
+        F.col("_tag.field").alias("field"),
+        F.nullif(F.col("_tag.position"), F.lit("")).alias("position"),
+        F.col("_tag.value").alias("value"),
     )
 
 
@@ -98,8 +98,8 @@ def pivot_wide(resolved: DataFrame, keys: Sequence[str], names: Sequence[str]) -
         .agg(F.max("value").alias("value"))
     )
     entry = F.when(F.col("column_name").isNotNull(), F.struct("column_name", "value"))
-    packed = best.groupBy(*keys).agg(F.map_from_entries(F.collect_list(entry)).alias("m"))
-    return packed.select(*keys, *[F.col("m")[n].alias(n) for n in names])
+    packed = best.groupBy(*keys).agg(F.map_from_entries(F.collect_list(entry)).alias("_values"))
+    return packed.select(*keys, *[F.col("_values")[n].alias(n) for n in names])
 
 
 def flatten_relational(
@@ -153,21 +153,21 @@ def namer(lookup: DataFrame, limit: int = DRIVER_ROWS) -> Namer | None:
 
 
 def with_named_values(df: DataFrame, names: Namer, xml: str = "xmlrecord") -> DataFrame:
-    """Add ``named``: the elements that have a name, as ``array<struct<name, value>>``."""
+    """Add ``_named``: the elements that have a name, as ``array<struct<name, value>>``."""
     name = names.name_of()
     pairs = F.transform(tag_arrays(F.col(xml)), lambda t: F.struct(name(t).alias("name"), t["value"].alias("value")))
-    return df.withColumn("named", F.filter(pairs, lambda e: e["name"].isNotNull()))
+    return df.withColumn("_named", F.filter(pairs, lambda e: e["name"].isNotNull()))
 
 
 def with_value_map(df: DataFrame, names: Namer, xml: str = "xmlrecord") -> DataFrame:
-    """Add ``m``: column name to value, the last of equal names in sorted order being the greatest."""
-    named = with_named_values(df, names, xml).withColumn("named", F.array_sort("named"))
+    """Add ``_values``: column name to value, the last of equal names in sorted order being the greatest."""
+    named = with_named_values(df, names, xml).withColumn("_named", F.array_sort("_named"))
 
     def last_of_name(e: Column, i: Column) -> Column:
-        following = F.get(F.col("named"), i + 1)["name"]
+        following = F.get(F.col("_named"), i + 1)["name"]
         return following.isNull() | (following != e["name"])
 
-    return named.withColumn("m", F.map_from_entries(F.filter("named", last_of_name))).drop("named")
+    return named.withColumn("_values", F.map_from_entries(F.filter("_named", last_of_name))).drop("_named")
 
 
 def flatten_narrow(
@@ -175,7 +175,7 @@ def flatten_narrow(
 ) -> DataFrame:
     # The cheap test for one match comes first and keeps the condition off the array of all elements.
     wide = with_value_map(df.filter(has_tags(F.col(xml))), names, xml)
-    return wide.select(*keys, *[F.col("m")[n].alias(n) for n in columns])
+    return wide.select(*keys, *[F.col("_values")[n].alias(n) for n in columns])
 
 
 def flatten_wide(
@@ -205,7 +205,7 @@ def flatten_events(changes: DataFrame, names: Namer) -> DataFrame:
     """``columns_parsed`` per change, keyed by its identity so that no change replaces another."""
     records = change_records(changes).filter(has_tags(F.col("xmlrecord")))
     return with_named_values(records, names).select(
-        "kafka_partition", "kafka_offset", "recid", F.size("named").cast("bigint").alias("columns_parsed")
+        "kafka_partition", "kafka_offset", "recid", F.size("_named").cast("bigint").alias("columns_parsed")
     )
 
 

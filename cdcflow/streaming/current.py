@@ -67,7 +67,7 @@ def flatten_stream(changes: DataFrame, names: Namer, columns: Sequence[str]) ->
     """
     state = latest_images(changes).withColumn("deleted", F.col("deleted") | ~has_tags(F.col("xmlrecord")))
     wide = with_value_map(state, names)
-    return wide.select("recid", "kafka_offset", "deleted", *[F.col("m")[c].alias(c) for c in columns])
+    return wide.select("recid", "kafka_offset", "deleted", *[F.col("_values")[c].alias(c) for c in columns])
 
 
 def flatten_events_stream(changes: DataFrame, names: Namer) -> DataFrame:

@@ -13,7 +13,7 @@ from cdcflow.session import local_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     scratch = {"spark.checkpoint.dir": str(tmp_path_factory.mktemp("scratch"))}
-    session = local_session("tests", partitions=4, memory="6g", conf=scratch)
+    session = local_session("tests", partitions=3, memory="6g", conf=scratch)
     session.sparkContext.setLogLevel("OFF")
     yield session
     session.stop()
