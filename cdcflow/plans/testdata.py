@@ -216,13 +216,17 @@ def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def message_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = (
-        spark.readStream.schema(EVENT_SCHEMA)
-        .option("pathGlobFilter", "events.parquet")
-        .option("maxFilesPerTrigger", 1000)
-        .parquet(sf_dir)
-    )
-    cores = _idle_cores(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    """The event table as a stream of messages; the table is one file or a folder of files."""
+    path = f"{sf_dir}/events.parquet"
+    batch = spark.read.parquet(path)
+    reader = spark.readStream.schema(EVENT_SCHEMA).option("maxFilesPerTrigger", 1000)
+    one = batch.select(F.input_file_name()).first()
+    if one is not None and one[0].endswith("/events.parquet"):
+        # A stream reads folders, so take the one file out of its folder.
+        events = reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    else:
+        events = reader.parquet(path)
+    cores = _idle_cores(batch)
     return change_messages(events.repartition(cores) if cores else events)
 
 
