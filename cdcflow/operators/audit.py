@@ -43,13 +43,15 @@ def edge_images(flat: DataFrame, group: Sequence[str]) -> DataFrame:
     )
 
 
-def prior_images(flat: DataFrame, hot_rows: int = HOT_ROWS, span: int = SPAN) -> DataFrame:
+def prior_images(
+    flat: DataFrame, hot_rows: int = HOT_ROWS, span: int = SPAN, keys: DataFrame | None = None
+) -> DataFrame:
     """``link_images`` over the whole history of each key, with hot keys split by offset range.
 
     No task sorts more than ``hot_rows`` (or 1/10,000 of all rows) for an ordinary key, or ``span`` rows of
     a hot key. The image that crosses from one range to the next is found on one row per range.
     """
-    bucketed = add_buckets(flat, "recid", "kafka_offset", hot_rows, span)
+    bucketed = add_buckets(flat, "recid", "kafka_offset", hot_rows, span, keys)
     linked = link_images(bucketed, ["recid", "bucket"])
     ranges = edge_images(bucketed.filter(F.col("bucket") > 0), ["recid", "bucket"])
     earlier = Window.partitionBy("recid").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -62,9 +64,14 @@ def prior_images(flat: DataFrame, hot_rows: int = HOT_ROWS, span: int = SPAN) ->
     return filled.withColumn("prior", F.coalesce("prior", "carried")).drop("carried", "bucket")
 
 
-def audit(changes: DataFrame, hot_rows: int = HOT_ROWS, span: int = SPAN) -> DataFrame:
-    """Every change with its rebuilt before-image: ``before_xml`` and ``after_xml``."""
-    linked = prior_images(flat_changes(changes), hot_rows, span)
+def audit(
+    changes: DataFrame, hot_rows: int = HOT_ROWS, span: int = SPAN, keys: DataFrame | None = None
+) -> DataFrame:
+    """Every change with its rebuilt before-image: ``before_xml`` and ``after_xml``.
+
+    ``keys``, one ``recid`` per change, saves the count of keys from parsing the messages as well.
+    """
+    linked = prior_images(flat_changes(changes), hot_rows, span, keys)
     return linked.select(
         "recid",
         "op",

@@ -78,12 +78,12 @@ def q_current_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return history.audit(data.changes(spark, sf_dir))
+    return history.audit(data.changes(spark, sf_dir), keys=data.message_keys(spark, sf_dir))
 
 
 def q_audit_hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same history with every key with more than ten changes split into offset ranges."""
-    return history.audit(data.changes(spark, sf_dir), hot_rows=10, span=1500)
+    return history.audit(data.changes(spark, sf_dir), 10, 1500, data.message_keys(spark, sf_dir))
 
 
 def q_latest_match(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -215,6 +215,11 @@ def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_envelope(messages(spark, sf_dir))
 
 
+def message_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The key of each change, ``recid``, without building or parsing its message."""
+    return table(spark, sf_dir, "events").select(event_recid().alias("recid"))
+
+
 def message_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The event table as a stream of messages; the table is one file or a folder of files."""
     path = f"{sf_dir}/events.parquet"
