@@ -16,3 +16,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = scratch_dir(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread_keys(spark: SparkSession) -> list[int]:
+    """As many numbers as the session has shuffle partitions, that hash to one partition each.
+
+    Buckets dealt out by these keys fill the partitions evenly. Were the hash another one, partitions would be
+    uneven, nothing else.
+    """
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    found: dict[int, int] = {}
+    tries = 16 * n
+    while len(found) < n:
+        rows = spark.range(tries).selectExpr("id", f"pmod(hash(id), {n}) AS p").groupBy("p").agg({"id": "min"})
+        found = dict(map(tuple, rows.collect()))
+        tries *= 2
+    return [found[p] for p in range(n)]

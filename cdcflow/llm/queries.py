@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from .jaccard import op4_ngram_jaccard_join
 from .packing import op10_best_fit_packing
+from .quality import op7_quality_rules
 from .token_file import op1_token_file
 
 
 def queries():
     return {
         "op1_token_file": op1_token_file,
+        "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
+        "op7_quality_rules": op7_quality_rules,
         "op10_best_fit_packing": op10_best_fit_packing,
     }
 
