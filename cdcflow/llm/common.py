@@ -32,3 +32,11 @@ def spread_keys(spark: SparkSession) -> list[int]:
         found = dict(map(tuple, rows.collect()))
         tries *= 2
     return [found[p] for p in range(n)]
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
