@@ -72,6 +72,11 @@ FURTHER = 8  # attempts after which digits or letters are added, so that small f
 KEY = "surrogates"  # the default key; a deployment passes its own
 
 
+def _let(value: Column, then) -> Column:
+    """``then(value)`` with ``value`` computed once."""
+    return F.get(F.transform(F.array(value), then), 0)
+
+
 def _lit(items: list[str]) -> Column:
     return F.array(*(F.lit(x) for x in items))
 
@@ -156,45 +161,66 @@ def _refill(form: Column, content: Column) -> Column:
     return F.aggregate(F.split(form, ""), state, step, lambda s: s["out"])
 
 
-def surrogate(key: str, e: Column, attempt: Column) -> Column:
-    """The replacement of a ``parsed`` entity."""
-    kind, value = e["kind"], e["value"]
-    stream = _stream(key, kind, e["canonical"], attempt)
-    content = F.regexp_replace(F.when(kind == "email", F.lower(value)).otherwise(value), "[^A-Za-z0-9]", "")
-    is_hex = content.rlike("^[0-9a-f]*[a-f][0-9a-f]*$") & (kind == "secret")
+def _mixed(kind: Column, content: Column, stream: Column) -> Column:
+    """Letters and digits of ``content`` replaced by others; of a hexadecimal secret by hexadecimal digits."""
     letters, digits = F.lit("abcdefghijklmnopqrstuvwxyz"), F.lit("0123456789")
-    mixed = F.array_join(
-        F.transform(
-            F.split(content, ""),
-            lambda c, i: F.when(is_hex, F.substr(stream, i % 256 + 1, F.lit(1)))
-            .when(c.rlike("[0-9]"), F.substr(digits, _number(stream, i) % 10 + 1, F.lit(1)))
-            .otherwise(F.substr(letters, _number(stream, i) % 26 + 1, F.lit(1))),
-        ),
-        "",
-    )
-    first = F.concat(F.substr(content, F.lit(1), F.lit(1)), F.substr(mixed, F.lit(2), F.length(content) - 2))
-    card = F.concat(first, ((10 - _luhn(first, 0) % 10) % 10).cast("string"))
-    country = e["prefix"]
-    bank = F.upper(F.substr(mixed, F.lit(3)))
-    check = 98 - _iban_rest(F.concat(country, F.lit("00"), bank))
-    iban = F.concat(F.lpad(check.cast("string"), 2, "0"), bank)
-    octets = F.concat_ws(".", *(((_number(stream, F.lit(n)) % (223 if n == 0 else 254)) + 1).cast("string") for n in range(4)))
-    more = F.when(attempt >= FURTHER, F.substr(stream, F.lit(100), attempt - FURTHER + 1)).otherwise(F.lit(""))
-    out = (
-        F.when(kind == "ip", octets)
-        .when(kind == "card", _refill(value, card))
-        .when(kind == "iban", _refill(value, iban))
-        .when(kind == "ssn", _refill(value, F.concat((_number(stream, F.lit(20)) % 565 + 101).cast("string"), (_number(stream, F.lit(21)) % 99 + 101).cast("string").substr(2, 2), (_number(stream, F.lit(22)) % 9000 + 1000).cast("string"))))
+    is_hex = (kind == "secret") & F.lower(content).rlike("^[0-9a-f]*[a-f][0-9a-f]*$")
+    chars = F.transform(
+        F.split(content, ""),
+        lambda c, i: F.when(c.rlike("[0-9]"), F.substr(digits, _number(stream, i) % 10 + 1, F.lit(1)))
+        .otherwise(F.substr(letters, _number(stream, i) % 26 + 1, F.lit(1))),
     )
-    for script, gender in _ADDRESS:
-        given, family, syllables = _GIVEN[script, gender], _FAMILY[script, gender], _SYLLABLES[script]
-        parts = F.split(value, " ")
-        made = F.initcap(F.array_join(F.transform(F.sequence(F.lit(30), attempt + 30), lambda n: F.get(_lit(syllables), _number(stream, n) % len(syllables))), ""))
-        last = F.when(attempt >= 2, made).otherwise(F.get(_lit(family), _number(stream, F.lit(60)) % len(family)))
-        names = F.transform(parts, lambda p, i: F.when(i == F.size(parts) - 1, last).otherwise(F.get(_lit(given), _number(stream, i) % len(given))))
-        out = out.when(kind == f"person-{script}-{gender}", F.array_join(names, " "))
-    out = out.otherwise(F.concat(_refill(value, mixed), more))
-    return F.concat(e["prefix"], out, e["suffix"])
+    copies = F.repeat(stream, F.ceil(F.length(content) / 256).cast("int"))
+    as_hex = F.substr(copies, F.lit(1), F.length(content))
+    as_hex = F.when(content == F.upper(content), F.upper(as_hex)).otherwise(as_hex)
+    return F.when(is_hex, as_hex).otherwise(F.array_join(chars, ""))
+
+
+def _name(value: Column, stream: Column, attempt: Column, script: str, gender: str) -> Column:
+    given, family, syllables = _GIVEN[script, gender], _FAMILY[script, gender], _SYLLABLES[script]
+    parts = F.split(value, " ")
+    sounds = F.transform(F.sequence(F.lit(30), attempt + 30), lambda n: F.get(_lit(syllables), _number(stream, n) % len(syllables)))
+    family_name = F.when(attempt >= 2, F.initcap(F.array_join(sounds, ""))).otherwise(
+        F.get(_lit(family), _number(stream, F.lit(60)) % len(family))
+    )
+    names = F.transform(
+        parts,
+        lambda p, i: F.when(i == F.size(parts) - 1, family_name).otherwise(F.get(_lit(given), _number(stream, i) % len(given))),
+    )
+    return F.array_join(names, " ")
+
+
+def surrogate(key: str, e: Column, attempt: Column) -> Column:
+    """The replacement of a ``parsed`` entity (a column or variable)."""
+
+    def made(stream: Column, content: Column, mixed: Column) -> Column:
+        kind, value = e["kind"], e["value"]
+        octets = F.concat_ws(".", *((_number(stream, F.lit(n)) % (223 if n == 0 else 254) + 1).cast("string") for n in range(4)))
+        first = F.concat(F.substr(content, F.lit(1), F.lit(1)), F.substr(mixed, F.lit(2), F.length(content) - 2))
+        card = _let(first, lambda f: F.concat(f, ((10 - _luhn(f, 0) % 10) % 10).cast("string")))
+        bank = F.upper(F.substr(mixed, F.lit(3)))
+        iban = _let(bank, lambda b: F.concat(F.lpad((98 - _iban_rest(F.concat(e["prefix"], F.lit("00"), b))).cast("string"), 2, "0"), b))
+        ssn = F.concat(
+            (_number(stream, F.lit(20)) % 565 + 101).cast("string"),
+            F.substr((_number(stream, F.lit(21)) % 99 + 101).cast("string"), F.lit(2)),
+            (_number(stream, F.lit(22)) % 9000 + 1000).cast("string"),
+        )
+        more = F.when(attempt >= FURTHER, F.substr(stream, F.lit(100), attempt - FURTHER + 1)).otherwise(F.lit(""))
+        out = (
+            F.when(kind == "ip", octets)
+            .when(kind == "card", _refill(value, card))
+            .when(kind == "iban", _refill(value, iban))
+            .when(kind == "ssn", _refill(value, ssn))
+        )
+        for script, gender in _ADDRESS:
+            out = out.when(kind == f"person-{script}-{gender}", _name(value, stream, attempt, script, gender))
+        return F.concat(e["prefix"], out.otherwise(F.concat(_refill(value, mixed), more)), e["suffix"])
+
+    plain = F.regexp_replace(F.when(e["kind"] == "email", F.lower(e["value"])).otherwise(e["value"]), "[^A-Za-z0-9]", "")
+    return _let(
+        _stream(key, e["kind"], e["canonical"], attempt),
+        lambda s: _let(plain, lambda c: _let(_mixed(e["kind"], c, s), lambda m: made(s, c, m))),
+    )
 
 
 def _matches(text: str) -> Column:
@@ -211,14 +237,13 @@ def retried(docs: DataFrame, key: str, rounds: int = 64) -> DataFrame | None:
     """
     spark, path = docs.sparkSession, scratch_dir(docs.sparkSession, "entities")
     found = docs.select(F.explode(F.array_distinct(_matches("text"))).alias("e")).select(parsed(F.col("e")).alias("e"))
-    # Coreferent forms of one entity are compared by the surrogate's canonical form.
     found.filter("e IS NOT NULL").groupBy("e.kind", "e.canonical").agg(F.min("e").alias("e")).write.parquet(path)
     entities = spark.read.parquet(path)
     tried = entities.withColumn("attempt", F.lit(0))
     for _ in range(rounds):
-        tried = tried.withColumn("made", parsed(surrogate(key, F.col("e"), F.col("attempt")))["canonical"])
-        # A prefix outside the canonical form is no part of the entity; without a kind the text itself stands for it.
-        tried = tried.withColumn("made", F.coalesce("made", surrogate(key, F.col("e"), F.col("attempt"))))
+        tried = tried.withColumn("text", surrogate(key, F.col("e"), F.col("attempt")))
+        # Coreferent forms are compared by canonical form; a text that is no entity stands for itself.
+        tried = tried.withColumn("made", F.coalesce(parsed(F.col("text"))["canonical"], "text")).drop("text")
         real = entities.select("kind", F.col("canonical").alias("made"), F.lit(True).alias("real"))
         owners = tried.groupBy("kind", "made").agg(F.min(F.struct("attempt", "canonical"))["canonical"].alias("owner"), F.count("*").alias("n"))
         clashes = owners.join(real, ["kind", "made"], "left").filter("n > 1 OR real")
@@ -263,10 +288,13 @@ def with_surrogates(docs: DataFrame, key: str = KEY) -> DataFrame:
         rows = rows.join(spark.read.parquet(path), F.col(mark) == F.col("_m"), "left").drop("_m", mark)
 
     def replaced(entity: Column) -> Column:
-        e = parsed(entity)
-        name = F.concat_ws("\x1f", e["kind"], e["canonical"])
-        attempt = F.coalesce(F.try_element_at(F.col(attempts), name), F.lit(0))
-        return F.struct(F.coalesce(surrogate(key, e, attempt), entity).alias("text"), e["kind"].alias("kind"))
+        def of(e: Column) -> Column:
+            name = F.concat_ws("\x1f", e["kind"], e["canonical"])
+            attempt = F.coalesce(F.try_element_at(F.col(attempts), name), F.lit(0))
+            text = _let(attempt, lambda a: surrogate(key, e, a))
+            return F.struct(F.when(e.isNull(), entity).otherwise(text).alias("text"), e["kind"].alias("kind"))
+
+        return _let(parsed(entity), of)
 
     made = free_name(docs, "_made")
     rows = rows.withColumn(made, F.when(F.size(matches) > 0, F.transform(F.col(matches), replaced)))
