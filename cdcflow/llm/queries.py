@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .byte_dedup import op2_suffix_array_dedup
 from .decontamination import op5_benchmark_decontamination
 from .jaccard import op4_ngram_jaccard_join
 from .licenses import op9_license_scan
@@ -9,15 +10,18 @@ from .packing import op10_best_fit_packing
 from .pii import op6_pii_surrogates
 from .quality import op7_quality_rules
 from .token_file import op1_token_file
+from .word_dedup import op8_substring_dedup
 
 
 def queries():
     return {
         "op1_token_file": op1_token_file,
+        "op2_suffix_array_dedup": op2_suffix_array_dedup,
         "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
         "op5_benchmark_decontamination": op5_benchmark_decontamination,
         "op6_pii_surrogates": op6_pii_surrogates,
         "op7_quality_rules": op7_quality_rules,
+        "op8_substring_dedup": op8_substring_dedup,
         "op9_license_scan": op9_license_scan,
         "op10_best_fit_packing": op10_best_fit_packing,
     }
