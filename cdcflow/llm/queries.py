@@ -5,6 +5,7 @@ from __future__ import annotations
 from .byte_dedup import op2_suffix_array_dedup
 from .decontamination import op5_benchmark_decontamination
 from .jaccard import op4_ngram_jaccard_join
+from .language import op3_language_id
 from .licenses import op9_license_scan
 from .packing import op10_best_fit_packing
 from .pii import op6_pii_surrogates
@@ -17,6 +18,7 @@ def queries():
     return {
         "op1_token_file": op1_token_file,
         "op2_suffix_array_dedup": op2_suffix_array_dedup,
+        "op3_language_id": op3_language_id,
         "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
         "op5_benchmark_decontamination": op5_benchmark_decontamination,
         "op6_pii_surrogates": op6_pii_surrogates,
