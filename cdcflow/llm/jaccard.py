@@ -217,20 +217,24 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
 
 def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sets to a row for each shared hash of their prefix: all shingles in order of level and hash, up to the place
-    behind which too few are left for a partner that holds none of these."""
+    behind which too few are left for a partner that holds none of these. ``rest`` counts the set's shingles from this
+    one on; ``centre`` is the mean level, highest for the text that near copies were made from."""
     for batch in batches:
         columns = [batch.column(i).to_pylist() for i in range(4)]
-        tokens, of = [], []
+        tokens, of, rests, centres = [], [], [], []
         for i, (n, shared, level) in enumerate(zip(*columns[1:], strict=True)):
             value, level = np.frombuffer(shared, "<u8"), np.frombuffer(level, np.uint8)
             length = n - -(-SHARE[0] * n // SHARE[1]) + 1
             keep = value[np.lexsort((value, level))][: max(0, length - (n - len(value)))]
             tokens.append(keep)
             of.append(np.full(len(keep), i))
-        at = np.concatenate([np.empty(0, np.int64), *of]).astype(np.int64)
+            rests.append(len(value) - np.arange(len(keep)))
+            centres.append(np.full(len(keep), int(level.sum()) * 1000 // n))
+        at, rest, centre = (np.concatenate([np.empty(0, np.int64), *x]).astype(np.int64) for x in (of, rests, centres))
         token = np.concatenate([np.empty(0, np.uint64), *tokens]).astype(np.uint64).view(np.int64)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(token), batch.column(0).take(pa.array(at)), batch.column(1).take(pa.array(at))], ["token", "class", "n"]
+            [pa.array(token), batch.column(0).take(pa.array(at)), batch.column(1).take(pa.array(at)), pa.array(rest), pa.array(centre)],
+            ["token", "class", "n", "rest", "centre"],
         )
 
 
@@ -263,8 +267,8 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _width(n: int) -> int:
-    """Bits of the bitmap of a set of ``n``: the band of its size."""
-    return max(64, min(8192, 1 << int(n).bit_length()))
+    """Bits of the bitmap of a set of ``n``: the band of its size. With eight bits a member few members share one."""
+    return max(64, min(1 << 16, 4 << int(n).bit_length()))
 
 
 def bitmap(values: np.ndarray, n: int) -> np.ndarray:
@@ -288,6 +292,7 @@ def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held.sort(key=lambda r: r["n"])
         n = np.array([r["n"] for r in held])
         shared = np.array([r["s"] for r in held])
+        rest = np.array([r["rest"] for r in held])
         label = np.unique(np.array([r["label"].hex() for r in held]), return_inverse=True)[1]
         block = np.array([r["block"] for r in held])
         low, high = held[0]["low"], held[0]["high"]
@@ -306,6 +311,9 @@ def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 words = min(w, len(maps[i]))
                 differ = np.bitwise_count(_folded(rows, words) ^ _folded(maps[i], words)).sum(axis=1, dtype=np.int64)
                 most = np.minimum(np.minimum(shared[at], shared[i]), (shared[at] + shared[i] - differ) // 2)
+                # Where this is the first hash that both hold, they share no more than what comes from it on; where it
+                # is not, the tile of the first one has the pair.
+                most = np.minimum(most, np.minimum(rest[at], rest[i]))
                 found = at[similar(n[i], n[at], most)]
                 a += [held[i]["class"]] * len(found)
                 b += [held[j]["class"] for j in found.tolist()]
@@ -334,10 +342,10 @@ def _with_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def links(sets: DataFrame) -> DataFrame:
     """Links (``a, b``) between distinct sets that join all that the least similarity joins."""
-    prefixes = sets.select("class", "n", "shared", "level").mapInArrow(_prefixes, "token BIGINT, class BINARY, n BIGINT")
+    prefixes = sets.select("class", "n", "shared", "level").mapInArrow(_prefixes, "token BIGINT, class BINARY, n BIGINT, rest BIGINT, centre BIGINT")
     prefixes = stored(prefixes, "prefixes")
-    pivots = prefixes.groupBy("token").agg(F.min(F.struct("class", "n")).alias("p"), F.count("*").alias("members"))
-    pivots = pivots.filter("members > 1").select("token", "p.*").toDF("token", "a", "n_a")
+    pivots = prefixes.groupBy("token").agg(F.max(F.struct("centre", "class", "n")).alias("p"), F.count("*").alias("members"))
+    pivots = pivots.filter("members > 1").select("token", F.col("p.class").alias("a"), F.col("p.n").alias("n_a"))
     near = (
         prefixes.join(pivots, "token")
         .filter((F.col("class") != F.col("a")) & in_band(F.col("n"), F.col("n_a")))
@@ -369,7 +377,7 @@ def links(sets: DataFrame) -> DataFrame:
             .otherwise(F.pmod(deal, F.col("minors"))),
         )
         .withColumn("with", F.explode(F.sequence(F.lit(0), F.when(F.col("is_major"), F.col("minors")).otherwise(F.col("blocks")) - 1)))
-        .select("token", F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high"), "block", "class", "label", "n")
+        .select("token", F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high"), "block", "class", "label", "n", "rest")
     )
     maps = sets.select("class", "n", "shared").mapInArrow(_with_bits, "class BINARY, s BIGINT, bits BINARY")
     order = ["token", "low", "high"]
