@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from .common import documents
+from .common import documents, free_name
 from .tokens import slices
 
 EDITS, RECALL, STEPS, SAMPLED = 0.15, 0.99, 3, 3
@@ -273,5 +273,6 @@ def op5_benchmark_decontamination(spark, sf_dir):
 
 def keep_unseen(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The documents that hold no item, with their own columns."""
-    found = with_found(docs, items)
-    return found.filter(F.coalesce(F.size("_found"), F.lit(0)) <= 0).select(*docs.columns)
+    name = free_name(docs, "_found")
+    found = with_found(docs, items, name)
+    return found.filter(F.coalesce(F.size(name), F.lit(0)) <= 0).select(*docs.columns)

@@ -411,6 +411,12 @@ def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The documents without those that link, over any way, to one with a smaller doc_id."""
+    """One document, the one of smallest doc_id, of each group that links join; of rows that repeat doc_id and text,
+    one. Rows without a doc_id cannot be told apart and stay."""
     found = near_duplicates(docs).filter("component_id < doc_id").select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti")
+    kept = docs.join(found, "doc_id", "left_anti")
+    again = docs.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    if again.isEmpty():
+        return kept
+    once = kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    return kept.join(again, "doc_id", "left_anti").unionByName(once)

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from .common import documents, stored
+from .common import documents, free_name, stored
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_ended", "n_upper", "n_lower", "n_shouts"]
 SYMBOLS, UPPER, LOWER = b"#*$%&|<>", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz"
@@ -168,6 +168,6 @@ def keep_good(docs: DataFrame) -> DataFrame:
 
     Null and empty texts have no words and fail. Rows that repeat are judged alike. An empty table stays empty.
     """
-    counted = with_counts(docs)
-    good = fit(with_counts(docs.select("text")))
-    return counted.filter(~base_failed("_counts") & (good >= KEEP)).select(*docs.columns)
+    name = free_name(docs, "_counts")
+    good = fit(with_counts(docs.select("text"), name), name)
+    return with_counts(docs, name).filter(~base_failed(name) & (good >= KEEP)).select(*docs.columns)
