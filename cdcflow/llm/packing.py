@@ -11,38 +11,47 @@ from __future__ import annotations
 from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import documents, stored
-from .tokens import encoded, id_type
+from .tokens import batch_ids, broadcast_spec, encoder, texts_of
 
 PIECE = "doc_id BIGINT, piece INT, start BIGINT, length BIGINT, ids BINARY"
 # Ranks are counted in groups of about so many pieces, so that a very common length is no single task.
 GROUP = 20_000
 
 
-def cut(docs_ids: DataFrame, capacity: int, dtype: str) -> DataFrame:
-    """``PIECE`` rows of encoded documents: whole if they fit, else in pieces of ``capacity`` ids behind a first,
-    possibly shorter one. ``ids`` are little-endian unsigned 32-bit integers."""
+def cut(size: int, capacity: int) -> list[tuple[int, int]]:
+    """Where the pieces of a document begin and end: whole if it fits, else ``capacity`` ids each behind a first,
+    possibly shorter one."""
+    ends = list(range((size - 1) % capacity + 1, size + 1, capacity))
+    return list(zip([0, *ends], ends, strict=False))
+
+
+def document_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) -> DataFrame:
+    """``PIECE`` rows of the whole texts, ``end_id`` behind each; ``ids`` are little-endian unsigned 32-bit integers.
+
+    A null or empty text is the end id alone.
+    """
+    spec = broadcast_spec(docs, tokenizer)
+    kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = encoder(spec.value)
         for batch in batches:
-            rows = []
-            for doc_id, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids = np.frombuffer(blob, dtype).astype("<u4")
-                ends = list(range((len(ids) - 1) % capacity + 1, len(ids) + 1, capacity))
-                rows += [(doc_id, n, a, b - a, ids[a:b].tobytes()) for n, (a, b) in enumerate(zip([0, *ends], ends))]
-            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
-            columns = zip(*rows, strict=True) if rows else [()] * 5
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-                ["doc_id", "piece", "start", "length", "ids"],
-            )
+            for doc_ids, ids, ends in batch_ids(batch, own, end_id):
+                ids, rows = ids.astype("<u4"), []
+                for doc_id, first, end in zip(doc_ids.to_pylist(), [0, *ends.tolist()], ends.tolist(), strict=False):
+                    pieces = cut(end - first, capacity)
+                    rows += [(doc_id, n, a, b - a, ids[first + a : first + b].tobytes()) for n, (a, b) in enumerate(pieces)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)],
+                    ["doc_id", "piece", "start", "length", "ids"],
+                )
 
-    return docs_ids.mapInArrow(task, PIECE)
+    return texts_of(docs).mapInArrow(task, PIECE)
 
 
 class _Sizes:
@@ -228,14 +237,6 @@ def packed(pieces: DataFrame, capacity: int) -> DataFrame:
     )
 
 
-def document_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) -> DataFrame:
-    """``PIECE`` rows of the whole texts; a null or empty text is the end id alone."""
-    from tokenizers import Tokenizer
-
-    dtype = id_type(Tokenizer.from_file(tokenizer).get_vocab_size())
-    return cut(encoded(docs, tokenizer, end_id), capacity, dtype)
-
-
 CAPACITY, END_ID = 2048, 0
 
 

@@ -1,74 +1,183 @@
 """Encoding texts with a public tokenizer inside Spark tasks.
 
 The ``tokenizers`` library first splits a text into pieces and then merges each piece on its own, so a piece's ids
-never depend on its neighbours. ``PieceEncoder`` makes the split with one regular expression and asks the library
-for each new piece only once; a text with characters outside ``PLAIN``, where the two splits could differ, goes
-through the library whole.
+never depend on its neighbours. ``PieceEncoder`` finds where pieces begin with array operations on many texts at once
+and asks the library for each new piece only once. A text with characters outside ``PLAIN``, where the two splits could
+differ, goes through the library whole.
 """
 
 from __future__ import annotations
 
 import json
+import os
 import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 
-# Letters and digits up to U+024F; beyond them a text takes the library's own split.
-_L, _N = "A-Za-zªµºÀ-ÖØ-öø-įı-ɏ", "0-9²³¹¼½¾"
+# Characters whose class is the same for all versions of the library: up to U+024F, and common punctuation.
 PLAIN = re.compile("[^\t\n\r -~¡-įı-ɏ‘’“”–—…€]")
-# The splits of the two kinds of public vocabulary, with their classes spelled out for PLAIN texts.
-BYTE_SPLIT = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[{_N}]+| ?[^\s{_L}{_N}]+|\s+(?!\S)|\s+")
-WORD_SPLIT = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_L}]+|[{_N}]|[^\s{_L}{_N}]+")
+LETTER, DIGIT, OTHER, SPACE, BETWEEN = range(5)
+SEPARATOR = "\0"  # stands between texts; it is not in PLAIN
+
+
+def _classes() -> np.ndarray:
+    table = np.full(0x2100, OTHER, np.uint8)
+    for code in range(0x250):
+        char = chr(code)
+        if char.isalpha():
+            table[code] = LETTER
+        elif char.isnumeric():
+            table[code] = DIGIT
+    table[[9, 10, 13, 32]] = SPACE
+    table[0] = BETWEEN
+    return table
+
+
+CLASSES = _classes()
+
+
+def piece_starts(codes: np.ndarray, by_word: bool) -> np.ndarray:
+    """Whether a piece begins at each character of joined texts; ``codes`` are their code points.
+
+    Pieces are runs of letters, of digits (one each, ``by_word``) or of other signs; an apostrophe that begins such a
+    run with s, t, re, ve, m, ll or d behind it is a piece with these letters. Otherwise than ``by_word``, a blank
+    belongs to the run behind it, and white space but for its last character to a piece of its own.
+    """
+    kind = CLASSES[codes]
+    before = np.concatenate([[np.uint8(BETWEEN)], kind[:-1]])
+    start = (kind != before) | (kind == BETWEEN)
+    if by_word:
+        start |= kind == DIGIT
+        free = before != OTHER
+    else:
+        after = np.concatenate([kind[1:], [np.uint8(BETWEEN)]])
+        start[(kind == SPACE) & (after < SPACE)] = True
+        behind_blank = np.concatenate([[False], codes[:-1] == 32])
+        start[behind_blank & (kind < SPACE)] = False
+        free = (before != OTHER) & ~behind_blank
+    for at in np.flatnonzero((codes == 39) & free).tolist():
+        next_two = "".join(map(chr, codes[at + 1 : at + 3]))
+        size = 2 if next_two[:1] in ("s", "t", "m", "d") else 3 if next_two in ("re", "ve", "ll") else 0
+        if size:
+            start[at + 1 : at + size] = False
+            if at + size < len(codes) and kind[at + size] == LETTER:
+                start[at + size] = True
+    return start
 
 
 class PieceEncoder:
-    """Texts to ids; ``spec`` is the JSON text of a tokenizer file, ``remember`` bounds the pieces kept."""
+    """Texts to ids; ``spec`` is the JSON text of a tokenizer file.
+
+    Pieces are remembered in two generations of ``remember`` each: when the younger is full, the older one is let go,
+    and a piece that is met again moves to the younger. So frequent pieces stay and memory is bounded.
+    """
 
-    def __init__(self, spec: str, remember: int = 800_000):
+    def __init__(self, spec: str, remember: int = 600_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(spec)
         self.tokenizer.encode_special_tokens = True
         self.dtype = id_type(self.tokenizer.get_vocab_size())
-        self.remember, self.known = remember, {}
+        self.remember, self.known, self.older = remember, {}, {}
         parts = json.loads(spec)
         split = parts["pre_tokenizer"] or {}
         kinds = [p["type"] for p in split.get("pretokenizers", [split])]
         normal = [n["type"] for n in (parts["normalizer"] or {}).get("normalizers", [])]
-        self.lower = "Lowercase" in normal
-        self.split = None
-        if kinds == ["ByteLevel"] and split["use_regex"] and not split["add_prefix_space"] and not parts["normalizer"]:
-            self.split = BYTE_SPLIT
-        elif kinds == ["Split", "ByteLevel"] and normal == ["NFC", "Replace", "Lowercase"]:
-            self.split = WORD_SPLIT
-
-    def _library(self, texts: list[str]) -> list[bytes]:
+        self.by_word = kinds == ["Split", "ByteLevel"] and normal == ["NFC", "Replace", "Lowercase"]
+        by_byte = kinds == ["ByteLevel"] and split["use_regex"] and not split["add_prefix_space"] and not parts["normalizer"]
+        self.split = self.by_word or by_byte
+        # The ids that end a word, or begin with a blank (written as this letter in byte-level vocabularies).
+        self.marked = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        for token, n in self.tokenizer.get_vocab().items():
+            self.marked[n] = token.endswith("</w>") if self.by_word else token.startswith("\u0120")
+
+    def whole(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as little-endian integers of ``dtype``, by the library alone."""
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, self.dtype).tobytes() for e in found]
 
+    def _words(self, pieces: list[str]) -> list[bytes]:
+        """The ids of pieces that are words (with a blank before each, unless ``by_word``): in one text, the library
+        splits them apart again, and the first or last id of each is marked as such in the vocabulary."""
+        found = self.tokenizer.encode_batch_fast([("" if not self.by_word else " ").join(pieces)], add_special_tokens=False)
+        ids = np.array(found[0].ids, self.dtype)
+        marks = np.flatnonzero(self.marked[ids])
+        if len(marks) != len(pieces):
+            return self.whole(pieces)
+        cuts = np.append(0, marks + 1) if self.by_word else np.append(marks, len(ids))
+        raw, cuts = ids.tobytes(), (cuts * ids.itemsize).tolist()
+        return [raw[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+
+    def _learn(self, pieces: set[str]) -> None:
+        if len(self.known) + len(pieces) > self.remember:
+            self.known, self.older = {}, self.known
+        again = pieces.intersection(self.older)
+        self.known.update((p, self.older[p]) for p in again)
+        words, others = [], []
+        for piece in pieces - again:
+            is_word = piece.isalpha() if self.by_word else piece[0] == " " and piece[1:].isalpha()
+            (words if is_word else others).append(piece)
+        for at in range(0, len(words), 1000):
+            part = words[at : at + 1000]
+            self.known.update(zip(part, self._words(part), strict=True))
+        self.known.update(zip(others, self.whole(others), strict=True))
+
+    def joined(self, texts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of PLAIN texts one after the other, ``end_id`` behind each, and where each text ends."""
+        text = "".join(t + SEPARATOR for t in texts)
+        if self.by_word:
+            text = text.lower()
+        codes = np.frombuffer(text.encode("utf-32-le"), "<u4")
+        starts = np.flatnonzero(piece_starts(codes, self.by_word))
+        raw = text.encode()
+        if len(raw) > len(codes):
+            sizes = 1 + (codes >= 0x80).astype(np.uint8) + (codes >= 0x800)
+            starts = (np.cumsum(sizes, dtype=np.int64) - sizes)[starts]
+        offsets = np.append(starts, len(raw)).astype(np.int32)
+        pieces = pa.StringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(raw)).dictionary_encode()
+        names, which = pieces.dictionary.to_pylist(), pieces.indices.to_numpy()
+        ids = list(map(self.known.get, names))
+        end = names.index(SEPARATOR) if texts else -1
+        if texts:
+            ids[end] = np.array([end_id], self.dtype).tobytes()
+        missing = [i for i, x in enumerate(ids) if x is None]
+        self._learn({names[i] for i in missing})
+        for i in missing:
+            ids[i] = self.known[names[i]]
+        flat = np.frombuffer(b"".join(ids), self.dtype)
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // flat.itemsize
+        first = np.cumsum(sizes) - sizes
+        size = sizes[which]
+        ends = np.cumsum(size)
+        at = np.repeat(first[which] - ends + size, size)
+        at += np.arange(len(at))
+        return flat[at], ends[which == end]
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian integers of ``dtype``."""
-        if self.split is None:
-            return self._library(texts)
-        whole = [i for i, t in enumerate(texts) if PLAIN.search(t)]
-        odd = set(whole)
-        find, lower = self.split.findall, self.lower
-        pieces = [[] if i in odd else find(t.lower() if lower else t) for i, t in enumerate(texts)]
-        new = list(set().union(*pieces).difference(self.known))
-        if len(self.known) + len(new) > self.remember:
-            self.known = {}
-            new = list(set().union(*pieces))
-        for at in range(0, len(new), 50_000):
-            part = new[at : at + 50_000]
-            self.known.update(zip(part, self._library(part), strict=True))
-        known = self.known.__getitem__
-        out = [b"".join(map(known, p)) for p in pieces]
-        for i, ids in zip(whole, self._library([texts[i] for i in whole]), strict=True):
-            out[i] = ids
-        return out
+        odd = [i for i, t in enumerate(texts) if not self.split or PLAIN.search(t)]
+        plain = sorted(set(range(len(texts))).difference(odd))
+        out = dict(zip(odd, self.whole([texts[i] for i in odd]), strict=True))
+        ids, ends = self.joined([texts[i] for i in plain], 0)
+        for i, a, b in zip(plain, [0, *ends.tolist()], ends.tolist(), strict=False):
+            out[i] = ids[a : b - 1].tobytes()
+        return [out[i] for i in range(len(texts))]
+
+
+_ENCODERS: dict[int, PieceEncoder] = {}
+
+
+def encoder(spec: str) -> PieceEncoder:
+    """This worker's encoder of a tokenizer; it serves all tasks that the worker runs."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    if hash(spec) not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[hash(spec)] = PieceEncoder(spec)
+    return _ENCODERS[hash(spec)]
 
 
 def id_type(vocabulary: int) -> str:
@@ -88,27 +197,45 @@ def slices(texts: list, chars: int = 4_000_000) -> Iterator[tuple[int, int]]:
         yield start, len(texts)
 
 
+def broadcast_spec(docs: DataFrame, tokenizer: str) -> Broadcast[str]:
+    """The text of a tokenizer file on the driver, sent to all tasks: a vocabulary, a few MB whatever the data."""
+    with open(tokenizer, encoding="utf-8") as file:
+        return docs.sparkSession.sparkContext.broadcast(file.read())
+
+
+def texts_of(docs: DataFrame) -> DataFrame:
+    return docs.selectExpr("CAST(doc_id AS BIGINT) AS doc_id", "CAST(text AS STRING) AS text")
+
+
+def batch_ids(batch: pa.RecordBatch, encoder: PieceEncoder, end_id: int) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
+    """Parts of a batch of ``doc_id, text``: doc_ids, their ids one after the other with ``end_id`` behind each text,
+    and where each text ends. A null text is empty. Texts keep their order but for those outside PLAIN."""
+    texts = [t or "" for t in batch.column(1).to_pylist()]
+    for a, b in slices(texts):
+        odd = [i for i in range(a, b) if not encoder.split or PLAIN.search(texts[i])]
+        plain = sorted(set(range(a, b)).difference(odd))
+        if plain:
+            yield batch.column(0).take(pa.array(plain)), *encoder.joined([texts[i] for i in plain], end_id)
+        if odd:
+            end = np.array([end_id], encoder.dtype).tobytes()
+            blobs = [x + end for x in encoder.whole([texts[i] for i in odd])]
+            ids = np.frombuffer(b"".join(blobs), encoder.dtype)
+            yield batch.column(0).take(pa.array(odd)), ids, np.cumsum([len(x) for x in blobs]) // ids.itemsize
+
+
 def encoded(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     """``doc_id, ids``: the ids of every whole text and ``end_id``, as little-endian integers of ``id_type``.
 
-    A null text has the end id alone; rows that repeat stay apart; other columns are left out. ``tokenizer`` is the
-    path of a tokenizer file on the driver; its text is broadcast (a vocabulary, a few MB whatever the data).
+    A null text has the end id alone; rows that repeat stay apart; other columns are left out.
     """
-    with open(tokenizer, encoding="utf-8") as file:
-        spec = docs.sparkSession.sparkContext.broadcast(file.read())
+    spec = broadcast_spec(docs, tokenizer)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encoder = PieceEncoder(spec.value)
-        end = np.array([end_id], encoder.dtype).tobytes()
+        own = encoder(spec.value)
         for batch in batches:
-            doc_ids, texts = batch.column(0), [t or "" for t in batch.column(1).to_pylist()]
-            for a, b in slices(texts):
-                ids = [x + end for x in encoder.encode(texts[a:b])]
-                yield pa.RecordBatch.from_arrays([doc_ids.slice(a, b - a), pa.array(ids, pa.binary())], ["doc_id", "ids"])
-
-    return docs.selectExpr("CAST(doc_id AS BIGINT) AS doc_id", "CAST(text AS STRING) AS text").mapInArrow(
-        task, "doc_id BIGINT, ids BINARY"
-    )
+            for doc_ids, ids, ends in batch_ids(batch, own, end_id):
+                offsets = (np.append(0, ends) * ids.itemsize).astype(np.int32)
+                blobs = pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(ids)])
+                yield pa.RecordBatch.from_arrays([doc_ids, blobs], ["doc_id", "ids"])
+
+    return texts_of(docs).mapInArrow(task, "doc_id BIGINT, ids BINARY")
