@@ -34,23 +34,30 @@ LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3).astype(np.ui
 def coded(values: np.ndarray) -> tuple[bytes, bytes]:
     """Control bytes and data bytes of unsigned 32-bit numbers."""
     values = np.ascontiguousarray(values, "<u4")
-    extra = (values >= 1 << 8).astype(np.uint8) + (values >= 1 << 16) + (values >= 1 << 24)
+    most = int(values.max(initial=0))
+    extra = (values >= 1 << 8).astype(np.uint8)
+    for bits in (16, 24):
+        if most >> bits:
+            extra += values >= 1 << bits
     quads = np.zeros((-(-len(values) // 4), 4), np.uint8)
     quads.reshape(-1)[: len(values)] = extra
     control = quads[:, 0] | quads[:, 1] << 2 | quads[:, 2] << 4 | quads[:, 3] << 6
-    data = values.view(np.uint8).reshape(-1, 4)[np.arange(4, dtype=np.uint8) <= extra[:, None]]
+    wide = 2 if most < 1 << 16 else 4
+    raw = values.astype(f"<u{wide}").view(np.uint8).reshape(-1, wide)
+    data = raw[np.arange(wide, dtype=np.uint8) <= extra[:, None]]
     return control.tobytes(), data.tobytes()
 
 
 def decoded(control: bytes, data: bytes, n: int) -> np.ndarray:
     """The ``n`` numbers of ``coded``."""
     lengths = LENGTHS[np.frombuffer(control, np.uint8)].reshape(-1)[:n]
-    at = np.cumsum(lengths, dtype=np.int64) - lengths
+    at = np.cumsum(lengths, dtype=np.int64)
+    at -= lengths
     raw = np.frombuffer(data + b"\0\0\0", np.uint8)
     values = raw[at].astype(np.uint32)
     for byte in range(1, int(lengths.max(initial=1))):
-        longer = lengths > byte
-        values[longer] |= raw[at[longer] + byte].astype(np.uint32) << np.uint32(8 * byte)
+        at += 1
+        values |= (raw[at] * (lengths > byte)).astype(np.uint32) << np.uint32(8 * byte)
     return values
 
 
