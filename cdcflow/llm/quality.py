@@ -1,8 +1,13 @@
 """Quality rules under weak supervision.
 
-Each rule looks at one figure of a text and votes good, votes bad or abstains. No labels are used: expectation
-maximisation over the counts of vote patterns estimates how often each rule is right on good and on bad documents, and
-a document is kept if its posterior probability of being good reaches ``KEEP``.
+Each rule looks at one figure of a text and votes good, votes bad or abstains. Most rules know one defect: they vote bad
+where they see it and abstain elsewhere, as a text without one defect may well have another. No labels are used:
+expectation maximisation over the counts of vote patterns estimates how often each rule is right on good and on bad
+documents, and a document is kept if its posterior probability of being good reaches ``KEEP``.
+
+Votes alone do not tell a defect that is rare and stands alone from a rule that errs, so two beliefs are given: the share
+of good documents, and that a rule seldom votes bad on a good one. The second counts as much as all documents do. A
+``GOOD`` below the true share changes nothing; far above it, lone defects are taken for errors and let pass.
 """
 
 from __future__ import annotations
@@ -21,8 +26,9 @@ COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
 SYMBOLS, UPPER, LOWER = b"#*$%&|<>", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz"
 ENDS = (b".", b"!", b"?", b":", b'"', b")", "”".encode(), "»".encode(), "…".encode(), "。".encode())
 KEEP = 0.5
-# How a rule's right votes start, and the share of good documents; EM moves both.
-START_RIGHT, START_GOOD, ROUNDS = 0.8, 0.8, 200
+GOOD = 0.8  # the share of good documents
+# How often a rule is right on good and on bad documents to begin with, and how much that counts as a share of all.
+RIGHT, BELIEF, ROUNDS = (0.995, 0.3), (1.0, 0.02), 500
 
 
 def repeated_words(words: list) -> int:
@@ -80,7 +86,7 @@ def base_failed(counts: str) -> Column:
 
 
 def votes(counts: str) -> dict[str, Column]:
-    """Each rule's vote: 1 good, 0 bad, null abstains."""
+    """Each rule's vote: 1 good, 0 bad, null abstains. Those in DEFECTS never vote good."""
     c = {name: F.col(f"{counts}.{name}") for name in COUNTS}
     n_words, n_lines = F.greatest(c["n_words"], F.lit(1)), F.greatest(c["n_lines"], F.lit(1))
     letters = F.greatest(c["n_upper"] + c["n_lower"], F.lit(1))
@@ -89,51 +95,58 @@ def votes(counts: str) -> dict[str, Column]:
     def rule(good: Column, bad: Column) -> Column:
         return F.when(bad, 0).when(good, 1)
 
-    def at_most(share: Column, good: float, bad: float) -> Column:
-        return rule(share <= good, share > bad)
+    def above(share: Column, most: float) -> Column:
+        return F.when(share > most, 0)
 
     return {
         "length": rule(c["n_words"] >= 100, c["n_words"] < 50),
         "word_length": rule((mean >= 3.5) & (mean <= 7), (mean < 2.5) | (mean > 9)),
-        "symbols": at_most(c["n_symbols"] / n_words, 0.02, 0.1),
-        "dup_lines": at_most(c["n_dup_lines"] / n_lines, 0.15, 0.4),
-        "repeats": at_most(c["n_repeat_words"] / n_words, 0.15, 0.4),
-        "capitals": at_most(c["n_upper"] / letters, 0.15, 0.4),
-        "shouts": at_most(c["n_shouts"] / n_words, 0.02, 0.1),
         "line_ends": rule(c["n_ended"] >= 0.5 * c["n_lines"], c["n_ended"] < 0.1 * c["n_lines"]),
+        "symbols": above(c["n_symbols"] / n_words, 0.1),
+        "dup_lines": above(c["n_dup_lines"] / n_lines, 0.4),
+        "repeats": above(c["n_repeat_words"] / n_words, 0.4),
+        "capitals": above(c["n_upper"] / letters, 0.4),
+        "shouts": above(c["n_shouts"] / n_words, 0.1),
     }
 
 
-def fitted(patterns: list[tuple[tuple[int | None, ...], int]]) -> tuple[float, list[tuple[float, float]]]:
-    """EM over vote patterns and how many documents show each: the share of good documents, and for each rule how
-    likely it votes good on a good and bad on a bad document when it votes."""
+DEFECTS = ["symbols", "dup_lines", "repeats", "capitals", "shouts"]  # the last rules of ``votes``
+
+
+def fitted(
+    patterns: list[tuple[tuple[int | None, ...], int]],
+    defects: int = len(DEFECTS),
+    good: float = GOOD,
+    belief: tuple[float, float] = BELIEF,
+) -> list[tuple[float, float]]:
+    """EM over vote patterns and how many documents show each: for each rule, how often it is right on a good and on a
+    bad document. The last ``defects`` rules are right on a good document when they abstain; the others are judged
+    where they vote. ``good`` is the share of good documents, ``belief`` the weight of ``RIGHT``."""
     rules = len(patterns[0][0]) if patterns else 0
-    good, right = START_GOOD, [(START_RIGHT, START_RIGHT)] * rules
+    right, total = [RIGHT] * rules, sum(n for _, n in patterns)
+    sure = [max(1, total * b) for b in belief]
     for _ in range(ROUNDS):
-        held = [(votes, n, n * posterior(votes, good, right)) for votes, n in patterns]
-        total = sum(n for _, n, _ in held)
-        # One imagined document on each side keeps every share away from 0 and 1.
+        held = [(v, n, n * posterior(v, right, good)) for v, n in patterns]
         new = []
         for j in range(rules):
-            yes = [(v[j], n, g) for v, n, g in held if v[j] is not None]
-            on_good = (START_RIGHT + sum(g for v, _, g in yes if v)) / (1 + sum(g for _, _, g in yes))
-            on_bad = (START_RIGHT + sum(n - g for v, n, g in yes if not v)) / (1 + sum(n - g for _, n, g in yes))
-            new.append((on_good, on_bad))
-        share = (START_GOOD + sum(g for _, _, g in held)) / (1 + total)
-        moved = max([abs(share - good), *(abs(a - b) for x, y in zip(new, right, strict=True) for a, b in zip(x, y, strict=True))])
-        good, right = share, new
+            judged = [(v[j] != 0, n, g) for v, n, g in held if v[j] is not None or j >= rules - defects]
+            on_good = sure[0] * RIGHT[0] + sum(g for fine, _, g in judged if fine)
+            on_bad = sure[1] * RIGHT[1] + sum(n - g for fine, n, g in judged if not fine)
+            new.append((on_good / (sure[0] + sum(g for *_, g in judged)), on_bad / (sure[1] + sum(n - g for _, n, g in judged))))
+        moved = max((abs(a - b) for x, y in zip(new, right, strict=True) for a, b in zip(x, y, strict=True)), default=0)
+        right = new
         if moved < 1e-9:
             break
-    return good, right
+    return right
 
 
-def weights(good: float, right: list[tuple[float, float]]) -> tuple[float, list[tuple[float, float]]]:
+def weights(right: list[tuple[float, float]], good: float = GOOD) -> tuple[float, list[tuple[float, float]]]:
     """Log odds of good before any vote, and what a good or a bad vote of each rule adds."""
     return math.log(good / (1 - good)), [(math.log(g / (1 - b)), math.log((1 - g) / b)) for g, b in right]
 
 
-def posterior(pattern: tuple[int | None, ...], good: float, right: list[tuple[float, float]]) -> float:
-    start, adds = weights(good, right)
+def posterior(pattern: tuple[int | None, ...], right: list[tuple[float, float]], good: float = GOOD) -> float:
+    start, adds = weights(right, good)
     odds = start + sum(0 if v is None else add[not v] for v, add in zip(pattern, adds, strict=True))
     return 1 / (1 + math.exp(-max(-700, min(700, odds))))
 
@@ -146,7 +159,7 @@ def fit(counted: DataFrame, name: str = "_counts") -> Column:
     cast = votes(name)
     rows = counted.groupBy(*(v.alias(k) for k, v in cast.items())).count().collect()
     patterns = sorted(((tuple(r[:-1]), r[-1]) for r in rows), key=repr)
-    start, adds = weights(*fitted(patterns)) if patterns else (0.0, [(0.0, 0.0)] * len(cast))
+    start, adds = weights(fitted(patterns)) if patterns else (0.0, [(0.0, 0.0)] * len(cast))
     odds = F.lit(start)
     for vote, (on_good, on_bad) in zip(cast.values(), adds, strict=True):
         odds = odds + F.when(vote == 1, on_good).when(vote == 0, on_bad).otherwise(0.0)
