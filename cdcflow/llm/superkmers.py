@@ -58,7 +58,7 @@ def packed(strings: list[bytes], columns: dict[str, np.ndarray]) -> bytes:
 
     sizes = np.fromiter(map(len, strings), np.uint32, len(strings))
     raw = pickle.dumps((sizes, columns, b"".join(strings)), protocol=5)
-    return zstandard.ZstdCompressor(level=1).compress(raw)
+    return zstandard.ZstdCompressor(level=5).compress(raw)
 
 
 def unpacked(data: bytes) -> tuple[list[bytes], dict[str, np.ndarray]]:
