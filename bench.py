@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -25,7 +26,9 @@ HEADLINE = [
     "q_unpivot_tags",
     "q_resolve_names",
     "q_flatten_wide",
-    "q_flatten_relational",
+    "q_flatten_repeated_keys",
+    "q_large_lookup",
+    "q_account_view",
     "q_flatten_events",
     "q_virtual_columns",
     "q_trace",
@@ -35,7 +38,7 @@ HEADLINE = [
     "q_report_leg_share",
     "q_merge_upsert",
     "q_snapshot_diff",
-    "q_synth_mix",
+    "q_capture_trace",
     "q_stream_current_state",
     "q_stream_upsert",
     "q_stream_flatten",
@@ -55,7 +58,9 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
     runs = int(os.environ.get("BENCH_RUNS", "2"))
-    spark = local_session("bench", cpus, memory=os.environ.get("BENCH_MEMORY", "12g"))
+    scratch = os.environ.get("BENCH_SCRATCH") or tempfile.mkdtemp(prefix="bench-")
+    conf = {"spark.checkpoint.dir": scratch}
+    spark = local_session("bench", cpus, memory=os.environ.get("BENCH_MEMORY", "12g"), conf=conf)
     spark.sparkContext.setLogLevel("OFF")
     all_queries = registry.queries()
     names = sys.argv[1:] or HEADLINE
@@ -67,7 +72,7 @@ def main() -> None:
         f"{name}_{table}_per_sec": round(sizes[table] / times[name])
         for name, table in (
             ("q_flatten_wide", "orders"),
-            ("q_flatten_relational", "orders"),
+            ("q_account_view", "orders"),
             ("q_current_state", "events"),
             ("q_audit", "events"),
             ("q_trace", "events"),

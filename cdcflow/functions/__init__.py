@@ -1,33 +1 @@
-"""Column expressions: record text, times and numbers. Everything here stays inside the JVM."""
-
-from cdcflow.functions.numbers import amount_text, keyed_amount, round_ratio
-from cdcflow.functions.records import (
-    add_marker,
-    element_value,
-    marker_ms,
-    record_id,
-    replace_tag,
-    set_record_id,
-    tag_arrays,
-    varchar_bytes,
-)
-from cdcflow.functions.times import epoch_ms, epoch_ms_by_fields, epoch_ms_of_utc, stamp_suffix, utc_now
-
-__all__ = [
-    "add_marker",
-    "amount_text",
-    "element_value",
-    "epoch_ms",
-    "epoch_ms_by_fields",
-    "epoch_ms_of_utc",
-    "keyed_amount",
-    "marker_ms",
-    "record_id",
-    "replace_tag",
-    "round_ratio",
-    "set_record_id",
-    "stamp_suffix",
-    "tag_arrays",
-    "utc_now",
-    "varchar_bytes",
-]
+"""Expressions over record texts, times and numbers."""

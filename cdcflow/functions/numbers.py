@@ -30,10 +30,15 @@ def amount_text(amount: Column, precision: int = 15, scale: int = 2) -> Column:
     return amount.cast(f"decimal({precision},{scale})").cast("string")
 
 
-def keyed_amount(key: Column, low: float, high: float, salt: str = "") -> Column:
-    """A pseudo-random amount in ``[low, high]``, rounded to cents, the same on every run for one key."""
-    unit = F.pmod(F.xxhash64(key, F.lit(salt)), F.lit(1_000_000_007)) / F.lit(1_000_000_006)
-    return F.round(F.lit(low) + unit * F.lit(high - low), 2)
+def keyed_amount(key: Column, low: int, high: int, salt: int = 0) -> Column:
+    """A pseudo-random amount of whole cents in ``[low, high]``, the same on every run for one whole-number key.
+
+    Two steps of a multiplicative generator modulo a prime; any engine can repeat them.
+    """
+    prime = 2_147_483_647
+    step = F.pmod(F.pmod(key.cast("bigint") + salt, F.lit(prime)) * 48_271 + 11, F.lit(prime))
+    cents = F.pmod(step * 69_621 + 7, F.lit(prime)) % ((high - low) * 100 + 1) + low * 100
+    return (cents.cast("decimal(17,0)") / F.lit(100)).cast("decimal(17,2)")
 
 
 def random_amount(low: float, high: float, seed: int | None = None) -> Column:

@@ -14,11 +14,19 @@ def tag_arrays(xml: Column) -> Column:
     A missing position is ``''`` here (a regex group that took no part); callers turn it to NULL. An
     empty value stays ``''``, because an empty element is a value.
     """
-    groups = [
-        F.regexp_extract_all(xml, F.lit(TAG_PATTERN), F.lit(group)).alias(name)
-        for group, name in ((1, "field"), (2, "position"), (3, "value"))
-    ]
-    return F.arrays_zip(*groups)
+    # The pattern runs over the text once; the short matches are then taken apart by place.
+    def parts(match: Column) -> Column:
+        opening = F.split_part(match, F.lit(">"), F.lit(1))
+        blanks = F.translate(opening, "\t\n\r\f\v", "     ")
+        field = F.substr(F.split_part(blanks, F.lit(" "), F.lit(1)), F.lit(2))
+        begin = F.length(opening) + 2
+        return F.struct(
+            field.alias("field"),
+            F.split_part(opening, F.lit('"'), F.lit(2)).alias("position"),
+            F.substr(match, begin, F.length(match) - begin - F.length(field) - 2).alias("value"),
+        )
+
+    return F.transform(F.regexp_extract_all(xml, F.lit(TAG_PATTERN), F.lit(0)), parts)
 
 
 def has_tags(xml: Column) -> Column:

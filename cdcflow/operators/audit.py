@@ -8,11 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cdcflow.operators.skew import add_buckets
 from cdcflow.operators.state import payload_known
+from cdcflow.session import stored
 from cdcflow.sources.envelope import flat_changes
 
 # Changes of one key that one task orders; with records of 10 kB that is a sort of 2.5 GB, which may spill.
@@ -34,49 +35,43 @@ def link_images(flat: DataFrame, group: Sequence[str]) -> DataFrame:
     return flat.withColumn("prior", F.last(_known_image(), ignorenulls=True).over(before))
 
 
-def edge_images(flat: DataFrame, group: Sequence[str]) -> DataFrame:
-    """One row per group: its first offset, the newest known image it leaves, and whether it ends deleted."""
-    return flat.groupBy(*group).agg(
-        F.min("kafka_offset").alias("first_offset"),
-        F.max_by(F.struct("xmlrecord"), F.when(payload_known(), F.col("kafka_offset"))).alias("tail"),
-        (F.max_by("op", "kafka_offset") == "d").alias("gone"),
-    )
-
-
-def prior_images(
-    flat: DataFrame, hot_rows: int = HOT_ROWS, span: int = SPAN, keys: DataFrame | None = None
-) -> DataFrame:
+def prior_images(flat: DataFrame, hot_rows: int = HOT_ROWS, span: int = SPAN) -> DataFrame:
     """``link_images`` over the whole history of each key, with hot keys split by offset range.
 
-    No task sorts more than ``hot_rows`` (or 1/10,000 of all rows) for an ordinary key, or ``span`` rows of
-    a hot key. The image that crosses from one range to the next is found on one row per range.
+    No task sorts more than ``hot_rows`` rows of an ordinary key, or ``span`` of a hot one. From range to range goes
+    the offset of the newest known image alone; its payload is joined once it is known which one a range needs.
+    ``flat`` is read several times, so it should be stored.
     """
-    bucketed = add_buckets(flat, "recid", "kafka_offset", hot_rows, span, keys)
+    bucketed = add_buckets(flat, "recid", "kafka_offset", hot_rows, span)
     linked = link_images(bucketed, ["recid", "bucket"])
-    ranges = edge_images(bucketed.filter(F.col("bucket") > 0), ["recid", "bucket"])
+    hot = bucketed.filter(F.col("bucket") > 0)
+    ranges = hot.groupBy("recid", "bucket").agg(F.max(F.when(payload_known(), F.col("kafka_offset"))).alias("tail"))
     earlier = Window.partitionBy("recid").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    carried = (
-        ranges.withColumn("carried", F.last("tail", ignorenulls=True).over(earlier))
-        .filter(F.col("carried").isNotNull())
-        .select("recid", "bucket", "carried")
-    )
+    needed = ranges.select(
+        "recid", "bucket", F.last("tail", ignorenulls=True).over(earlier).alias("kafka_offset")
+    ).filter(F.col("kafka_offset").isNotNull())
+    images = flat.select("recid", "kafka_offset", F.struct("xmlrecord").alias("carried"))
+    carried = needed.join(images, ["recid", "kafka_offset"]).drop("kafka_offset")
     filled = linked.join(carried, ["recid", "bucket"], "left")
     return filled.withColumn("prior", F.coalesce("prior", "carried")).drop("carried", "bucket")
 
 
-def audit(
-    changes: DataFrame, hot_rows: int = HOT_ROWS, span: int = SPAN, keys: DataFrame | None = None
-) -> DataFrame:
-    """Every change with its rebuilt before-image: ``before_xml`` and ``after_xml``.
-
-    ``keys``, one ``recid`` per change, saves the count of keys from parsing the messages as well.
-    """
-    linked = prior_images(flat_changes(changes), hot_rows, span, keys)
+def history_rows(linked: DataFrame, before: Column) -> DataFrame:
+    """Changes with both images, ``before`` being the payload of the earlier one."""
     return linked.select(
         "recid",
         "op",
         "kafka_partition",
         "kafka_offset",
-        F.col("prior.xmlrecord").alias("before_xml"),
-        F.when(~payload_known(), F.col("prior.xmlrecord")).otherwise(F.col("xmlrecord")).alias("after_xml"),
+        before.alias("before_xml"),
+        F.when(~payload_known(), before).otherwise(F.col("xmlrecord")).alias("after_xml"),
     )
+
+
+def audit(changes: DataFrame, hot_rows: int = HOT_ROWS, span: int = SPAN) -> DataFrame:
+    """Every change with its rebuilt before-image: ``before_xml`` and ``after_xml``.
+
+    The changes are parsed once, into the shared folder.
+    """
+    linked = prior_images(stored(flat_changes(changes), "changes"), hot_rows, span)
+    return history_rows(linked, F.col("prior.xmlrecord"))

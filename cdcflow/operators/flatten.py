@@ -1,37 +1,27 @@
 """Metadata-driven flattening: record text to elements, to named elements, to wide rows.
 
-Two forms give the same result:
-
-* relational: explode the elements, join the lookup, aggregate. For element-level output and for lookups
-  too large for the driver.
-* narrow: name the elements inside the row with literal maps made from the lookup. No shuffle and no
-  state, so it also runs on a stream. The default for wide output.
+Elements are exploded, joined with the lookup and aggregated by key. There is one way for lookups of any size: Spark
+sees their size and broadcasts or shuffles them, and splits what a frequent field makes uneven.
 
 An element is named by an exact ``(field, position)`` entry, else by the base entry of its field, with a
 ``_NN`` suffix when the field repeats. An element without position never matches an exact entry. Elements
 without a name add nothing, but their record keeps its row; a record without any element has no row. When
-several elements get one name, the greatest text wins.
+several elements of one key get one name, the greatest text wins, also when the key repeats.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cdcflow.functions.records import element_value, has_tags, tag_arrays, varchar_bytes
+from cdcflow.functions.records import element_value, tag_arrays, varchar_bytes
 from cdcflow.sources.envelope import drop_tombstones, image
-from cdcflow.sources.lookup import DRIVER_ROWS, position_suffix
-
-# Largest lookup that is broadcast (rows of a few dozen bytes).
-BROADCAST_ROWS = 200_000
-# Copies of a lookup that is too large to broadcast.
-SALTS = 64
+from cdcflow.sources.lookup import position_suffix
 
 
-# ---- relational form -------------------------------------------------------------------------------
+# ---- elements and names ----------------------------------------------------------------------------
 
 
 def unpivot_tags(df: DataFrame, keys: Sequence[str], xml: str = "xmlrecord") -> DataFrame:
@@ -61,33 +51,22 @@ def _lookup_sides(lookup: DataFrame) -> tuple[DataFrame, DataFrame]:
     return exact, base
 
 
-def resolve_names(tags: DataFrame, lookup: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Add ``column_name`` to each element; NULL where the lookup has no name for it.
-
-    The lookup is broadcast when a count shows that it has at most ``broadcast_rows`` rows. A larger one
-    is joined by shuffle, with a salt, because a few fields occur in every record.
-    """
+def resolve_names(tags: DataFrame, lookup: DataFrame) -> DataFrame:
+    """Add ``column_name`` to each element; NULL where the lookup has no name for it."""
     exact, base = _lookup_sides(lookup)
-    rest = [c for c in tags.columns]
-    if lookup.limit(broadcast_rows + 1).count() <= broadcast_rows:
-        named = tags.join(F.broadcast(exact), ["field", "position"], "left").join(F.broadcast(base), "field", "left")
-    else:
-        salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt")
-        salted = tags.withColumn("_salt", F.pmod(F.xxhash64(*rest), F.lit(SALTS)).cast("int"))
-        named = salted.join(exact.select("*", salts), ["field", "position", "_salt"], "left").join(
-            base.select("*", salts), ["field", "_salt"], "left"
-        )
+    named = tags.join(exact, ["field", "position"], "left").join(base, "field", "left")
     base_name = F.when(
         F.col("repeats"), F.concat(F.col("base_name"), position_suffix(F.col("position")))
     ).otherwise(F.col("base_name"))
-    return named.select(*rest, F.coalesce("exact_name", base_name).alias("column_name"))
+    return named.select(*tags.columns, F.coalesce("exact_name", base_name).alias("column_name"))
 
 
 def pivot_wide(resolved: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
     """One row per key with one column per name, the greatest value of each.
 
     Two aggregations instead of one aggregate per name: greatest value per (key, name), combined before
-    its shuffle, then at most ``len(names)`` entries per key into a map. Names outside the list keep their
+    its shuffle, then at most ``len(names)`` entries per key into a map. The first shuffle spreads a key that repeats
+    very often over its names, and gets one row a task of each; so it is not saved. Names outside the list keep their
     record's row alive and add nothing else.
     """
     keys = list(keys)
@@ -102,92 +81,13 @@ def pivot_wide(resolved: DataFrame, keys: Sequence[str], names: Sequence[str]) -
     return packed.select(*keys, *[F.col("_values")[n].alias(n) for n in names])
 
 
-def flatten_relational(
+def flatten_wide(
     df: DataFrame, lookup: DataFrame, names: Sequence[str], keys: Sequence[str] = ("recid",), xml: str = "xmlrecord"
 ) -> DataFrame:
+    """One wide row per key, with the columns ``names``."""
     return pivot_wide(resolve_names(unpivot_tags(df, keys, xml), lookup), keys, names)
 
 
-# ---- narrow form -----------------------------------------------------------------------------------
-
-
-@dataclass(frozen=True)
-class Namer:
-    """The lookup as plain values: ``(field, position) -> name`` and ``field -> (name, repeats)``."""
-
-    exact: dict[tuple[str, str], str]
-    base: dict[str, tuple[str, bool]]
-
-    def name_of(self) -> Callable[[Column], Column]:
-        """An expression from an element of ``tag_arrays`` to its column name."""
-        exact = _literal_map({f"{f}|{p}": n for (f, p), n in self.exact.items()})
-        single = _literal_map({f: n for f, (n, repeats) in self.base.items() if not repeats})
-        repeated = _literal_map({f: n for f, (n, repeats) in self.base.items() if repeats})
-
-        def name(tag: Column) -> Column:
-            field = tag["field"]
-            position = F.nullif(tag["position"], F.lit(""))
-            return F.coalesce(
-                exact[F.concat(field, F.lit("|"), position)],
-                F.concat(repeated[field], position_suffix(position)),
-                single[field],
-            )
-
-        return name
-
-
-def _literal_map(values: dict[str, str]) -> Column:
-    if not values:
-        return F.lit(None).cast("map<string,string>")
-    return F.create_map(*[F.lit(x) for pair in values.items() for x in pair])
-
-
-def namer(lookup: DataFrame, limit: int = DRIVER_ROWS) -> Namer | None:
-    """Read a lookup of at most ``limit`` rows to the driver; None for a larger or ambiguous one."""
-    rows = lookup.select("field_index", "m_index", "resolved_name_en", "is_multivalue").limit(limit + 1).collect()
-    exact = {(r.field_index, r.m_index): r.resolved_name_en for r in rows if r.m_index is not None}
-    base = {r.field_index: (r.resolved_name_en, bool(r.is_multivalue)) for r in rows if r.m_index is None}
-    if len(rows) > limit or len(exact) + len(base) < len(rows):
-        return None
-    return Namer(exact, base)
-
-
-def with_named_values(df: DataFrame, names: Namer, xml: str = "xmlrecord") -> DataFrame:
-    """Add ``_named``: the elements that have a name, as ``array<struct<name, value>>``."""
-    name = names.name_of()
-    pairs = F.transform(tag_arrays(F.col(xml)), lambda t: F.struct(name(t).alias("name"), t["value"].alias("value")))
-    return df.withColumn("_named", F.filter(pairs, lambda e: e["name"].isNotNull()))
-
-
-def with_value_map(df: DataFrame, names: Namer, xml: str = "xmlrecord") -> DataFrame:
-    """Add ``_values``: column name to value, the last of equal names in sorted order being the greatest."""
-    named = with_named_values(df, names, xml).withColumn("_named", F.array_sort("_named"))
-
-    def last_of_name(e: Column, i: Column) -> Column:
-        following = F.get(F.col("_named"), i + 1)["name"]
-        return following.isNull() | (following != e["name"])
-
-    return named.withColumn("_values", F.map_from_entries(F.filter("_named", last_of_name))).drop("_named")
-
-
-def flatten_narrow(
-    df: DataFrame, names: Namer, columns: Sequence[str], keys: Sequence[str] = ("recid",), xml: str = "xmlrecord"
-) -> DataFrame:
-    # The cheap test for one match comes first and keeps the condition off the array of all elements.
-    wide = with_value_map(df.filter(has_tags(F.col(xml))), names, xml)
-    return wide.select(*keys, *[F.col("_values")[n].alias(n) for n in columns])
-
-
-def flatten_wide(
-    df: DataFrame, lookup: DataFrame, columns: Sequence[str], keys: Sequence[str] = ("recid",), xml: str = "xmlrecord"
-) -> DataFrame:
-    """Wide rows, narrow form where the lookup allows it."""
-    names = namer(lookup)
-    if names is None:
-        return flatten_relational(df, lookup, columns, keys, xml)
-    return flatten_narrow(df, names, columns, keys, xml)
-
-
 # ---- per change ------------------------------------------------------------------------------------
 
 
@@ -201,15 +101,8 @@ def change_records(changes: DataFrame) -> DataFrame:
     )
 
 
-def flatten_events(changes: DataFrame, names: Namer) -> DataFrame:
+def flatten_events(changes: DataFrame, lookup: DataFrame) -> DataFrame:
     """``columns_parsed`` per change, keyed by its identity so that no change replaces another."""
-    records = change_records(changes).filter(has_tags(F.col("xmlrecord")))
-    return with_named_values(records, names).select(
-        "kafka_partition", "kafka_offset", "recid", F.size("_named").cast("bigint").alias("columns_parsed")
-    )
-
-
-def flatten_events_relational(changes: DataFrame, lookup: DataFrame) -> DataFrame:
     keys = ["kafka_partition", "kafka_offset"]
     resolved = resolve_names(unpivot_tags(change_records(changes), [*keys, "recid"]), lookup)
     return resolved.groupBy(*keys).agg(

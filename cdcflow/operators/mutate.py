@@ -6,15 +6,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def unique(updates: DataFrame, key: str) -> DataFrame:
+    """``updates`` as they are; a key that stands twice fails the job, as which row should win is not known."""
+    rows = updates.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.first(F.struct("*")).alias("_row"))
+    twice = F.raise_error(F.concat(F.lit("two updates of one key: "), F.col(key).cast("string")))
+    return rows.select(F.when(F.col("_n") > 1, twice.cast(updates.schema)).otherwise(F.col("_row")).alias("_row")).select("_row.*")
+
+
 def merge_upsert(base: DataFrame, updates: DataFrame, key: str = "recid") -> DataFrame:
     """Matched rows are replaced by the update, the others of both sides are kept."""
+    updates = unique(updates, key)
     kept = base.join(updates.select(key), key, "left_anti")
     return kept.select(*base.columns).unionByName(updates.select(*base.columns))
 
 
 def apply_update(base: DataFrame, updates: DataFrame, key: str = "recid", payload: str = "xmlrecord") -> DataFrame:
     """Set the payload of the rows named by ``updates``; a NULL payload is set as well. Adds no row."""
-    new = updates.select(key, F.col(payload).alias("_new"), F.lit(True).alias("_hit"))
+    new = unique(updates, key).select(key, F.col(payload).alias("_new"), F.lit(True).alias("_hit"))
     joined = base.join(new, key, "left")
     value = F.when(F.col("_hit"), F.col("_new")).otherwise(F.col(payload))
     return joined.withColumn(payload, value).select(*base.columns)

@@ -91,9 +91,9 @@ def report_leg_share(traced: DataFrame) -> DataFrame:
     return sums.select(*[share(short) for short in LEGS.values()])
 
 
-def report_run(traced: DataFrame, start_offset: int) -> DataFrame:
+def report_run(traced: DataFrame, start: dict[int, int]) -> DataFrame:
     """By operation over the timed changes of one run."""
-    scope = run_scope(traced, start_offset).filter(F.col("total_ms").isNotNull())
+    scope = run_scope(traced, start).filter(F.col("total_ms").isNotNull())
     return (
         scope.groupBy("op")
         .agg(

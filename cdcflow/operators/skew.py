@@ -5,23 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# How many of the largest keys may be split. A key outside the HOT_KEYS largest holds less than 1/HOT_KEYS of
-# all rows, whatever the data.
-HOT_KEYS = 10_000
 
-
-def add_buckets(
-    df: DataFrame, key: str, order: str, hot_rows: int, span: int, keys: DataFrame | None = None
-) -> DataFrame:
+def add_buckets(df: DataFrame, key: str, order: str, hot_rows: int, span: int) -> DataFrame:
     """Add ``bucket``: 0 for ordinary keys, a number from 1 per range of ``span`` order values for hot keys.
 
-    A key is hot with more than ``hot_rows`` rows, if it is among the HOT_KEYS largest; so the broadcast side
-    has a fixed bound. Counting reads the key column only and combines before its shuffle. Buckets decide
-    where rows are worked on, never which rows there are. ``keys`` may give the same keys from a cheaper source, such
-    as the key column of messages whose values are still to be parsed.
+    A key is hot with more than ``hot_rows`` rows. Counting reads the key column only and combines before its shuffle.
+    Buckets decide where rows are worked on, never which rows there are.
     """
-    counted = df if keys is None else keys
-    counts = counted.groupBy(key).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > hot_rows)
-    hot = counts.orderBy(F.col("_rows").desc()).limit(HOT_KEYS).select(key, F.lit(True).alias("_hot"))
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > hot_rows)
+    hot = counts.select(key, F.lit(True).alias("_hot"))
     bucket = F.when(F.col("_hot"), F.floor(F.col(order) / F.lit(span)) + 1).otherwise(F.lit(0)).cast("bigint")
-    return df.join(F.broadcast(hot), key, "left").withColumn("bucket", bucket).drop("_hot")
+    return df.join(hot, key, "left").withColumn("bucket", bucket).drop("_hot")

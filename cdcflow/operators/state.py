@@ -21,7 +21,11 @@ def latest_images(changes: DataFrame) -> DataFrame:
     Aggregates combine before the shuffle, so a key with very many changes sends one row per map task.
     Used as it is on a stream (update mode), where a deleted key has to be reported.
     """
-    flat = flat_changes(changes)
+    return images_of(flat_changes(changes))
+
+
+def images_of(flat: DataFrame) -> DataFrame:
+    """``latest_images`` of changes that are flat already."""
     order = F.col("kafka_offset")
     # A struct, so that a NULL payload of the newest change is kept.
     image = F.max_by(F.struct("xmlrecord"), F.when(payload_known(), order))
@@ -38,15 +42,22 @@ def latest_images(changes: DataFrame) -> DataFrame:
 
 
 def newest_images(images: DataFrame) -> DataFrame:
-    """The live rows out of the ``latest_images`` of many batches."""
+    """One row per key out of the ``latest_images`` of many batches, with their columns and ``batch_id``."""
     order = F.col("kafka_offset")
     newest = images.groupBy("recid").agg(
         F.max_by(F.struct("xmlrecord"), F.when(F.col("known"), order)).alias("image"),
         F.max_by("deleted", order).alias("deleted"),
         F.max(order).alias("kafka_offset"),
+        F.max("batch_id").alias("batch_id"),
+    )
+    return newest.select(
+        "recid",
+        F.col("image.xmlrecord").alias("xmlrecord"),
+        F.col("image").isNotNull().alias("known"),
+        "kafka_offset",
+        "deleted",
+        "batch_id",
     )
-    alive = newest.filter(~F.col("deleted"))
-    return alive.select("recid", F.col("image.xmlrecord").alias("xmlrecord"), "kafka_offset")
 
 
 def current_state(changes: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cdcflow.functions.records import has_marker, marker_ms
 from cdcflow.schema import CLIENT_MARKER, DATABASE_MARKER, EVENT_KEY, TRACE_COLUMNS
-from cdcflow.sources.envelope import decode_op, drop_tombstones, image
+from cdcflow.sources.envelope import decode_op, drop_tombstones, from_offsets, image
 
 
 def source_ms(changes: DataFrame) -> Column:
@@ -59,9 +59,9 @@ def trace(changes: DataFrame, arrivals: DataFrame) -> DataFrame:
     ).select(*TRACE_COLUMNS)
 
 
-def run_scope(traced: DataFrame, start_offset: int) -> DataFrame:
-    """The changes of one run: offsets only grow."""
-    return traced.filter(F.col("kafka_offset") >= start_offset)
+def run_scope(traced: DataFrame, start: dict[int, int]) -> DataFrame:
+    """The changes of one run, by the first offset of each partition."""
+    return traced.filter(from_offsets(start))
 
 
 def untimed(traced: DataFrame) -> DataFrame:

@@ -1,84 +1,19 @@
-"""The wide account view: key plus 165 text columns, and the typed virtual columns of the account table."""
+"""The wide account view and the typed virtual columns of the account table.
+
+The column names of the view come from the loaded lookup; nothing here repeats them.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
 from cdcflow.operators.flatten import flatten_wide, virtual_columns
+from cdcflow.sources.lookup import names_from_lookup
 
-# ---- fixed values: names and order of the columns that reports on accounts select ------------------
-# A number after a name: that many columns, name_01, name_02, ...
-ACCOUNT_FIELDS = """
-customer
-category
-account_title_1
-short_title
-position_type
-currency
-currency_market
-account_officer
-activyty
-version_name
-debit_or_credit
-arabic_title
-nab_flag
-condition_group
-open_actual_bal
-open_cleared_bal
-online_actual_bal
-online_cleared_bal
-working_balance
-date_last_cr_cust
-amnt_last_cr_cust
-tran_last_cr_cust
-date_last_cr_auto
-amnt_last_cr_auto
-tran_last_cr_auto
-date_last_cr_bank
-amnt_last_cr_bank
-tran_last_cr_bank
-date_last_dr_cust
-amnt_last_dr_cust
-tran_last_dr_cust
-date_last_dr_auto
-amnt_last_dr_auto
-tran_last_dr_auto
-date_last_dr_bank
-amnt_last_dr_bank
-tran_last_dr_bank
-cap_date_charge 9
-cap_date_cr_int 23
-cap_date_c2_int 23
-cap_date_dr_int 23
-cap_date_d2_int 23
-passbook
-start_year_bal
-opening_date
-open_category
-charge_ccy
-charge_mkt
-interest_ccy
-interest_mkt
-alt_acct_type 3
-alt_acct_id 2
-allow_netting
-from_date
-locked_amount
-hvt_flag
-open_available_bal
-date_last_update
-curr_no
-inputter 2
-date_time 2
-authoriser
-co_code
-dept_code
-"""
-
-# Fields whose elements repeat; the lookup file does not say so itself.
-MULTIVALUE_FIELDS = ("c46", "c47", "c48", "c49", "c50", "c99", "c100", "c249", "c250")
+# Fields whose elements repeat, and how many columns each has; the lookup file says neither.
+POSITIONS = {"c46": 9, "c47": 23, "c48": 23, "c49": 23, "c50": 23, "c99": 3, "c100": 2, "c249": 2, "c250": 2}
 
-# Virtual columns: name, field, type.
+# Virtual columns as name, field, type.
 ACCOUNT_VIRTUAL = (
     ("currency", "c8", "varchar(250)"),
     ("co_code", "c252", "varchar(250)"),
@@ -92,21 +27,9 @@ ACCOUNT_VIRTUAL = (
 )
 
 
-def account_columns() -> list[str]:
-    """The 165 column names of the wide account view."""
-    names: list[str] = []
-    for line in ACCOUNT_FIELDS.split("\n"):
-        name, _, width = line.partition(" ")
-        if width:
-            names += [f"{name}_{k:02d}" for k in range(1, int(width) + 1)]
-        elif name:
-            names.append(name)
-    return names
-
-
-def account_view(records: DataFrame, lookup: DataFrame) -> DataFrame:
-    """``recid`` and the 165 account columns of each record."""
-    return flatten_wide(records, lookup, account_columns())
+def account_view(records: DataFrame, lookup: DataFrame, positions: int | dict[str, int] = POSITIONS) -> DataFrame:
+    """``recid`` and a column for every name of the lookup."""
+    return flatten_wide(records, lookup, names_from_lookup(lookup, positions))
 
 
 def account_virtual_columns(records: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from cdcflow.plans.account import POSITIONS
+
 # The change log in terms of the events table.
 _EVENTS = """
 WITH base AS (
@@ -13,7 +15,8 @@ WITH base AS (
          CAST(CAST(value AS DECIMAL(15,2)) AS VARCHAR) AS amount,
          strftime(ts, '%Y%m%d') AS day,
          CAST(user_id % 4 AS INTEGER) AS kafka_partition,
-         event_id * 2 AS kafka_offset
+         event_id * 2 + 1000 * (user_id % 4) AS kafka_offset,
+         (SELECT max(event_id) + 1 FROM events) AS n
   FROM events),
 ev AS (
   SELECT *,
@@ -32,11 +35,11 @@ _MESSAGES = (
     _EVENTS
     + """,
 msg AS (
-  SELECT kafka_partition, kafka_offset, op, recid, xml, ms, t3,
+  SELECT kafka_partition, kafka_offset, n, op, recid, xml, ms, t3,
          CASE WHEN op IN ('u', 'd') THEN '__debezium_unavailable_value' END AS before_xml
   FROM ev
   UNION ALL
-  SELECT kafka_partition, kafka_offset + 1, NULL, NULL, NULL, NULL, t3, NULL FROM ev WHERE op = 'd')
+  SELECT kafka_partition, kafka_offset + 1, n, NULL, NULL, NULL, NULL, t3, NULL FROM ev WHERE op = 'd')
 """
 )
 
@@ -53,14 +56,14 @@ _TRACE = (
     _EVENTS
     + """,
 timed AS (
-  SELECT recid, kafka_partition, kafka_offset, event_id,
+  SELECT recid, kafka_partition, kafka_offset, event_id, n,
          CASE op WHEN 'c' THEN 'insert' WHEN 'u' THEN 'update' WHEN 'd' THEN 'delete' ELSE 'snapshot' END AS op,
          CASE WHEN op <> 'd' AND event_id % 4 <> 0 THEN ms - 20 - event_id % 50 END AS t1,
          CASE WHEN op <> 'd' AND event_id % 3 <> 0 THEN ms ELSE ms - ms % 1000 END AS t2,
          CASE WHEN op <> 'd' AND event_id % 3 <> 0 THEN 'exact' ELSE 'second' END AS t2_precision,
          t3,
-         CASE WHEN event_id % 10 <> 9 AND event_id >= 100 THEN t3 + event_id % 700 END AS t4,
-         CASE WHEN event_id % 10 <> 9 AND event_id >= 120 AND op <> 'd'
+         CASE WHEN event_id % 10 <> 9 AND event_id >= n // 10 THEN t3 + event_id % 700 END AS t4,
+         CASE WHEN event_id % 10 <> 9 AND event_id >= n // 8 AND op <> 'd'
               THEN t3 + event_id % 700 + event_id % 5 END AS t5
   FROM ev),
 trace AS (
@@ -130,6 +133,19 @@ FROM orders LEFT JOIN (
   FROM lineitem GROUP BY l_orderkey) ON l_orderkey = o_orderkey
 """
 
+_ACCOUNT = f"""
+SELECT {_RECID} AS recid, CAST(o_custkey AS VARCHAR) AS customer, o_orderstatus AS status,
+  CAST(CAST(o_totalprice AS DECIMAL(15,2)) AS VARCHAR) AS price, strftime(o_orderdate, '%Y%m%d') AS day,
+  o_orderpriority AS priority, {", ".join(
+      f"{f'day_0{k}' if field == 'c46' and k <= 7 else 'CAST(NULL AS VARCHAR)'} AS group_{field}_{k:02d}"
+      for field, last in POSITIONS.items() for k in range(1, last + 1))},
+  {", ".join(f"CAST(NULL AS VARCHAR) AS field_{k:02d}" for k in range(160 - sum(POSITIONS.values())))}
+FROM orders LEFT JOIN (
+  SELECT l_orderkey, {", ".join(
+      f"max(strftime(l_shipdate, '%Y%m%d')) FILTER (l_linenumber = {k}) AS day_0{k}" for k in range(1, 8))}
+  FROM lineitem GROUP BY l_orderkey) ON l_orderkey = o_orderkey
+"""
+
 _AUDIT = (
     _EVENTS
     + """
@@ -158,7 +174,13 @@ SELECT kafka_partition, kafka_offset, op, before_xml, xml AS after_xml, recid,
 SELECT kafka_offset, CASE op WHEN 'c' THEN 'insert' WHEN 'u' THEN 'update' WHEN 'd' THEN 'delete'
   WHEN 'r' THEN 'snapshot' END AS op_word FROM msg""",
     "q_drop_tombstones": _EVENTS + "SELECT kafka_partition, kafka_offset, op FROM ev",
-    "q_since_offset": _MESSAGES + "SELECT kafka_partition, kafka_offset, op FROM msg WHERE kafka_offset >= 5000",
+    "q_since_offset": _MESSAGES + "SELECT kafka_partition, kafka_offset, op FROM msg WHERE kafka_offset >= n // 2 * 2 + 1000 * kafka_partition",
+    "q_bad_messages": _EVENTS
+    + """
+SELECT kafka_partition, kafka_offset + 1 AS kafka_offset,
+  CASE WHEN kafka_offset % 4 = 0 THEN '{"op":"' || op ELSE 'not json' END AS bad_value
+FROM ev WHERE event_id % 25 = 0 AND op <> 'd'""",
+    "q_state_despite_bad_messages": _CURRENT,
     "q_markers": _TRACE
     + """
 SELECT kafka_partition, kafka_offset, recid, op, t1 AS t1_ms, t2 AS t2_ms, t2_precision, t3 AS t3_ms FROM timed""",
@@ -207,9 +229,36 @@ UNION ALL SELECT {_RECID}, true, NULL, NULL, NULL FROM orders WHERE o_orderstatu
     "q_unpivot_tags": f"SELECT recid, field, position, value FROM ({_TAGS})",
     "q_resolve_names": _TAGS,
     "q_flatten_wide": _WIDE,
-    "q_flatten_relational": _WIDE,
+    "q_flatten_large_lookup": _WIDE,
+    "q_flatten_repeated_keys": _WIDE.replace("o_orderstatus AS order_status", "'X$1' AS order_status"),
+    "q_large_lookup": _TAGS
+    + f"""
+UNION ALL SELECT {_RECID}, 'c' || CAST(o_orderkey + 1000 AS VARCHAR), NULL, 'x', 'name_' || CAST(o_orderkey AS VARCHAR) FROM orders""",
+    "q_account_view": _ACCOUNT,
+    "q_account_virtual": f"""
+SELECT {_RECID} AS recid, o_orderstatus AS currency, CAST(o_custkey AS DECIMAL(38,0)) AS customer,
+  CAST(NULL AS DECIMAL(38,0)) AS category, {", ".join(
+      f"CAST(NULL AS VARCHAR) AS {n}" for n in ("co_code", "mnemonic", "curr_no", "posting_restrict", "opening_date", "int_no_booking"))}
+FROM orders""",
+    "q_capture_trace": f"""
+WITH diff AS (
+  SELECT {_RECID} AS recid, CASE WHEN {_ADDED} THEN 'insert' ELSE 'delete' END AS op,
+    CAST(o_orderkey % 4 AS INTEGER) AS kafka_partition
+  FROM orders WHERE o_orderstatus IN ('O', 'F'))
+SELECT recid, op, kafka_partition,
+  row_number() OVER (PARTITION BY kafka_partition ORDER BY recid) - 1 + 100 * kafka_partition AS kafka_offset,
+  NULL::BIGINT AS t1_generated, 1700000000000::BIGINT AS t2_oracle, 1700000000123::BIGINT AS t3_kafka,
+  NULL::BIGINT AS t4_risingwave, NULL::BIGINT AS t5_parsed, NULL::BIGINT AS gen_to_oracle_ms,
+  123::BIGINT AS oracle_to_kafka_ms, NULL::BIGINT AS kafka_to_rw_ms, NULL::BIGINT AS rw_to_parsed_ms,
+  NULL::BIGINT AS total_ms, 'second' AS t2_precision FROM diff""",
+    "q_live_views": _STATE
+    + """,
+h AS (SELECT split_part(recid, '-', 1) AS workload, count(*) AS changes, count(before_xml) AS with_before FROM (
+  SELECT recid, lag(xml) OVER (PARTITION BY recid ORDER BY event_id) AS before_xml FROM ev) GROUP BY 1),
+s AS (SELECT split_part(recid, '-', 1) AS workload, count(*) AS live_records,
+        count(*) FILTER (event_type = 'purchase') AS with_second_day FROM state GROUP BY 1)
+SELECT h.workload, changes, with_before, live_records, with_second_day FROM h LEFT JOIN s ON s.workload = h.workload""",
     "q_flatten_events": _FLATTEN_EVENTS,
-    "q_flatten_events_relational": _FLATTEN_EVENTS,
     "q_stream_flatten_events": _FLATTEN_EVENTS,
     "q_virtual_columns": f"""
 SELECT {_RECID} AS recid, {_RECID} AS xml_id, CAST(o_custkey AS DECIMAL(38,0)) AS customer, o_orderstatus AS order_status,
@@ -224,7 +273,7 @@ UNION ALL SELECT 'parsed', kafka_partition, kafka_offset FROM ev WHERE op <> 'd'
     "q_first_visibility": _TRACE
     + """
 SELECT kafka_partition, kafka_offset, t4 AS t4_ms, t5 AS t5_ms FROM timed
-WHERE t4 IS NOT NULL AND NOT event_id BETWEEN 200 AND 299""",
+WHERE t4 IS NOT NULL AND NOT event_id BETWEEN n // 5 AND n * 3 // 10""",
     "q_trace": _TRACE
     + """
 SELECT recid, op, kafka_partition, kafka_offset, t1 AS t1_generated, t2 AS t2_oracle, t3 AS t3_kafka,
@@ -258,7 +307,7 @@ FROM trace WHERE total_ms IS NOT NULL AND gen2ora IS NOT NULL""",
     + f"""
 SELECT op, count(*) AS changes, {_MEANS}, {_mean("total_ms")} AS total_avg, min(total_ms) AS total_min,
   max(total_ms) AS total_max
-FROM trace WHERE total_ms IS NOT NULL AND kafka_offset >= 5000 GROUP BY op ORDER BY op""",
+FROM trace WHERE total_ms IS NOT NULL AND kafka_offset >= n // 2 * 2 + 1000 * kafka_partition GROUP BY op ORDER BY op""",
     "q_sql_views": _TRACE
     + """,
 ranked AS (SELECT *, row_number() OVER (PARTITION BY recid ORDER BY event_id DESC) AS rn FROM ev),
@@ -278,33 +327,16 @@ SELECT 'COPY-' || CAST(o_orderkey AS VARCHAR) AS recid, replace({
             " || CAST(epoch_ms(o_orderdate) + 5 AS VARCHAR) || '</ots>",
         )
     }, '"ORD-', '"COPY-') AS xmlrecord FROM orders""",
-    "q_keyed_amounts": "SELECT count(*) AS amounts, 0::BIGINT AS out_of_range, 0::BIGINT AS off_cent FROM orders",
-    "q_synth_mix": f"""
-WITH n AS (SELECT count(*) AS ins, count(*) // 2 AS half FROM orders),
-tpl AS (
-  SELECT o_orderkey + 1 AS i, ins, half, 1700000000000 + o_orderkey * 1500 AS born,
-    {_header(marks="@")} AS xml, 'ORD-' || CAST(o_orderkey AS VARCHAR) AS old_id
-  FROM orders, n),
-step AS (
-  SELECT i - 1 AS kafka_offset, 'c' AS op, born AS made, * FROM tpl
-  UNION ALL SELECT ins + i - 1, 'u', 1700000000000 + (ins + i - 1) * 1500, * FROM tpl WHERE i <= half
-  UNION ALL SELECT ins + half + (ins - i) * 2, 'd', 1700000000000 + (ins + half + ins - i) * 1500, * FROM tpl
-    WHERE i > ins - half),
-named AS (SELECT *, 'BENCH-' || CAST(born AS VARCHAR) || '-' || CAST(i AS VARCHAR) AS recid FROM step)
-SELECT kafka_offset, op, recid,
-  CASE WHEN op <> 'd' THEN replace(replace(xml, '"' || old_id || '"', '"' || recid || '"'), '@',
-    '<bts>' || CAST(made AS VARCHAR) || '</bts><ots>' || CAST(made AS VARCHAR) || '</ots>') END AS after_xml,
-  made - made % 1000 AS source_ms, made AS ts_ms FROM named
-UNION ALL SELECT kafka_offset + 1, NULL, NULL, NULL, NULL, NULL FROM named WHERE op = 'd'""",
-    "q_synth_bulk": f"""
-SELECT o_orderkey AS kafka_offset, 'c' AS op, 'BULK-1700000000123-' || CAST(o_orderkey + 1 AS VARCHAR) AS recid,
-  replace({_header(marks="<bts>1700000000123</bts><ots>1700000000123</ots>")},
-    '"ORD-' || CAST(o_orderkey AS VARCHAR) || '"',
-    '"BULK-1700000000123-' || CAST(o_orderkey + 1 AS VARCHAR) || '"') AS after_xml,
-  1700000000000::BIGINT AS source_ms, 1700000000123::BIGINT AS ts_ms FROM orders""",
+    "q_keyed_amounts": """
+SELECT o_orderkey, CAST(CAST(((o_orderkey % 2147483647 * 48271 + 11) % 2147483647 * 69621 + 7) % 2147483647 % 9899901 + 100000
+  AS DOUBLE) / 100 AS DECIMAL(17,2)) AS amount FROM orders""",
     "q_stream_events": _MESSAGES + "SELECT kafka_partition, kafka_offset, op, ms + 5 AS ts_ms FROM msg",
     "q_stream_flatten": _STATE
     + """
+SELECT recid, kafka_offset, k AS counter, CAST(NULL AS VARCHAR) AS order_ref, amount AS total_price,
+  day AS ship_date_01, CASE WHEN event_type = 'purchase' THEN day END AS ship_date_02 FROM state""",
+    "q_stream_large_lookup": _STATE
+    + """
 SELECT recid, kafka_offset, k AS counter, CAST(NULL AS VARCHAR) AS order_ref, amount AS total_price,
   day AS ship_date_01, CASE WHEN event_type = 'purchase' THEN day END AS ship_date_02 FROM state""",
     "q_stream_trace": _TRACE

@@ -8,13 +8,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cdcflow.functions.numbers import keyed_amount
-from cdcflow.functions.records import record_id
+from cdcflow.functions.records import record_id, replace_tag
 from cdcflow.functions.times import epoch_ms_by_fields, epoch_ms_of_utc, stamp_suffix
 from cdcflow.operators import audit as history
 from cdcflow.operators import flatten, mutate, reports, state, visibility
 from cdcflow.operators import trace as tracing
+from cdcflow.plans import account
 from cdcflow.plans import testdata as data
-from cdcflow.plans.views import register_views
+from cdcflow.plans.views import register_live_views, register_views
 from cdcflow.schema import BULK_PREFIX, MIXED_PREFIX
 from cdcflow.session import scratch_dir
 from cdcflow.sources import capture, envelope, workload
@@ -25,9 +26,6 @@ from cdcflow.streaming import history as live_history
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-RUN_START = 5_000
-
-
 # ---- messages and changes --------------------------------------------------------------------------
 
 
@@ -54,7 +52,18 @@ def q_drop_tombstones(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_since_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return envelope.since_offset(data.changes(spark, sf_dir), RUN_START).select("kafka_partition", "kafka_offset", "op")
+    start = data.half_run(spark, sf_dir)
+    return envelope.since_offset(data.changes(spark, sf_dir), start).select("kafka_partition", "kafka_offset", "op")
+
+
+def q_bad_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged messages out of a log that has some."""
+    parsed = envelope.parse_envelope(data.damaged_messages(spark, sf_dir), on_bad="keep")
+    return envelope.bad_messages(parsed).select("kafka_partition", "kafka_offset", "bad_value")
+
+
+def q_state_despite_bad_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return state.current_state(envelope.parse_envelope(data.damaged_messages(spark, sf_dir), on_bad="keep"))
 
 
 def q_markers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,12 +87,12 @@ def q_current_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return history.audit(data.changes(spark, sf_dir), keys=data.message_keys(spark, sf_dir))
+    return history.audit(data.changes(spark, sf_dir))
 
 
 def q_audit_hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same history with every key with more than ten changes split into offset ranges."""
-    return history.audit(data.changes(spark, sf_dir), 10, 1500, data.message_keys(spark, sf_dir))
+    return history.audit(data.changes(spark, sf_dir), 10, 1500)
 
 
 def q_latest_match(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -121,7 +130,7 @@ def _settled() -> Column:
 def _urgent_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """New payloads of the urgent orders."""
     urgent = _orders(spark, sf_dir, F.col("o_orderpriority") == "1-URGENT")
-    return urgent.withColumn("xmlrecord", workload.replace_tag(F.col("xmlrecord"), "c8", F.lit("X$1")))
+    return urgent.withColumn("xmlrecord", replace_tag(F.col("xmlrecord"), "c8", F.lit("X$1")))
 
 
 def q_merge_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -176,23 +185,44 @@ def q_unpivot_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_resolve_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     tags = flatten.unpivot_tags(data.orders_xml(spark, sf_dir), ["recid"])
-    return flatten.resolve_names(tags, data.lookup(spark))
+    return flatten.resolve_names(tags, data.lookup_file(spark))
+
+
+def q_large_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names out of a lookup that grows with the orders: each record has one element with an entry of its own."""
+    number = F.split_part("recid", F.lit("-"), F.lit(2)).cast("bigint") + 1000
+    field = F.concat(F.lit("c"), number.cast("string"))
+    element = F.concat(F.lit("<"), field, F.lit(">x</"), field, F.lit("></row>"))
+    records = data.orders_xml(spark, sf_dir).withColumn("xmlrecord", F.replace("xmlrecord", F.lit("</row>"), element))
+    return flatten.resolve_names(flatten.unpivot_tags(records, ["recid"]), data.large_lookup(spark, sf_dir))
 
 
 def q_flatten_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten.flatten_wide(data.orders_xml(spark, sf_dir), data.lookup(spark), data.ORDER_COLUMNS)
 
 
-def q_flatten_relational(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flatten.flatten_relational(data.orders_xml(spark, sf_dir), data.lookup(spark), data.ORDER_COLUMNS)
+def q_flatten_repeated_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two records of each key: one wide row, with the greatest value of each column."""
+    second = _orders(spark, sf_dir, F.lit(True))
+    second = second.withColumn("xmlrecord", replace_tag(F.col("xmlrecord"), "c8", F.lit("X$1")))
+    records = data.orders_xml(spark, sf_dir).unionByName(second)
+    return flatten.flatten_wide(records, data.lookup(spark), data.ORDER_COLUMNS)
+
+
+def q_flatten_large_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flatten.flatten_wide(data.orders_xml(spark, sf_dir), data.large_lookup(spark, sf_dir), data.ORDER_COLUMNS)
 
 
 def q_flatten_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flatten.flatten_events(data.changes(spark, sf_dir), flatten.namer(data.lookup(spark)))
+    return flatten.flatten_events(data.changes(spark, sf_dir), data.lookup(spark))
+
+
+def q_account_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return account.account_view(data.orders_xml(spark, sf_dir), data.account_lookup(spark))
 
 
-def q_flatten_events_relational(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flatten.flatten_events_relational(data.changes(spark, sf_dir), data.lookup(spark))
+def q_account_virtual(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return account.account_virtual_columns(data.orders_xml(spark, sf_dir))
 
 
 def q_virtual_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -231,7 +261,7 @@ def _as_ms(df: DataFrame) -> DataFrame:
 
 def q_stage_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     changes = data.changes(spark, sf_dir)
-    parsed = flatten.flatten_events(changes, flatten.namer(data.lookup(spark)))
+    parsed = flatten.flatten_events(changes, data.lookup(spark))
     return visibility.stage_union(envelope.drop_tombstones(changes), parsed)
 
 
@@ -276,7 +306,7 @@ def q_report_leg_share(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_report_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.report_run(_trace(spark, sf_dir), RUN_START)
+    return reports.report_run(_trace(spark, sf_dir), data.half_run(spark, sf_dir))
 
 
 def q_sql_views(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -320,92 +350,109 @@ def q_stamp_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_keyed_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Repeatable random amounts: how many orders get one outside the range or off the cent."""
-    amount = keyed_amount(F.col("o_orderkey"), 1000, 99999)
-    orders = data.table(spark, sf_dir, "orders").select(amount.alias("amount"))
-    return orders.agg(
-        F.count(F.lit(1)).alias("amounts"),
-        F.count_if(~F.col("amount").between(1000, 99999)).alias("out_of_range"),
-        F.count_if(F.col("amount").cast("decimal(15,2)").cast("double") != F.col("amount")).alias("off_cent"),
-    )
-
-
-def _load_rows(changes: DataFrame) -> DataFrame:
-    return changes.select(
-        "kafka_offset",
-        "op",
-        envelope.image("RECID").alias("recid"),
-        F.col("after.XMLRECORD").alias("after_xml"),
-        F.col("source.ts_ms").alias("source_ms"),
-        "ts_ms",
-    )
+    """Repeatable random amounts, one for each order."""
+    return data.table(spark, sf_dir, "orders").select("o_orderkey", keyed_amount(F.col("o_orderkey"), 1000, 99999).alias("amount"))
 
 
-def q_synth_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    inserts = data.table(spark, sf_dir, "orders").count()
-    return _load_rows(
-        workload.synth_changes(
-            data.order_templates(spark, sf_dir), inserts, inserts // 2, inserts // 2, 1500, 1_700_000_000_000
-        )
+def q_capture_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The difference of two states, placed in a log of four partitions and traced."""
+    old = _orders(spark, sf_dir, _settled())
+    new = _orders(spark, sf_dir, F.col("o_orderstatus") != "F")
+    diff = capture.snapshot_diff(old, new)
+    number = F.split_part(envelope.image("RECID"), F.lit("-"), F.lit(2)).cast("bigint")
+    log = capture.as_log(diff, 1_700_000_000_123, 4, {p: 100 * p for p in range(4)}, number)
+    arrivals = visibility.first_visibility(
+        data.observations(spark, sf_dir).filter(F.lit(False)), data.seed(spark, sf_dir).filter(F.lit(False)), data.nothing_recorded(spark)
     )
+    return _as_ms(tracing.trace(log, arrivals))
 
 
-def q_synth_bulk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _load_rows(workload.synth_bulk(data.order_templates(spark, sf_dir), 1_700_000_000_123))
-
-
-# ---- streams ---------------------------------------------------------------------------------------
+# ---- streams: each over several micro-batches ------------------------------------------------------
 
 
 def q_stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every message of the stream, landed append-only."""
     path = scratch_dir(spark, "stream-events")
     rows = data.change_feed(spark, sf_dir).select("kafka_partition", "kafka_offset", "op", "ts_ms")
-    feed.run_to_end(live.materialize(rows, f"{path}/table", f"{path}/checkpoint", "append", None))
+    feed.run_to_end(live.materialize(rows, f"{path}/table", f"{path}/checkpoint", None, None))
     return spark.read.parquet(f"{path}/table").drop("batch_id")
 
 
 def q_stream_current_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "stream-state")
     rows = current.current_state_stream(data.change_feed(spark, sf_dir))
-    feed.run_to_end(live.materialize(rows, f"{path}/table", f"{path}/checkpoint", "update", None))
+    feed.run_to_end(live.materialize(rows, f"{path}/table", f"{path}/checkpoint", ["recid"], None, 2))
     return live.read_live(spark, f"{path}/table", ["recid"])
 
 
 def q_stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "stream-upsert")
     changes = data.change_feed(spark, sf_dir)
-    feed.run_to_end(current.upsert_stream(changes, f"{path}/table", f"{path}/checkpoint", None))
+    feed.run_to_end(current.upsert_stream(changes, f"{path}/table", f"{path}/checkpoint", None, 2))
     return current.read_state(spark, f"{path}/table")
 
 
 def q_stream_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "stream-flatten")
-    names = flatten.namer(data.lookup(spark))
-    rows = current.flatten_stream(data.change_feed(spark, sf_dir), names, data.EVENT_COLUMNS)
-    feed.run_to_end(live.materialize(rows, f"{path}/table", f"{path}/checkpoint", "update", None))
-    return live.read_live(spark, f"{path}/table", ["recid"])
+    changes, lookup = data.change_feed(spark, sf_dir), data.lookup(spark)
+    feed.run_to_end(current.flatten_stream(changes, lookup, data.EVENT_COLUMNS, f"{path}/table", f"{path}/checkpoint", None, 2))
+    return current.read_wide(spark, f"{path}/table")
+
+
+def q_stream_large_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lookup grows with the orders, and each micro-batch reads it anew."""
+    path = scratch_dir(spark, "stream-large-lookup")
+    changes = data.change_feed(spark, sf_dir)
+    query = current.flatten_stream(
+        changes, lambda s: data.large_lookup(s, sf_dir), data.EVENT_COLUMNS, f"{path}/table", f"{path}/checkpoint", None, 2
+    )
+    feed.run_to_end(query)
+    return current.read_wide(spark, f"{path}/table")
 
 
 def q_stream_flatten_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "stream-flatten-events")
-    rows = current.flatten_events_stream(data.change_feed(spark, sf_dir), flatten.namer(data.lookup(spark)))
-    feed.run_to_end(live.materialize(rows, f"{path}/table", f"{path}/checkpoint", "append", None))
+    changes = data.change_feed(spark, sf_dir)
+    feed.run_to_end(current.flatten_events_stream(changes, data.lookup(spark), f"{path}/table", f"{path}/checkpoint", None))
     return spark.read.parquet(f"{path}/table").drop("batch_id")
 
 
 def q_stream_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "stream-audit")
-    live_history.audit_stream(data.change_feed(spark, sf_dir), path, seconds=None)
+    feed.run_to_end(live_history.audit_stream(data.change_feed(spark, sf_dir), path, seconds=None, every=2))
     return live_history.read_audit(spark, path)
 
 
+def q_live_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A report in SQL over live state, live wide rows and live history."""
+    path, lookup = scratch_dir(spark, "live-views"), data.lookup(spark)
+    feed.run_to_end(current.upsert_stream(data.change_feed(spark, sf_dir), f"{path}/state", f"{path}/checkpoint-state", None, 2))
+    feed.run_to_end(
+        current.flatten_stream(
+            data.change_feed(spark, sf_dir), lookup, data.EVENT_COLUMNS, f"{path}/wide", f"{path}/checkpoint-wide", None, 2
+        )
+    )
+    feed.run_to_end(live_history.audit_stream(data.change_feed(spark, sf_dir), f"{path}/audit", seconds=None, every=2))
+    register_live_views(spark, f"{path}/state", f"{path}/wide", f"{path}/audit")
+    return spark.sql(
+        """
+        SELECT h.workload, h.changes, h.with_before, s.live_records, s.with_second_day
+        FROM (SELECT split_part(recid, '-', 1) AS workload, count(*) AS changes, count(before_xml) AS with_before
+              FROM live_account_audit GROUP BY 1) h
+        LEFT JOIN (SELECT split_part(a.recid, '-', 1) AS workload, count(*) AS live_records,
+                          count(c.ship_date_02) AS with_second_day
+                   FROM live_account a LEFT JOIN live_account_columns c ON c.recid = a.recid GROUP BY 1) s
+          ON s.workload = h.workload
+        """
+    )
+
+
 def q_stream_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A measured run: land the stream, stamp both stages, trace it, and check the order of the stamps."""
     path = scratch_dir(spark, "stream-trace")
-    names = flatten.namer(data.lookup(spark))
+    lookup = data.lookup(spark)
     feed.run_to_end(
-        landing.traced_stream(data.change_feed(spark, sf_dir), names, path, f"{path}/checkpoint", seconds=None)
+        landing.traced_stream(data.change_feed(spark, sf_dir), lookup, path, f"{path}/checkpoint", seconds=None)
     )
     seen = landing.read_landed(spark, path, "observations")
     nothing = data.nothing_recorded(spark)

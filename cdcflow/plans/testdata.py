@@ -4,7 +4,8 @@ Pure expressions over whole tables, so every expected answer can be restated fro
 
 * ``orders`` and ``lineitem`` become one record per order, with one repeated ``c46`` element per line;
 * ``events`` becomes a change log: one change per event and a tombstone after each delete. Events are at even
-  offsets, tombstones at the odd offset behind their delete.
+  offsets, tombstones at the odd offset behind their delete. Each partition counts from a start of its own, so an
+  offset says nothing without its partition.
 """
 
 from __future__ import annotations
@@ -14,9 +15,12 @@ from pyspark.sql import functions as F
 
 from cdcflow.functions.numbers import amount_text
 from cdcflow.functions.times import epoch_ms_of_utc
-from cdcflow.schema import OBSERVATION, UNAVAILABLE
+from cdcflow.plans.account import POSITIONS
+from cdcflow.schema import MESSAGE, OBSERVATION, UNAVAILABLE
+from cdcflow.session import scratch_dir
 from cdcflow.sources.envelope import parse_envelope, to_messages
-from cdcflow.sources.lookup import lookup_rows
+from cdcflow.sources.lookup import load_lookup, lookup_rows
+from cdcflow.streaming.feed import change_stream
 
 LOOKUP_ROWS = (
     ("c1", None, "customer", False),
@@ -42,35 +46,51 @@ ORDER_COLUMNS = [
 ]
 EVENT_COLUMNS = ["counter", "order_ref", "total_price", "ship_date_01", "ship_date_02"]
 
-EVENT_SCHEMA = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
-
-# Observations: events before SEEDED_RAW were visible raw before polling began, before SEEDED_PARSED parsed.
-SEEDED_RAW = 100
-SEEDED_PARSED = 120
-RECORDED = (200, 299)
-
-
-def _idle_cores(df: DataFrame) -> int:
-    """All cores if the scan of ``df`` has fewer splits than that, else 0."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return cores if df.rdd.getNumPartitions() < cores else 0
+# Files of the message stream, one for each micro-batch.
+BATCHES = 5
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table. One that is too small to occupy all cores is spread over them first.
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
-    The row work here (JSON, regular expressions) costs far more than moving a small table. A table with
-    enough splits is left as it is read.
-    """
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = _idle_cores(df)
-    return df.repartition(cores) if cores else df
+
+def event_count(spark: SparkSession, sf_dir: str) -> int:
+    """One more than the greatest event_id; parts of a run are shares of it."""
+    return table(spark, sf_dir, "events").agg(F.coalesce(F.max("event_id"), F.lit(-1)) + 1).head()[0]
 
 
 def lookup(spark: SparkSession) -> DataFrame:
     return lookup_rows(spark, LOOKUP_ROWS)
 
 
+def lookup_file(spark: SparkSession) -> DataFrame:
+    """The same lookup, written as a CSV file of its usual form and loaded again."""
+    path = scratch_dir(spark, "lookup")
+    rows = lookup(spark).selectExpr("'orders' AS table_name", "field_index", "m_index", "resolved_name_en", "'2026-01-01' AS dt")
+    rows.coalesce(1).write.option("header", True).csv(path)
+    return load_lookup(spark, path, [field for field, _, _, repeats in LOOKUP_ROWS if repeats])
+
+
+def large_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lookup with one more field for each order."""
+    more = table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("c"), (F.col("o_orderkey") + 1000).cast("string")).alias("field_index"),
+        F.lit(None).cast("string").alias("m_index"),
+        F.concat(F.lit("name_"), F.col("o_orderkey").cast("string")).alias("resolved_name_en"),
+        F.lit(False).alias("is_multivalue"),
+    )
+    return lookup(spark).unionByName(more)
+
+
+def account_lookup(spark: SparkSession) -> DataFrame:
+    """A lookup of the shape of the account table's: repeated fields, an exact entry, and 165 columns in all."""
+    rows = [("c1", None, "customer", False), ("c8", None, "status", False), ("c23", None, "price", False)]
+    rows += [("c28", None, "day", False), ("c20", "2", "priority", False)]
+    rows += [(field, None, f"group_{field}", True) for field in POSITIONS]
+    rows += [(f"c{1000 + k}", None, f"field_{k:02d}", False) for k in range(165 - 5 - sum(POSITIONS.values()))]
+    return lookup_rows(spark, rows)
+
+
 def _tag(field: str, value: Column, position: Column | int | None = None) -> Column:
     value = value.cast("string")
     if position is None:
@@ -159,6 +179,20 @@ def event_recid() -> Column:
     return F.concat(prefix, user.cast("string"))
 
 
+def event_partition() -> Column:
+    return (F.col("user_id") % 4).cast("int")
+
+
+def event_offset() -> Column:
+    return F.col("event_id") * 2 + event_partition() * 1000
+
+
+def half_run(spark: SparkSession, sf_dir: str) -> dict[int, int]:
+    """The offset of each partition at which the second half of the events begins."""
+    half = event_count(spark, sf_dir) // 2
+    return {p: 2 * half + 1000 * p for p in range(4)}
+
+
 def event_log_ms() -> Column:
     """Time at which an event reached the log."""
     return epoch_ms_of_utc(F.col("ts")) + F.col("event_id") % 3000
@@ -197,8 +231,8 @@ def change_messages(events: DataFrame) -> DataFrame:
         F.when(op != "d", image(xml)).alias("after"),
         F.struct(F.lit("events").alias("table"), (ms - ms % 1000).alias("ts_ms")).alias("source"),
         (ms + 5).alias("ts_ms"),
-        (F.col("user_id") % 4).cast("int").alias("partition"),
-        (event_id * 2).alias("_offset"),
+        event_partition().alias("partition"),
+        event_offset().alias("_offset"),
         F.timestamp_millis(ms + event_id % 3000).alias("timestamp"),
     )
     offset = F.col("_offset") + F.col("is_tombstone").cast("int")
@@ -215,28 +249,22 @@ def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_envelope(messages(spark, sf_dir))
 
 
-def message_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The key of each change, ``recid``, without building or parsing its message."""
-    return table(spark, sf_dir, "events").select(event_recid().alias("recid"))
-
-
-def message_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The event table as a stream of messages; the table is one file or a folder of files."""
-    path = f"{sf_dir}/events.parquet"
-    batch = spark.read.parquet(path)
-    reader = spark.readStream.schema(EVENT_SCHEMA).option("maxFilesPerTrigger", 1000)
-    one = batch.select(F.input_file_name()).first()
-    if one is not None and one[0].endswith("/events.parquet"):
-        # A stream reads folders, so take the one file out of its folder.
-        events = reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    else:
-        events = reader.parquet(path)
-    cores = _idle_cores(batch)
-    return change_messages(events.repartition(cores) if cores else events)
+def damaged_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The messages, and behind some of them one that is cut off or no JSON at all, at an offset of its own."""
+    events = table(spark, sf_dir, "events").filter((F.col("event_id") % 25 == 0) & (F.col("event_type") != "error"))
+    cut = F.when(F.col("offset") % 4 == 0, F.substr("value", F.lit(1), F.lit(8))).otherwise(F.lit("not json"))
+    bad = change_messages(events).withColumns({"value": cut, "offset": F.col("offset") + 1})
+    return messages(spark, sf_dir).unionByName(bad)
 
 
 def change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parse_envelope(message_stream(spark, sf_dir))
+    """The messages as a stream of BATCHES micro-batches in log order: one file each, added one after the other."""
+    path, n = scratch_dir(spark, "topic"), event_count(spark, sf_dir)
+    events = table(spark, sf_dir, "events")
+    for k in range(BATCHES):
+        part = events.filter(F.col("event_id").between(n * k // BATCHES, n * (k + 1) // BATCHES - 1))
+        change_messages(part).coalesce(1).write.mode("append").parquet(path)
+    return parse_envelope(change_stream(spark, {"maxFilesPerTrigger": "1"}, "parquet", path, MESSAGE))
 
 
 # ---- observations ----------------------------------------------------------------------------------
@@ -245,8 +273,8 @@ def change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _events_with_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(
         "event_id",
-        (F.col("user_id") % 4).cast("int").alias("kafka_partition"),
-        (F.col("event_id") * 2).alias("kafka_offset"),
+        event_partition().alias("kafka_partition"),
+        event_offset().alias("kafka_offset"),
         event_op().alias("op"),
         event_log_ms().alias("t3"),
     )
@@ -277,11 +305,11 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def seed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What both stages held before polling began."""
-    events = _events_with_identity(spark, sf_dir)
+    """What both stages held before polling began: a tenth of the events raw, an eighth parsed."""
+    events, n = _events_with_identity(spark, sf_dir), event_count(spark, sf_dir)
     stages = F.array(
-        F.when(F.col("event_id") < SEEDED_RAW, "raw"),
-        F.when((F.col("event_id") < SEEDED_PARSED) & (F.col("op") != "d"), "parsed"),
+        F.when(F.col("event_id") < n // 10, "raw"),
+        F.when((F.col("event_id") < n // 8) & (F.col("op") != "d"), "parsed"),
     )
     return (
         events.select("kafka_partition", "kafka_offset", F.explode(stages).alias("stage"))
@@ -290,26 +318,14 @@ def seed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def recorded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Changes that an earlier run had measured."""
+    """Changes that an earlier run had measured: the third tenth."""
+    n = event_count(spark, sf_dir)
     return (
         _events_with_identity(spark, sf_dir)
-        .filter(F.col("event_id").between(*RECORDED))
+        .filter(F.col("event_id").between(n // 5, n * 3 // 10))
         .select("kafka_partition", "kafka_offset")
     )
 
 
 def nothing_recorded(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], OBSERVATION).select("kafka_partition", "kafka_offset")
-
-
-# ---- workload --------------------------------------------------------------------------------------
-
-
-def order_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order records as templates; order keys run from 0 without gaps."""
-    records = order_records(table(spark, sf_dir, "orders"), "o_orderkey")
-    return records.select(
-        (F.col("o_orderkey") + 1).alias("i"),
-        F.col("recid").alias("template_id"),
-        F.col("xmlrecord").alias("template"),
-    )

@@ -7,13 +7,16 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from cdcflow.operators.audit import audit
-from cdcflow.operators.flatten import flatten_events, flatten_events_relational, flatten_wide, namer
+from cdcflow.operators.flatten import flatten_events, flatten_wide
 from cdcflow.operators.state import current_state
 from cdcflow.operators.trace import trace
-from cdcflow.plans.account import account_columns
+from cdcflow.plans.account import POSITIONS
 from cdcflow.schema import ARRIVAL
 from cdcflow.sources.envelope import drop_tombstones
+from cdcflow.sources.lookup import names_from_lookup
 from cdcflow.sources.tables import live_view
+from cdcflow.streaming.current import read_state, read_wide
+from cdcflow.streaming.history import read_audit
 
 
 def register_views(
@@ -28,25 +31,39 @@ def register_views(
 
     ``account`` (current state), ``account_events`` and ``account_audit`` (history without and with before-images),
     ``account_columns`` (wide state), ``lookup_metadata``, ``trace_events``, ``trace_parsed``, ``trace_arrivals`` and
-    ``cdc_trace``. ``prefix`` goes in front of all names but the lookup's. A view is computed when it is read;
-    ``changes`` may be a log or a live table, so give live results by registering over live tables.
+    ``cdc_trace``. ``prefix`` goes in front of all names, so several chains fit into one session. A view is computed
+    when it is read, but for the parsing of changes for ``account_audit``. For live results see ``register_live_views``.
     """
     if arrivals is None:
         arrivals = spark.createDataFrame([], ARRIVAL)
     state = current_state(changes)
-    names = namer(lookup)
-    parsed = flatten_events_relational(changes, lookup) if names is None else flatten_events(changes, names)
     views = {
         "account": state.select("recid", "xmlrecord"),
         "account_events": changes,
         "account_audit": audit(changes),
-        "account_columns": flatten_wide(state, lookup, columns or account_columns()),
+        "account_columns": flatten_wide(state, lookup, columns or names_from_lookup(lookup, POSITIONS)),
         "trace_events": drop_tombstones(changes),
-        "trace_parsed": parsed,
+        "trace_parsed": flatten_events(changes, lookup),
         "trace_arrivals": arrivals,
         "cdc_trace": trace(changes, arrivals),
+        "lookup_metadata": lookup,
     }
     for name, df in views.items():
         live_view(df, prefix + name)
-    live_view(lookup, "lookup_metadata")
-    return [*(prefix + name for name in views), "lookup_metadata"]
+    return [prefix + name for name in views]
+
+
+def register_live_views(spark: SparkSession, state: str, wide: str, history: str, prefix: str = "live_") -> list[str]:
+    """Views over live tables, by their folders: ``account``, ``account_columns`` and ``account_audit``.
+
+    They read what ``upsert_stream``, ``flatten_stream`` and ``audit_stream`` have published. A view knows the layers
+    of its table at the time it is registered; register again to see later batches.
+    """
+    views = {
+        "account": read_state(spark, state),
+        "account_columns": read_wide(spark, wide),
+        "account_audit": read_audit(spark, history),
+    }
+    for name, df in views.items():
+        live_view(df, prefix + name)
+    return [prefix + name for name in views]

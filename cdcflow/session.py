@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(
@@ -27,15 +28,22 @@ def local_session(
     return builder.getOrCreate()
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read from there: computed once, lineage cut."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh path for tables and stream checkpoints in the folder all executors share.
 
-    The folder is ``spark.checkpoint.dir`` of the session. Only a local session, where every task sees
+    The folder is ``spark.checkpoint.dir`` of the session. Only a session in one process, where every task sees
     the same disk, may leave it unset; then a temporary folder is taken.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the whole cluster")
         base = tempfile.mkdtemp(prefix="cdcflow-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

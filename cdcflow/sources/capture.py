@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cdcflow.schema import UNAVAILABLE
@@ -17,7 +17,7 @@ def _image(recid, xml):
 
 
 def snapshot(records: DataFrame, columns: Sequence[str] = CAPTURED) -> DataFrame:
-    """One ``r`` change per record; only the captured columns are read."""
+    """One ``r`` change per record; ``columns`` are the two that are captured, key and payload, and no others are read."""
     key, payload = columns
     return records.select(
         F.lit("r").alias("op"),
@@ -46,3 +46,24 @@ def snapshot_diff(old: DataFrame, new: DataFrame, key: str = "recid", payload: s
         F.when(F.col("op") != "c", _image(F.col("_k"), F.lit(UNAVAILABLE))).alias("before"),
         F.when(F.col("op") != "d", _image(F.col("_k"), F.col("_new"))).alias("after"),
     )
+
+
+def as_log(
+    changes: DataFrame, at_ms: int, partitions: int, start: dict[int, int] | None = None, partition: Column | None = None
+) -> DataFrame:
+    """Captured changes with times and places in a log, ready for ``current_state``, ``audit`` and ``trace``.
+
+    ``at_ms`` is the time of the capture: the source log keeps whole seconds of it. Changes go to ``partitions`` by
+    their key (or by the number ``partition``) and are numbered by key in each, from ``start`` (0 by default). Every
+    partition is numbered by one task, so their number has to suit the size of the capture.
+    """
+    key = F.coalesce("after.RECID", "before.RECID")
+    dealt = changes.withColumn("kafka_partition", F.pmod(partition if partition is not None else F.xxhash64(key), F.lit(partitions)).cast("int"))
+    nth = F.row_number().over(Window.partitionBy("kafka_partition").orderBy(key, "op"))
+    first = F.create_map(*(F.lit(x) for item in (start or {-1: 0}).items() for x in item))
+    offset = (F.coalesce(F.try_element_at(first, F.col("kafka_partition")), F.lit(0)) + nth - 1).cast("bigint")
+    at = F.lit(at_ms).cast("bigint")
+    return dealt.select(
+        "op", "before", "after", F.struct((at - at % 1000).alias("ts_ms")).alias("source"), at.alias("ts_ms"),
+        "kafka_partition", offset.alias("kafka_offset"), F.timestamp_millis(at).alias("kafka_ts"),
+    )

@@ -8,16 +8,36 @@ from pyspark.sql import functions as F
 from cdcflow.schema import ENVELOPE, OP_WORDS
 
 
-def parse_envelope(messages: DataFrame, value_col: str = "value", envelope: str = ENVELOPE) -> DataFrame:
+def parse_envelope(
+    messages: DataFrame, value_col: str = "value", envelope: str = ENVELOPE, on_bad: str = "fail"
+) -> DataFrame:
     """Parse the JSON text of each message into ``op, before, after, source, ts_ms``.
 
     Every message stays a row; a NULL value (tombstone) gives NULL columns. Pass another ``envelope``
     DDL to keep more of ``source``. Other columns of the input are kept behind the parsed ones.
+
+    A value that is no whole JSON text, or names no operation, fails the job once its ``op`` is read. With
+    ``on_bad="keep"`` its text stays in one more column, ``bad_value``, for ``bad_messages``; its ``op`` is NULL.
     """
+    if on_bad not in ("fail", "keep"):
+        raise ValueError(f"unknown treatment {on_bad!r}")
     rest = [c for c in messages.columns if c != value_col]
     # inline instead of a struct column: later filters on op stay above it, so the JSON is parsed once.
-    parsed = messages.select(F.inline(F.array(F.from_json(F.col(value_col), envelope))), *rest)
-    return with_metadata(parsed)
+    options = {"columnNameOfCorruptRecord": "_damaged"}
+    struct = F.from_json(F.col(value_col), f"{envelope}, _damaged STRING", options)
+    parsed = messages.select(F.inline(F.array(struct)), F.col(value_col).alias("_value"), *rest)
+    bad = F.col("_value").isNotNull() & (F.col("op").isNull() | F.col("_damaged").isNotNull())
+    if on_bad == "keep":
+        parsed = parsed.withColumns({"bad_value": F.when(bad, F.col("_value")), "op": F.when(~bad, F.col("op"))})
+    else:
+        where = F.concat(F.lit("damaged message: "), F.substr("_value", F.lit(1), F.lit(200)))
+        parsed = parsed.withColumn("op", F.when(bad, F.raise_error(where)).otherwise(F.col("op")))
+    return with_metadata(parsed.drop("_damaged", "_value"))
+
+
+def bad_messages(parsed: DataFrame) -> DataFrame:
+    """The messages that could not be parsed, out of ``parse_envelope(..., on_bad="keep")``."""
+    return parsed.filter(F.col("bad_value").isNotNull())
 
 
 def to_messages(changes: DataFrame, *rest: str) -> DataFrame:
@@ -58,9 +78,18 @@ def decode_op(op: Column) -> Column:
     return F.coalesce(word, op)
 
 
-def since_offset(changes: DataFrame, start_offset: int, offset_col: str = "kafka_offset") -> DataFrame:
-    """Changes from one offset on: the scope of one run, and the table form of a start position."""
-    return changes.filter(F.col(offset_col) >= start_offset)
+def from_offsets(start: dict[int, int]) -> Column:
+    """True from the start offset of each partition on. Offsets of different partitions say nothing about each other,
+    so each has its own; a partition that is not named is taken whole."""
+    starts = F.lit(None).cast("map<int,bigint>")
+    if start:
+        starts = F.create_map(*(F.lit(x).cast(t) for p, o in start.items() for x, t in ((p, "int"), (o, "bigint"))))
+    return F.coalesce(F.col("kafka_offset") >= F.try_element_at(starts, F.col("kafka_partition").cast("int")), F.lit(True))
+
+
+def since_offset(changes: DataFrame, start: dict[int, int]) -> DataFrame:
+    """Changes from one offset of each partition on: the scope of one run, and the table form of a start position."""
+    return changes.filter(from_offsets(start))
 
 
 def flat_changes(changes: DataFrame, *extra: str) -> DataFrame:

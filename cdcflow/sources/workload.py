@@ -1,31 +1,11 @@
-"""Test workloads as Spark jobs: mixed, bulk and continuous load, and record stamping.
-
-Templates are rows ``(i, template_id, template)`` with ``i`` running from 1 without gaps. ``template_rows``
-makes them from one record text; any table with such an index works as well. Times and offsets are
-arithmetic on ``i``, so a load of any size is one narrow job.
-"""
+"""Stamped copies of records."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import Column
 
 from cdcflow.functions.records import add_marker, replace_tag, set_record_id
-from cdcflow.schema import (
-    BULK_PREFIX,
-    CLIENT_MARKER,
-    CONTINUOUS_PREFIX,
-    DATABASE_MARKER,
-    IMAGE,
-    MIXED_PREFIX,
-    UNAVAILABLE,
-)
-
-
-def template_rows(spark: SparkSession, template: str, template_id: str, rows: int) -> DataFrame:
-    return spark.range(1, rows + 1).select(
-        F.col("id").alias("i"), F.lit(template_id).alias("template_id"), F.lit(template).alias("template")
-    )
+from cdcflow.schema import CLIENT_MARKER, DATABASE_MARKER
 
 
 def stamp_record(
@@ -45,81 +25,3 @@ def stamp_record(
     if database_ms is not None:
         xml = add_marker(xml, DATABASE_MARKER, database_ms)
     return xml
-
-
-def _image(recid: Column, xml: Column) -> Column:
-    return F.struct(recid.alias("RECID"), xml.alias("XMLRECORD"))
-
-
-def _change(rows: DataFrame, op: str, at_ms: Column, offset: Column, recid: Column, xml: Column | None) -> DataFrame:
-    no_image = F.lit(None).cast(IMAGE)
-    before = _image(recid, F.lit(UNAVAILABLE)) if op in ("u", "d") else no_image
-    after = no_image if xml is None else _image(recid, xml)
-    return rows.select(
-        F.lit(op).alias("op"),
-        before.alias("before"),
-        after.alias("after"),
-        # The log keeps whole seconds.
-        F.struct((at_ms - at_ms % 1000).alias("ts_ms")).alias("source"),
-        at_ms.alias("ts_ms"),
-        F.lit(0).alias("kafka_partition"),
-        offset.alias("kafka_offset"),
-        F.timestamp_millis(at_ms).alias("kafka_ts"),
-    )
-
-
-def synth_changes(
-    templates: DataFrame, inserts: int = 20, updates: int = 10, deletes: int = 10, delay_ms: int = 2000, start_ms: int = 0
-) -> DataFrame:
-    """Mixed load: insert all, update the first ones, delete the last ones backwards, evenly spaced.
-
-    Each delete is followed by its tombstone, so ``inserts + updates + deletes`` changes are that many
-    messages and ``deletes`` more.
-    """
-    if max(updates, deletes) > inserts:
-        raise ValueError("cannot update or delete more records than were inserted")
-    i = F.col("i")
-    rows = templates.filter(i.between(1, inserts))
-
-    def at(step: Column) -> Column:
-        return F.lit(start_ms).cast("bigint") + (step - 1) * delay_ms
-
-    insert_ms = at(i)
-    recid = F.concat(F.lit(MIXED_PREFIX), insert_ms.cast("string"), F.lit("-"), i.cast("string"))
-    update_ms = at(i + inserts)
-    nth_delete = F.lit(inserts) - i + 1
-    delete_ms = at(nth_delete + inserts + updates)
-    delete_offset = F.lit(inserts + updates) + (nth_delete - 1) * 2
-
-    def stamped(ms: Column) -> Column:
-        return stamp_record(F.col("template"), F.col("template_id"), recid, ms, ms)
-
-    inserted = _change(rows, "c", insert_ms, i - 1, recid, stamped(insert_ms))
-    updated = _change(rows.filter(i <= updates), "u", update_ms, i + (inserts - 1), recid, stamped(update_ms))
-    tail = rows.filter(i > inserts - deletes)
-    deleted = _change(tail, "d", delete_ms, delete_offset, recid, None)
-    tombstones = deleted.select(
-        *[F.lit(None).cast(deleted.schema[c].dataType).alias(c) for c in ("op", "before", "after", "source", "ts_ms")],
-        "kafka_partition",
-        (F.col("kafka_offset") + 1).alias("kafka_offset"),
-        "kafka_ts",
-    )
-    return inserted.unionByName(updated).unionByName(deleted).unionByName(tombstones)
-
-
-def synth_bulk(templates: DataFrame, batch_ms: int) -> DataFrame:
-    """Bulk load: every row carries the same client stamp and arrives with the same commit."""
-    batch = F.lit(batch_ms).cast("bigint")
-    recid = F.concat(F.lit(f"{BULK_PREFIX}{batch_ms}-"), F.col("i").cast("string"))
-    xml = stamp_record(F.col("template"), F.col("template_id"), recid, batch, batch)
-    return _change(templates, "c", batch, F.col("i") - 1, recid, xml)
-
-
-def synth_continuous(spark: SparkSession, template: str, template_id: str, rows_per_second: int = 1) -> DataFrame:
-    """Continuous load: a stream of inserts, each with its own key and client stamp."""
-    ticks = spark.readStream.format("rate").option("rowsPerSecond", rows_per_second).load()
-    at_ms = F.unix_millis("timestamp")
-    i = F.col("value") + 1
-    recid = F.concat(F.lit(CONTINUOUS_PREFIX), at_ms.cast("string"), F.lit("-"), i.cast("string"))
-    xml = stamp_record(F.lit(template), template_id, recid, at_ms, at_ms)
-    return _change(ticks, "c", at_ms, F.col("value"), recid, xml)

@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
-from cdcflow.operators.flatten import Namer, flatten_events
+from cdcflow.operators.flatten import flatten_events
 from cdcflow.schema import EVENT_KEY
+from cdcflow.streaming.current import Lookup, lookup_now
 from cdcflow.streaming.feed import barrier
 from cdcflow.streaming.live import batch_writer
 
@@ -24,7 +25,7 @@ def stamp_arrivals(rows: DataFrame, stage: str, seen_ms: int) -> DataFrame:
 
 
 def traced_stream(
-    changes: DataFrame, names: Namer, folder: str, checkpoint: str, seconds: float | None = 1.0
+    changes: DataFrame, lookup: Lookup, folder: str, checkpoint: str, seconds: float | None = 1.0
 ) -> StreamingQuery:
     """Land each micro-batch raw, then parsed, and stamp each stage after its commit.
 
@@ -37,7 +38,7 @@ def traced_stream(
         batch_writer(f"{folder}/events")(batch, batch_id)
         raw_ms = now_ms()
         events = spark.read.parquet(f"{folder}/events/batch_id={batch_id}")
-        batch_writer(f"{folder}/parsed")(flatten_events(events, names), batch_id)
+        batch_writer(f"{folder}/parsed")(flatten_events(events, lookup_now(spark, lookup)), batch_id)
         parsed_ms = now_ms()
         parsed = spark.read.parquet(f"{folder}/parsed/batch_id={batch_id}")
         seen = stamp_arrivals(events, "raw", raw_ms).unionByName(stamp_arrivals(parsed, "parsed", parsed_ms))

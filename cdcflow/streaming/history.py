@@ -1,149 +1,60 @@
-"""Live history with before-images, in two streaming queries.
+"""Live history with before-images, in one streaming query without a state store.
 
-The first has no state. It links the changes inside each micro-batch and writes, per key, one *edge*: the
-first offset of the key in the batch and the last image it leaves. The second reads the edges and carries
-the last image of each key from batch to batch. However many changes a key has, the stateful query sees
-one row per key and batch, and never holds the changes of a key in memory.
+Each micro-batch is read once, into a work folder. Inside it, changes are linked to the image before them. The first
+change of a key in a batch takes the newest image that earlier batches left, from a keyed table of images. Only then
+the batch is published, so a reader never sees a change whose before-image is still to come.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from cdcflow.operators.audit import HOT_ROWS, SPAN, edge_images, prior_images
-from cdcflow.operators.state import payload_known
+from cdcflow.operators.audit import HOT_ROWS, SPAN, history_rows, prior_images
+from cdcflow.operators.state import images_of, newest_images
 from cdcflow.sources.envelope import flat_changes
-from cdcflow.streaming.feed import barrier, rocksdb_state, run_to_end
-from cdcflow.streaming.live import batch_writer
-
-EDGE = "recid STRING, first_offset BIGINT, known BOOLEAN, tail_xml STRING, gone BOOLEAN, batch_id INT"
-CARRY = "recid STRING, link_batch INT, before_xml STRING"
+from cdcflow.streaming.feed import barrier
+from cdcflow.streaming.live import EVERY, batch_writer, keyed_writer, read_keyed
 
 
-def link_stream(
+def audit_stream(
     changes: DataFrame,
-    links: str,
-    edges: str,
-    checkpoint: str,
+    folder: str,
     hot_rows: int = HOT_ROWS,
     span: int = SPAN,
     seconds: float | None = 1.0,
+    every: int = EVERY,
 ) -> StreamingQuery:
-    """First query: linked changes and edges of each micro-batch."""
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        flat = flat_changes(batch)
-        batch_writer(links)(prior_images(flat, hot_rows, span), batch_id)
-        # The edges come from the written rows, so the source is read once.
-        written = flat.sparkSession.read.parquet(f"{links}/batch_id={batch_id}")
-        batch_writer(edges)(
-            edge_images(written, ["recid"]).select(
-                "recid",
-                "first_offset",
-                F.col("tail").isNotNull().alias("known"),
-                F.col("tail.xmlrecord").alias("tail_xml"),
-                "gone",
-            ),
-            batch_id,
-        )
-
-    return (
-        changes.writeStream.option("checkpointLocation", checkpoint)
-        .foreachBatch(write)
-        .trigger(**barrier(seconds))
-        .start()
-    )
-
-
-def last_image() -> StatefulProcessor:
-    """Per key, the image the previous batch left.
-
-    The payload is freed when the key is deleted. The offset stays, so that a batch that is written a second
-    time is recognised. The class is local, so it travels to the workers by value.
-    """
-
-    class LastImage(StatefulProcessor):
-        def init(self, handle: StatefulProcessorHandle) -> None:
-            self.last = handle.getValueState("last", "xmlrecord STRING, first_offset BIGINT")
-
-        def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-            # One row per micro-batch of the first query.
-            for row in sorted(rows, key=lambda r: r.first_offset):
-                before, seen = self.last.get() or (None, -1)
-                if row.first_offset <= seen:
-                    continue
-                if before is not None:
-                    yield Row(recid=key[0], link_batch=row.batch_id, before_xml=before)
-                if row.gone:
-                    image = None
-                else:
-                    image = row.tail_xml if row.known else before
-                self.last.update((image, row.first_offset))
-
-        def close(self) -> None:
-            pass
-
-    return LastImage()
-
-
-def carry_stream(
-    spark: SparkSession, edges: str, carried: str, checkpoint: str, seconds: float | None = 1.0
-) -> StreamingQuery:
-    """Second query: for each key and batch, the image that stood before the batch."""
-    source = spark.readStream.schema(EDGE).parquet(edges)
-    carry = source.groupBy("recid").transformWithState(
-        statefulProcessor=last_image(), outputStructType=CARRY, outputMode="Append", timeMode="None"
-    )
-    with rocksdb_state(spark):
-        return (
-            carry.writeStream.option("checkpointLocation", checkpoint)
-            .foreachBatch(batch_writer(carried))
-            .trigger(**barrier(seconds))
-            .start()
-        )
-
-
-def audit_stream(
-    changes: DataFrame, folder: str, hot_rows: int = HOT_ROWS, span: int = SPAN, seconds: float | None = 1.0
-) -> list[StreamingQuery]:
     """Keep the history of ``changes`` under ``folder``; read it with ``read_audit``.
 
-    Starts both queries. With ``seconds=None`` each one works off what there is, the second after the first.
+    A batch that is written a second time reads the images of earlier batches only, and so gives the same rows.
     """
-    spark = changes.sparkSession
-    links, edges, carried = (f"{folder}/{name}" for name in ("links", "edges", "carried"))
-    first = link_stream(changes, links, edges, f"{folder}/checkpoint-links", hot_rows, span, seconds)
-    if seconds is None:
-        run_to_end(first)
-    else:
-        spark.createDataFrame([], EDGE).write.mode("append").partitionBy("batch_id").parquet(edges)
-    second = carry_stream(spark, edges, carried, f"{folder}/checkpoint-carry", seconds)
-    if seconds is None:
-        run_to_end(second)
-    return [first, second]
+    images, work = f"{folder}/images", f"{folder}/work"
+    add_images = keyed_writer(images, newest_images, images_of, every=every)
+    publish = batch_writer(f"{folder}/history")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        flat = flat_changes(batch)
+        flat.write.mode("overwrite").parquet(work)
+        flat = spark.read.schema(flat.schema).parquet(work)
+        linked = prior_images(flat, hot_rows, span)
+        earlier = read_keyed(spark, images, newest_images, deleted=True, below=batch_id)
+        if earlier is None:
+            rows = history_rows(linked, F.col("prior.xmlrecord"))
+        else:
+            carried = earlier.select("recid", F.col("xmlrecord").alias("carried"))
+            closed = history_rows(linked.filter(F.col("prior").isNotNull()), F.col("prior.xmlrecord"))
+            opened = linked.filter(F.col("prior").isNull()).join(carried, "recid", "left")
+            rows = closed.unionByName(history_rows(opened, F.col("carried")))
+        publish(rows, batch_id)
+        add_images(flat, batch_id)
+
+    stream = changes.writeStream.option("checkpointLocation", f"{folder}/checkpoint")
+    return stream.foreachBatch(write).trigger(**barrier(seconds)).start()
 
 
 def read_audit(spark: SparkSession, folder: str) -> DataFrame:
-    """The history so far: the same columns as the batch ``audit``.
-
-    Only changes without an earlier image in their own micro-batch, mostly one per key and batch, are joined with
-    the carried images; the others are read as they are.
-    """
-    rows = spark.read.parquet(f"{folder}/links")
-    carry = spark.read.schema(CARRY).parquet(f"{folder}/carried")
-    carry = carry.select("recid", F.col("link_batch").alias("batch_id"), "before_xml")
-    closed = rows.filter(F.col("prior").isNotNull()).withColumn("before_xml", F.col("prior.xmlrecord"))
-    opened = rows.filter(F.col("prior").isNull()).join(carry, ["recid", "batch_id"], "left")
-    return closed.unionByName(opened).select(
-        "recid",
-        "op",
-        "kafka_partition",
-        "kafka_offset",
-        "before_xml",
-        F.when(~payload_known(), F.col("before_xml")).otherwise(F.col("xmlrecord")).alias("after_xml"),
-    )
+    """The history so far: the same columns as the batch ``audit``."""
+    return spark.read.parquet(f"{folder}/history").drop("batch_id")

@@ -89,12 +89,16 @@ def test_names(spark, records, lookup):
     assert names[("full", "c46", "100", "cut")] == "day_10"
 
 
-def test_both_forms_agree(spark, records, lookup):
-    narrow = flatten.flatten_wide(records, lookup, COLUMNS)
-    relational = flatten.flatten_relational(records, lookup, COLUMNS)
-    assert narrow.columns == relational.columns == ["recid", *COLUMNS]
-    assert wide_rows(narrow) == WIDE
-    assert wide_rows(relational) == WIDE
+def test_wide(spark, records, lookup):
+    wide = flatten.flatten_wide(records, lookup, COLUMNS)
+    assert wide.columns == ["recid", *COLUMNS]
+    assert wide_rows(wide) == WIDE
+
+
+def test_records_of_one_key_are_one_row(spark, lookup):
+    data = [("A", record("A", "<c1>1</c1><c3>b</c3>")), ("A", record("A", "<c1>2</c1><c46>x</c46>")), ("A", record("A"))]
+    df = spark.createDataFrame(data, "recid STRING, xmlrecord STRING")
+    assert wide_rows(flatten.flatten_wide(df, lookup, COLUMNS)) == {"A": {"customer": "2", "title": "b", "day_01": "x"}}
 
 
 def brute_wide(recid, xml, lookup):
@@ -128,20 +132,24 @@ def test_random_records_against_brute_force(spark, lookup):
     names = sorted({n for w in want.values() for n in w})
     df = spark.createDataFrame(data, "recid STRING, xmlrecord STRING").repartition(4)
     assert wide_rows(flatten.flatten_wide(df, lookup, names)) == want
-    assert wide_rows(flatten.flatten_relational(df, lookup, names)) == want
 
 
-def test_large_lookup_is_salted(spark, records, lookup):
-    tags = flatten.unpivot_tags(records, ["recid"])
-    salted = flatten.resolve_names(tags, lookup, broadcast_rows=3)
-    assert "_salt" not in salted.columns
-    assert sorted(map(str, salted.collect())) == sorted(map(str, flatten.resolve_names(tags, lookup).collect()))
+def test_lookup_of_any_size_gives_the_same(spark, records, lookup):
+    """Beyond the broadcast threshold, and with more rows than any driver-side limit there has been."""
+    more = spark.range(6000).selectExpr(
+        "concat('c', id + 1000) AS field_index", "CAST(NULL AS STRING) AS m_index", "concat('n', id) AS resolved_name_en", "false AS is_multivalue"
+    )
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = flatten.flatten_wide(records, lookup.unionByName(more), COLUMNS)
+        assert "SortMergeJoin" in df._jdf.queryExecution().executedPlan().toString()
+        assert wide_rows(df) == WIDE
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_large_or_ambiguous_lookup_has_no_narrow_form(spark, records, lookup):
-    assert flatten.namer(lookup, limit=3) is None
+def test_ambiguous_lookup(spark, records, lookup):
     twice = lookup.unionByName(lookup.filter("field_index = 'c1'").withColumn("resolved_name_en", F.lit("second")))
-    assert flatten.namer(twice) is None
     got = wide_rows(flatten.flatten_wide(records, twice, ["customer", "second"]))
     assert got["full"] == {"customer": "7", "second": "7"}
 
@@ -151,9 +159,11 @@ def test_empty_lookup(spark, records):
     assert wide_rows(flatten.flatten_wide(records, nothing, ["customer"])) == {k: {} for k in WIDE}
 
 
-def test_plan_of_narrow_form_has_no_exchange(spark, records, lookup):
-    plan = flatten.flatten_wide(records, lookup, COLUMNS)._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange" not in plan
+def test_plan_runs_the_pattern_once_and_broadcasts_a_small_lookup(spark, records):
+    plan = flatten.flatten_wide(records, lookup_rows(spark, LOOKUP), COLUMNS)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") == 1
+    plan = flatten.resolve_names(flatten.unpivot_tags(records, ["recid"]), lookup_rows(spark, LOOKUP))
+    assert plan._jdf.queryExecution().executedPlan().toString().count("BroadcastHashJoin") == 2
 
 
 def test_per_event_counts(spark, lookup):
@@ -168,44 +178,35 @@ def test_per_event_counts(spark, lookup):
         ],
     )
     want = [(0, 0, "A", 9), (0, 1, "A", 0)]
-    names = flatten.namer(lookup)
-    assert rows(flatten.flatten_events(log, names), "kafka_offset") == want
-    assert rows(flatten.flatten_events_relational(log, lookup), "kafka_offset") == want
+    assert rows(flatten.flatten_events(log, lookup), "kafka_offset") == want
 
 
 def test_names_from_lookup(spark, lookup):
     names = names_from_lookup(lookup, 3)
     assert names[:2] == ["customer", "title"] and names[-3:] == ["day_01", "day_02", "day_03"]
+    assert names_from_lookup(lookup, {"c46": 1})[-1] == "day_01"
 
 
 def test_lookup_file_and_account_view(spark, tmp_path):
-    columns = account.account_columns()
-    assert len(columns) == len(set(columns)) == 165
-    # A lookup of the right shape: every name on a field of its own, repeated ones on the fields that repeat.
-    repeated = [line.split(" ")[0] for line in account.ACCOUNT_FIELDS.split("\n") if " " in line]
-    fields = dict(zip(repeated, account.MULTIVALUE_FIELDS))
-    plain = [c for c in columns if not any(c[:-3] == r for r in repeated)]
+    lines = ["account,c1,,customer,2026-01-01", "account,c20,2,local,2026-01-01"]
+    lines += [f"account,{field},,many_{field},2026-01-01" for field in account.POSITIONS]
+    lines += [f"account,c{1000 + k},,field_{k},2026-01-01" for k in range(53)]
     path = tmp_path / "lookup.csv"
-    with open(path, "w", encoding="utf-8") as out:
-        out.write('"table_name","field_index","m_index","resolved_name_en","dt"\n')
-        for name, field in fields.items():
-            out.write(f"account,{field},,{name},2026-01-01\n")
-        for k, name in enumerate(plain[:-1]):
-            out.write(f"account,c{1000 + k},,{name},2026-01-01\n")
-        out.write(f"account,c20,2,{plain[-1]},2026-01-01\n")
-    lookup = load_lookup(spark, str(path), account.MULTIVALUE_FIELDS)
+    path.write_text("\n".join(['"table_name","field_index","m_index","resolved_name_en","dt"', *lines]) + "\n", encoding="utf-8")
+    lookup = load_lookup(spark, str(path), account.POSITIONS)
     assert lookup.filter("m_index IS NULL AND is_multivalue").count() == 9
     assert lookup.filter("m_index = '2' AND NOT is_multivalue").count() == 1
-    body = "".join(f"<c{1000 + k}>{name}</c{1000 + k}>" for k, name in enumerate(plain[:-1]))
-    body += f'<c20>x</c20><c20 m="2">{plain[-1]}</c20>'
-    for name, field in fields.items():
-        width = sum(c[:-3] == name for c in columns)
-        body += f"<{field}>{name}_01</{field}>"
-        body += "".join(f'<{field} m="{k}">{name}_{k:02d}</{field}>' for k in range(2, width + 1))
+    body = '<c1>customer</c1><c20>x</c20><c20 m="2">local</c20>'
+    body += "".join(f"<c{1000 + k}>field_{k}</c{1000 + k}>" for k in range(53))
+    for field, last in account.POSITIONS.items():
+        body += f"<{field}>many_{field}_01</{field}>"
+        body += "".join(f'<{field} m="{k}">many_{field}_{k:02d}</{field}>' for k in range(2, last + 1))
     records = spark.createDataFrame([("A", record("A", body))], "recid STRING, xmlrecord STRING")
     view = account.account_view(records, lookup)
-    assert view.columns == ["recid", *columns]
-    assert list(view.head())[1:] == columns
+    assert len(view.columns) == 166
+    assert list(view.head())[1:] == view.columns[1:]
+    with pytest.raises(TypeError):
+        load_lookup(spark, str(path))
 
 
 def test_views(spark, lookup):
@@ -244,3 +245,15 @@ def test_record_files(spark, tmp_path):
     (many / "all.xml").write_text("\n".join(record(f"R{k}", f"\n<c1>{k}</c1>") for k in range(5)) + "\n", encoding="utf-8")
     got = rows(read_records(spark, str(many), one_per_file=False), "recid")
     assert got == [(f"R{k}", record(f"R{k}", f"\n<c1>{k}</c1>")) for k in range(5)]
+
+
+def test_damaged_records_are_reported(spark, tmp_path):
+    (tmp_path / "a.xml").write_text("<rows>\n" + record("A", "<c1>1</c1>") + "\n" + record("B") + "\n<row id=\"C\"><c1>2</c1", encoding="utf-8")
+    with pytest.raises(Exception, match="damaged record"):
+        read_records(spark, str(tmp_path), one_per_file=False).collect()
+    got = read_records(spark, str(tmp_path), one_per_file=False, on_bad="keep")
+    assert {(r.recid, r.xmlrecord) for r in got.collect()} == {
+        ("A", record("A", "<c1>1</c1>")), ("B", record("B")), (None, '<row id="C"><c1>2</c1')
+    }
+    with pytest.raises(Exception, match="damaged record"):
+        read_records(spark, str(tmp_path)).collect()

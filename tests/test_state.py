@@ -64,11 +64,10 @@ def test_parse_messages(spark):
         ("A", '{"op":"c","before":null,"after":{"RECID":"A","XMLRECORD":"x"},"source":{"ts_ms":5000,"db":"q"},"ts_ms":7}', 1, 0, ts),
         ("A", '{"op":"d","before":{"RECID":"A","XMLRECORD":"y"},"after":null,"source":{"ts_ms":6000},"ts_ms":8}', 1, 1, ts),
         ("A", None, 1, 2, ts),
-        ("A", "null", 1, 3, ts),
         ("B", '{"op":"z","after":{"RECID":"B"}}', 0, 4, ts),
     ]
     parsed = envelope.parse_envelope(spark.createDataFrame(data, MESSAGE))
-    assert parsed.count() == 5
+    assert parsed.count() == 4
     got = rows(
         envelope.drop_tombstones(parsed).select(
             envelope.image("RECID"), envelope.image("XMLRECORD"), envelope.decode_op(F.col("op")), "source.ts_ms", "kafka_offset"
@@ -80,7 +79,28 @@ def test_parse_messages(spark):
         spark.createDataFrame(data, MESSAGE), envelope="op STRING, before STRING, after STRING, source STRING, ts_ms BIGINT"
     )
     assert '"db":"q"' in text.filter("kafka_offset = 0").head().source
-    assert envelope.since_offset(parsed, 3).count() == 2
+    assert envelope.since_offset(parsed, {1: 2}).count() == 2  # partition 0 is taken whole
+    assert envelope.since_offset(parsed, {0: 5, 1: 1}).count() == 2
+    assert envelope.since_offset(parsed, {}).count() == 4
+
+
+def test_damaged_messages_are_not_lost(spark):
+    import datetime
+
+    ts = datetime.datetime(2024, 1, 1)
+    good = '{"op":"c","before":null,"after":{"RECID":"A","XMLRECORD":"x"},"source":{"ts_ms":5000},"ts_ms":7}'
+    values = [good, good[:40], "not json", "null", None, '{"ts_ms":7}', good[:-1]]
+    log = spark.createDataFrame([("A", v, 0, k, ts) for k, v in enumerate(values)], MESSAGE)
+    kept = envelope.parse_envelope(log, on_bad="keep")
+    assert rows(envelope.bad_messages(kept).select("kafka_offset", "bad_value"), "kafka_offset") == [
+        (k, values[k]) for k in (1, 2, 3, 5, 6)
+    ]
+    assert rows(envelope.drop_tombstones(kept).select("kafka_offset"), "kafka_offset") == [(0,)]
+    assert rows(state.current_state(kept), "recid") == [("A", "x", 0)]
+    with pytest.raises(Exception, match="damaged message"):
+        state.current_state(envelope.parse_envelope(log)).collect()
+    whole = envelope.parse_envelope(log.filter("offset IN (0, 4)"))
+    assert rows(state.current_state(whole), "recid") == [("A", "x", 0)]
 
 
 def test_published_messages_parse_back(spark):
@@ -124,6 +144,36 @@ def test_audit_of_one_dominant_key(spark):
     assert got == brute_audit(log)
 
 
+def test_audit_reads_its_input_once(spark):
+    """The changes are written before the history is planned on them, however many branches it has."""
+    log = changes(spark, LOG)
+    plan = history.audit(log, 1, 2)._jdf.queryExecution().optimizedPlan().toString()
+    assert "LogicalRDD" not in plan and "LocalRelation" not in plan and "parquet" in plan
+
+
+def test_updates_of_one_key_twice_are_refused(spark):
+    base = spark.createDataFrame([("A", "1")], "recid STRING, xmlrecord STRING")
+    updates = spark.createDataFrame([("A", "2"), ("A", "3")], "recid STRING, xmlrecord STRING")
+    for write in (mutate.merge_upsert, mutate.apply_update):
+        with pytest.raises(Exception, match="two updates of one key: A"):
+            write(base, updates).collect()
+
+
+def test_captured_changes_enter_state_and_trace(spark):
+    from cdcflow.operators.trace import markers
+
+    schema = "recid STRING, xmlrecord STRING"
+    old = spark.createDataFrame([(f"K{k}", "1") for k in range(20)], schema)
+    new = spark.createDataFrame([(f"K{k}", "2") for k in range(10, 30)], schema)
+    first = capture.as_log(capture.snapshot(old), 1_000_000, 3)
+    ends = {r[0]: r[1] + 1 for r in first.groupBy("kafka_partition").agg(F.max("kafka_offset")).collect()}
+    log = first.unionByName(capture.as_log(capture.snapshot_diff(old, new), 2_000_123, 3, ends))
+    assert log.select("kafka_partition", "kafka_offset").distinct().count() == log.count() == 50
+    assert rows(state.current_state(log).drop("kafka_offset"), "recid") == rows(new, "recid")
+    times = {(r.t2_ms, r.t3_ms) for r in markers(log).collect()}
+    assert times == {(1_000_000, 1_000_000), (2_000_000, 2_000_123)}
+
+
 def test_hot_keys_are_split_and_others_are_not(spark):
     df = spark.range(100).select(F.when(F.col("id") < 60, "HOT").otherwise(F.col("id").cast("string")).alias("k"), "id")
     got = skew.add_buckets(df, "k", "id", hot_rows=10, span=20)

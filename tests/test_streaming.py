@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from cdcflow.operators import flatten
 from cdcflow.operators.audit import audit
-from cdcflow.operators.state import current_state
+from cdcflow.operators.state import current_state, newest_images
 from cdcflow.operators.trace import trace
 from cdcflow.operators.visibility import first_visibility
+from cdcflow.plans.views import register_live_views
 from cdcflow.schema import OBSERVATION, UNAVAILABLE
+from cdcflow.session import scratch_dir
 from cdcflow.sources.lookup import lookup_rows
 from cdcflow.streaming import arrivals, current, feed, history, live
 from helpers import CHANGE, change, changes, record, rows
@@ -58,7 +60,7 @@ def random_log(start, rows_, rng, keys=12):
 
 @pytest.fixture(scope="module")
 def names(spark):
-    return flatten.namer(lookup_rows(spark, NAMES))
+    return lookup_rows(spark, NAMES)
 
 
 @pytest.fixture(scope="module")
@@ -77,13 +79,11 @@ def test_current_state_over_batches(spark, tmp_path, batches):
     for k, batch in enumerate(batches):
         topic.add(batch)
         stream = current.current_state_stream(topic.stream())
-        feed.run_to_end(live.materialize(stream, table, checkpoint, seconds=None))
+        feed.run_to_end(live.materialize(stream, table, checkpoint, ["recid"], None, every=2))
         so_far = current_state(changes(spark, everything(batches[: k + 1])))
         assert rows(live.read_live(spark, table, ["recid"]), "recid") == rows(so_far, "recid")
-    assert spark.read.parquet(table).select("batch_id").distinct().count() >= 3
-    into = str(tmp_path / "compact")
-    assert live.compact(spark, table, into, ["recid"]) == 2
-    assert rows(live.read_live(spark, into, ["recid"]), "recid") == rows(so_far, "recid")
+    assert spark.read.parquet(f"{table}/batch").select("batch_id").distinct().count() >= 3
+    assert live.covered_layers(spark, table) == [f"{table}/batch/batch_id={n}" for n in (0, 1)]
 
 
 def test_upserts_over_batches(spark, tmp_path, batches):
@@ -91,12 +91,48 @@ def test_upserts_over_batches(spark, tmp_path, batches):
     table, checkpoint = str(tmp_path / "table"), str(tmp_path / "checkpoint")
     for k, batch in enumerate(batches):
         topic.add(batch)
-        feed.run_to_end(current.upsert_stream(topic.stream(), table, checkpoint, None))
+        feed.run_to_end(current.upsert_stream(topic.stream(), table, checkpoint, None, every=2))
         want = rows(current_state(changes(spark, everything(batches[: k + 1]))), "recid")
         assert rows(current.read_state(spark, table), "recid") == want
-    into = str(tmp_path / "compact")
-    assert current.compact_state(spark, table, into) == 2
-    assert rows(current.read_state(spark, into), "recid") == want
+    live.merge_layers(spark, table, newest_images, 2)
+    assert rows(current.read_state(spark, table), "recid") == want
+    assert len(live.covered_layers(spark, table)) == 4
+
+
+@pytest.mark.parametrize("every", [1, 2, 100])
+def test_a_deleted_key_stays_deleted_whatever_is_merged(spark, tmp_path, every):
+    """An older change that is read after the delete must not bring the key back."""
+    topic = Topic(spark, tmp_path / "topic")
+    topic.add([change("c", "A", record("A", "1"), 0), change("c", "B", record("B", "1"), 1)])
+    topic.add([change("d", "A", None, 9)])
+    topic.add([change("u", "A", record("A", "2"), 5)])
+    table = str(tmp_path / "table")
+    feed.run_to_end(current.upsert_stream(topic.stream(), table, str(tmp_path / "cp"), None, every))
+    assert rows(current.read_state(spark, table), "recid") == [("B", record("B", "1"), 1)]
+    forgotten = str(tmp_path / "forgotten")
+    feed.run_to_end(current.upsert_stream(topic.stream(), forgotten, str(tmp_path / "cp2"), None, 2, forget_after=1))
+    assert live.read_keyed(spark, forgotten, newest_images, deleted=True).filter("recid = 'A'").head().deleted
+
+
+def test_old_deletes_are_forgotten_when_told_to(spark, tmp_path):
+    topic = Topic(spark, tmp_path / "topic")
+    topic.add([change("c", "A", record("A", "1"), 0)])
+    topic.add([change("d", "A", None, 1)])
+    topic.add([change("c", "B", record("B", "1"), 2)])
+    topic.add([change("c", "C", record("C", "1"), 3)])
+    table = str(tmp_path / "table")
+    feed.run_to_end(current.upsert_stream(topic.stream(), table, str(tmp_path / "cp"), None, 4, forget_after=2))
+    assert rows(live.layers(spark, table).select("recid"), "recid") == [("B",), ("C",)]
+
+
+def test_an_unfinished_merge_is_not_read(spark, tmp_path):
+    topic = Topic(spark, tmp_path / "topic")
+    topic.add([change("c", "A", record("A", "1"), 0)])
+    topic.add([change("c", "B", record("B", "1"), 1)])
+    table = str(tmp_path / "table")
+    feed.run_to_end(current.upsert_stream(topic.stream(), table, str(tmp_path / "cp"), None, 100))
+    spark.read.parquet(f"{table}/batch").limit(0).write.parquet(f"{table}/merged/upto=1")
+    assert [r[0] for r in rows(current.read_state(spark, table), "recid")] == ["A", "B"]
 
 
 def test_upserts_of_the_small_log(spark, tmp_path):
@@ -113,12 +149,22 @@ def test_flatten_over_batches(spark, tmp_path, batches, names):
     table, checkpoint = str(tmp_path / "table"), str(tmp_path / "checkpoint")
     for batch in batches:
         topic.add(batch)
-    feed.run_to_end(
-        live.materialize(current.flatten_stream(topic.stream(), names, COLUMNS), table, checkpoint, seconds=None)
-    )
+    feed.run_to_end(current.flatten_stream(topic.stream(), names, COLUMNS, table, checkpoint, None, every=2))
     state = current_state(changes(spark, everything(batches)))
-    want = flatten.flatten_narrow(state, names, COLUMNS, keys=("recid", "kafka_offset"))
-    assert rows(live.read_live(spark, table, ["recid"]), "recid") == rows(want, "recid")
+    want = flatten.flatten_wide(state, names, COLUMNS)
+    assert rows(current.read_wide(spark, table).drop("kafka_offset"), "recid") == rows(want, "recid")
+
+
+def test_names_added_to_the_lookup_reach_a_stream(spark, tmp_path):
+    topic, table = Topic(spark, tmp_path / "topic"), str(tmp_path / "table")
+    known = [("c1", None, "customer", False)]
+    topic.add([change("c", "A", record("A", body("1", "x")), 0)])
+    for _ in range(2):
+        stream = current.flatten_stream(topic.stream(), lambda s: lookup_rows(s, known), COLUMNS, table, str(tmp_path / "cp"), None)
+        feed.run_to_end(stream)
+        known = NAMES
+        topic.add([change("c", "B", record("B", body("2", "y")), 1)])
+    assert rows(current.read_wide(spark, table).drop("kafka_offset"), "recid") == [("A", "1", None, None), ("B", "2", "y", None)]
 
 
 def test_update_to_a_record_without_tags_removes_the_wide_row(spark, tmp_path, names):
@@ -126,10 +172,9 @@ def test_update_to_a_record_without_tags_removes_the_wide_row(spark, tmp_path, n
     topic.add([change("c", "A", record("A", body("1", "x", "y")), 0), change("c", "B", record("B", body("2")), 1)])
     topic.add([change("u", "A", record("A"), 2), change("u", "B", record("B", body("", "z")), 3)])
     table = str(tmp_path / "table")
-    stream = current.flatten_stream(topic.stream(), names, COLUMNS)
-    feed.run_to_end(live.materialize(stream, table, str(tmp_path / "cp"), seconds=None))
+    feed.run_to_end(current.flatten_stream(topic.stream(), names, COLUMNS, table, str(tmp_path / "cp"), None))
     # nothing of an older version stays either
-    assert rows(live.read_live(spark, table, ["recid"]).drop("kafka_offset"), "recid") == [("B", None, "z", None)]
+    assert rows(current.read_wide(spark, table).drop("kafka_offset"), "recid") == [("B", None, "z", None)]
 
 
 def test_event_counts(spark, tmp_path, batches, names):
@@ -137,8 +182,7 @@ def test_event_counts(spark, tmp_path, batches, names):
     for batch in batches:
         topic.add(batch)
     table = str(tmp_path / "table")
-    stream = current.flatten_events_stream(topic.stream(2), names)
-    feed.run_to_end(live.materialize(stream, table, str(tmp_path / "cp"), "append", None))
+    feed.run_to_end(current.flatten_events_stream(topic.stream(2), names, table, str(tmp_path / "cp"), None))
     want = flatten.flatten_events(changes(spark, everything(batches)), names)
     assert rows(spark.read.parquet(table).drop("batch_id"), "kafka_offset") == rows(want, "kafka_offset")
 
@@ -151,41 +195,73 @@ def test_audit_over_batches(spark, tmp_path, batches, hot_rows, span):
         topic.add(batch)
         if k == 1:
             continue  # two batches are waiting the next time
-        history.audit_stream(topic.stream(), folder, hot_rows, span, seconds=None)
+        feed.run_to_end(history.audit_stream(topic.stream(), folder, hot_rows, span, None, every=2))
         so_far = everything(batches[: k + 1])
         assert rows(history.read_audit(spark, folder), "kafka_offset") == brute_audit(so_far)
     assert rows(audit(changes(spark, everything(batches)), 5, 16), "kafka_offset") == brute_audit(everything(batches))
 
 
-def test_audit_of_a_small_log_by_single_changes(spark, tmp_path):
-    topic = Topic(spark, tmp_path / "topic")
-    for part in (LOG[:2], LOG[2:6], LOG[6:11], LOG[11:12], LOG[12:]):
+def test_audit_of_a_small_log_in_small_batches(spark, tmp_path):
+    """After each batch, all that can be read is final: images of earlier batches are carried before it is published."""
+    topic, folder = Topic(spark, tmp_path / "topic"), str(tmp_path / "audit")
+    parts = (LOG[:2], LOG[2:6], LOG[6:11], LOG[11:12], LOG[12:])
+    for k, part in enumerate(parts):
+        topic.add(part)
+        feed.run_to_end(history.audit_stream(topic.stream(), folder, seconds=None, every=3))
+        assert rows(history.read_audit(spark, folder), "kafka_offset") == brute_audit(everything(parts[: k + 1]))
+
+
+def test_a_history_batch_can_be_written_again(spark, tmp_path):
+    topic, folder = Topic(spark, tmp_path / "topic"), str(tmp_path / "audit")
+    for part in (LOG[:6], LOG[6:]):
         topic.add(part)
-    links, edges, carried = (str(tmp_path / n) for n in ("links", "edges", "carried"))
-    feed.run_to_end(history.link_stream(topic.stream(), links, edges, str(tmp_path / "cp1"), seconds=None))
-    # a batch that is written a second time must not move the carried images on
-    again = spark.read.parquet(f"{edges}/batch_id=1")
-    again.coalesce(1).write.mode("append").parquet(f"{edges}/batch_id=1")
-    feed.run_to_end(history.carry_stream(spark, edges, carried, str(tmp_path / "cp2"), seconds=None))
-    assert rows(history.read_audit(spark, str(tmp_path)), "kafka_offset") == brute_audit(LOG)
+    feed.run_to_end(history.audit_stream(topic.stream(), folder, seconds=None, every=1))
+    earlier = live.read_keyed(spark, f"{folder}/images", newest_images, deleted=True, below=1)
+    assert earlier.agg(F.max("kafka_offset")).head()[0] < 6
+    assert rows(history.read_audit(spark, folder), "kafka_offset") == brute_audit(LOG)
 
 
 def test_live_audit(spark, tmp_path, batches):
     topic = Topic(spark, tmp_path / "topic")
     topic.add(batches[0])
     folder = str(tmp_path / "audit")
-    queries = history.audit_stream(topic.stream(), folder, seconds=0.2)
+    query = history.audit_stream(topic.stream(), folder, seconds=0.2)
     try:
         topic.add(batches[1])
-        for query in queries:
-            feed.drain(query)
+        feed.drain(query)
         got = rows(history.read_audit(spark, folder), "kafka_offset")
     finally:
-        for query in queries:
-            query.stop()
+        query.stop()
     assert got == brute_audit(everything(batches[:2]))
 
 
+def test_live_views(spark, tmp_path, batches, names):
+    topic, folder = Topic(spark, tmp_path / "topic"), str(tmp_path)
+    for batch in batches:
+        topic.add(batch)
+    feed.run_to_end(current.upsert_stream(topic.stream(), f"{folder}/state", f"{folder}/cp1", None))
+    feed.run_to_end(current.flatten_stream(topic.stream(), names, COLUMNS, f"{folder}/wide", f"{folder}/cp2", None))
+    feed.run_to_end(history.audit_stream(topic.stream(), f"{folder}/audit", seconds=None))
+    found = register_live_views(spark, f"{folder}/state", f"{folder}/wide", f"{folder}/audit", "x_")
+    assert found == ["x_account", "x_account_columns", "x_account_audit"]
+    log = changes(spark, everything(batches))
+    assert rows(spark.table("x_account"), "recid") == rows(current_state(log), "recid")
+    assert rows(spark.table("x_account_audit"), "kafka_offset") == brute_audit(everything(batches))
+
+
+def test_registered_streams_cross_batches(spark):
+    from cdcflow.plans import testdata
+
+    sf_dir = "/root/testdata/sf0.001"
+    changes_, path = testdata.change_feed(spark, sf_dir), scratch_dir(spark, "crossing")
+    feed.run_to_end(current.upsert_stream(changes_, f"{path}/t", f"{path}/cp", None, 100))
+    batch = spark.read.parquet(f"{path}/t/batch")
+    assert batch.select("batch_id").distinct().count() >= 4
+    assert batch.groupBy("recid").count().filter("count > 1").count() > 10
+    ends = batch.groupBy("batch_id").agg(F.min("kafka_offset"), F.max("kafka_offset")).orderBy("batch_id").collect()
+    assert [r[1] for r in ends] == sorted(r[1] for r in ends)
+
+
 def test_batch_writer_can_be_replayed(spark, tmp_path):
     path = str(tmp_path / "t")
     write = live.batch_writer(path)
@@ -220,9 +296,7 @@ def test_barrier_and_drain(spark, tmp_path, batches):
     topic = Topic(spark, tmp_path / "topic")
     topic.add(batches[0])
     table = str(tmp_path / "table")
-    query = live.materialize(
-        current.current_state_stream(topic.stream()), table, str(tmp_path / "cp"), seconds=0.2
-    )
+    query = live.materialize(current.current_state_stream(topic.stream()), table, str(tmp_path / "cp"), ["recid"], 0.2)
     try:
         feed.drain(query)
         assert rows(live.read_live(spark, table, ["recid"]), "recid") == rows(
@@ -251,6 +325,6 @@ def test_file_feed_of_messages(spark, tmp_path):
     data = spark.createDataFrame([("A", '{"op":"c","after":{"RECID":"A","XMLRECORD":"x"}}', 0, 0)], "key STRING, value STRING, partition INT, offset BIGINT")
     data.withColumn("timestamp", F.lit(0).cast("timestamp")).write.json(str(tmp_path / "in"))
     stream = feed.change_stream(spark, {"maxFilesPerTrigger": "10"}, "json", str(tmp_path / "in"))
-    query = live.materialize(stream, str(tmp_path / "out"), str(tmp_path / "cp"), "append", None)
+    query = live.materialize(stream, str(tmp_path / "out"), str(tmp_path / "cp"), None, None)
     feed.run_to_end(query)
     assert spark.read.parquet(str(tmp_path / "out")).select("key", "offset").head() == ("A", 0)

@@ -40,7 +40,7 @@ def test_trace_rules(spark):
     ]
     assert [r.kafka_offset for r in tracing.untimed(traced).collect()] == [4]
     assert [r.offset for r in tracing.trace_listing(traced).collect()] == [0, 1, 2, 4]
-    assert tracing.run_scope(traced, 2).count() == 2
+    assert tracing.run_scope(traced, {0: 2}).count() == 2
 
 
 def test_textual_source(spark):
@@ -63,7 +63,7 @@ def test_reports(spark):
     )
     # 1050 of 3050, 1750 of 3050, 200 of 3050, 50 of 3050
     assert reports.report_leg_share(traced).head() == (Decimal("34.4"), Decimal("57.4"), Decimal("6.6"), Decimal("1.6"))
-    assert rows(reports.report_run(traced, 1), "op") == [
+    assert rows(reports.report_run(traced, {0: 1}), "op") == [
         ("delete", 1, None, Decimal(1000), Decimal(300), None, Decimal(1300), 1300, 1300),
         ("update", 1, Decimal(900), Decimal(1000), Decimal(100), Decimal(50), Decimal(2050), 2050, 2050),
     ]

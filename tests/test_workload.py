@@ -1,50 +1,18 @@
 from __future__ import annotations
 
-from cdcflow.operators.state import current_state
-from cdcflow.operators.trace import markers
+from pyspark.sql import functions as F
+
 from cdcflow.sources import workload
-from helpers import rows
 
 TEMPLATE = '<row id="T1">\n  <c23>1.00</c23>\n</row>'
 
 
-def test_mixed_load(spark):
-    templates = workload.template_rows(spark, TEMPLATE, "T1", 20)
-    log = workload.synth_changes(templates, start_ms=1_000_000)
-    assert log.count() == 50 and log.filter("op IS NULL").count() == 10
-    assert rows(log.select("kafka_offset"), "kafka_offset") == [(k,) for k in range(50)]
-    assert rows(log.groupBy("op").count().filter("op IS NOT NULL"), "op") == [("c", 20), ("d", 10), ("u", 10)]
-    live = current_state(log).collect()
-    assert len(live) == 10 and all(r.kafka_offset >= 20 for r in live)
-    first = log.filter("kafka_offset = 0").head().after
-    assert first.RECID == "BENCH-1000000-1"
-    assert first.XMLRECORD == TEMPLATE.replace("T1", first.RECID).replace(
-        "</row>", "<bts>1000000</bts><ots>1000000</ots></row>"
+def test_stamped_copy(spark):
+    xml = workload.stamp_record(
+        F.lit(TEMPLATE), "T1", F.lit("A-1"), F.lit(5).cast("bigint"), F.lit(6).cast("bigint"), {"c23": F.lit("$2\\")}
     )
-    # deletes run backwards, 2 s apart, behind the updates
-    deletes = log.filter("op = 'd'").orderBy("kafka_offset").collect()
-    assert deletes[0].before.RECID == "BENCH-1038000-20" and deletes[-1].before.RECID == "BENCH-1020000-11"
-    assert [r.ts_ms for r in deletes[:2]] == [1_060_000, 1_062_000]
-    stamps = rows(markers(log).select("kafka_offset", "t1_ms", "t2_precision"), "kafka_offset")
-    assert stamps[20] == (20, 1_040_000, "exact") and stamps[30] == (30, None, "second")
-
-
-def test_bulk_load(spark):
-    log = workload.synth_bulk(workload.template_rows(spark, TEMPLATE, "T1", 100), 1_700_000_000_123)
-    assert log.count() == 100 and log.select("ts_ms").distinct().count() == 1
-    assert log.select("after.RECID").distinct().count() == 100
-    assert log.head().source.ts_ms == 1_700_000_000_000
-
-
-def test_continuous_load(spark):
-    log = workload.synth_continuous(spark, TEMPLATE, "T1", 50)
-    assert log.isStreaming
-    query = log.writeStream.format("memory").queryName("continuous").start()
-    try:
-        query.awaitTermination(4)
-        query.processAllAvailable()
-    finally:
-        query.stop()
-    got = spark.table("continuous")
-    assert got.count() > 0 and got.select("after.RECID").distinct().count() == got.count()
-    assert got.filter("after.RECID LIKE 'LOAD-%' AND after.XMLRECORD LIKE '%<bts>%</bts><ots>%'").count() == got.count()
+    assert spark.range(1).select(xml).head()[0] == (
+        '<row id="A-1">\n  <c23>$2\\</c23>\n<bts>5</bts><ots>6</ots></row>'
+    )
+    plain = workload.stamp_record(F.lit(TEMPLATE), "T1", F.lit("A-1"))
+    assert spark.range(1).select(plain).head()[0] == TEMPLATE.replace("T1", "A-1")
