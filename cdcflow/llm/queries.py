@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from . import oracles
 from .byte_dedup import op2_suffix_array_dedup
 from .decontamination import op5_benchmark_decontamination
 from .jaccard import op4_ngram_jaccard_join
@@ -30,4 +31,8 @@ def queries():
 
 
 def oracle_sql():
-    return {}
+    return {
+        "op2_suffix_array_dedup": oracles.SUBSTRINGS_OF_BYTES,
+        "op4_ngram_jaccard_join": oracles.COMPONENTS,
+        "op8_substring_dedup": oracles.SUBSTRINGS_OF_WORDS,
+    }
