@@ -11,6 +11,20 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+BATCH_BYTES = 8 << 20
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, with the session set to hand Python tasks at most BATCH_BYTES at once.
+
+    A task holds a batch several times over, as columns and as Python objects, and texts can be long.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if df.sparkSession.conf.get(key, None) != str(BATCH_BYTES):
+        df.sparkSession.conf.set(key, str(BATCH_BYTES))
+    return df
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the folder that the cluster shares, and read from there: computed once, lineage cut."""
     path = scratch_dir(df.sparkSession, name)

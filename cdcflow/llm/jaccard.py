@@ -20,12 +20,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, spread_keys, stored
+from .common import documents, small_batches, spread_keys, stored
 from .components import components
 from .tokens import slices
 
 SHINGLE, SHARE = 5, (3, 4)  # words a shingle; the least similarity as a fraction
-FLUSH_CHARS = 32_000_000  # a task deals out its hashes each time it has read so much
+FLUSH_CHARS = 16_000_000  # a task deals out its hashes each time it has read so much
 BLOCK_SETS = 4096  # sets in a block of a tile
 PACKET = "key BIGINT, flush BIGINT, bucket INT, data BINARY"
 SET = "kind INT, doc_id BIGINT, class BINARY, n BIGINT, shared BINARY, level BINARY"
@@ -209,7 +209,7 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
     """``SET`` rows of the documents, stored."""
     spark = docs.sparkSession
     keys = spread_keys(spark)
-    dealt = docs.selectExpr("CAST(doc_id AS BIGINT) AS doc_id", "CAST(text AS STRING) AS text").mapInArrow(_deal(keys), PACKET)
+    dealt = small_batches(docs).selectExpr("CAST(doc_id AS BIGINT) AS doc_id", "CAST(text AS STRING) AS text").mapInArrow(_deal(keys), PACKET)
     by_bucket = dealt.repartition(len(keys), "key").sortWithinPartitions("bucket", "flush")
     by_flush = by_bucket.mapInArrow(_share, PACKET).repartition(len(keys), "key").sortWithinPartitions("flush", "bucket")
     return stored(by_flush.mapInArrow(_gather, SET), "sets")

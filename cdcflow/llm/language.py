@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents
+from .common import documents, small_batches
 from .tokens import slices
 
 ORDERS, BUCKETS, SCALE = 3, 1 << 15, 30.0
@@ -205,7 +205,7 @@ def identified(docs: DataFrame) -> DataFrame:
     not marked as held out), null texts and null labels. Rows that repeat count as often as they stand there. Without a
     labelled text all is UNKNOWN.
     """
-    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
+    docs = small_batches(docs).select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     rest = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
     model = train(docs.filter(rest != 2))
     return predicted(docs.withColumn("held_out", F.coalesce(rest == 2, F.lit(False))), model, ["doc_id", "held_out"])

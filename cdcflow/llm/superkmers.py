@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import spread_keys
+from .common import small_batches, spread_keys
 
 PACKET = "key BIGINT, bucket INT, data BINARY"
 SPANS = "doc_id BIGINT, mark INT, spans BINARY"
@@ -93,7 +93,7 @@ def spans_of(columns: dict[str, np.ndarray]) -> pa.RecordBatch:
 def marked(docs: DataFrame) -> DataFrame:
     """``doc_id, mark, text``: the mark is a hash of the text, so that rows of one doc_id stay apart by text."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.hash(text).alias("mark"), text.alias("text"))
+    return small_batches(docs).select(F.col("doc_id").cast("bigint").alias("doc_id"), F.hash(text).alias("mark"), text.alias("text"))
 
 
 def dealt(docs: DataFrame, deal: Callable, solve: Callable) -> DataFrame:

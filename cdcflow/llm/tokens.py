@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 
+from .common import small_batches
+
 # Characters whose class is the same for all versions of the library: up to U+024F, and common punctuation.
 PLAIN = re.compile("[^\t\n\r -~¡-įı-ɏ‘’“”–—…€]")
 LETTER, DIGIT, OTHER, SPACE, BETWEEN = range(5)
@@ -76,7 +78,7 @@ class PieceEncoder:
     and a piece that is met again moves to the younger. So frequent pieces stay and memory is bounded.
     """
 
-    def __init__(self, spec: str, remember: int = 600_000):
+    def __init__(self, spec: str, remember: int = 300_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(spec)
@@ -168,16 +170,17 @@ class PieceEncoder:
         return [out[i] for i in range(len(texts))]
 
 
-_ENCODERS: dict[int, PieceEncoder] = {}
+_ENCODERS: dict[tuple[int, int], PieceEncoder] = {}
 
 
-def encoder(spec: str) -> PieceEncoder:
+def encoder(spec: str, remember: int = 300_000) -> PieceEncoder:
     """This worker's encoder of a tokenizer; it serves all tasks that the worker runs."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    if hash(spec) not in _ENCODERS:
+    name = (hash(spec), remember)
+    if name not in _ENCODERS:
         _ENCODERS.clear()
-        _ENCODERS[hash(spec)] = PieceEncoder(spec)
-    return _ENCODERS[hash(spec)]
+        _ENCODERS[name] = PieceEncoder(spec, remember)
+    return _ENCODERS[name]
 
 
 def id_type(vocabulary: int) -> str:
@@ -185,7 +188,7 @@ def id_type(vocabulary: int) -> str:
     return "<u2" if vocabulary <= 1 << 16 else "<u4"
 
 
-def slices(texts: list, chars: int = 4_000_000) -> Iterator[tuple[int, int]]:
+def slices(texts: list, chars: int = 2_000_000) -> Iterator[tuple[int, int]]:
     """Ranges of neighbouring texts with about so many characters, so that a batch's working set stays bounded."""
     start, held = 0, 0
     for i, text in enumerate(texts):
@@ -204,14 +207,16 @@ def broadcast_spec(docs: DataFrame, tokenizer: str) -> Broadcast[str]:
 
 
 def texts_of(docs: DataFrame) -> DataFrame:
-    return docs.selectExpr("CAST(doc_id AS BIGINT) AS doc_id", "CAST(text AS STRING) AS text")
+    return small_batches(docs).selectExpr("CAST(doc_id AS BIGINT) AS doc_id", "CAST(text AS STRING) AS text")
 
 
-def batch_ids(batch: pa.RecordBatch, encoder: PieceEncoder, end_id: int) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
+def batch_ids(
+    batch: pa.RecordBatch, encoder: PieceEncoder, end_id: int, chars: int = 2_000_000
+) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
     """Parts of a batch of ``doc_id, text``: doc_ids, their ids one after the other with ``end_id`` behind each text,
     and where each text ends. A null text is empty. Texts keep their order but for those outside PLAIN."""
     texts = [t or "" for t in batch.column(1).to_pylist()]
-    for a, b in slices(texts):
+    for a, b in slices(texts, chars):
         odd = [i for i in range(a, b) if not encoder.split or PLAIN.search(texts[i])]
         plain = sorted(set(range(a, b)).difference(odd))
         if plain:
@@ -231,9 +236,9 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     spec = broadcast_spec(docs, tokenizer)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = encoder(spec.value)
+        own = encoder(spec.value, 600_000)
         for batch in batches:
-            for doc_ids, ids, ends in batch_ids(batch, own, end_id):
+            for doc_ids, ids, ends in batch_ids(batch, own, end_id, 4_000_000):
                 offsets = (np.append(0, ends) * ids.itemsize).astype(np.int32)
                 blobs = pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(ids)])
                 yield pa.RecordBatch.from_arrays([doc_ids, blobs], ["doc_id", "ids"])

@@ -22,7 +22,7 @@ from .superkmers import applied, covered, dealt, marked, minimisers, mixed, pack
 from .tokens import slices
 
 WINDOW, PART = 20, 4
-FLUSH_CHARS = 24_000_000  # a task packs its runs each time it has read so much
+FLUSH_CHARS = 16_000_000  # a task packs its runs each time it has read so much
 NULL_ID = np.iinfo(np.int64).min
 
 
