@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .common import documents
-from .superkmers import applied, covered, dealt, marked, minimisers, mixed, packed, packets, runs, unpacked
+from .superkmers import applied, covered, dealt, marked, minimisers, mixed, packed, packets, ranked, runs, unpacked
 from .tokens import slices
 
 WINDOW, PART = 200, 32
@@ -29,17 +29,27 @@ _BYTES = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95
 SMALL = 4096  # below so many, numpy's sort ends a quicksort
 
 
-def byte_runs(texts: list[bytes]) -> tuple[np.ndarray, ...]:
+def byte_parts(raw: np.ndarray) -> np.ndarray:
+    """Hashes of all parts of some bytes."""
+    hashes, reach = _BYTES[raw], 1
+    while reach < PART:
+        hashes = hashes[:-reach] * np.uint64(pow(_BASE, reach, 1 << 64)) + hashes[reach:]
+        reach *= 2
+    return mixed(hashes)
+
+
+def text_parts(text: str) -> np.ndarray:
+    raw = np.frombuffer(text.encode(), np.uint8)
+    return byte_parts(raw) if len(raw) >= PART else np.empty(0, np.uint64)
+
+
+def byte_runs(texts: list[bytes], common: np.ndarray) -> tuple[np.ndarray, ...]:
     """Runs of all texts: text, first window in it, windows, the minimiser's place behind the first window, its hash,
     first and last byte in the joined texts."""
     raw = np.frombuffer(b"".join(texts), np.uint8)
     if len(raw) < WINDOW:
         return *(np.empty(0, np.int64) for _ in range(4)), np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
-    hashes, reach = _BYTES[raw], 1
-    while reach < PART:
-        hashes = hashes[:-reach] * np.uint64(pow(_BASE, reach, 1 << 64)) + hashes[reach:]
-        reach *= 2
-    hashes = mixed(hashes)
+    hashes = ranked(byte_parts(raw), common)
     places = minimisers(hashes, WINDOW - PART + 1)
     sizes = np.array([len(t) for t in texts], np.int64)
     ends = np.cumsum(sizes)
@@ -57,7 +67,7 @@ def _columns(parts: list[tuple]) -> dict[str, np.ndarray]:
     return {"doc": np.array(doc, np.int64), "mark": np.array(mark, np.int32), "first": np.array(first, np.int32), "last": np.array(last, np.int32)}
 
 
-def _deal(keys: list[int]):
+def _deal(keys: list[int], common):
     buckets = len(keys)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -71,7 +81,7 @@ def _deal(keys: list[int]):
             rows = [(keys[len(repeats) % buckets], -1, pickle.dumps(_columns(repeats)))] if repeats else []
             strings = list(kept)
             doc, mark, start, windows, place, part = zip(*kept.values(), strict=True) if kept else ((),) * 6
-            bucket = (np.array(part, np.uint64) >> np.uint64(32)) % np.uint64(buckets)
+            bucket = (np.array(part, np.uint64) >> np.uint64(28)) % np.uint64(buckets)
             columns = {"doc": np.array(doc, np.int64), "mark": np.array(mark, np.int32), "start": np.array(start, np.int32), "windows": np.array(windows, np.uint8), "place": np.array(place, np.uint8)}
             columns["known"] = np.fromiter((s in known for s in strings), bool, len(strings))
             order = np.argsort(bucket, kind="stable")
@@ -93,7 +103,7 @@ def _deal(keys: list[int]):
                         fresh.append(i)
                 raw = [texts[i].encode() for i in fresh]
                 joined = b"".join(raw)
-                found = [x.tolist() for x in byte_runs(raw)]
+                found = [x.tolist() for x in byte_runs(raw, common.value)]
                 for i, start, windows, place, part, x, y in zip(*found, strict=True):
                     string, doc = joined[x:y], ids[fresh[i]]
                     new = (NULL_ID if doc is None else doc, marks[fresh[i]], start, windows, place, part)
@@ -290,7 +300,7 @@ def without_repeated_bytes(docs: DataFrame) -> DataFrame:
     """
     docs = marked(docs)
     schema = "n_bytes BIGINT, n_removed BIGINT, n_spans BIGINT, kept_sha256 STRING"
-    return applied(docs, dealt(docs, _deal, _solve), _cut, schema)
+    return applied(docs, dealt(docs, _deal, _solve, text_parts), _cut, schema)
 
 
 def op2_suffix_array_dedup(spark, sf_dir):

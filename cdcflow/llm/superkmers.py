@@ -3,6 +3,11 @@
 A window's minimiser is its part of smallest hash, the leftmost of equals, so equal windows have equal minimisers at
 equal places. Windows side by side that share one minimiser (a run) travel as one packed string to the minimiser's
 bucket. Spans of removed windows come back by document, and meet its text in one join.
+
+A passage that very many documents hold would send the windows around its ends, different in each document, to a few
+buckets. So parts that many documents have rank behind all others: such a window then goes by what stands next to the
+passage. Windows wholly inside the passage are equal, and a task sends each once. Which parts are common is estimated
+on a sample; it decides where windows meet, never which are found.
 """
 
 from __future__ import annotations
@@ -15,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, spread_keys
+from .common import small_batches, spread_keys, stored
 
 PACKET = "key BIGINT, bucket INT, data BINARY"
 SPANS = "doc_id BIGINT, mark INT, spans BINARY"
@@ -28,6 +33,53 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
+SAMPLE, COMMON = 50_000, 0.01  # documents looked at for common parts, and the share of them that makes a part common
+
+
+def ranked(hashes: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """Hashes that sort the parts in ``common`` (sorted) behind the others."""
+    late = np.zeros(len(hashes), bool)
+    if len(common):
+        at = np.minimum(np.searchsorted(common, hashes), len(common) - 1)
+        late = common[at] == hashes
+    return (hashes >> np.uint64(1)) | (late.astype(np.uint64) << np.uint64(63))
+
+
+def common_parts(docs: DataFrame, parts: Callable[[str], np.ndarray]) -> np.ndarray:
+    """The hashes of parts that a share COMMON of the documents has, sorted, by a sample of ``marked`` documents.
+
+    With p parts in the mean document there are at most p / COMMON of them, whatever the number of documents.
+    """
+    total = docs.count()
+    sample = docs.filter(F.pmod(F.xxhash64("doc_id", "mark"), F.lit(1 << 20)) < max(1, round((1 << 20) * SAMPLE / max(SAMPLE, total))))
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, n, held = [], 0, 0
+
+        def counts() -> pa.RecordBatch:
+            values, times = np.unique(np.concatenate([np.empty(0, np.uint64), *found]), return_counts=True)
+            often = times >= max(2, COMMON * n / 2)
+            values, times = np.append(values[often].view(np.int64), 0), np.append(times[often], n)
+            whole = np.append(np.zeros(len(values) - 1, bool), True)  # the last row counts the documents
+            return pa.RecordBatch.from_arrays([pa.array(values), pa.array(times.astype(np.int64)), pa.array(whole)], ["part", "n", "whole"])
+
+        for batch in batches:
+            for text in batch.column(2).to_pylist():
+                found.append(np.unique(parts(text)))
+                n, held = n + 1, held + len(found[-1])
+                if held > 8_000_000:
+                    yield counts()
+                    found, n, held = [], 0, 0
+        if n:
+            yield counts()
+
+    rows = sample.mapInArrow(task, "part BIGINT, n BIGINT, whole BOOLEAN").groupBy("part", "whole").agg(F.sum("n").alias("n"))
+    rows = stored(rows, "parts")
+    looked = rows.filter("whole").agg(F.sum("n")).head()[0] or 0
+    often = rows.filter((F.col("n") >= max(20, COMMON * looked)) & ~F.col("whole")).select("part").collect()
+    return np.sort(np.array([r.part for r in often], np.int64).view(np.uint64))
+
+
 def minimisers(hashes: np.ndarray, width: int) -> np.ndarray:
     """For each window of ``width`` hashes, the place of its smallest, the leftmost of equals (36 bits are compared)."""
     if len(hashes) > int(_PLACE):
@@ -96,13 +148,14 @@ def marked(docs: DataFrame) -> DataFrame:
     return small_batches(docs).select(F.col("doc_id").cast("bigint").alias("doc_id"), F.hash(text).alias("mark"), text.alias("text"))
 
 
-def dealt(docs: DataFrame, deal: Callable, solve: Callable) -> DataFrame:
-    """``SPANS`` of ``marked`` documents, by the buckets of their runs.
+def dealt(docs: DataFrame, deal: Callable, solve: Callable, parts: Callable[[str], np.ndarray]) -> DataFrame:
+    """``SPANS`` of ``marked`` documents, by the buckets of their runs. ``parts`` are the hashes of a text's parts.
 
-    ``deal(keys)`` turns batches of documents to ``PACKET`` rows: spans already known (bucket -1, pickled columns) and
+    ``deal(keys, common)`` turns batches of documents to ``PACKET`` rows: spans already known (bucket -1, pickled columns) and
     packets of runs. ``solve`` turns all packets of one bucket to columns of spans.
     """
     keys = spread_keys(docs.sparkSession)
+    common = docs.sparkSession.sparkContext.broadcast(common_parts(docs, parts))
 
     def solved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[dict] = []
@@ -118,7 +171,7 @@ def dealt(docs: DataFrame, deal: Callable, solve: Callable) -> DataFrame:
         if held:
             yield spans_of(solve([r["data"] for r in held]))
 
-    packed_rows = docs.mapInArrow(deal(keys), PACKET).repartition(len(keys), "key").sortWithinPartitions("bucket")
+    packed_rows = docs.mapInArrow(deal(keys, common), PACKET).repartition(len(keys), "key").sortWithinPartitions("bucket")
     return packed_rows.mapInArrow(solved, SPANS)
 
 

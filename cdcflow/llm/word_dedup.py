@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .common import documents
-from .superkmers import applied, covered, dealt, marked, minimisers, mixed, packed, packets, runs, unpacked
+from .superkmers import applied, covered, dealt, marked, minimisers, mixed, packed, packets, ranked, runs, unpacked
 from .tokens import slices
 
 WINDOW, PART = 20, 4
@@ -26,7 +26,23 @@ FLUSH_CHARS = 16_000_000  # a task packs its runs each time it has read so much
 NULL_ID = np.iinfo(np.int64).min
 
 
-def word_runs(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
+def word_parts(hashes: np.ndarray) -> np.ndarray:
+    """Hashes of all parts, by the hashes of the words."""
+    n = max(0, len(hashes) - PART + 1)
+    parts = hashes[:n].copy()
+    for k in range(1, PART):
+        parts = mixed(parts) + hashes[k : k + n]
+    return mixed(parts)
+
+
+def text_parts(text: str) -> np.ndarray:
+    from xxhash import xxh3_64_intdigest
+
+    words = text.encode().split()
+    return word_parts(np.fromiter(map(xxh3_64_intdigest, words), np.uint64, len(words)))
+
+
+def word_runs(texts: list[str], common: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
     """Runs of all texts: text, first window in it, windows, minimiser's hash, and packed string."""
     from xxhash import xxh3_64_intdigest
 
@@ -38,11 +54,7 @@ def word_runs(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
     hashes = np.fromiter(map(xxh3_64_intdigest, words), np.uint64, len(words))
     joined = b" ".join(words)
     offsets = np.cumsum([0, *(len(w) + 1 for w in words)])
-    n = len(words) - PART + 1
-    parts = hashes[:n].copy()
-    for k in range(1, PART):
-        parts = mixed(parts) + hashes[k : k + n]
-    parts = mixed(parts)
+    parts = ranked(word_parts(hashes), common)
     places = minimisers(parts, WINDOW - PART + 1)
     ends = np.cumsum(counts)
     text = np.repeat(np.arange(len(texts)), counts)
@@ -59,7 +71,7 @@ def _columns(rows: list[tuple]) -> dict[str, np.ndarray]:
     return {"doc": np.array(doc, np.int64), "mark": np.array(mark, np.int32), "first": np.array(first, np.int32), "last": np.array(last, np.int32)}
 
 
-def _deal(keys: list[int]):
+def _deal(keys: list[int], common):
     buckets = len(keys)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -72,7 +84,7 @@ def _deal(keys: list[int]):
             strings = list(kept)
             doc, mark, start, windows, part = zip(*kept.values(), strict=True) if kept else ((),) * 5
             part = np.array(part, np.uint64)
-            bucket = (part >> np.uint64(32)) % np.uint64(buckets)
+            bucket = (part >> np.uint64(28)) % np.uint64(buckets)
             columns = {"doc": np.array(doc, np.int64), "mark": np.array(mark, np.int32), "start": np.array(start, np.int32), "windows": np.array(windows, np.uint16), "part": part.astype(np.uint32)}
             order = np.argsort(bucket, kind="stable")
             ends = np.cumsum(np.bincount(bucket.astype(np.int64), minlength=buckets))
@@ -91,7 +103,7 @@ def _deal(keys: list[int]):
                     if (ids[i], marks[i]) not in seen:
                         seen.add((ids[i], marks[i]))
                         fresh.append(i)
-                of, start, windows, part, strings = word_runs([texts[i] for i in fresh])
+                of, start, windows, part, strings = word_runs([texts[i] for i in fresh], common.value)
                 for i, s, n, p, string in zip(of.tolist(), start.tolist(), windows.tolist(), part.tolist(), strings, strict=True):
                     doc = ids[fresh[i]]
                     new = (NULL_ID if doc is None else doc, marks[fresh[i]], s, n, p)
@@ -160,7 +172,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     that repeat both are one document, and each row gets its result. A null doc_id comes before all others.
     """
     docs = marked(docs)
-    return applied(docs, dealt(docs, _deal, _solve), _cut, "n_words BIGINT, n_removed BIGINT, kept_sha256 STRING")
+    return applied(docs, dealt(docs, _deal, _solve, text_parts), _cut, "n_words BIGINT, n_removed BIGINT, kept_sha256 STRING")
 
 
 def op8_substring_dedup(spark, sf_dir):

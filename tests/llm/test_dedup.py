@@ -145,6 +145,24 @@ def test_table(spark, query, brute):
     assert Counter(map(tuple, query(spark, SF_DIR).collect())) == brute(table(spark))
 
 
+@pytest.mark.parametrize("operator, brute, module", [(*o, m) for o, m in zip(OPERATORS, (word_dedup, byte_dedup), strict=False)])
+def test_a_passage_in_half_of_all_documents(docs, operator, brute, module):
+    """Its parts rank behind all others; the ends of the passage differ in each document."""
+    passage = words(60, 77)
+    rows = []
+    for i in range(120):
+        text = words(60, 5000 + i, 100_000)
+        if i % 2:
+            text[30:30] = passage[i % 5 : 60 - i % 7]
+        rows.append((i, " ".join(text)))
+    table = superkmers.marked(docs(rows))
+    common = superkmers.common_parts(table, module.text_parts)
+    inside = module.text_parts(" ".join(passage[10:50]))
+    assert len(common) and set(inside.tolist()) <= set(common.tolist())
+    assert not set(common.tolist()) & set(module.text_parts(" ".join(words(60, 5000, 100_000))).tolist())
+    assert Counter(map(tuple, operator(docs(rows).repartition(4)).collect())) == brute(rows)
+
+
 def test_keep_one_leaves_one_of_each_group(docs):
     rows = [(1, "a b c d e f g"), (2, "a b c d e f g"), (3, "x y z"), (3, "x y z"), (4, None), (5, ""), (None, "q")]
     kept = jaccard.keep_one(docs(rows)).select("doc_id", "text").collect()
