@@ -80,7 +80,8 @@ def sampled(docs: DataFrame, per_label: int) -> list[tuple[str, np.ndarray, np.n
         return []
     rate = F.create_map(*(F.lit(x) for label, n in counts.items() for x in (label, min(1.0, per_label / n))))
     part = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / float(1 << 30)
-    chosen = docs.filter(part < rate[F.col("lang")]).select("lang", "text")
+    # Equal texts of one label teach nothing more, and might be many.
+    chosen = docs.filter(part < rate[F.col("lang")]).select("lang", "text").dropDuplicates()
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -202,8 +203,8 @@ def identified(docs: DataFrame) -> DataFrame:
     """``doc_id, held_out, lang_pred, score`` of each row.
 
     Documents whose CRC-32 of the doc_id leaves 2 modulo 4 are held out of training, and so are null doc_ids (which are
-    not marked as held out), null texts and null labels. Rows that repeat count as often as they stand there. Without a
-    labelled text all is UNKNOWN.
+    not marked as held out), null texts and null labels. Rows that repeat count in the document frequencies as often as
+    they stand there, and once in the weights. Without a labelled text all is UNKNOWN.
     """
     docs = small_batches(docs).select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     rest = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
