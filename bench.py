@@ -2,7 +2,8 @@
 
 ``BENCH_SF_DIR`` names the tables (default ``/root/testdata/sf0.1``), ``BENCH_CPUS`` the cores. Every query is
 built and fully computed into a sink that discards its rows. The whole list is run ``BENCH_RUNS`` times (default 2,
-the first round warms up) and the best time of each query counts.
+the first round warms up) and the best time of each query counts. The given tables are single small files, which one
+task each would read; ``BENCH_SPREAD`` (default: the cores) deals them to so many partitions first, ``""`` does not.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from cdcflow.plans import registry  # noqa: E402
+from cdcflow.plans.testdata import SPREAD  # noqa: E402
 from cdcflow.session import local_session  # noqa: E402
 
 HEADLINE = [
@@ -59,7 +61,7 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     runs = int(os.environ.get("BENCH_RUNS", "2"))
     scratch = os.environ.get("BENCH_SCRATCH") or tempfile.mkdtemp(prefix="bench-")
-    conf = {"spark.checkpoint.dir": scratch}
+    conf = {"spark.checkpoint.dir": scratch, SPREAD: os.environ.get("BENCH_SPREAD", cpus)}
     spark = local_session("bench", cpus, memory=os.environ.get("BENCH_MEMORY", "12g"), conf=conf)
     spark.sparkContext.setLogLevel("OFF")
     all_queries = registry.queries()

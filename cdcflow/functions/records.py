@@ -8,25 +8,25 @@ from pyspark.sql import functions as F
 from cdcflow.schema import TAG_PATTERN
 
 
-def tag_arrays(xml: Column) -> Column:
-    """All elements of a record as ``array<struct<field, position, value>>``, in text order.
+def tag_matches(xml: Column) -> Column:
+    """The text of every element of a record, in order; the pattern runs over the record once."""
+    return F.regexp_extract_all(xml, F.lit(TAG_PATTERN), F.lit(0))
 
-    A missing position is ``''`` here (a regex group that took no part); callers turn it to NULL. An
-    empty value stays ``''``, because an empty element is a value.
+
+def tag_parts(match: Column) -> dict[str, Column]:
+    """``field, position, value`` of one of ``tag_matches``, cut out by place.
+
+    A missing position is NULL. An empty value stays ``''``, because an empty element is a value.
     """
-    # The pattern runs over the text once; the short matches are then taken apart by place.
-    def parts(match: Column) -> Column:
-        opening = F.split_part(match, F.lit(">"), F.lit(1))
-        blanks = F.translate(opening, "\t\n\r\f\v", "     ")
-        field = F.substr(F.split_part(blanks, F.lit(" "), F.lit(1)), F.lit(2))
-        begin = F.length(opening) + 2
-        return F.struct(
-            field.alias("field"),
-            F.split_part(opening, F.lit('"'), F.lit(2)).alias("position"),
-            F.substr(match, begin, F.length(match) - begin - F.length(field) - 2).alias("value"),
-        )
-
-    return F.transform(F.regexp_extract_all(xml, F.lit(TAG_PATTERN), F.lit(0)), parts)
+    field = F.substring_index(F.substring_index(match, "</", -1), ">", 1)
+    opening = F.substring_index(match, ">", 1)
+    position = F.substring_index(F.substring_index(opening, '"', 2), '"', -1)
+    begin = F.length(opening) + 2
+    return {
+        "field": field,
+        "position": F.when(opening.contains('"'), position),
+        "value": F.substr(match, begin, F.length(match) - begin - F.length(field) - 2),
+    }
 
 
 def has_tags(xml: Column) -> Column:

@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cdcflow.functions.records import element_value, tag_arrays, varchar_bytes
+from cdcflow.functions.records import element_value, tag_matches, tag_parts, varchar_bytes
 from cdcflow.sources.envelope import drop_tombstones, image
 from cdcflow.sources.lookup import position_suffix
 
@@ -27,14 +27,9 @@ from cdcflow.sources.lookup import position_suffix
 def unpivot_tags(df: DataFrame, keys: Sequence[str], xml: str = "xmlrecord") -> DataFrame:
     """One row per element: ``keys, field, position, value``. Records without elements give no row."""
     # explode_outer and a filter on its output: plain explode would have Spark evaluate the regular
-    # expressions a second time, in a filter on the size of the array.
-    exploded = df.select(*keys, F.explode_outer(tag_arrays(F.col(xml))).alias("_tag")).filter(F.col("_tag").isNotNull())
-    return exploded.select(
-        *keys,
-        F.col("_tag.field").alias("field"),
-        F.nullif(F.col("_tag.position"), F.lit("")).alias("position"),
-        F.col("_tag.value").alias("value"),
-    )
+    # expression a second time, in a filter on the size of the array.
+    exploded = df.select(*keys, F.explode_outer(tag_matches(F.col(xml))).alias("_tag")).filter(F.col("_tag").isNotNull())
+    return exploded.select(*keys, *(part.alias(name) for name, part in tag_parts(F.col("_tag")).items()))
 
 
 def _lookup_sides(lookup: DataFrame) -> tuple[DataFrame, DataFrame]:

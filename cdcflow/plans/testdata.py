@@ -50,8 +50,13 @@ EVENT_COLUMNS = ["counter", "order_ref", "total_price", "ship_date_01", "ship_da
 BATCHES = 5
 
 
+# A setting of the bench alone: deal each table, mostly one small file here, to so many partitions after reading it.
+SPREAD = "spark.cdcflow.spreadTables"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df, spread = spark.read.parquet(f"{sf_dir}/{name}.parquet"), spark.conf.get(SPREAD, None)
+    return df.repartition(int(spread)) if spread else df
 
 
 def event_count(spark: SparkSession, sf_dir: str) -> int:
