@@ -188,6 +188,8 @@ SELECT kafka_partition, kafka_offset, recid, op, t1 AS t1_ms, t2 AS t2_ms, t2_pr
 SELECT event_id, (epoch_us(ts) + 500) // 1000 AS ms_by_fields, epoch_us(ts) // 1000 AS ms_by_clock,
   strftime(ts, '%H%M%S-') || lpad(CAST(epoch_us(ts) // 1000 % 1000 AS VARCHAR), 3, '0') AS suffix FROM events""",
     "q_current_state": _CURRENT,
+    "q_recreate": _CURRENT,
+    "q_record_files": f"SELECT {_RECID} AS recid, {_header()} AS xmlrecord FROM orders",
     "q_stream_current_state": _CURRENT,
     "q_stream_upsert": _CURRENT,
     "q_audit": _AUDIT,

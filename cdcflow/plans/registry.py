@@ -19,7 +19,8 @@ from cdcflow.plans.views import register_live_views, register_views
 from cdcflow.schema import BULK_PREFIX, MIXED_PREFIX
 from cdcflow.session import scratch_dir
 from cdcflow.sources import capture, envelope, workload
-from cdcflow.sources.tables import append_rows
+from cdcflow.sources.records import read_records
+from cdcflow.sources.tables import append_rows, recreate
 from cdcflow.streaming import arrivals as landing
 from cdcflow.streaming import current, feed, live
 from cdcflow.streaming import history as live_history
@@ -145,6 +146,21 @@ def q_missing_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mutate.missing_keys(_orders(spark, sf_dir, _settled()), _urgent_updates(spark, sf_dir))
 
 
+def q_recreate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The state written as a table twice, and read."""
+    path = scratch_dir(spark, "state")
+    for _ in range(2):
+        recreate(state.current_state(data.changes(spark, sf_dir)), path)
+    return spark.read.parquet(path)
+
+
+def q_record_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order record, written to text files of many records and read back."""
+    path = scratch_dir(spark, "records")
+    _orders(spark, sf_dir, F.lit(True)).select("xmlrecord").write.text(path)
+    return read_records(spark, path, one_per_file=False)
+
+
 def _flat_envelope(changes: DataFrame) -> DataFrame:
     return changes.select(
         "op",
