@@ -78,7 +78,7 @@ class PieceEncoder:
     and a piece that is met again moves to the younger. So frequent pieces stay and memory is bounded.
     """
 
-    def __init__(self, spec: str, remember: int = 300_000):
+    def __init__(self, spec: str, remember: int = 400_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(spec)
@@ -173,7 +173,7 @@ class PieceEncoder:
 _ENCODERS: dict[tuple[int, int], PieceEncoder] = {}
 
 
-def encoder(spec: str, remember: int = 300_000) -> PieceEncoder:
+def encoder(spec: str, remember: int = 400_000) -> PieceEncoder:
     """This worker's encoder of a tokenizer; it serves all tasks that the worker runs."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     name = (hash(spec), remember)
@@ -211,7 +211,7 @@ def texts_of(docs: DataFrame) -> DataFrame:
 
 
 def batch_ids(
-    batch: pa.RecordBatch, encoder: PieceEncoder, end_id: int, chars: int = 2_000_000
+    batch: pa.RecordBatch, encoder: PieceEncoder, end_id: int, chars: int = 4_000_000
 ) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
     """Parts of a batch of ``doc_id, text``: doc_ids, their ids one after the other with ``end_id`` behind each text,
     and where each text ends. A null text is empty. Texts keep their order but for those outside PLAIN."""
@@ -238,7 +238,7 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(spec.value, 600_000)
         for batch in batches:
-            for doc_ids, ids, ends in batch_ids(batch, own, end_id, 4_000_000):
+            for doc_ids, ids, ends in batch_ids(batch, own, end_id):
                 offsets = (np.append(0, ends) * ids.itemsize).astype(np.int32)
                 blobs = pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(ids)])
                 yield pa.RecordBatch.from_arrays([doc_ids, blobs], ["doc_id", "ids"])
