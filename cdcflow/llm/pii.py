@@ -54,6 +54,32 @@ _PERSON = {
     (script, gender): rf"{_titles(script, gender)}\.?\s{{1,2}}{_NAME[script]}(?: {_NAME[script]}){{0,2}}"
     for script, gender in _ADDRESS
 }
+_BLANK = " \u00a0\u202f"
+_JOIN = f"[{_BLANK}./-]"
+_PLAIN_PHONE = r"(?:\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}|\d{3}-\d{3}-\d{4})"
+
+
+def _phone(other: str = "") -> str:
+    """Numbers with a country code have 7 to 15 digits (E.164) in any groups; without one, the forms of the US.
+
+    Only the group behind the code, or one after a hyphen, may be a single digit. Once there are 7 digits, a blank
+    before an ``other`` entity ends the number.
+    """
+    guard = f"(?!{other})" if other else ""
+    near = rf"(?:(?:[{_BLANK}]?[/-]?[{_BLANK}]?(?=\d\d)|\.(?=\d\d)|-)?\d)"
+    far = rf"(?:(?:[{_BLANK}]{guard}(?=\d\d)|[./](?=\d\d)|-)?\d)"
+
+    def of(code: int, area: int) -> str:
+        """``code`` digits and ``area`` digits in brackets, 0 for none."""
+        start = rf"(?:\+\d{{{code}}}|\(\+\d{{{code}}}\)){_JOIN}?" + (rf"\(\d{{{area}}}\){_JOIN}?" if area else "")
+        return rf"{start}\d{near}{{{max(6 - code - area, 0)}}}{far}{{0,{8 - max(code + area - 6, 0)}}}"
+
+    abroad = "|".join(of(code, area) for area in range(6) for code in (3, 2, 1))
+    america = rf"\+1{_JOIN}?(?:\(\d{{3}}\)|\d{{3}}){_JOIN}?\d{{3}}{_JOIN}?\d{{4}}"
+    plain = rf"(?:1[.-])?(?:{_PLAIN_PHONE}|\d{{3}}\.\d{{3}}\.\d{{4}}(?!\.\d))(?![\w-])"
+    return rf"(?:(?:{america}|{abroad})(?!\w|-\d)|{plain})"
+
+
 KINDS = {
     "secret": rf"{_SETTING}[A-Za-z0-9/+_=-]{{8,}}",
     "key": r"(?:AKIA|ASIA)[0-9A-Z]{16}(?!\w)",
@@ -61,11 +87,15 @@ KINDS = {
     "ip": rf"{_OCTET}(?:\.{_OCTET}){{3}}(?!\w|\.\d)",
     "iban": r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)",
     "ssn": r"(?!000|666|9)\d{3}-(?!00)\d{2}-(?!0000)\d{4}(?![\w-])",
-    "phone": r"(?:\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})(?:[ .-]?\d{2,4}){2,3}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}-\d{3}-\d{4})(?![\w-])",
+    "phone": _phone(),
     "card": r"\d{4}(?:([ -]?)\d{4}\1\d{4}\1\d{1,7}|[ -]?\d{6}[ -]?\d{5})(?!\w)",
 }
+# What may stand behind a phone number and begin with a digit; cards without the group, so that ENTITY has only one.
+_CARD_FORMS = r"\d{13,19}|\d{4} \d{4} \d{4} \d{1,7}(?! \d{4}(?!\d))|\d{4}-\d{4}-\d{4}-\d{1,7}|\d{4}[ -]?\d{6}[ -]?\d{5}"
+_BEHIND = rf"{KINDS['email']}|{KINDS['ip']}|{KINDS['ssn']}|\d{{3}}[.-]\d{{3}}[.-]\d{{4}}(?!\d)|(?:{_CARD_FORMS})(?!\w)"
+_SEARCHED = KINDS | {"phone": _phone(_BEHIND)}
 # A preceding letter, digit or joining sign means the middle of something else.
-ENTITY = rf"(?<![\w.%@-])(?:{'|'.join(KINDS.values())}|{'|'.join(_PERSON.values())})"
+ENTITY = rf"(?<![\w.%@-])(?:{'|'.join(_SEARCHED.values())}|{'|'.join(_PERSON.values())})"
 # Without one of these characters or words no entity can stand in a text.
 SIGN = rf"[0-9@]|{'|'.join(t for titles in _ADDRESS.values() for t in titles)}|(?i:token|secret|pass|pwd|key)"
 FURTHER = 8  # attempts after which digits or letters are added, so that small formats never run out
@@ -116,7 +146,7 @@ def parsed(entity: Column) -> Column:
     secret = F.substr(e, F.length(setting) + 1)
     top = F.regexp_extract(e, r"\.[^.]*$", 0)
     address = F.substr(e, F.lit(1), F.length(e) - F.length(top))
-    country = F.regexp_extract(e, r"^\+(?:1(?=\D)|\d{1,3}(?=[ .(-]))", 0)
+    country = F.regexp_extract(e, rf"^(?:\(\+\d{{1,3}}\)|\+(?:1(?=\D)|\d{{1,3}}(?=\(|{_JOIN})))", 0)
     plain = F.regexp_replace(e, "[ -]", "")
     out = (
         F.when(whole(KINDS["secret"]), made("secret", setting, secret, none, secret))

@@ -126,6 +126,29 @@ def test_surrogates_keep_kind_and_format(docs):
     assert upper.lower() == lower
 
 
+PHONES = [
+    "+33 6 12 34 56 78", "(+33) 6 12 34 56 78", "+31 6 12345678", "+32 2 555 12 12", "+49 30 12 34 56 78", "+49 89 1234-0",
+    "+49 (0)30 12345678", "+49 30 / 1234567", "+44 20 7946 0958", "+380 44 123 45 67", "+33\u00a06\u00a012\u00a034\u00a056\u00a078",
+    "555.123.4567", "+1.555.123.4567", "+1 (368) 555-0098", "1-800-555-0199", "(555) 123-4567",
+]
+BEHIND_PHONES = ["4111 1111 1111 1111", "4111111111111111", "378282246310005", "69.81.217.52", "123-45-6789", "555.123.4567", "12.john@x.com"]
+
+
+def test_phones_are_replaced_whole(docs):
+    texts = [f"call {p}, or" for p in PHONES] + [f"{p} {x} or" for p in PHONES for x in BEHIND_PHONES]
+    no_phone = ["+1 2 3 4 5 6 7 8 9", "555.123.4567.8", "+33 6 12"]
+    out = {r.doc_id: r for r in pii.with_surrogates(docs(list(enumerate(texts + no_phone)))).collect()}
+    for n, text in enumerate(texts):
+        new = out[n].text
+        assert out[n].n_replaced == (1 if n < len(PHONES) else 2), text
+        if "@" not in text and "69.81" not in text:
+            assert re.sub(r"\d", "0", new) == re.sub(r"\d", "0", text)
+        code = re.match(r"(?:call )?(\(?\+\d+\)?)", text)
+        assert not code or code[1] in new
+        assert not set(re.findall(r"[\d.-]{6,}", text)) & set(re.findall(r"[\d.-]{6,}", new)), new
+    assert [out[len(texts) + n].text for n in range(len(no_phone))] == no_phone
+
+
 def test_distinct_entities_stay_distinct(docs, monkeypatch):
     """With few first surrogates many clash; all must still differ, and none be an entity of the data."""
     rng = random.Random(3)
