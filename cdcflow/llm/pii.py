@@ -54,11 +54,32 @@ _PERSON = {
     (script, gender): rf"{_titles(script, gender)}\.?\s{{1,2}}{_NAME[script]}(?: {_NAME[script]}){{0,2}}"
     for script, gender in _ADDRESS
 }
+# Signs in a whole account number by country, after the IBAN registry and its list of partial users.
+_IBAN_SIZES = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "AO CV GW LY MZ PT ST", 26: "DZ IR IS TR", 27: "BI CF CG CM DJ FR GA GQ GR IT KM MC MG MR SM TD",
+    28: "AL AZ BF BJ BY CI CY DO GT HN HU LB MA ML NE NI PL SN SV TG", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+    31: "MT SC", 32: "LC", 33: "RU",
+}
 _BLANK = " \u00a0\u202f"
 _JOIN = f"[{_BLANK}./-]"
 _PLAIN_PHONE = r"(?:\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}|\d{3}-\d{3}-\d{4})"
 
 
+def _iban() -> str:
+    """Of a country in the table exactly its signs, so that a word behind is never taken along; of others any number."""
+
+    def of(size: int, countries: str) -> str:
+        groups, rest = divmod(size - 4, 4)
+        last = rf" ?[A-Z0-9]{{{rest}}}" if rest else ""
+        return rf"(?:{countries.replace(' ', '|')})\d{{2}}(?: ?[A-Z0-9]{{4}}){{{groups}}}{last}"
+
+    known = "|".join(_IBAN_SIZES.values()).replace(" ", "|")
+    other = rf"(?!{known})[A-Z0-9]{{4}}(?:(?: (?!(?:{known})\d{{2}}))?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?"
+    return rf"(?=[A-Z]{{2}}\d{{2}})(?:{'|'.join(of(*x) for x in _IBAN_SIZES.items())}|{other})(?!\w)"
+
+
 def _phone(other: str = "") -> str:
     """Numbers with a country code have 7 to 15 digits (E.164) in any groups; without one, the forms of the US.
 
@@ -85,7 +106,7 @@ KINDS = {
     "key": r"(?:AKIA|ASIA)[0-9A-Z]{16}(?!\w)",
     "email": r"[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}",
     "ip": rf"{_OCTET}(?:\.{_OCTET}){{3}}(?!\w|\.\d)",
-    "iban": r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)",
+    "iban": _iban(),
     "ssn": r"(?!000|666|9)\d{3}-(?!00)\d{2}-(?!0000)\d{4}(?![\w-])",
     "phone": _phone(),
     "card": r"\d{4}(?:([ -]?)\d{4}\1\d{4}\1\d{1,7}|[ -]?\d{6}[ -]?\d{5})(?!\w)",

@@ -149,6 +149,27 @@ def test_phones_are_replaced_whole(docs):
     assert [out[len(texts) + n].text for n in range(len(no_phone))] == no_phone
 
 
+IBANS = (
+    "AT611904300234573201 BE68539007547034 CH9300762011623852957 CZ6508000000192000145399 DE89370400440532013000 "
+    "ES9121000418450200051332 FR1420041010050500013M02606 GB82WEST12345698765432 HU42117730161111101800000000 "
+    "MT84MALT011000012345MTLCAST001S NL91ABNA0417164300 NO9386011117947 PL61109010140000071219812874 "
+    "RO49AAAA1B31007593840000 SE4550000000058398257466"
+).split()
+
+
+def test_words_behind_account_numbers(docs):
+    spaced = [re.sub("(.{4})(?=.)", r"\1 ", i) for i in IBANS]
+    rows = [(form, behind) for form in IBANS + spaced for behind in (" BIC CAIXESBB", " EUR", " A 1", " BANK OF X", ", or", "")]
+    texts = [f"to {form}{behind}" for form, behind in rows] + [f"see AB12 {form} OK" for form in spaced]
+    out = {r.doc_id: r for r in pii.with_surrogates(docs(list(enumerate(texts)))).collect()}
+    assert {r.kinds for r in out.values()} == {"iban"}
+    for n, (form, behind) in enumerate(rows):
+        new = out[n].text[3 : 3 + len(form)]
+        assert out[n].text == f"to {new}{behind}" and new != form and new[:2] == form[:2]
+        code = new.replace(" ", "")
+        assert int("".join(str(int(c, 36)) for c in code[4:] + code[:4])) % 97 == 1
+
+
 def test_distinct_entities_stay_distinct(docs, monkeypatch):
     """With few first surrogates many clash; all must still differ, and none be an entity of the data."""
     rng = random.Random(3)
