@@ -3,7 +3,7 @@
 The ``tokenizers`` library first splits a text into pieces and then merges each piece on its own, so a piece's ids
 never depend on its neighbours. ``PieceEncoder`` finds where pieces begin with array operations on many texts at once
 and asks the library for each new piece only once. A text with characters outside ``PLAIN``, where the two splits could
-differ, goes through the library whole.
+differ, or with an added token spelled out in it, which the library cuts out first, goes through the library whole.
 """
 
 from __future__ import annotations
@@ -82,7 +82,6 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(spec)
-        self.tokenizer.encode_special_tokens = True
         self.dtype = id_type(self.tokenizer.get_vocab_size())
         self.remember, self.known, self.older = remember, {}, {}
         parts = json.loads(spec)
@@ -91,12 +90,19 @@ class PieceEncoder:
         normal = [n["type"] for n in (parts["normalizer"] or {}).get("normalizers", [])]
         self.by_word = kinds == ["Split", "ByteLevel"] and normal == ["NFC", "Replace", "Lowercase"]
         by_byte = kinds == ["ByteLevel"] and split["use_regex"] and not split["add_prefix_space"] and not parts["normalizer"]
-        self.split = self.by_word or by_byte
+        added = parts["added_tokens"]
+        self.split = (self.by_word or by_byte) and not (parts["normalizer"] and any(t["normalized"] for t in added))
+        # In any case, as pieces are of texts in lower case.
+        self.added = re.compile("|".join(re.escape(t["content"]) for t in added) or "(?!)", re.IGNORECASE)
         # The ids that end a word, or begin with a blank (written as this letter in byte-level vocabularies).
         self.marked = np.zeros(self.tokenizer.get_vocab_size(), bool)
         for token, n in self.tokenizer.get_vocab().items():
             self.marked[n] = token.endswith("</w>") if self.by_word else token.startswith("\u0120")
 
+    def odd(self, text: str) -> bool:
+        """Whether a text has to go through the library whole."""
+        return not self.split or bool(PLAIN.search(text) or self.added.search(text))
+
     def whole(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian integers of ``dtype``, by the library alone."""
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -105,7 +111,10 @@ class PieceEncoder:
     def _words(self, pieces: list[str]) -> list[bytes]:
         """The ids of pieces that are words (with a blank before each, unless ``by_word``): in one text, the library
         splits them apart again, and the first or last id of each is marked as such in the vocabulary."""
-        found = self.tokenizer.encode_batch_fast([("" if not self.by_word else " ").join(pieces)], add_special_tokens=False)
+        text = ("" if not self.by_word else " ").join(pieces)
+        if self.added.search(text):
+            return self.whole(pieces)
+        found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
         ids = np.array(found[0].ids, self.dtype)
         marks = np.flatnonzero(self.marked[ids])
         if len(marks) != len(pieces):
@@ -129,7 +138,7 @@ class PieceEncoder:
         self.known.update(zip(others, self.whole(others), strict=True))
 
     def joined(self, texts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of PLAIN texts one after the other, ``end_id`` behind each, and where each text ends."""
+        """The ids of texts that are not ``odd`` one after the other, ``end_id`` behind each, and where each text ends."""
         text = "".join(t + SEPARATOR for t in texts)
         if self.by_word:
             text = text.lower()
@@ -161,7 +170,7 @@ class PieceEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian integers of ``dtype``."""
-        odd = [i for i, t in enumerate(texts) if not self.split or PLAIN.search(t)]
+        odd = [i for i, t in enumerate(texts) if self.odd(t)]
         plain = sorted(set(range(len(texts))).difference(odd))
         out = dict(zip(odd, self.whole([texts[i] for i in odd]), strict=True))
         ids, ends = self.joined([texts[i] for i in plain], 0)
@@ -214,10 +223,10 @@ def batch_ids(
     batch: pa.RecordBatch, encoder: PieceEncoder, end_id: int, chars: int = 4_000_000
 ) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
     """Parts of a batch of ``doc_id, text``: doc_ids, their ids one after the other with ``end_id`` behind each text,
-    and where each text ends. A null text is empty. Texts keep their order but for those outside PLAIN."""
+    and where each text ends. A null text is empty. Texts keep their order but for the odd ones."""
     texts = [t or "" for t in batch.column(1).to_pylist()]
     for a, b in slices(texts, chars):
-        odd = [i for i in range(a, b) if not encoder.split or PLAIN.search(texts[i])]
+        odd = [i for i in range(a, b) if encoder.odd(texts[i])]
         plain = sorted(set(range(a, b)).difference(odd))
         if plain:
             yield batch.column(0).take(pa.array(plain)), *encoder.joined([texts[i] for i in plain], end_id)

@@ -46,6 +46,30 @@ def test_short_forms_and_blanks(encoder):
     assert encoder.encode(texts) == encoder.whole(texts)
 
 
+SPELLED = ["a <|endoftext|> b", "<|endoftext|>", "it<|startoftext|>'s <|endoftext|><|endoftext|>", "<|ENDOFTEXT|> <|endof text|>", "a b"]
+
+
+def as_loaded(name):
+    tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
+    return lambda text: tokenizer.encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("name", FILES)
+def test_added_tokens_in_texts_are_the_library_s(name):
+    with open(public_tokenizers.path(name), encoding="utf-8") as file:
+        own = PieceEncoder(file.read())
+    assert [np.frombuffer(x, own.dtype).tolist() for x in own.encode(SPELLED)] == list(map(as_loaded(name), SPELLED))
+
+
+def test_added_tokens_in_documents(spark, docs):
+    rows = list(enumerate(SPELLED))
+    encode = as_loaded(FILES[0])
+    assert [ids for _, _, _, ids in file_rows(spark, docs(rows))] == [np.array([*encode(t), 1], "<u4").tobytes() for t in SPELLED]
+    encode = as_loaded(FILES[1])
+    packed = {r.doc_id: r.ids_crc32 for r in packing.pack_documents(docs(rows), public_tokenizers.path(FILES[1])).collect()}
+    assert packed == {i: crc([*encode(t), 0]) for i, t in rows}
+
+
 @given(st.lists(st.integers(0, 2**32 - 1)))
 def test_code_round_trip(values):
     control, data = token_file.coded(np.array(values, np.uint32))
