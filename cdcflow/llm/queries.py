@@ -12,6 +12,7 @@ from .packing import op10_best_fit_packing
 from .pii import op6_pii_surrogates
 from .quality import op7_quality_rules
 from .token_file import op1_token_file
+from .whitening import op11_embedding_whitening
 from .word_dedup import op8_substring_dedup
 
 
@@ -27,6 +28,7 @@ def queries():
         "op8_substring_dedup": op8_substring_dedup,
         "op9_license_scan": op9_license_scan,
         "op10_best_fit_packing": op10_best_fit_packing,
+        "op11_embedding_whitening": op11_embedding_whitening,
     }
 
 
