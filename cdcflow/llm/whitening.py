@@ -14,6 +14,7 @@ alone or copies of one vector give an empty result. Other columns are not read,
 from __future__ import annotations
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.ml.functions import array_to_vector
 from pyspark.mllib.linalg import DenseMatrix
 from pyspark.mllib.linalg.distributed import BlockMatrix, IndexedRowMatrix
@@ -118,11 +119,13 @@ def whitened(rows: DataFrame, most: int = COMPONENTS) -> DataFrame:
     too_large = F.raise_error(F.lit("a deviation is above the largest long")).cast("bigint")
     deviation = away.select("row", "vec_id", F.coalesce(square, too_large).alias("deviation"))
     blocks = block_matrix(away.withColumn("c", F.transform("away", lambda v: v / n)), "row", "c", n, size)
+    blocks.persist(StorageLevel.MEMORY_AND_DISK)  # read four times; made anew where an executor is lost
     values, vectors, trace = components(covariance(blocks, n), most)
     k = len(values)
-    if not k:
+    w = stored(projected(blocks, vectors / np.sqrt(values)), "whitened") if k else None
+    blocks._java_matrix_wrapper._java_model.blocks().unpersist(False)
+    if w is None:
         return spark.createDataFrame([], RESULT)
-    w = stored(projected(blocks, vectors / np.sqrt(values)), "whitened")
     means = w.select(F.posexplode("w").alias("at", "v")).groupBy("at").agg(F.avg("v").alias("m")).orderBy("at").collect()
     centre = literal(np.array([r.m for r in means]), "double")
     centred = w.withColumn("c", F.zip_with("w", centre, lambda a, m: a - m))
