@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from . import oracles
+from .alignment import op12_cross_tokenizer_alignment
 from .byte_dedup import op2_suffix_array_dedup
 from .decontamination import op5_benchmark_decontamination
 from .jaccard import op4_ngram_jaccard_join
@@ -29,6 +30,7 @@ def queries():
         "op9_license_scan": op9_license_scan,
         "op10_best_fit_packing": op10_best_fit_packing,
         "op11_embedding_whitening": op11_embedding_whitening,
+        "op12_cross_tokenizer_alignment": op12_cross_tokenizer_alignment,
     }
 
 
