@@ -15,6 +15,7 @@ from __future__ import annotations
 import hashlib
 import os
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,6 +27,7 @@ from . import chunks
 from .common import documents, stored
 from .tokens import PieceEncoder, broadcast_spec, slices, texts_of
 
+CHUNK_CHARS = 4_000_000
 COUNTS = ["n_a", "n_b", "n_groups", "n_links"]
 ENCODED = (
     f"chunk BIGINT, bucket INT, keys BINARY, n BINARY, doc_id ARRAY<BIGINT>, {', '.join(f'{c} ARRAY<BIGINT>' for c in COUNTS)}, "
@@ -36,74 +38,172 @@ RESULT = (
 )
 
 
+class SegmentEncoder:
+    """Texts to ids of a sentencepiece model, a space in front of each.
+
+    No piece of the model holds a space behind another sign, so merges never cross the place before a run of spaces,
+    and what stands between two such places has the same ids in any text. These segments are encoded once and
+    remembered, in two generations of ``remember`` each.
+    """
+
+    def __init__(self, model: bytes, remember: int = 200_000):
+        import sentencepiece
+
+        self.pieces = sentencepiece.SentencePieceProcessor(model_proto=model)
+        names = [self.pieces.id_to_piece(n) for n in range(self.pieces.get_piece_size())]
+        self.separable = not any("▁" in name.lstrip("▁") for name in names)
+        self.blank = np.array([self.pieces.piece_to_id("▁")], "<u4").tobytes()
+        self.remember, self.known, self.older = remember, {}, {}
+
+    def whole(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(x, "<u4") for x in self.pieces.encode(texts, num_threads=1)]
+
+    def _segments(self, segments: list[bytes]) -> list[bytes]:
+        known, older = self.known, self.older
+        out = [known.get(x) for x in segments]
+        missing = [i for i, x in enumerate(out) if x is None]
+        for i in missing:
+            out[i] = older.get(segments[i])
+        new = [i for i in missing if out[i] is None]
+        for i, ids in zip(new, self.pieces.encode([segments[i][1:].decode() for i in new], num_threads=1), strict=True):
+            out[i] = array("I", ids).tobytes() if segments[i] != b" " else self.blank
+        if len(known) + len(missing) > self.remember:
+            self.known, self.older = {}, known
+        self.known.update((segments[i], out[i]) for i in missing)
+        return out
+
+    def encode(self, texts: list[str], raw: bytes, text_sizes: np.ndarray) -> list[np.ndarray]:
+        """The ids of each text; ``raw`` has their bytes one after the other, a space before each."""
+        if not self.separable or not texts:
+            return self.whole(texts)
+        space = np.frombuffer(raw, np.uint8) == 32
+        start = space.copy()
+        start[1:] &= ~space[:-1]
+        text_starts = np.cumsum(text_sizes) - text_sizes
+        start[text_starts] = True
+        starts = np.flatnonzero(start)
+        offsets = np.append(starts, len(raw)).astype(np.int64)
+        segments = pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(raw)]
+        ).dictionary_encode()
+        blobs = self._segments(segments.dictionary.to_pylist())
+        which = segments.indices.to_numpy()
+        sizes = np.fromiter(map(len, blobs), np.int64, len(blobs)) // 4
+        first = np.cumsum(sizes) - sizes
+        size = sizes[which]
+        ends = np.cumsum(size)
+        at = np.repeat(first[which] - ends + size, size)
+        at += np.arange(len(at))
+        ids = np.frombuffer(b"".join(blobs), "<u4")[at]
+        return np.split(ids, ends[np.searchsorted(starts, text_starts[1:]) - 1])
+
+
 class Aligner:
     """Texts to windows of ids; ``spec`` is the JSON text of tokenizer A, ``model`` the model file of B."""
 
     def __init__(self, spec: str, model: bytes, remember: int = 300_000):
-        import sentencepiece
-
         self.a = PieceEncoder(spec, 200_000)
         self.a.tokenizer.encode_special_tokens = True
         self.a.added = re.compile("(?!)")  # what spells an added token is plain text
-        self.b = sentencepiece.SentencePieceProcessor(model_proto=model)
+        self.b = SegmentEncoder(model)
         signs = byte_signs()
         vocab = {n: t for t, n in self.a.tokenizer.get_vocab().items()}
         bytes_a = [bytes(signs.get(s, 63) for s in vocab.get(n, "")) for n in range(max(vocab) + 1)]
-        bytes_b = []
-        for n in range(self.b.get_piece_size()):
-            piece = self.b.id_to_piece(n)
-            bytes_b.append(bytes([int(piece[3:5], 16)]) if self.b.is_byte(n) else piece.replace("▁", " ").encode())
+        pieces, bytes_b = self.b.pieces, []
+        for n in range(pieces.get_piece_size()):
+            piece = pieces.id_to_piece(n)
+            bytes_b.append(bytes([int(piece[3:5], 16)]) if pieces.is_byte(n) else piece.replace("▁", " ").encode())
         self.spelled = [Spelling(bytes_a), Spelling(bytes_b)]
         self.remember, self.known, self.older = remember, {}, {}
 
-    def ids(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    def ids(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray, np.ndarray]:
+        """The ids of texts by A and by B, the bytes of each text with a space before it, and whether both spell it."""
+        raws = [b" " + t.encode() for t in texts]
+        sizes, raw = np.array(list(map(len, raws)), np.int64), b"".join(raws)
         a = [np.frombuffer(x, self.a.dtype) for x in self.a.encode([" " + t for t in texts])]
-        return a, [np.array(x, "<u4") for x in self.b.encode(texts, num_threads=1)]
-
-    def aligned(self, window: bytes) -> tuple[str, int, np.ndarray]:
-        """The groups of a window as text, their number, and its links, B's id in the high half."""
-        ids = np.frombuffer(window, "<u4").tolist()
-        a, b = ids[1 : 1 + ids[0]], ids[1 + ids[0] :]
-        sizes_a, sizes_b = self.spelled[0].list, self.spelled[1].list
-        i = j = first_a = first_b = 0
-        end_a, end_b = sizes_a[a[0]], sizes_b[b[0]]
-        groups, links = [], []
-        while True:
-            links.append(b[j] << 32 | a[i])
-            if end_a == end_b:
-                i, j = i + 1, j + 1
-                groups.append(f"{','.join(map(str, a[first_a:i]))}|{','.join(map(str, b[first_b:j]))}")
-                if i == len(a):
-                    return ";".join(groups), len(groups), np.array(links, np.int64)
-                first_a, first_b = i, j
-                end_a, end_b = end_a + sizes_a[a[i]], end_b + sizes_b[b[j]]
-            elif end_a < end_b:
-                i += 1
-                end_a += sizes_a[a[i]]
-            else:
-                j += 1
-                end_b += sizes_b[b[j]]
-
-    def all_aligned(self, windows: list[bytes]) -> list[tuple[str, int, np.ndarray]]:
+        b = self.b.encode(texts, raw, sizes)
+        fine = spelled_right(raw, sizes, b, self.spelled[1])
+        others = np.flatnonzero(~fine).tolist()
+        if others:  # the model writes these texts otherwise, so their segments may be others as well
+            for i, ids in zip(others, self.b.whole([texts[i] for i in others]), strict=True):
+                b[i] = ids
+            fine = spelled_right(raw, sizes, b, self.spelled[1])
+        return a, b, sizes, fine & spelled_right(raw, sizes, a, self.spelled[0])
+
+    def aligned(self, windows: list[bytes]) -> list[tuple[str, int, bytes]]:
+        """For each window its groups as text, their number, and its links as whole numbers, B's id in the high half."""
+        if not windows:
+            return []
+        data = np.frombuffer(b"".join(windows), "<u4").astype(np.int64)
+        total = np.array(list(map(len, windows)), np.int64) // 4
+        head = np.cumsum(total) - total
+        n_a = data[head]
+        n_b = total - n_a - 1
+        of_a, of_b = np.repeat(np.arange(len(total)), n_a), np.repeat(np.arange(len(total)), n_b)
+        place = np.arange(len(data)) - np.repeat(head, total)
+        is_a = (place > 0) & (place <= np.repeat(n_a, total))
+        a, b = data[is_a], data[place > np.repeat(n_a, total)]
+        # Windows have as many bytes on either side, so ends agree when all windows stand in one row.
+        ends_a, ends_b = np.cumsum(self.spelled[0].sizes[a]), np.cumsum(self.spelled[1].sizes[b])
+        met = np.zeros(int(ends_a[-1]) + 1, np.uint8)
+        met[ends_a] += 1
+        met[ends_b] += 2
+        ends = np.flatnonzero(met)
+        links = (b[np.searchsorted(ends_b, ends)] << 32 | a[np.searchsorted(ends_a, ends)]).tobytes()
+        group_ends = np.flatnonzero(met == 3)
+        group_a, group_b = np.searchsorted(group_ends, ends_a), np.searchsorted(group_ends, ends_b)
+        last = group_ends[group_b] == ends_b
+        text, cuts = spelled_groups(a, b, group_a, group_b, last, np.cumsum(n_b) - 1)
+        groups = np.bincount(of_b[last], minlength=len(total)).tolist()
+        cut = np.cumsum(n_a + n_b - np.array(groups)) * 8
+        starts = zip([0, *cuts], cuts, [0, *cut.tolist()], cut.tolist(), strict=False)
+        return [(text[i : j - 1], n, links[x:y]) for n, (i, j, x, y) in zip(groups, starts, strict=False)]
+
+    def all_aligned(self, windows: list[bytes]) -> list[tuple[str, int, bytes]]:
         """``aligned`` of distinct windows, remembered in two generations of ``remember`` each."""
-        out = []
-        for window in windows:
-            found = self.known.get(window)
-            if found is None:
-                found = self.older.get(window) or self.aligned(window)
-                if len(self.known) >= self.remember:
-                    self.known, self.older = {}, self.known
-                self.known[window] = found
-            out.append(found)
+        known, older = self.known, self.older
+        out = [known.get(w) for w in windows]
+        missing = [i for i, x in enumerate(out) if x is None]
+        for i in missing:
+            out[i] = older.get(windows[i])
+        new = [i for i in missing if out[i] is None]
+        for i, found in zip(new, self.aligned([windows[i] for i in new]), strict=True):
+            out[i] = found
+        if len(known) + len(missing) > self.remember:
+            self.known, self.older = {}, known
+        self.known.update((windows[i], out[i]) for i in missing)
         return out
 
 
+NUMBERS: dict[int, Spelling] = {}
+
+
+def spelled_groups(
+    a: np.ndarray, b: np.ndarray, group_a: np.ndarray, group_b: np.ndarray, last: np.ndarray, ends: np.ndarray
+) -> tuple[str, list[int]]:
+    """Ids in decimal, group by group, those of A before those of B, a sign behind each: ``,`` or at the end of a
+    side ``|`` or ``;``. ``last`` marks the ends of groups among B's ids; of the ids at ``ends`` comes the place behind."""
+    order = np.argsort(np.concatenate([group_a * 2, group_b * 2 + 1]), kind="stable")
+    ids = np.concatenate([a, b])[order]
+    most = 1 << int(ids.max()).bit_length()
+    if most not in NUMBERS:
+        NUMBERS[most] = Spelling([b"%d," % n for n in range(most)])
+    names = NUMBERS[most]
+    raw = names.bytes_of(ids)
+    behind = np.cumsum(names.sizes[ids])
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    last_a = np.concatenate([group_a[1:] != group_a[:-1], [True]])
+    raw[behind[place[: len(a)][last_a]] - 1] = ord("|")
+    raw[behind[place[len(a) :][last]] - 1] = ord(";")
+    return raw.tobytes().decode(), behind[place[len(a) :][ends]].tolist()
+
+
 class Spelling:
     """The bytes of each token of a vocabulary."""
 
     def __init__(self, tokens: list[bytes]):
-        self.list = list(map(len, tokens))
-        self.sizes = np.array(self.list, np.int64)
+        self.sizes = np.array(list(map(len, tokens)), np.int64)
         self.first = np.cumsum(self.sizes) - self.sizes
         self.raw = np.frombuffer(b"".join(tokens), np.uint8)
         self.marked = np.array([t[:1] == b" " for t in tokens])
@@ -179,11 +279,7 @@ def chunk_rows(chunk: int, doc_ids: list, texts: list[str], buckets: int, aligne
     shas = [""] * n
     row = {"chunk": chunk, "doc_id": doc_ids}
     filled = [i for i in range(n) if texts[i]]
-    a, b = aligner.ids([texts[i] for i in filled])
-    raws = [b" " + texts[i].encode() for i in filled]
-    sizes = np.array(list(map(len, raws)), np.int64)
-    joined = b"".join(raws)
-    fine = spelled_right(joined, sizes, a, aligner.spelled[0]) & spelled_right(joined, sizes, b, aligner.spelled[1])
+    a, b, sizes, fine = aligner.ids([texts[i] for i in filled])
     good = np.flatnonzero(fine).tolist()
     doc_sizes = np.zeros(n, "<u4")
     found, times, window_sizes, links = (np.zeros(0, "<u4"),) * 4
@@ -194,7 +290,7 @@ def chunk_rows(chunk: int, doc_ids: list, texts: list[str], buckets: int, aligne
         )
         known = aligner.all_aligned(distinct)
         names, groups = [k[0] for k in known], np.array([k[1] for k in known], np.int64)
-        window_sizes = np.array([len(k[2]) for k in known], "<u4")
+        window_sizes = np.array([len(k[2]) // 8 for k in known], "<u4")
         starts = np.concatenate([[0], np.cumsum(per_text)]).tolist()
         for i, begin, end in zip(good, starts, starts[1:], strict=False):
             at, part = filled[i], which[begin:end]
@@ -206,7 +302,7 @@ def chunk_rows(chunk: int, doc_ids: list, texts: list[str], buckets: int, aligne
         pairs, times = np.unique(owner << 32 | which, return_counts=True)
         found = pairs & 0xFFFFFFFF
         doc_sizes = np.bincount(pairs >> 32, minlength=n)
-        flat = np.concatenate([k[2] for k in known])
+        flat = np.frombuffer(b"".join([k[2] for k in known]), np.int64)
         often = np.repeat(np.bincount(which, minlength=len(known)), window_sizes)
         keys, n_links, place = chunks.summed(flat, often)
         of = chunks.mixed(keys >> 32, buckets)
@@ -264,7 +360,7 @@ def document_rows(row: dict, answers: list[dict]) -> pa.Table:
     return pa.table(columns)
 
 
-def aligned_documents(docs: DataFrame, tokenizer_a: str, model_b: str, chars: int = chunks.CHUNK_CHARS) -> DataFrame:
+def aligned_documents(docs: DataFrame, tokenizer_a: str, model_b: str, chars: int = CHUNK_CHARS) -> DataFrame:
     """``RESULT`` for every whole text of ``doc_id, text``; A is a byte-level tokenizer file, B a sentencepiece model."""
     buckets, spec = chunks.bucket_count(docs), broadcast_spec(docs, tokenizer_a)
     with open(model_b, "rb") as file:

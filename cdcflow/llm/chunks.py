@@ -16,7 +16,6 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CHUNK_CHARS = 8_000_000
 BUCKET_BYTES = 8 << 20  # of text for each bucket
 
 
