@@ -9,6 +9,7 @@ from .decontamination import op5_benchmark_decontamination
 from .jaccard import op4_ngram_jaccard_join
 from .language import op3_language_id
 from .licenses import op9_license_scan
+from .lm import op13_pitman_yor_scores
 from .packing import op10_best_fit_packing
 from .pii import op6_pii_surrogates
 from .quality import op7_quality_rules
@@ -31,6 +32,7 @@ def queries():
         "op10_best_fit_packing": op10_best_fit_packing,
         "op11_embedding_whitening": op11_embedding_whitening,
         "op12_cross_tokenizer_alignment": op12_cross_tokenizer_alignment,
+        "op13_pitman_yor_scores": op13_pitman_yor_scores,
     }
 
 
