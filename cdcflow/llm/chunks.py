@@ -20,22 +20,23 @@ BUCKET_BYTES = 8 << 20  # of text for each bucket
 
 
 def zipped(values: np.ndarray) -> bytes:
-    return zstandard.compress(np.ascontiguousarray(values).tobytes(), 1)
+    """Numbers with their first bytes, their second bytes and so on together, as the high ones are much alike."""
+    values = np.ascontiguousarray(values)
+    return zstandard.compress(values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes(), 1)
 
 
 def unzipped(blob: bytes, dtype: str = "<u4") -> np.ndarray:
-    return np.frombuffer(zstandard.decompress(blob), dtype)
+    planes = np.frombuffer(zstandard.decompress(blob), np.uint8).reshape(np.dtype(dtype).itemsize, -1)
+    return np.ascontiguousarray(planes.T).reshape(-1).view(dtype)
 
 
 def zipped_keys(keys: np.ndarray) -> bytes:
-    """Ascending numbers as differences, byte planes apart, as most of the high bytes are 0."""
-    steps = np.diff(keys.astype("<i8"), prepend=np.int64(0))
-    return zstandard.compress(steps.view(np.uint8).reshape(-1, 8).T.tobytes(), 1)
+    """Ascending numbers, as differences."""
+    return zipped(np.diff(keys.astype("<i8"), prepend=np.int64(0)))
 
 
 def unzipped_keys(blob: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.decompress(blob), np.uint8).reshape(8, -1)
-    return np.cumsum(np.ascontiguousarray(planes.T).reshape(-1).view("<i8"))
+    return np.cumsum(unzipped(blob, "<i8"))
 
 
 def mixed(keys: np.ndarray, buckets: int) -> np.ndarray:
