@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from cdcflow.session import scratch_dir
@@ -32,6 +34,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, name: str, column: str) -> str:
+    """The name of a table with the rows of ``df``, dealt by ``column`` in files, so that what groups by it need not
+    shuffle them again. Whoever made it drops it."""
+    table = f"{name}_{uuid.uuid4().hex}"
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    df.write.option("compression", "zstd").bucketBy(n, column).saveAsTable(table, format="parquet")
+    return table
+
+
 def spread_keys(spark: SparkSession) -> list[int]:
     """As many numbers as the session has shuffle partitions, that hash to one partition each.
 
