@@ -1,8 +1,9 @@
 """Live history with before-images, in one streaming query without a state store.
 
 Each micro-batch is read once, into a work folder. Inside it, changes are linked to the image before them. The first
-change of a key in a batch takes the newest image that earlier batches left, from a keyed table of images. Only then
-the batch is published, so a reader never sees a change whose before-image is still to come.
+change of a key in a batch takes the newest image that earlier batches left, from a keyed table of images, which is
+asked for the keys of the batch alone: a batch opens their buckets, not the state. Only then the batch is published, so
+a reader never sees a change whose before-image is still to come.
 """
 
 from __future__ import annotations
@@ -15,7 +16,13 @@ from cdcflow.operators.audit import HOT_ROWS, SPAN, history_rows, prior_images
 from cdcflow.operators.state import images_of, newest_images
 from cdcflow.sources.envelope import flat_changes
 from cdcflow.streaming.feed import barrier
-from cdcflow.streaming.live import EVERY, batch_writer, keyed_writer, read_keyed
+from cdcflow.streaming.keyed import EVERY, KeyedTable
+from cdcflow.streaming.live import batch_writer
+
+
+def images_table(spark: SparkSession, folder: str, every: int = EVERY) -> KeyedTable:
+    """The newest image of each key in the history under ``folder``."""
+    return KeyedTable(spark, f"{folder}/images", ["recid"], newest_images, every=every)
 
 
 def audit_stream(
@@ -30,8 +37,7 @@ def audit_stream(
 
     A batch that is written a second time reads the images of earlier batches only, and so gives the same rows.
     """
-    images, work = f"{folder}/images", f"{folder}/work"
-    add_images = keyed_writer(images, newest_images, images_of, every=every)
+    work = f"{folder}/work"
     publish = batch_writer(f"{folder}/history")
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -40,16 +46,18 @@ def audit_stream(
         flat.write.mode("overwrite").parquet(work)
         flat = spark.read.schema(flat.schema).parquet(work)
         linked = prior_images(flat, hot_rows, span)
-        earlier = read_keyed(spark, images, newest_images, deleted=True, below=batch_id)
+        images = images_table(spark, folder, every)
+        opening = linked.filter(F.col("prior").isNull())
+        earlier = images.read(deleted=True, below=batch_id, keys=opening)
         if earlier is None:
             rows = history_rows(linked, F.col("prior.xmlrecord"))
         else:
             carried = earlier.select("recid", F.col("xmlrecord").alias("carried"))
             closed = history_rows(linked.filter(F.col("prior").isNotNull()), F.col("prior.xmlrecord"))
-            opened = linked.filter(F.col("prior").isNull()).join(carried, "recid", "left")
+            opened = opening.join(carried, "recid", "left")
             rows = closed.unionByName(history_rows(opened, F.col("carried")))
         publish(rows, batch_id)
-        add_images(flat, batch_id)
+        images.add(images_of(flat), batch_id)
 
     stream = changes.writeStream.option("checkpointLocation", f"{folder}/checkpoint")
     return stream.foreachBatch(write).trigger(**barrier(seconds)).start()

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from cdcflow.streaming.feed import barrier, rocksdb_state
+from cdcflow.streaming.keyed import KeyedTable, is_logged
 
 EVERY = 16  # micro-batches between two merges
 Merge = Callable[[DataFrame], DataFrame]
@@ -113,7 +114,12 @@ def keyed_writer(
 
 
 def read_keyed(spark: SparkSession, path: str, merge: Merge, deleted: bool = False, below: int | None = None) -> DataFrame | None:
-    """One row per key of a keyed table, without deleted keys unless asked for; None before the first batch."""
+    """One row per key of a keyed table, without deleted keys unless asked for; None before the first batch.
+
+    Tables with a log (``keyed.KeyedTable``) are read by it.
+    """
+    if is_logged(spark, path):
+        return KeyedTable(spark, path, [], merge).read(deleted, below=below)
     rows = layers(spark, path, below)
     if rows is None:
         return None
