@@ -341,6 +341,20 @@ SELECT recid, kafka_offset, k AS counter, CAST(NULL AS VARCHAR) AS order_ref, am
     + """
 SELECT recid, kafka_offset, k AS counter, CAST(NULL AS VARCHAR) AS order_ref, amount AS total_price,
   day AS ship_date_01, CASE WHEN event_type = 'purchase' THEN day END AS ship_date_02 FROM state""",
+    "q_stream_lookup_change": _STATE
+    + """
+SELECT recid, kafka_offset, k AS counter, CAST(NULL AS VARCHAR) AS order_ref, amount AS total_price,
+  day AS ship_date_01, CASE WHEN event_type = 'purchase' THEN day END AS ship_date_02 FROM state""",
+    "q_stream_versions": _EVENTS
+    + """,
+upto AS (SELECT 3 AS batches UNION ALL SELECT 5),
+ranked AS (SELECT ev.*, batches, row_number() OVER (PARTITION BY batches, recid ORDER BY event_id DESC) AS rn
+           FROM ev, upto WHERE event_id < n * batches // 5)
+SELECT recid, xml AS xmlrecord, kafka_offset, batches FROM ranked WHERE rn = 1 AND op <> 'd'""",
+    "q_stream_followed_view": _STATE
+    + """
+SELECT split_part(recid, '-', 1) AS workload, count(*) AS live_records, max(kafka_offset) AS newest_offset
+FROM state GROUP BY 1""",
     "q_stream_trace": _TRACE
     + """
 SELECT op, count(*) AS changes, count(*) AS timed, count(*) FILTER (op <> 'delete') AS parsed,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,8 +24,9 @@ from cdcflow.sources import capture, envelope, workload
 from cdcflow.sources.records import read_records
 from cdcflow.sources.tables import append_rows, recreate
 from cdcflow.streaming import arrivals as landing
-from cdcflow.streaming import current, feed, live
+from cdcflow.streaming import current, feed, live, wide
 from cdcflow.streaming import history as live_history
+from cdcflow.streaming.keyed import KeyedTable
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -463,6 +466,42 @@ def q_live_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_stream_lookup_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wide rows of a stream whose lookup gets a name in its third batch and has another one changed in its fifth."""
+    path, whole, batches = scratch_dir(spark, "stream-lookup-change"), data.lookup(spark), itertools.count()
+
+    def lookup(session: SparkSession) -> DataFrame:
+        n = next(batches)
+        early = whole.filter(F.col("field_index") != "c46") if n < 2 else whole
+        other = F.when(F.col("field_index") == "c23", "counter").otherwise(F.col("resolved_name_en"))
+        return early.withColumn("resolved_name_en", other) if n < 4 else early
+
+    feed.run_to_end(wide.wide_stream(data.change_feed(spark, sf_dir), lookup, data.EVENT_COLUMNS, path, None, 2))
+    return wide.read_wide(spark, path)
+
+
+def q_stream_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The state after the third batch and after the last, out of one table that has been merged since."""
+    path = scratch_dir(spark, "stream-versions")
+    feed.run_to_end(wide.state_stream(data.change_feed(spark, sf_dir), f"{path}/table", f"{path}/checkpoint", None, 2))
+    table = KeyedTable(spark, f"{path}/table", ["recid"], state.newest_images)
+    earlier = wide.read_state(spark, f"{path}/table", table.version(below=3).number)
+    table.merge_all()
+    now = wide.read_state(spark, f"{path}/table")
+    return earlier.withColumn("batches", F.lit(3)).unionByName(now.withColumn("batches", F.lit(data.BATCHES)))
+
+
+def q_stream_followed_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A report over a view that moves on with its table, of which old versions are removed as the stream goes on."""
+    path, view = scratch_dir(spark, "stream-followed"), f"state_{uuid.uuid4().hex}"
+    changes = data.change_feed(spark, sf_dir)
+    feed.run_to_end(wide.state_stream(changes, f"{path}/table", f"{path}/checkpoint", None, 2, follow=view, keep=2))
+    workload = F.split_part("recid", F.lit("-"), F.lit(1)).alias("workload")
+    return spark.table(f"global_temp.{view}").groupBy(workload).agg(
+        F.count(F.lit(1)).alias("live_records"), F.max("kafka_offset").alias("newest_offset")
+    )
+
+
 def q_stream_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A measured run: land the stream, stamp both stages, trace it, and check the order of the stamps."""
     path = scratch_dir(spark, "stream-trace")

@@ -48,7 +48,7 @@ def audit_stream(
         linked = prior_images(flat, hot_rows, span)
         images = images_table(spark, folder, every)
         opening = linked.filter(F.col("prior").isNull())
-        earlier = images.read(deleted=True, below=batch_id, keys=opening)
+        earlier = images.read(deleted=True, below=batch_id, keys=flat)  # the first change of each key opens
         if earlier is None:
             rows = history_rows(linked, F.col("prior.xmlrecord"))
         else:

@@ -25,7 +25,8 @@ from pyspark.sql.types import StructType
 from cdcflow.sources import files
 
 EVERY = 8  # layers of a level before they are merged
-BUCKETS = 64
+BUCKETS = 16  # for a few GB; a large table takes as many as give it files of a few hundred MB
+SINGLE_FOLDERS = 32
 FEW_KEYS = 200  # asked for by value in the scan; more are joined
 
 Merge = Callable[[DataFrame], DataFrame]
@@ -93,10 +94,15 @@ class KeyedTable:
         found = [n.removeprefix("bucket=") for n in files.names(self.spark, folder) if n.startswith("bucket=")]
         return {"name": layer, "level": 0, "buckets": sorted(map(int, found))} if found else None
 
-    def add(self, rows: DataFrame, batch_id: int) -> Version:
-        """Commit the rows of a batch, then merge levels that are full. A batch that is in the log already stays as it is."""
+    def add(self, rows: DataFrame, batch_id: int | None) -> Version:
+        """Commit the rows of a batch, then merge levels that are full. A batch that is in the log already stays as it is.
+
+        Rows that belong to no batch (None) are added to what the newest one left.
+        """
         now = self.version()
-        if batch_id <= now.batch_id:
+        if batch_id is None:
+            batch_id = now.batch_id
+        elif batch_id <= now.batch_id:
             return now
         rows = rows.drop("batch_id").withColumn("batch_id", F.lit(now.added).cast("bigint"))
         layer = self._write(rows, now.added)
@@ -150,14 +156,16 @@ class KeyedTable:
 
     def _rows(self, version: Version, layers: list[dict], buckets: Sequence[int] | None = None) -> DataFrame:
         schema = StructType.fromJson(json.loads(version.schema))
-        wanted = [
-            f"{self.path}/data/layer={x['name']}/bucket={b}" for x in layers for b in x["buckets"] if buckets is None or b in buckets
-        ]
-        if not wanted:
+        layers = [x | {"buckets": [b for b in x["buckets"] if buckets is None or b in buckets]} for x in layers]
+        layers = [x for x in layers if x["buckets"]]
+        if not layers:
             return self.spark.createDataFrame([], schema)
-        if buckets is None:
-            wanted = [f"{self.path}/data/layer={x['name']}" for x in layers]
-        return self.spark.read.schema(schema).option("basePath", f"{self.path}/data").parquet(*wanted).select(*schema.names)
+        folders = [f"{self.path}/data/layer={x['name']}" for x in layers]
+        single = [f"{folder}/bucket={b}" for folder, x in zip(folders, layers, strict=True) for b in x["buckets"]]
+        # Some folders are named to the scan one by one; of many it prunes those that it does not need.
+        paths = single if buckets is not None and len(single) <= SINGLE_FOLDERS else folders
+        found = self.spark.read.schema(schema).option("basePath", f"{self.path}/data").parquet(*paths)
+        return (found if buckets is None else found.filter(F.col("bucket").isin(list(buckets)))).select(*schema.names)
 
     def rows(self, version: int | None = None, below: int | None = None, keys: DataFrame | None = None) -> DataFrame | None:
         """The rows of all layers; ``keys`` asks for those of some keys alone. None before the first batch.
@@ -169,16 +177,14 @@ class KeyedTable:
             return None
         if keys is None:
             return self._rows(at, at.layers)
-        keys = keys.select(*self.keys).distinct()
-        first = keys.limit(FEW_KEYS + 1).collect()
-        if len(first) <= FEW_KEYS:
-            buckets = [r[0] for r in self.spark.createDataFrame(first, keys.schema).select(self.bucket()).distinct().collect()]
-        else:
-            buckets = [r[0] for r in keys.select(self.bucket()).distinct().collect()]
+        keys = keys.select(*self.keys)
+        buckets = keys.agg(F.collect_set(self.bucket())).first()[0]
+        # Many buckets have many keys; only of few ones is it worth the while to look at each.
+        first = keys.distinct().limit(FEW_KEYS + 1).collect() if len(buckets) <= self.buckets // 2 else None
         found = self._rows(at, at.layers, buckets)
-        if len(first) > FEW_KEYS or any(v is None for r in first for v in r):
+        if first is None or len(first) > FEW_KEYS or any(v is None for r in first for v in r):
             same = [F.col(f"_r.{k}").eqNullSafe(F.col(f"_k.{k}")) for k in self.keys]
-            return found.alias("_r").join(keys.alias("_k"), same, "left_semi")
+            return found.alias("_r").join(keys.distinct().alias("_k"), same, "left_semi")
         for i, key in enumerate(self.keys):
             found = found.filter(F.col(key).isin(sorted({r[i] for r in first})))
         if len(self.keys) > 1:
