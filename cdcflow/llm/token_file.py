@@ -9,6 +9,8 @@ file is a Parquet table of blocks in ascending order of ``doc_id``, so that any
     doc_ids         the documents of the block
     n_tokens        ids of each document, its end id included
     control, data   the code of all their ids, one after the other
+
+Beside it, under the same name with ``.ranks`` behind, stands a table of one row: the ids by rank.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from pyspark.sql import functions as F
 from cdcflow.session import scratch_dir
 
 from .common import documents, stored
-from .tokens import encoded, id_type
+from .tokens import batch_ids, broadcast_spec, encoder, id_type, texts_of
 
 BLOCK = "part INT, block BIGINT, part_start BIGINT, doc_ids ARRAY<BIGINT>, n_tokens ARRAY<BIGINT>, control BINARY, data BINARY"
 BLOCK_IDS = 1 << 18  # a block ends with the document that reaches so many ids
@@ -61,35 +63,53 @@ def decoded(control: bytes, data: bytes, n: int) -> np.ndarray:
     return values
 
 
-def id_counts(docs_ids: DataFrame, dtype: str, vocabulary: int) -> np.ndarray:
-    """How often each id occurs in all documents; the vocabulary bounds what comes to the driver."""
+def id_counts(rows: DataFrame, vocabulary: int) -> np.ndarray:
+    """How often each id occurs, by the counts that ``counted_ids`` left; the vocabulary bounds what comes to the driver."""
 
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(vocabulary, np.int64)
         for batch in batches:
-            ids = np.frombuffer(b"".join(batch.column(0).to_pylist()), dtype)
-            counts += np.bincount(ids, minlength=vocabulary)
+            for row in batch.column(0).to_pylist():
+                counts += np.frombuffer(row, "<i8")
         met = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(met), pa.array(counts[met])], ["id", "n"])
 
     total = np.zeros(vocabulary, np.int64)
-    rows = docs_ids.select("ids").mapInArrow(summed, "id BIGINT, n BIGINT").groupBy("id").agg(F.sum("n").alias("n"))
-    for row in rows.collect():
+    tasks = rows.filter("counts IS NOT NULL").select("counts")
+    for row in tasks.mapInArrow(summed, "id BIGINT, n BIGINT").groupBy("id").agg(F.sum("n").alias("n")).collect():
         total[row.id] = row.n
     return total
 
 
+def counted_ids(docs: DataFrame, tokenizer: str, end_id: int, vocabulary: int) -> DataFrame:
+    """``doc_id, ids, counts``: the ids of each document, and a row a task with how often it met each id."""
+    spec = broadcast_spec(docs, tokenizer)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, counts = encoder(spec.value, 600_000), np.zeros(vocabulary, np.int64)
+        for batch in batches:
+            for doc_ids, ids, ends in batch_ids(batch, own, end_id):
+                counts += np.bincount(ids, minlength=vocabulary)
+                offsets = (np.append(0, ends) * ids.itemsize).astype(np.int32)
+                blobs = pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(ids)])
+                yield pa.RecordBatch.from_arrays([doc_ids, blobs, pa.nulls(len(ends), pa.binary())], ["doc_id", "ids", "counts"])
+        row = [pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([counts.tobytes()], pa.binary())]
+        yield pa.RecordBatch.from_arrays(row, ["doc_id", "ids", "counts"])
+
+    return texts_of(docs).mapInArrow(task, "doc_id BIGINT, ids BINARY, counts BINARY")
+
+
 def write_token_file(docs: DataFrame, tokenizer: str, end_id: int, path: str) -> np.ndarray:
-    """Encode every whole text, append ``end_id``, write the blocks to ``path``; returns the ids by rank.
+    """Encode every whole text, append ``end_id``, write the blocks and the ranks to ``path``; returns the ids by rank.
 
-    A null text is empty. Null doc_ids come first. Rows that repeat are all written, next to each other.
+    An empty table gives a file without blocks. A null text is empty. Null doc_ids come first. Rows that repeat are all written, next to each other.
     """
     from tokenizers import Tokenizer
 
     vocabulary = max(Tokenizer.from_file(tokenizer).get_vocab_size(), end_id + 1)
     dtype = id_type(Tokenizer.from_file(tokenizer).get_vocab_size())
-    ids = stored(encoded(docs, tokenizer, end_id), "ids")
-    by_rank = np.argsort(-id_counts(ids, dtype, vocabulary), kind="stable").astype("<u4")
+    rows = stored(counted_ids(docs, tokenizer, end_id, vocabulary), "ids")
+    by_rank = np.argsort(-id_counts(rows, vocabulary), kind="stable").astype("<u4")
     ranks = np.empty(vocabulary, "<u4")
     ranks[by_rank] = np.arange(vocabulary)
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
@@ -123,14 +143,19 @@ def write_token_file(docs: DataFrame, tokenizer: str, end_id: int, path: str) ->
         if texts:
             yield flush()
 
-    ordered = ids.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "ids")
+    ids = rows.filter("ids IS NOT NULL").select("doc_id", "ids")
+    # Only rows of one doc_id are ordered by their ids, by a number of them, so that a repeated task writes the same.
+    ordered = ids.repartitionByRange("doc_id").withColumn("tie", F.xxhash64("ids")).sortWithinPartitions("doc_id", "tie").drop("tie")
     ordered.mapInArrow(blocks, BLOCK).write.option("compression", "none").parquet(path)
+    docs.sparkSession.createDataFrame([(bytearray(by_rank.tobytes()),)], "by_rank BINARY").coalesce(1).write.parquet(f"{path}.ranks")
     return by_rank
 
 
-def read_token_file(spark: SparkSession, path: str, by_rank: np.ndarray) -> DataFrame:
+def read_token_file(spark: SparkSession, path: str, by_rank: np.ndarray | None = None) -> DataFrame:
     """``doc_id, start, n_tokens, ids`` of a file: ``ids`` as little-endian unsigned 32-bit integers, ``start`` the
     number of ids of all documents before. Only sums by part, as many as the writing tasks, go through the driver."""
+    if by_rank is None:
+        by_rank = np.frombuffer(spark.read.parquet(f"{path}.ranks").first().by_rank, "<u4")
     blocks = spark.read.schema(BLOCK).parquet(path)
     sizes = blocks.groupBy("part").agg(
         F.sum(F.aggregate("n_tokens", F.lit(0).cast("bigint"), lambda a, n: a + n)).alias("n")
@@ -164,6 +189,6 @@ def op1_token_file(spark, sf_dir):
     import public_tokenizers
 
     path = scratch_dir(spark, "token-file")
-    by_rank = write_token_file(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), END_ID, path)
-    read = read_token_file(spark, path, by_rank)
+    write_token_file(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), END_ID, path)
+    read = read_token_file(spark, path)
     return read.withColumn("ids_crc32", F.crc32("ids")).drop("ids")

@@ -235,21 +235,3 @@ def batch_ids(
             blobs = [x + end for x in encoder.whole([texts[i] for i in odd])]
             ids = np.frombuffer(b"".join(blobs), encoder.dtype)
             yield batch.column(0).take(pa.array(odd)), ids, np.cumsum([len(x) for x in blobs]) // ids.itemsize
-
-
-def encoded(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
-    """``doc_id, ids``: the ids of every whole text and ``end_id``, as little-endian integers of ``id_type``.
-
-    A null text has the end id alone; rows that repeat stay apart; other columns are left out.
-    """
-    spec = broadcast_spec(docs, tokenizer)
-
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = encoder(spec.value, 600_000)
-        for batch in batches:
-            for doc_ids, ids, ends in batch_ids(batch, own, end_id):
-                offsets = (np.append(0, ends) * ids.itemsize).astype(np.int32)
-                blobs = pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(ids)])
-                yield pa.RecordBatch.from_arrays([doc_ids, blobs], ["doc_id", "ids"])
-
-    return texts_of(docs).mapInArrow(task, "doc_id BIGINT, ids BINARY")
