@@ -64,7 +64,7 @@ def byte_runs(texts: list[bytes], common: np.ndarray) -> tuple[np.ndarray, ...]:
 
 def _columns(parts: list[tuple]) -> dict[str, np.ndarray]:
     doc, mark, first, last = zip(*parts, strict=True) if parts else ((), (), (), ())
-    return {"doc": np.array(doc, np.int64), "mark": np.array(mark, np.int32), "first": np.array(first, np.int32), "last": np.array(last, np.int32)}
+    return {"doc": np.array(doc, np.int64), "mark": np.array(mark, np.int64), "first": np.array(first, np.int32), "last": np.array(last, np.int32)}
 
 
 def _deal(keys: list[int], common):
@@ -82,7 +82,7 @@ def _deal(keys: list[int], common):
             strings = list(kept)
             doc, mark, start, windows, place, part = zip(*kept.values(), strict=True) if kept else ((),) * 6
             bucket = (np.array(part, np.uint64) >> np.uint64(28)) % np.uint64(buckets)
-            columns = {"doc": np.array(doc, np.int64), "mark": np.array(mark, np.int32), "start": np.array(start, np.int32), "windows": np.array(windows, np.uint8), "place": np.array(place, np.uint8)}
+            columns = {"doc": np.array(doc, np.int64), "mark": np.array(mark, np.int64), "start": np.array(start, np.int32), "windows": np.array(windows, np.uint8), "place": np.array(place, np.uint8)}
             columns["known"] = np.fromiter((s in known for s in strings), bool, len(strings))
             order = np.argsort(bucket, kind="stable")
             ends = np.cumsum(np.bincount(bucket.astype(np.int64), minlength=buckets))

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from .common import small_batches, spread_keys, stored
 
 PACKET = "key BIGINT, bucket INT, data BINARY"
-SPANS = "doc_id BIGINT, mark INT, spans BINARY"
+SPANS = "doc_id BIGINT, mark BIGINT, spans BINARY"
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _PLACE = np.uint64((1 << 28) - 1)
 
@@ -139,13 +139,13 @@ def spans_of(columns: dict[str, np.ndarray]) -> pa.RecordBatch:
     blobs = [pairs[a:b].tobytes() for a, b in zip(starts.tolist(), ends.tolist(), strict=False)] if len(doc) else []
     # The least number stands for a null doc_id.
     ids = pa.array(doc[starts], mask=doc[starts] == np.iinfo(np.int64).min)
-    return pa.RecordBatch.from_arrays([ids, pa.array(mark[starts], pa.int32()), pa.array(blobs, pa.binary())], ["doc_id", "mark", "spans"])
+    return pa.RecordBatch.from_arrays([ids, pa.array(mark[starts], pa.int64()), pa.array(blobs, pa.binary())], ["doc_id", "mark", "spans"])
 
 
 def marked(docs: DataFrame) -> DataFrame:
-    """``doc_id, mark, text``: the mark is a hash of the text, so that rows of one doc_id stay apart by text."""
+    """``doc_id, mark, text``: the mark is 64 bits of hash of the text, so that rows of one doc_id stay apart by text."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return small_batches(docs).select(F.col("doc_id").cast("bigint").alias("doc_id"), F.hash(text).alias("mark"), text.alias("text"))
+    return small_batches(docs).select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(text).alias("mark"), text.alias("text"))
 
 
 def dealt(docs: DataFrame, deal: Callable, solve: Callable, parts: Callable[[str], np.ndarray]) -> DataFrame:

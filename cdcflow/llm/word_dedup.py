@@ -68,7 +68,7 @@ def word_runs(texts: list[str], common: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 def _columns(rows: list[tuple]) -> dict[str, np.ndarray]:
     doc, mark, first, last = zip(*rows, strict=True) if rows else ((), (), (), ())
-    return {"doc": np.array(doc, np.int64), "mark": np.array(mark, np.int32), "first": np.array(first, np.int32), "last": np.array(last, np.int32)}
+    return {"doc": np.array(doc, np.int64), "mark": np.array(mark, np.int64), "first": np.array(first, np.int32), "last": np.array(last, np.int32)}
 
 
 def _deal(keys: list[int], common):
@@ -85,7 +85,7 @@ def _deal(keys: list[int], common):
             doc, mark, start, windows, part = zip(*kept.values(), strict=True) if kept else ((),) * 5
             part = np.array(part, np.uint64)
             bucket = (part >> np.uint64(28)) % np.uint64(buckets)
-            columns = {"doc": np.array(doc, np.int64), "mark": np.array(mark, np.int32), "start": np.array(start, np.int32), "windows": np.array(windows, np.uint16), "part": part.astype(np.uint32)}
+            columns = {"doc": np.array(doc, np.int64), "mark": np.array(mark, np.int64), "start": np.array(start, np.int32), "windows": np.array(windows, np.uint16), "part": part.astype(np.uint32)}
             order = np.argsort(bucket, kind="stable")
             ends = np.cumsum(np.bincount(bucket.astype(np.int64), minlength=buckets))
             for b, (a, z) in enumerate(zip([0, *ends.tolist()], ends.tolist(), strict=False)):

@@ -8,6 +8,7 @@ from collections import Counter
 
 import pytest
 from conftest import odd_rows, words
+from pyspark.sql import functions as F
 
 from cdcflow.llm import byte_dedup, jaccard, superkmers, word_dedup
 from cdcflow.llm.common import documents
@@ -205,3 +206,17 @@ def test_components_of_chains_stars_and_nothing(spark):
     found = dict(map(tuple, components(spark.createDataFrame(chain + star, "a INT, b INT")).collect()))
     assert found == {i: 0 for i in range(31)} | {i: 100 for i in range(100, 130)}
     assert components(spark.createDataFrame([], "a INT, b INT")).collect() == []
+
+
+@pytest.mark.parametrize(
+    "operator, expected", [(word_dedup.without_repeats, removed_words), (byte_dedup.without_repeated_bytes, removed_bytes)]
+)
+def test_rows_of_one_doc_id_whose_short_hashes_agree(spark, docs, operator, expected):
+    """Texts are told apart by more than 32 bits: a long and a short one that agree in so many are found in no time."""
+    body = " ".join(words(60, 3))
+    long = spark.range(150_000).selectExpr(f"concat('{body} ', id) AS a").withColumn("h", F.hash("a"))
+    short = spark.range(300_000).selectExpr("concat('t', id) AS b").withColumn("h", F.hash("b"))
+    a, b = long.join(short, "h").select("a", "b").first()
+    rows = [(5, a), (5, b), (7, body), (None, b), (None, a)]
+    found = {tuple(r) for r in operator(docs(rows)).collect()}
+    assert found == {tuple(r) for r in expected(rows)}
