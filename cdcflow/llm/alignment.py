@@ -46,7 +46,7 @@ class SegmentEncoder:
     remembered, in two generations of ``remember`` each.
     """
 
-    def __init__(self, model: bytes, remember: int = 200_000):
+    def __init__(self, model: bytes, remember: int = 350_000):
         import sentencepiece
 
         self.pieces = sentencepiece.SentencePieceProcessor(model_proto=model)
@@ -101,8 +101,8 @@ class SegmentEncoder:
 class Aligner:
     """Texts to windows of ids; ``spec`` is the JSON text of tokenizer A, ``model`` the model file of B."""
 
-    def __init__(self, spec: str, model: bytes, remember: int = 300_000):
-        self.a = PieceEncoder(spec, 200_000)
+    def __init__(self, spec: str, model: bytes, remember: int = 400_000):
+        self.a = PieceEncoder(spec, 350_000)
         self.a.tokenizer.encode_special_tokens = True
         self.a.added = re.compile("(?!)")  # what spells an added token is plain text
         self.b = SegmentEncoder(model)
