@@ -360,3 +360,11 @@ FROM state GROUP BY 1""",
 SELECT op, count(*) AS changes, count(*) AS timed, count(*) FILTER (op <> 'delete') AS parsed,
   0::BIGINT AS negative_legs FROM timed GROUP BY op""",
 }
+
+# The same changes on tables of files.
+ORACLES |= {
+    "q_merge_files": ORACLES["q_merge_upsert"],
+    "q_upsert_marks": ORACLES["q_merge_upsert"],
+    "q_update_marks": ORACLES["q_apply_update"],
+    "q_delete_vectors": ORACLES["q_delete_prefix"],
+}

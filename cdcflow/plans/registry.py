@@ -21,6 +21,7 @@ from cdcflow.plans.views import register_live_views, register_views
 from cdcflow.schema import BULK_PREFIX, MIXED_PREFIX
 from cdcflow.session import scratch_dir
 from cdcflow.sources import capture, envelope, workload
+from cdcflow.sources.filetable import FileTable
 from cdcflow.sources.records import read_records
 from cdcflow.sources.tables import append_rows, recreate
 from cdcflow.streaming import arrivals as landing
@@ -149,6 +150,44 @@ def q_missing_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mutate.missing_keys(_orders(spark, sf_dir, _settled()), _urgent_updates(spark, sf_dir))
 
 
+def _order_files(spark: SparkSession, sf_dir: str) -> FileTable:
+    """The settled orders as a table that is changed file by file."""
+    table = FileTable(spark, scratch_dir(spark, "order-files"))
+    table.create(_orders(spark, sf_dir, _settled()))
+    return table
+
+
+def q_merge_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As q_merge_upsert, by writing the touched files anew."""
+    table = _order_files(spark, sf_dir)
+    table.merge(_urgent_updates(spark, sf_dir))
+    return table.read()
+
+
+def q_upsert_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As q_merge_upsert, by marking old rows and adding files."""
+    table = _order_files(spark, sf_dir)
+    table.upsert(_urgent_updates(spark, sf_dir))
+    return table.read()
+
+
+def q_update_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As q_apply_update, by marking old rows and adding files."""
+    table = _order_files(spark, sf_dir)
+    table.update(_urgent_updates(spark, sf_dir), ["xmlrecord"])
+    return table.read()
+
+
+def q_delete_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As q_delete_prefix, by marks; those of the first prefix are folded in before the second one goes."""
+    table = FileTable(spark, scratch_dir(spark, "state-files"))
+    table.create(state.current_state(data.changes(spark, sf_dir)))
+    table.delete(mutate.has_prefix("recid", MIXED_PREFIX))
+    table.fold()
+    table.delete(mutate.has_prefix("recid", BULK_PREFIX))
+    return table.read()
+
+
 def q_recreate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The state written as a table twice, and read."""
     path = scratch_dir(spark, "state")
