@@ -6,9 +6,9 @@ sets can have in common, so from here on a set is its size and the sorted array
 
 Partners share a hash among the rarest quarter of either set (its prefix). Links are found in two rounds: first each
 set against one pivot of its prefix hashes, which joins groups of near copies by as many checks as they have members;
-then, in tiles of a prefix hash, only sets of different components. A tile holds blocks of sets in order of size;
-of each pair within the size band, bitmaps whose width follows the size bound the overlap from above, and what passes
-is checked by intersecting the sorted arrays. Groups of exact copies are one set from the first step on.
+then, in tiles of a prefix hash, only sets of different components. A tile holds blocks of sets in order of size. Of
+each pair within the size band, in both rounds, bitmaps whose width follows the size bound the overlap from above, and
+what passes is checked by intersecting the sorted arrays. Groups of exact copies are one set from the first step on.
 """
 
 from __future__ import annotations
@@ -26,6 +26,7 @@ from .tokens import slices
 
 SHINGLE, SHARE = 5, (3, 4)  # words a shingle; the least similarity as a fraction
 FLUSH_CHARS = 16_000_000  # a task deals out its hashes each time it has read so much
+BUCKETS = 4  # in a partition; a task holds one at a time
 BLOCK_SETS = 4096  # sets in a block of a tile
 PACKET = "key BIGINT, flush BIGINT, bucket INT, data BINARY"
 SET = "kind INT, doc_id BIGINT, class BINARY, n BIGINT, shared BINARY, level BINARY"
@@ -47,16 +48,6 @@ def shingle_hashes(text: str | None) -> np.ndarray:
     return np.unique((out ^ (out >> np.uint64(32))) * _MIX)
 
 
-def _five_bytes(values: np.ndarray) -> bytes:
-    return np.ascontiguousarray(values, "<u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
-
-
-def _from_five(raw: np.ndarray) -> np.ndarray:
-    out = np.zeros((len(raw) // 5, 8), np.uint8)
-    out[:, :5] = raw.reshape(-1, 5)
-    return out.reshape(-1).view("<u8")
-
-
 def _packets(rows: list[tuple]) -> pa.RecordBatch:
     columns = list(zip(*rows, strict=True)) or [()] * 4
     kinds = (pa.int64(), pa.int64(), pa.int32(), pa.binary())
@@ -65,10 +56,31 @@ def _packets(rows: list[tuple]) -> pa.RecordBatch:
     )
 
 
+def _closed(owner: np.ndarray, values: np.ndarray, sets: int) -> bytes:
+    """A packet of hashes in order of their owners: the owners' counts, of all sets or of those that have some,
+    whichever is shorter, and the hashes."""
+    counts = np.bincount(owner, minlength=sets)
+    named = np.flatnonzero(counts)
+    wide = 1 if counts.max() < 256 else 4
+    listed = len(named) * (4 + wide) < sets * wide
+    head = np.array([len(named) if listed else sets, wide, listed], "<u4").tobytes()
+    owners = named.astype("<u4").tobytes() if listed else b""
+    return head + owners + (counts[named] if listed else counts).astype(f"<u{wide}").tobytes() + values.astype("<u8").tobytes()
+
+
+def _opened(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Owners and hashes of a packet."""
+    sets, wide, listed = np.frombuffer(data, "<u4", 3).tolist()
+    at = 12 + 4 * sets * listed
+    owners = np.frombuffer(data, "<u4", sets, 12) if listed else np.arange(sets, dtype=np.uint32)
+    counts = np.frombuffer(data, f"<u{wide}", sets, at)
+    return np.repeat(owners, counts), np.frombuffer(data, "<u8", -1, at + wide * sets)
+
+
 def _deal(keys: list[int]):
-    """Texts to packets: a packet for each flush and bucket has the sets' counts there and 40 bits of each hash; the
-    flush's own packet (bucket -1) has documents, set ids and sizes."""
-    buckets = len(keys)
+    """Texts to packets: a packet for each flush and bucket has the sets' counts there and their hashes; the flush's own
+    packet (bucket -1) has documents, set ids and sizes."""
+    buckets = BUCKETS * len(keys)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import pickle
@@ -84,7 +96,8 @@ def _deal(keys: list[int]):
         def packets() -> list[tuple]:
             sizes = np.array([len(h) for h in hashes], "<u4")
             own = (docs, list(sets), sizes.tobytes())
-            rows = [(keys[(flush & 0xFFFF) % buckets], flush, -1, pickle.dumps(own))]
+            own_key = keys[((flush >> 32) + (flush & 0xFFFFFFFF)) % len(keys)]
+            rows = [(own_key, flush, -1, pickle.dumps(own))]
             every = np.concatenate([np.empty(0, np.uint64), *hashes])
             owner = np.repeat(np.arange(len(hashes), dtype=np.uint32), sizes)
             bucket = ((every >> np.uint64(40)) % np.uint64(buckets)).astype(np.uint32)
@@ -93,10 +106,7 @@ def _deal(keys: list[int]):
             for b, (start, end) in enumerate(zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)):
                 if start < end:
                     part = order[start:end]
-                    counts = np.bincount(owner[part], minlength=len(hashes)).astype("<u4")
-                    wide = np.uint8(1 if counts.max() < 256 else 4)
-                    head = np.array([wide], np.uint8).tobytes() + counts.astype(f"<u{wide}").tobytes()
-                    rows.append((keys[b], flush, b, np.array([len(hashes)], "<u4").tobytes() + head + _five_bytes(every[part])))
+                    rows.append((keys[b % len(keys)], flush, b, _closed(owner[part], every[part], len(hashes))))
             return rows
 
         for batch in batches:
@@ -117,14 +127,6 @@ def _deal(keys: list[int]):
     return task
 
 
-def _opened(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Owners and hashes of a packet."""
-    raw = np.frombuffer(data, np.uint8)
-    sets, wide = int(raw[:4].view("<u4")[0]), int(raw[4])
-    counts = np.frombuffer(data, f"<u{wide}", sets, 5)
-    return np.repeat(np.arange(sets, dtype=np.uint32), counts), _from_five(raw[5 + wide * sets :])
-
-
 def _share(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Packets in order of buckets to packets of the hashes that several sets hold, with the level of their number."""
 
@@ -142,7 +144,7 @@ def _share(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i in np.unique(which[level > 0]).tolist():
             at = np.flatnonzero((which == i) & (level > 0))
             data = np.array([len(at)], "<u4").tobytes() + owner[at].astype("<u4").tobytes() + level[at].tobytes()
-            rows.append((held[i]["flush"], held[i]["flush"], held[i]["bucket"], data + _five_bytes(every[at])))
+            rows.append((held[i]["flush"], held[i]["flush"], held[i]["bucket"], data + every[at].astype("<u8").tobytes()))
         return _packets(rows)
 
     held: list[dict] = []
@@ -199,7 +201,7 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             assert row["flush"] == current
             raw = np.frombuffer(row["data"], np.uint8)
             k = int(raw[:4].view("<u4")[0])
-            value = np.uint64(row["bucket"]) << np.uint64(40) | _from_five(raw[4 + 5 * k :])
+            value = np.frombuffer(row["data"], "<u8", k, 4 + 5 * k)
             parts.append((np.frombuffer(row["data"], "<u4", k, 4), raw[4 + 4 * k : 4 + 5 * k], value))
     if own:
         yield from flush(own, parts)
@@ -248,22 +250,33 @@ def similar(n_a, n_b, overlap):
     return overlap * (SHARE[0] + SHARE[1]) >= SHARE[0] * (n_a + n_b)
 
 
-def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs with both arrays to the pairs that link."""
-    for batch in batches:
-        keep = []
-        rows = zip(*(batch.column(i).to_pylist() for i in range(2, 6)), strict=True)
-        for n_a, n_b, a, b in rows:
-            overlap = len(np.intersect1d(np.frombuffer(a, "<u8"), np.frombuffer(b, "<u8"), assume_unique=True))
-            keep.append(bool(similar(n_a, n_b, overlap)))
-        mask = pa.array(keep, pa.bool_())
-        yield pa.RecordBatch.from_arrays([batch.column(i).filter(mask) for i in range(2)], ["a", "b"])
+def _verify(bounded: bool):
+    """Pairs with both arrays to the pairs that link; bitmaps have to allow it first, unless they did before."""
+
+    def allowed(n_a: int, n_b: int, a: np.ndarray, b: np.ndarray) -> bool:
+        x, y = bitmap(a, n_a), bitmap(b, n_b)
+        words = min(len(x), len(y))
+        differ = int(np.bitwise_count(_folded(x, words) ^ _folded(y, words)).sum(dtype=np.int64))
+        return bool(similar(n_a, n_b, min(len(a), len(b), (len(a) + len(b) - differ) // 2)))
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            rows = zip(*(batch.column(i).to_pylist() for i in range(2, 6)), strict=True)
+            for n_a, n_b, raw_a, raw_b in rows:
+                a, b = np.frombuffer(raw_a, "<u8"), np.frombuffer(raw_b, "<u8")
+                may = bounded or allowed(n_a, n_b, a, b)
+                keep.append(may and bool(similar(n_a, n_b, len(np.intersect1d(a, b, assume_unique=True)))))
+            mask = pa.array(keep, pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(i).filter(mask) for i in range(2)], ["a", "b"])
+
+    return task
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def verified(pairs: DataFrame, sets: DataFrame, bounded: bool = False) -> DataFrame:
     side = {s: sets.select(*(F.col(c).alias(f"{c}_{s}") for c in ("class", "n", "shared"))) for s in "ab"}
     both = pairs.join(side["a"], pairs.a == F.col("class_a")).join(side["b"], pairs.b == F.col("class_b"))
-    return both.select("a", "b", "n_a", "n_b", "shared_a", "shared_b").mapInArrow(_verify, "a BINARY, b BINARY")
+    return both.select("a", "b", "n_a", "n_b", "shared_a", "shared_b").mapInArrow(_verify(bounded), "a BINARY, b BINARY")
 
 
 def _width(n: int) -> int:
@@ -382,7 +395,7 @@ def links(sets: DataFrame) -> DataFrame:
     maps = sets.select("class", "n", "shared").mapInArrow(_with_bits, "class BINARY, s BIGINT, bits BINARY")
     order = ["token", "low", "high"]
     tiles = placed.join(maps, "class").repartition(*order).sortWithinPartitions(*order, "class")
-    second = verified(tiles.mapInArrow(_tiles, "a BINARY, b BINARY").distinct(), sets)
+    second = verified(tiles.mapInArrow(_tiles, "a BINARY, b BINARY").distinct(), sets, bounded=True)
     return first.union(second)
 
 

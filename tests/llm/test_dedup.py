@@ -220,3 +220,42 @@ def test_rows_of_one_doc_id_whose_short_hashes_agree(spark, docs, operator, expe
     rows = [(5, a), (5, b), (7, body), (None, b), (None, a)]
     found = {tuple(r) for r in operator(docs(rows)).collect()}
     assert found == {tuple(r) for r in expected(rows)}
+
+
+@pytest.mark.parametrize("partitions", [7, 8])
+def test_texts_whose_hashes_are_alike_in_part_do_not_link(spark, docs, partitions):
+    """These two agree in 40 bits of their hashes and leave the same remainder by 8."""
+    rows = [(1, "w3836257"), (2, "w4816379"), (3, "w4816379")]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    try:
+        got = jaccard.near_duplicates(docs(rows)).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert sorted((r.doc_id, r.component_id) for r in got) == [(1, 1), (2, 2), (3, 2)]
+
+
+@pytest.mark.parametrize("sets", [1, 5, 4000])
+def test_packets_open_to_what_was_put_in(sets):
+    import numpy as np
+
+    owner = np.sort(np.array([0, sets - 1, *[sets // 2] * 300], np.uint32))
+    values = np.arange(len(owner), dtype=np.uint64) << np.uint64(50)
+    back = jaccard._opened(jaccard._closed(owner, values, sets))
+    assert back[0].tolist() == owner.tolist() and back[1].tolist() == values.tolist()
+
+
+def test_the_bitmap_bound_of_the_first_round_loses_no_link():
+    import numpy as np
+    import pyarrow as pa
+
+    rng, pairs = np.random.default_rng(3), []
+    for _ in range(400):
+        n = int(rng.integers(4, 600))
+        a = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+        b = np.concatenate([a[int(n * rng.uniform(0, 0.4)) :], rng.integers(0, 1 << 63, int(n * rng.uniform(0, 0.2)), dtype=np.uint64)])
+        pairs.append((b"a", b"b", len(a), len(b), np.sort(a).tobytes(), np.sort(b).tobytes()))
+    columns = [pa.array(c) for c in zip(*pairs, strict=True)]
+    batch = pa.RecordBatch.from_arrays(columns, ["a", "b", "n_a", "n_b", "shared_a", "shared_b"])
+    counts = {bounded: sum(out.num_rows for out in jaccard._verify(bounded)([batch])) for bounded in (False, True)}
+    assert 0 < counts[False] == counts[True] < 400
