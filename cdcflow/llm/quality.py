@@ -1,13 +1,14 @@
 """Quality rules under weak supervision.
 
-Each rule looks at one figure of a text and votes good, votes bad or abstains. Most rules know one defect: they vote bad
-where they see it and abstain elsewhere, as a text without one defect may well have another. No labels are used:
-expectation maximisation over the counts of vote patterns estimates how often each rule is right on good and on bad
-documents, and a document is kept if its posterior probability of being good reaches ``KEEP``.
-
-Votes alone do not tell a defect that is rare and stands alone from a rule that errs, so two beliefs are given: the share
-of good documents, and that a rule seldom votes bad on a good one. The second counts as much as all documents do. A
-``GOOD`` below the true share changes nothing; far above it, lone defects are taken for errors and let pass.
+Each rule looks at one figure of a text and votes good, votes bad or abstains. Most figures have two rules, a strict and a
+lenient one, so a plain defect gets several bad votes and a doubtful one a single vote. No labels are used: expectation
+maximisation over the counts of vote patterns estimates the share of good documents and how often each rule that votes is
+right on good and on bad ones, and a document is kept if its posterior probability of being good reaches ``KEEP``. So a
+rule that often votes bad on documents which all others call good loses its say, and a bad vote alone does not condemn.
+
+What the base rules reject is decided already and teaches nothing. The beliefs to begin with (``GOOD``, ``RIGHT``) count
+as ``PSEUDO`` documents, so they decide on tables of a few documents only. ``fitted`` is the form for who knows the share
+of good documents and wants to hold rules to a belief of any weight.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,9 +28,10 @@ COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
 SYMBOLS, UPPER, LOWER = b"#*$%&|<>", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz"
 ENDS = (b".", b"!", b"?", b":", b'"', b")", "”".encode(), "»".encode(), "…".encode(), "。".encode())
 KEEP = 0.5
-GOOD = 0.8  # the share of good documents
-# How often a rule is right on good and on bad documents to begin with, and how much that counts as a share of all.
-RIGHT, BELIEF, ROUNDS = (0.995, 0.3), (1.0, 0.02), 500
+# The share of good documents and how often a rule is right on good and on bad ones, to begin with, and their weight.
+GOOD, RIGHT, PSEUDO = 0.8, (0.9, 0.3), 10
+ROUNDS = 500
+LONE, SURE, BELIEF = 5, (0.995, 0.3), (1.0, 0.02)  # of ``fitted``: rules that know one defect, their RIGHT, its weights
 
 
 def repeated_words(words: list) -> int:
@@ -86,58 +89,79 @@ def base_failed(counts: str) -> Column:
 
 
 def votes(counts: str) -> dict[str, Column]:
-    """Each rule's vote: 1 good, 0 bad, null abstains. Those in DEFECTS never vote good."""
+    """Each rule's vote: 1 good, 0 bad, null abstains."""
     c = {name: F.col(f"{counts}.{name}") for name in COUNTS}
     n_words, n_lines = F.greatest(c["n_words"], F.lit(1)), F.greatest(c["n_lines"], F.lit(1))
     letters = F.greatest(c["n_upper"] + c["n_lower"], F.lit(1))
-    mean = c["word_chars"] / n_words
+    mean, ended = c["word_chars"] / n_words, c["n_ended"] / n_lines
 
     def rule(good: Column, bad: Column) -> Column:
         return F.when(bad, 0).when(good, 1)
 
-    def above(share: Column, most: float) -> Column:
-        return F.when(share > most, 0)
+    def pair(name: str, share: Column, strict: tuple[float, float], lenient: tuple[float, float]) -> dict[str, Column]:
+        """Two rules on the share of a defect: good up to the first bound, bad above the second."""
+        bounds = {f"{name}_some": strict, f"{name}_many": lenient}
+        return {k: rule(share <= fine, share > most) for k, (fine, most) in bounds.items()}
 
     return {
-        "length": rule(c["n_words"] >= 100, c["n_words"] < 50),
-        "word_length": rule((mean >= 3.5) & (mean <= 7), (mean < 2.5) | (mean > 9)),
-        "line_ends": rule(c["n_ended"] >= 0.5 * c["n_lines"], c["n_ended"] < 0.1 * c["n_lines"]),
-        "symbols": above(c["n_symbols"] / n_words, 0.1),
-        "dup_lines": above(c["n_dup_lines"] / n_lines, 0.4),
-        "repeats": above(c["n_repeat_words"] / n_words, 0.4),
-        "capitals": above(c["n_upper"] / letters, 0.4),
-        "shouts": above(c["n_shouts"] / n_words, 0.1),
+        "length": rule(c["n_words"] >= 100, c["n_words"] < 75),
+        "word_length_wide": rule((mean >= 3.5) & (mean <= 7), (mean < 2.5) | (mean > 9)),
+        "word_length_near": rule((mean >= 4) & (mean <= 6), (mean < 3.5) | (mean > 7)),
+        "line_ends_half": rule(ended >= 0.5, ended < 0.1),
+        "line_ends_most": rule(ended >= 0.9, ended < 0.7),
+        **pair("symbols", c["n_symbols"] / n_words, (0.05, 0.1), (0.1, 0.3)),
+        **pair("dup_lines", c["n_dup_lines"] / n_lines, (0.1, 0.15), (0.2, 0.4)),
+        **pair("repeats", c["n_repeat_words"] / n_words, (0.1, 0.2), (0.2, 0.4)),
+        **pair("capitals", c["n_upper"] / letters, (0.08, 0.15), (0.2, 0.4)),
+        **pair("shouts", c["n_shouts"] / n_words, (0.02, 0.05), (0.05, 0.1)),
     }
 
 
-DEFECTS = ["symbols", "dup_lines", "repeats", "capitals", "shouts"]  # the last rules of ``votes``
+Patterns = list[tuple[tuple[int | None, ...], int]]
+Rights = list[tuple[float, float]]
 
 
-def fitted(
-    patterns: list[tuple[tuple[int | None, ...], int]],
-    defects: int = len(DEFECTS),
-    good: float = GOOD,
-    belief: tuple[float, float] = BELIEF,
-) -> list[tuple[float, float]]:
-    """EM over vote patterns and how many documents show each: for each rule, how often it is right on a good and on a
-    bad document. The last ``defects`` rules are right on a good document when they abstain; the others are judged
-    where they vote. ``good`` is the share of good documents, ``belief`` the weight of ``RIGHT``."""
+def _em(patterns: Patterns, defects: int, begin: tuple[float, float], sure: tuple[float, float], good: float, weight: float | None):
+    """The share of good documents (as given without a ``weight``) and each rule's accuracies."""
     rules = len(patterns[0][0]) if patterns else 0
-    right, total = [RIGHT] * rules, sum(n for _, n in patterns)
-    sure = [max(1, total * b) for b in belief]
+    if not rules:
+        return good, [begin] * rules
+    vote = np.array([[-1 if v is None else v for v in p] for p, _ in patterns])
+    n = np.array([k for _, k in patterns], float)
+    judged = (vote >= 0) | (np.arange(rules) >= rules - defects)
+    fine = judged & (vote != 0)
+    right, share = np.tile(begin, (rules, 1)), good
     for _ in range(ROUNDS):
-        held = [(v, n, n * posterior(v, right, good)) for v, n in patterns]
-        new = []
-        for j in range(rules):
-            judged = [(v[j] != 0, n, g) for v, n, g in held if v[j] is not None or j >= rules - defects]
-            on_good = sure[0] * RIGHT[0] + sum(g for fine, _, g in judged if fine)
-            on_bad = sure[1] * RIGHT[1] + sum(n - g for fine, n, g in judged if not fine)
-            new.append((on_good / (sure[0] + sum(g for *_, g in judged)), on_bad / (sure[1] + sum(n - g for _, n, g in judged))))
-        moved = max((abs(a - b) for x, y in zip(new, right, strict=True) for a, b in zip(x, y, strict=True)), default=0)
-        right = new
+        start, adds = weights(right.tolist(), share)
+        on_good, on_bad = np.array(adds).T
+        odds = start + (vote == 1) @ on_good + (vote == 0) @ on_bad
+        g = n / (1 + np.exp(-np.clip(odds, -700, 700)))
+        new = np.stack(
+            [
+                (sure[0] * begin[0] + g @ fine) / (sure[0] + g @ judged),
+                (sure[1] * begin[1] + (n - g) @ (judged & ~fine)) / (sure[1] + (n - g) @ judged),
+            ],
+            axis=1,
+        )
+        moved, right = float(np.abs(new - right).max()), new
+        if weight is not None:
+            share = (weight * good + float(g.sum())) / (weight + float(n.sum()))
         if moved < 1e-9:
             break
-    return right
+    return share, [(a, b) for a, b in right.tolist()]
+
+
+def estimated(patterns: Patterns) -> tuple[float, Rights]:
+    """EM over vote patterns and how many documents show each: the share of good documents, and for each rule how often
+    it is right on a good and on a bad document where it votes."""
+    return _em(patterns, 0, RIGHT, (PSEUDO, PSEUDO), GOOD, PSEUDO)
+
+
+def fitted(patterns: Patterns, defects: int = LONE, good: float = GOOD, belief: tuple[float, float] = BELIEF) -> Rights:
+    """The accuracies for a share of good documents that is given. The last ``defects`` rules are right on a good document
+    when they abstain; the others are judged where they vote. ``belief`` is the weight of ``SURE`` as a share of all."""
+    total = sum(n for _, n in patterns)
+    return _em(patterns, defects, SURE, tuple(max(1, total * b) for b in belief), good, None)[1]
 
 
 def weights(right: list[tuple[float, float]], good: float = GOOD) -> tuple[float, list[tuple[float, float]]]:
@@ -154,12 +178,13 @@ def posterior(pattern: tuple[int | None, ...], right: list[tuple[float, float]],
 def fit(counted: DataFrame, name: str = "_counts") -> Column:
     """The posterior probability of good, as an expression over the struct ``name``.
 
-    All documents count; only the counts of vote patterns, 3 to the number of rules at most, come to the driver.
+    All documents that pass the base rules count. Only the counts of vote patterns come to the driver: bounds cut a figure
+    into five ranges at most, so there are 3 * 5^7 patterns at most, whatever the number of documents.
     """
     cast = votes(name)
-    rows = counted.groupBy(*(v.alias(k) for k, v in cast.items())).count().collect()
-    patterns = sorted(((tuple(r[:-1]), r[-1]) for r in rows), key=repr)
-    start, adds = weights(fitted(patterns)) if patterns else (0.0, [(0.0, 0.0)] * len(cast))
+    rows = counted.filter(~base_failed(name)).groupBy(*(v.alias(k) for k, v in cast.items())).count().collect()
+    share, right = estimated(sorted(((tuple(r[:-1]), r[-1]) for r in rows), key=repr))
+    start, adds = weights(right or [RIGHT] * len(cast), share)
     odds = F.lit(start)
     for vote, (on_good, on_bad) in zip(cast.values(), adds, strict=True):
         odds = odds + F.when(vote == 1, on_good).when(vote == 0, on_bad).otherwise(0.0)

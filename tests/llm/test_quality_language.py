@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import random
 import re
 import zlib
@@ -10,6 +11,7 @@ from collections import Counter
 import numpy as np
 import pytest
 from conftest import odd_rows
+from pyspark.sql import functions as F
 
 from cdcflow.llm import language, quality
 from cdcflow.llm.common import documents
@@ -91,6 +93,73 @@ def test_a_lone_defect_condemns_unless_the_belief_is_too_kind(good):
     assert all(quality.posterior(p, right, good) < 0.5 for p in alone)
 
 
+def test_a_bad_vote_alone_does_not_condemn(spark):
+    """All-must-pass would lose these: documents with a bad vote that are kept, labelled good ones among them."""
+    sf_dir = "/root/testdata/sf0.1"
+    counted = quality.with_counts(documents(spark, sf_dir).select("doc_id", "text")).drop("text").cache()
+    good = quality.fit(counted)
+    voted_bad = functools.reduce(lambda a, b: a | b, (F.coalesce(v == 0, F.lit(False)) for v in quality.votes("_counts").values()))
+    rows = counted.filter(~quality.base_failed("_counts")).select("doc_id", (good >= quality.KEEP).alias("kept"), voted_bad.alias("bad"))
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
+    told = Counter(tuple(r) for r in rows.join(labels, "doc_id").select("quality", "kept", "bad").collect())
+    assert told[1, True, True] > 100 and told[1, False, True] + told[1, False, False] <= 0.005 * sum(told.values())
+    assert told[0, False, True] >= 0.9 * sum(n for (q, *_), n in told.items() if not q)
+    counted.unpersist()
+
+
+def test_em_learns_share_and_accuracies():
+    """Rules that abstain, err and stand in pairs; a rule that votes at random gets no say."""
+    rng, patterns, truth = random.Random(4), Counter(), Counter()
+    right = [(0.97, 0.9), (0.95, 0.8), (0.9, 0.85), (0.99, 0.6), (0.5, 0.5)]
+    for _ in range(20_000):
+        good = rng.random() < 0.85
+        pattern = tuple(None if rng.random() < 0.2 else int(good == (rng.random() < a[not good])) for a in right)
+        patterns[pattern] += 1
+        truth[pattern] += good
+    share, found = quality.estimated(sorted(patterns.items(), key=repr))
+    assert abs(share - 0.85) < 0.03
+    assert all(abs(x - y) < 0.06 for a, b in zip(right, found, strict=True) for x, y in zip(a, b, strict=True))
+    sure = sum(max(truth[p], n - truth[p]) for p, n in patterns.items())
+    hit = sum(truth[p] if quality.posterior(p, found, share) >= 0.5 else n - truth[p] for p, n in patterns.items())
+    assert hit >= 0.995 * sure
+
+
+def test_verdict_equals_em_by_hand(spark):
+    """The column expression against EM of a few plain lines over the same votes."""
+    counted = quality.with_counts(documents(spark, SF_DIR).select("doc_id", "text")).drop("text").cache()
+    cast = quality.votes("_counts")
+    rows = counted.filter(~quality.base_failed("_counts")).select("doc_id", *(v.alias(k) for k, v in cast.items()), quality.fit(counted).alias("p")).collect()
+    votes = [tuple(r)[1:-1] for r in rows]
+    share, right = 0.8, [(0.9, 0.3)] * len(cast)
+    for _ in range(100):
+        p = [by_hand(v, share, right) for v in votes]
+        share = (8 + sum(p)) / (10 + len(p))
+        right = []
+        for j in range(len(cast)):
+            on = [(v[j], g) for v, g in zip(votes, p, strict=True) if v[j] is not None]
+            right.append(
+                ((9 + sum(g for v, g in on if v)) / (10 + sum(g for _, g in on)), (3 + sum(1 - g for v, g in on if not v)) / (10 + sum(1 - g for _, g in on)))
+            )
+    assert all(abs(r.p - by_hand(v, share, right)) < 1e-3 for r, v in zip(rows, votes, strict=True))
+    counted.unpersist()
+
+
+def by_hand(vote, share, right):
+    good, bad = share, 1 - share
+    for v, (a, b) in zip(vote, right, strict=True):
+        if v is not None:
+            good, bad = good * (a if v else 1 - a), bad * (1 - b if v else b)
+    return good / (good + bad)
+
+
+def test_without_junk_nothing_goes(spark, docs):
+    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet").filter("quality = 1").select("doc_id")
+    clean = documents(spark, SF_DIR).join(labels, "doc_id", "left_semi")
+    counted = quality.with_counts(clean, "_c")
+    passed = counted.filter(~quality.base_failed("_c")).count()
+    assert quality.keep_good(clean).count() >= 0.99 * passed > 0
+
+
 def test_held_out_accuracy(spark, table):
     rows = language.op3_language_id(spark, SF_DIR).collect()
     assert Counter(r.doc_id for r in rows) == Counter(list(table))
