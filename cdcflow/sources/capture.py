@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cdcflow.schema import UNAVAILABLE
+from cdcflow.session import stored
 
 CAPTURED = ("recid", "xmlrecord")
 
@@ -54,16 +55,26 @@ def as_log(
     """Captured changes with times and places in a log, ready for ``current_state``, ``audit`` and ``trace``.
 
     ``at_ms`` is the time of the capture: the source log keeps whole seconds of it. Changes go to ``partitions`` by
-    their key (or by the number ``partition``) and are numbered by key in each, from ``start`` (0 by default). Every
-    partition is numbered by one task, so their number has to suit the size of the capture.
+    their key (or by the number ``partition``) and are numbered by key in each, from ``start`` (0 by default).
+
+    A task numbers a range of (partition, key), so one partition may take any number of tasks: the changes are written
+    in that order to the shared folder, each with its place in its range, and counts of ranges say where a range begins.
     """
     key = F.coalesce("after.RECID", "before.RECID")
     dealt = changes.withColumn("kafka_partition", F.pmod(partition if partition is not None else F.xxhash64(key), F.lit(partitions)).cast("int"))
-    nth = F.row_number().over(Window.partitionBy("kafka_partition").orderBy(key, "op"))
+    order = ["kafka_partition", key, "op", F.xxhash64("before", "after")]
+    ranked = dealt.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
+    placed = stored(ranked, "log").withColumn("_range", F.shiftright("_at", 33))
+    ranges = placed.groupBy("kafka_partition", "_range").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy("kafka_partition").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranges.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+    # As many rows as there are tasks and partitions of the log, whatever the capture holds.
+    numbered = placed.join(F.broadcast(ranges), ["kafka_partition", "_range"])
+    nth = F.col("_before") + F.col("_at") - F.col("_first")
     first = F.create_map(*(F.lit(x) for item in (start or {-1: 0}).items() for x in item))
-    offset = (F.coalesce(F.try_element_at(first, F.col("kafka_partition")), F.lit(0)) + nth - 1).cast("bigint")
+    offset = (F.coalesce(F.try_element_at(first, F.col("kafka_partition")), F.lit(0)) + nth).cast("bigint")
     at = F.lit(at_ms).cast("bigint")
-    return dealt.select(
+    return numbered.select(
         "op", "before", "after", F.struct((at - at % 1000).alias("ts_ms")).alias("source"), at.alias("ts_ms"),
         "kafka_partition", offset.alias("kafka_offset"), F.timestamp_millis(at).alias("kafka_ts"),
     )
