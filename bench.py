@@ -39,6 +39,8 @@ HEADLINE = [
     "q_report_by_workload",
     "q_report_leg_share",
     "q_merge_upsert",
+    "q_merge_files",
+    "q_delete_vectors",
     "q_snapshot_diff",
     "q_capture_trace",
     "q_stream_current_state",
