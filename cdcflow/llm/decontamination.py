@@ -1,12 +1,13 @@
 """Benchmark items in documents, up to a share of edited words.
 
 Words are compared by 64-bit hashes of their lower-cased bytes. An item of n words may differ in k words (inserted, left
-out or replaced), k the floor of ``EDITS`` * n. Cut into k + 1 pieces, one piece must then stand in the document as it
-is; such seeds say which item-sized windows are worth a look, and lose none. Each window and item goes through the CGK
-random walk, which turns edit distance into Hamming distance: at each of 3n steps it writes the word it stands on and
-moves on or stays by a random bit of step and word. Bit sampling compares a few random steps of that embedding; it is
-repeated, with a new walk each time, until simulated items with k edits reach ``RECALL``. What collides is checked by
-exact edit distance.
+out or replaced), k the floor of ``EDITS`` * n. The window that starts at each word of a document goes through the CGK random
+walk, which turns edit distance into Hamming distance: at each step it writes the word it stands on and moves on or stays
+by a random bit of step and word. A walk is the same for windows of any size until a window ends, so items of similar
+length (a class) share one table and all classes share the walk. Bit sampling compares a few random steps of the embedding,
+in several bands a walk; walks are repeated until simulated items with k edits reach ``RECALL``. An item is entered as it
+reads from several of its words on (``ANCHORS``), so edits that crowd at its beginning do not hide it. What collides and
+shares enough words with its item is checked by exact edit distance.
 """
 
 from __future__ import annotations
@@ -23,11 +24,16 @@ from pyspark.sql.types import StructField, StructType
 from .common import documents, free_name, small_batches
 from .tokens import slices
 
-EDITS, RECALL, STEPS, SAMPLED = 0.15, 0.99, 3, 3
+EDITS, RECALL, SAMPLED, BANDS = 0.15, 0.99, 3, 6
+ANCHORS = (0.0, 0.25, 0.5)  # where in an item the windows begin under which it is entered
+CLASS = 1.6  # longest item of a class by its shortest, which gives the steps that are sampled
+MOST_STEPS, MOST_WALKS, SIMULATED = 64, 64, 400
+BLOCK = 16_384  # windows embedded at a time; their steps stay in the cache
 ITEM_BLOCK = 20_000  # items that one pass over the documents looks for; more take more passes
 FOUND = "ARRAY<STRUCT<item_id: BIGINT, start_word: BIGINT, n_words: BIGINT, n_edits: BIGINT>>"
 PAD = np.uint64(0)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
+_WEIGHTS = np.array([random.Random(n).getrandbits(64) | 1 for n in range(SAMPLED)], np.uint64)
 
 
 def word_hashes(text: str | None) -> np.ndarray:
@@ -46,63 +52,80 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def embedded(windows: np.ndarray, lengths: np.ndarray, walk: int) -> np.ndarray:
-    """CGK embeddings of padded windows (a row each): STEPS words a word of the widest row."""
-    rows, at = np.arange(len(windows)), np.zeros(len(windows), np.int64)
-    padded = np.concatenate([windows, np.full((len(windows), 1), PAD, np.uint64)], axis=1)
-    out = np.empty((len(windows), STEPS * windows.shape[1]), np.uint64)
-    for step in range(out.shape[1]):
-        words = out[:, step] = padded[rows, at]
-        seed = np.uint64((walk << 32 | step) * 0x2545F4914F6CDD1D & (1 << 64) - 1)
-        at = np.minimum(at + (_mixed(words ^ seed) >> np.uint64(63)).astype(np.int64), lengths)
+def embedded(words: np.ndarray, windows: int, steps: int, walk: int) -> np.ndarray:
+    """The first ``steps`` of the CGK embedding of the windows that start at the first ``windows`` words: a row a step."""
+    padded = np.concatenate([words, np.full(steps, PAD, np.uint64)])
+    at, out = np.arange(windows), np.empty((steps, windows), np.uint64)
+    move = np.empty(windows, np.uint64)
+    for step in range(steps):
+        if step % 64 == 0:
+            moves = _mixed(_mixed(padded ^ np.uint64((walk << 32 | step) * 0x2545F4914F6CDD1D & (1 << 64) - 1)))
+        padded.take(at, out=out[step], mode="clip")
+        moves.take(at, out=move, mode="clip")
+        np.right_shift(move, np.uint64(step % 64), out=move)
+        np.bitwise_and(move, np.uint64(1), out=move)
+        at += move.view(np.int64)
     return out
 
 
-def signatures(windows: np.ndarray, lengths: np.ndarray, walks: int) -> np.ndarray:
-    """For each window and walk, a hash of SAMPLED steps of its embedding; the steps depend on walk and length."""
-    out = np.empty((len(windows), walks), np.uint64)
-    for walk in range(walks):
-        steps = embedded(windows, lengths, walk)
-        mixed = np.zeros(len(windows), np.uint64)
-        for n in range(SAMPLED):
-            part = random.Random(walk * SAMPLED + n).random()
-            mixed = _mixed(mixed ^ steps[np.arange(len(steps)), (part * STEPS * lengths).astype(np.int64)])
-        out[:, walk] = mixed
+def classes(lengths: list[int]) -> list[int]:
+    """The shortest length of each class of lengths."""
+    out: list[int] = []
+    for n in sorted(set(lengths)):
+        if not out or n > CLASS * out[-1]:
+            out.append(n)
     return out
 
 
-def _rows(arrays: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    lengths = np.array([len(a) for a in arrays], np.int64)
-    out = np.full((len(arrays), int(lengths.max(initial=1))), PAD, np.uint64)
-    for row, a in zip(out, arrays, strict=True):
-        row[: len(a)] = a
-    return out, lengths
+def sampled_steps(walk: int, shortest: int) -> list[list[int]]:
+    """The steps that each band of a walk compares, for a class: one out of each part of as many steps as words."""
+    rng, steps = random.Random(f"{walk} {shortest}"), min(MOST_STEPS, shortest)
+    return [[int((n + rng.random()) * steps / SAMPLED) for n in range(SAMPLED)] for _ in range(BANDS)]
+
+
+def signature(embedding: np.ndarray, steps: list[int]) -> np.ndarray:
+    out = embedding[steps[0]] * _WEIGHTS[0]
+    for step, weight in zip(steps[1:], _WEIGHTS[1:], strict=True):
+        out += embedding[step] * weight
+    return out
+
+
+def anchors(n: int) -> list[int]:
+    return sorted({int(part * n) for part in ANCHORS})
 
 
 def _edited(words: np.ndarray, edits: int, rng: random.Random) -> np.ndarray:
+    """``words`` with random edits, in the middle of other words."""
     out = words.tolist()
     for _ in range(edits):
         at, kind = rng.randrange(len(out)), rng.randrange(3)
         out[at : at + (kind != 0)] = [rng.getrandbits(64)] * (kind != 2)
-    return np.array(out + [rng.getrandbits(64) for _ in words], np.uint64)[: len(words)]
+    return np.array(out + [rng.getrandbits(64) for _ in words], np.uint64)
 
 
-def walks_needed(items: list[np.ndarray], most: int = 64) -> int:
-    """Walks until so many simulated items with all allowed edits collide as RECALL asks."""
-    rng = random.Random(1)
+def walks_needed(items: list[np.ndarray]) -> int:
+    """Walks until so many simulated items with all allowed edits collide as RECALL asks; raises if MOST_WALKS do not."""
+    rng, starts = random.Random(1), classes([len(a) for a in items])
     some = [a for a in items if allowed(len(a))]
     if not some:
         return 1
-    some = [some[rng.randrange(len(some))] for _ in range(300)]
-    plain, lengths = _rows(some)
-    other, _ = _rows([_edited(a, allowed(len(a)), rng) for a in some])
-    hit = np.zeros(len(some), bool)
-    step = 4
-    for walks in range(step, most + 1, step):
-        hit = (signatures(plain, lengths, walks) == signatures(other, lengths, walks)).any(axis=1)
-        if hit.mean() >= RECALL:
-            return walks
-    return most
+    open_pairs = [(a, _edited(a, allowed(len(a)), rng)) for a in (some[rng.randrange(len(some))] for _ in range(SIMULATED))]
+    for walk in range(MOST_WALKS):
+        missed = []
+        for plain, other in open_pairs:
+            shortest, k = max(s for s in starts if s <= len(plain)), allowed(len(plain))
+            steps = min(MOST_STEPS, shortest)
+            one, two = embedded(plain, len(plain), steps, walk), embedded(other, len(other), steps, walk)
+            met = False
+            for band in sampled_steps(walk, shortest):
+                a, b = signature(one, band), signature(two, band)
+                met = met or any((b[max(0, o - k) : o + k + 1] == a[o]).any() for o in anchors(len(plain)))
+            if not met:
+                missed.append((plain, other))
+        open_pairs = missed
+        if len(open_pairs) <= (1 - RECALL) * SIMULATED:
+            return walk + 1
+    raise ValueError(f"{MOST_WALKS} walks miss {len(open_pairs)} of {SIMULATED} simulated items")
 
 
 def infix_distance(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
@@ -119,88 +142,125 @@ def infix_distance(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
 
 
 class Index:
-    """Seeds and signatures of a block of items; it grows with the block only."""
+    """Signatures of a block of items, by walk, class and band; it grows with the block only."""
 
     def __init__(self, items: list[tuple[int | None, np.ndarray]], walks: int):
         self.ids, self.items = [i for i, _ in items], [a for _, a in items]
-        self.walks = walks
-        windows, lengths = _rows(self.items)
-        self.signature = signatures(windows, lengths, walks)
-        seeds: dict[int, list[tuple[int, int, int]]] = {}
+        self.sorted = [np.unique(a) for a in self.items]
+        starts = classes([len(a) for a in self.items])
+        of_class: dict[int, list[int]] = {}
         for i, words in enumerate(self.items):
-            pieces = allowed(len(words)) + 1
-            size = len(words) // pieces
-            grams = self.grams(words, size)
-            for p in range(pieces):
-                seeds.setdefault(size, []).append((int(grams[p * size]), i, p * size))
-        self.seeds = {}
-        for size, rows in seeds.items():
-            rows.sort()
-            hashes = np.array([r[0] for r in rows], np.uint64)
-            table = np.zeros(1 << 20, bool)
-            table[hashes >> np.uint64(44)] = True
-            self.seeds[size] = (table, hashes, np.array([r[1] for r in rows]), np.array([r[2] for r in rows]))
-
-    @staticmethod
-    def grams(words: np.ndarray, size: int) -> np.ndarray:
-        n = max(0, len(words) - size + 1)
-        out = words[:n].copy()
-        for k in range(1, size):
-            out = (out ^ (out >> np.uint64(29))) * _MIX + words[k : k + n]
-        return _mixed(out)
+            of_class.setdefault(max(s for s in starts if s <= len(words)), []).append(i)
+        self.steps = min(MOST_STEPS, max(starts, default=1))
+        self.bands: list[list[tuple]] = [[] for _ in range(walks)]
+        for walk, bands in enumerate(self.bands):
+            for shortest, members in of_class.items():
+                places = [(i, o) for i in members for o in anchors(len(self.items[i]))]
+                item, anchor = (np.array(x) for x in zip(*places, strict=True))
+                whole = [embedded(self.items[i], len(self.items[i]), min(MOST_STEPS, shortest), walk) for i in members]
+                windows = np.concatenate([e[:, anchors(e.shape[1])] for e in whole], axis=1)
+                for steps in sampled_steps(walk, shortest):
+                    hashes = signature(windows, steps)
+                    order = hashes.argsort()
+                    shift = np.uint64(64 - max(14, len(places).bit_length() + 5))
+                    table = np.zeros(1 << 64 - int(shift), bool)
+                    table[hashes >> shift] = True
+                    bands.append((steps, shift, table, hashes[order], item[order], anchor[order]))
+
+    def collisions(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All windows that share a signature with an item: the item, and where in ``words`` it would start."""
+        items, starts = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for first in range(0, len(words), BLOCK):
+            part = words[first : first + BLOCK + self.steps]
+            n = min(BLOCK, len(words) - first)
+            for walk, bands in enumerate(self.bands):
+                rows = embedded(part, n, self.steps, walk)
+                for steps, shift, table, hashes, item, anchor in bands:
+                    found = signature(rows, steps)
+                    at = np.flatnonzero(table.take((found >> shift).view(np.int64)))
+                    low = hashes.searchsorted(found[at])
+                    high = hashes.searchsorted(found[at], "right")
+                    n_each = high - low
+                    if not n_each.any():
+                        continue
+                    entry = np.repeat(low - np.cumsum(n_each) + n_each, n_each) + np.arange(n_each.sum())
+                    items.append(item[entry])
+                    starts.append(first + np.repeat(at, n_each) - anchor[entry])
+        # A start before a text belongs to a window inside it; the region that is checked is clipped to the text.
+        both = np.unique(np.stack([np.concatenate(items), np.concatenate(starts)]), axis=1)
+        return both[0], both[1]
 
     def found(self, texts: list[np.ndarray]) -> list[list[tuple[int | None, int, int, int]]]:
-        """For each text, the items in it: id, first word, words, edits."""
+        """For each text, the places of items in it, none overlapping another of its item: id, first word, words, edits."""
         out: list[list] = [[] for _ in texts]
-        ends = np.cumsum([len(t) for t in texts])
         words = np.concatenate([np.empty(0, np.uint64), *texts])
-        spots: set[tuple[int, int]] = set()
-        for size, (table, hashes, item, offset) in self.seeds.items():
-            grams = self.grams(words, size)
-            at = np.flatnonzero(table[grams >> np.uint64(44)])
-            low, high = (np.searchsorted(hashes, grams[at], side) for side in ("left", "right"))
-            for a, b, p in zip(low.tolist(), high.tolist(), at.tolist(), strict=True):
-                spots.update((int(item[j]), p - int(offset[j])) for j in range(a, b))
-        windows, of = [], []
-        for i, start in sorted(spots):
-            # The seed's document; a seed over the end of one is checked, and fails, in the first.
-            doc = int(np.searchsorted(ends, max(0, start + len(self.items[i]) // 2), "right"))
-            for d in {doc, int(np.searchsorted(ends, max(0, start), "right")), int(np.searchsorted(ends, start + len(self.items[i]) - 1, "right"))}:
-                if d < len(texts):
-                    first, k = int(ends[d]) - len(texts[d]), allowed(len(self.items[i]))
-                    for s in range(start - k, start + k + 1):
-                        a, b = max(first, s), min(int(ends[d]), s + len(self.items[i]))
-                        if b - a >= len(self.items[i]) - k:
-                            windows.append(words[a:b])
-                            of.append((d, i, a - first))
-        candidates: dict[tuple[int, int], list[int]] = {}
-        for at in range(0, len(windows), 20_000):
-            part = of[at : at + 20_000]
-            rows, _ = _rows(windows[at : at + 20_000])
-            lengths = np.array([len(self.items[i]) for _, i, _ in part], np.int64)
-            short = int(lengths.max()) - rows.shape[1]
-            rows = np.pad(rows, ((0, 0), (0, max(0, short))))
-            same = (signatures(rows, lengths, self.walks) == self.signature[[i for _, i, _ in part]]).any(axis=1)
-            for n in np.flatnonzero(same).tolist():
-                d, i, start = part[n]
-                candidates.setdefault((d, i), []).append(start)
-        for (d, i), starts in candidates.items():
-            item, k, best = self.items[i], allowed(len(self.items[i])), None
-            for start in sorted(set(starts)):
-                if best and start < best[1] + best[2]:
-                    continue
-                low = max(0, start - k)
-                region = texts[d][low : start + len(item) + 2 * k]
-                edits, end = infix_distance(item, region)
-                if edits <= k:
-                    _, length = infix_distance(item[::-1], region[:end][::-1])
-                    length = _length(item, region[:end], edits, length)
-                    if best is None or edits < best[3]:
-                        best = (self.ids[i], low + end - length, length, edits)
-            if best:
-                out[d].append(best)
+        ends = np.cumsum([len(t) for t in texts])
+        all_items, all_starts = self.collisions(words)
+        cuts = np.searchsorted(all_items, np.unique(all_items))
+        for starts in np.split(all_starts, cuts[1:]) if len(cuts) else []:
+            i = int(all_items[cuts[0]])
+            cuts = cuts[1:]
+            self._places(i, starts, words, ends, texts, out)
         return out
 
+    def _places(self, i: int, starts: np.ndarray, words: np.ndarray, ends: np.ndarray, texts: list, out: list) -> None:
+        item = self.items[i]
+        n, k = len(item), allowed(len(item))
+        starts = self._with_words(starts, words, item, self.sorted[i])
+        # Both texts that a window near a border may belong to are tried.
+        done: dict[int, int] = {}
+        for start in starts.tolist():
+            docs = {int(np.searchsorted(ends, min(max(0, p), len(words) - 1), "right")) for p in (start, start + n // 2, start + n - 1)}
+            for d in docs:
+                first = int(ends[d]) - len(texts[d])
+                low, high = max(0, done.get(d, 0), start - first - k), min(len(texts[d]), start - first + n + 2 * k)
+                if high - low < n - k:
+                    continue
+                edits, a, b = _place(item, texts[d], low, high)
+                if edits > k:
+                    continue
+                while edits:  # what lies beside the place may fit better
+                    better = _place(item, texts[d], max(0, done.get(d, 0), a - k), min(len(texts[d]), a + n + 2 * k))
+                    if better[0] >= edits:
+                        break
+                    edits, a, b = better
+                out[d].append((self.ids[i], a, b - a, edits))
+                done[d] = b
+
+    @staticmethod
+    def _with_words(starts: np.ndarray, words: np.ndarray, item: np.ndarray, known: np.ndarray) -> np.ndarray:
+        """The starts around which enough words of the item stand for a place with all its edits."""
+        n, k = len(item), allowed(len(item))
+        kept, around = [np.empty(0, np.int64)], np.arange(-k, n + 2 * k)
+        of_word = known.searchsorted(item)
+        for at in range(0, len(starts), 4096):
+            part = starts[at : at + 4096]
+            spots = part[:, None] + around
+            near = words.take(spots, mode="clip")
+            which = known.searchsorted(near)
+            same = known.take(which, mode="clip") == near
+            same &= (spots >= 0) & (spots < len(words))
+            there = np.zeros((len(part), len(known)), bool)
+            row, column = np.nonzero(same)
+            there[row, which[row, column]] = True
+            # Neither can be fewer than the words that a place leaves as they are.
+            kept.append(part[(same.sum(axis=1) >= n - k) & (there[:, of_word].sum(axis=1) >= n - k)])
+        return np.concatenate(kept)
+
+
+def _place(item: np.ndarray, text: np.ndarray, low: int, high: int) -> tuple[int, int, int]:
+    """The least edits of ``item`` to a run of ``text[low:high]``, and the first and the end of one with so many.
+
+    A run that is too far from the item has no extent.
+    """
+    region = text[low:high]
+    edits, end = infix_distance(item, region)
+    if edits > allowed(len(item)):
+        return edits, low, low
+    _, length = infix_distance(item[::-1], region[:end][::-1])
+    length = _length(item, region[:end], edits, length)
+    return edits, low + end - length, low + end
+
 
 def _length(item: np.ndarray, text: np.ndarray, edits: int, guess: int) -> int:
     """Words of the shortest run at the end of ``text`` with so many edits."""
@@ -220,10 +280,10 @@ def _length(item: np.ndarray, text: np.ndarray, edits: int, guess: int) -> int:
 
 
 def with_found(docs: DataFrame, items: DataFrame, name: str = "_found") -> DataFrame:
-    """``docs`` with the items found in ``text``, for each item its best place, in the array ``name`` (``FOUND``).
+    """``docs`` with the items found in ``text`` in the array ``name`` (``FOUND``): all places, none overlapping another of its item.
 
     All other columns pass unchanged. A null or empty text holds nothing; an item without words is nowhere; items that
-    repeat are all reported. The items pass through the driver in blocks of ITEM_BLOCK, each a pass over the documents.
+    repeat are all reported. Empty tables give empty tables; very long texts are embedded in blocks of windows. The items pass through the driver in blocks of ITEM_BLOCK, each a pass over the documents.
     """
     spark = docs.sparkSession
     items = items.selectExpr("CAST(item_id AS BIGINT) AS item_id", "CAST(text AS STRING) AS text")

@@ -67,6 +67,47 @@ def test_edited_items_are_found(spark, docs):
         assert distance(dict(items)[r.item_id].split(), run) == r.n_edits
 
 
+def test_all_places_of_an_item_are_found(spark, docs):
+    item = words(30, 77, 9000)
+    edited = [*item[:4], "new", *item[5:20], *item[21:]]
+    between = [words(n, n, 9000) for n in (3, 0, 50)]
+    text = [*between[0], *item, *between[1], *edited, *between[2], *item]
+    rows = [(1, " ".join(text)), (2, " ".join(between[2])), (3, " ".join(item[:25]))]
+    bench = spark.createDataFrame([(9, " ".join(item))], "item_id BIGINT, text STRING")
+    found = decontamination.with_found(docs(rows), bench, "f").selectExpr("doc_id", "inline(f)").collect()
+    assert sorted(map(tuple, found)) == [(1, 9, 3, 30, 0), (1, 9, 33, 29, 2), (1, 9, 112, 30, 0)]
+
+
+def test_edits_that_crowd_at_one_end():
+    rng = random.Random(4)
+    items = [np.array([rng.getrandbits(64) for _ in range(rng.randrange(15, 90))], np.uint64) for _ in range(100)]
+    index = decontamination.Index(list(enumerate(items)), decontamination.walks_needed(items))
+    for end in (False, True):
+        texts = []
+        for item in items:
+            part = item[::-1].tolist() if end else item.tolist()
+            for _ in range(decontamination.allowed(len(item))):
+                part[rng.randrange(len(part) // 3)] = rng.getrandbits(64)
+            around = [rng.getrandbits(64) for _ in range(80)]
+            texts.append(np.array(around + (part[::-1] if end else part) + around, np.uint64))
+        assert sum(any(f[0] == i for f in found) for i, found in enumerate(index.found(texts))) >= 97
+
+
+def test_walks_that_do_not_reach_the_recall_raise(monkeypatch):
+    monkeypatch.setattr(decontamination, "MOST_WALKS", 0)
+    with pytest.raises(ValueError):
+        decontamination.walks_needed([np.arange(1, 40, dtype=np.uint64)])
+
+
+def test_windows_of_blocks_read_on(monkeypatch):
+    rng = random.Random(6)
+    item = np.array([rng.getrandbits(64) for _ in range(40)], np.uint64)
+    texts = [np.array([rng.getrandbits(64) for _ in range(n)], np.uint64) for n in (0, 1, 90)]
+    texts.append(np.concatenate([texts[2], item, texts[2], item]))
+    monkeypatch.setattr(decontamination, "BLOCK", 7)
+    assert decontamination.Index([(5, item)], 1).found(texts) == [[], [], [], [(5, 90, 40, 0), (5, 220, 40, 0)]]
+
+
 def test_every_planted_item_is_found(spark):
     texts = dict(map(tuple, documents(spark, SF_DIR).select("doc_id", "text").collect()))
     items = dict(map(tuple, decontamination.benchmark(spark, SF_DIR).collect()))
