@@ -39,9 +39,13 @@ def trace(changes: DataFrame, arrivals: DataFrame) -> DataFrame:
     Total time runs to the parsed stage, or to the raw stage for changes that are never parsed, and starts at
     the client stamp, or at the database time without one.
     """
-    joined = markers(changes).join(arrivals.select(*EVENT_KEY, "t4_ms", "t5_ms"), EVENT_KEY, "left")
+    return timed(markers(changes).join(arrivals.select(*EVENT_KEY, "t4_ms", "t5_ms"), EVENT_KEY, "left"))
+
+
+def timed(stamps: DataFrame) -> DataFrame:
+    """The trace of changes whose five times, ``t1_ms`` to ``t5_ms``, stand in one row."""
     t1, t2, t3, t4, t5 = (F.col(f"t{k}_ms") for k in range(1, 6))
-    return joined.select(
+    return stamps.select(
         "recid",
         "op",
         *EVENT_KEY,

@@ -368,3 +368,6 @@ ORACLES |= {
     "q_update_marks": ORACLES["q_apply_update"],
     "q_delete_vectors": ORACLES["q_delete_prefix"],
 }
+
+# The same reports, kept up to date.
+ORACLES |= {"q_live_reports": ORACLES["q_report_by_workload"], "q_live_report_by_op": ORACLES["q_report_by_op"]}

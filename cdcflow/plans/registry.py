@@ -13,7 +13,7 @@ from cdcflow.functions.numbers import keyed_amount
 from cdcflow.functions.records import record_id, replace_tag
 from cdcflow.functions.times import epoch_ms_by_fields, epoch_ms_of_utc, stamp_suffix
 from cdcflow.operators import audit as history
-from cdcflow.operators import flatten, mutate, reports, state, visibility
+from cdcflow.operators import flatten, mutate, partials, reports, state, visibility
 from cdcflow.operators import trace as tracing
 from cdcflow.plans import account
 from cdcflow.plans import testdata as data
@@ -25,7 +25,7 @@ from cdcflow.sources.filetable import FileTable
 from cdcflow.sources.records import read_records
 from cdcflow.sources.tables import append_rows, recreate
 from cdcflow.streaming import arrivals as landing
-from cdcflow.streaming import current, feed, live, wide
+from cdcflow.streaming import current, feed, live, reporting, wide
 from cdcflow.streaming import history as live_history
 from cdcflow.streaming.keyed import KeyedTable
 
@@ -541,6 +541,24 @@ def q_stream_followed_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _live_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Partial rows of reports kept up to date over the changes and the polls, half of which come a batch late."""
+    path = scratch_dir(spark, "live-reports")
+    reporting.begin(spark, path, reporting.of_seed(data.seed(spark, sf_dir)))
+    seen = reporting.of_observations(data.observation_feed(spark, sf_dir))
+    changes = reporting.of_changes(data.change_feed(spark, sf_dir))
+    feed.run_to_end(reporting.reports_stream(changes.unionByName(seen), path, None, 3))
+    return reporting.read_groups(spark, path)
+
+
+def q_live_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return partials.report_by_workload(_live_groups(spark, sf_dir))
+
+
+def q_live_report_by_op(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return partials.report_by_op(_live_groups(spark, sf_dir))
+
+
 def q_stream_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A measured run: land the stream, stamp both stages, trace it, and check the order of the stamps."""
     path = scratch_dir(spark, "stream-trace")

@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from cdcflow.functions.numbers import amount_text
 from cdcflow.functions.times import epoch_ms_of_utc
 from cdcflow.plans.account import POSITIONS
-from cdcflow.schema import MESSAGE, OBSERVATION, UNAVAILABLE
-from cdcflow.session import scratch_dir
+from cdcflow.schema import EVENT_KEY, MESSAGE, OBSERVATION, UNAVAILABLE
+from cdcflow.session import scratch_dir, stored
 from cdcflow.sources.envelope import parse_envelope, to_messages
 from cdcflow.sources.lookup import load_lookup, lookup_rows
 from cdcflow.streaming.feed import change_stream
@@ -309,6 +309,22 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw.unionByName(parsed)
 
 
+def observation_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The polls as a stream of BATCHES + 1 micro-batches; every second poll, by its hash, comes a batch late.
+
+    So a change is known before it was seen, or was seen earlier than what was known of it so far.
+    """
+    path, n = scratch_dir(spark, "polls"), event_count(spark, sf_dir)
+    ids = _events_with_identity(spark, sf_dir).select(*EVENT_KEY, "event_id")
+    late = F.pmod(F.xxhash64(*EVENT_KEY, "stage", "seen_ms"), F.lit(2))
+    batch = (F.col("event_id") * BATCHES / n).cast("int") + late
+    polls = observations(spark, sf_dir).join(ids, EVENT_KEY).withColumn("batch", batch).drop("event_id")
+    polls = stored(polls, "polls-by-batch")
+    for k in range(BATCHES + 1):
+        polls.filter(F.col("batch") == k).drop("batch").coalesce(1).write.mode("append").parquet(path)
+    return change_stream(spark, {"maxFilesPerTrigger": "1"}, "parquet", path, OBSERVATION)
+
+
 def seed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What both stages held before polling began: a tenth of the events raw, an eighth parsed."""
     events, n = _events_with_identity(spark, sf_dir), event_count(spark, sf_dir)
