@@ -371,3 +371,4 @@ ORACLES |= {
 
 # The same reports, kept up to date.
 ORACLES |= {"q_live_reports": ORACLES["q_report_by_workload"], "q_live_report_by_op": ORACLES["q_report_by_op"]}
+ORACLES |= {"q_snapshot_diff_ranges": ORACLES["q_snapshot_diff"]}

@@ -223,6 +223,14 @@ def q_snapshot_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat_envelope(capture.snapshot_diff(old, new))
 
 
+def q_snapshot_diff_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same difference by digests of key ranges."""
+    old = _orders(spark, sf_dir, _settled())
+    new = _orders(spark, sf_dir, F.col("o_orderstatus") != "F")
+    new = mutate.apply_update(new, _urgent_updates(spark, sf_dir))
+    return _flat_envelope(capture.snapshot_diff_ranges(old, new))
+
+
 def q_publish_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The difference of two states, published as messages and parsed again."""
     old = _orders(spark, sf_dir, _settled())

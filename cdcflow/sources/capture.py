@@ -22,7 +22,7 @@ def snapshot(records: DataFrame, columns: Sequence[str] = CAPTURED) -> DataFrame
     key, payload = columns
     return records.select(
         F.lit("r").alias("op"),
-        F.lit(None).cast("struct<RECID: string, XMLRECORD: string>").alias("before"),
+        _no_image().alias("before"),
         _image(F.col(key), F.col(payload)).alias("after"),
     )
 
@@ -49,6 +49,66 @@ def snapshot_diff(old: DataFrame, new: DataFrame, key: str = "recid", payload: s
     )
 
 
+def _digests(rows: DataFrame, level: Column) -> DataFrame:
+    """Count, sum and exclusive or of row hashes for each range; tasks combine before the shuffle."""
+    return rows.groupBy(level.alias("_range")).agg(
+        F.count(F.lit(1)).alias("_n"), F.sum(F.col("_h1").cast("decimal(38,0)")).alias("_s"), F.bit_xor("_h2").alias("_x")
+    )
+
+
+def _unequal(left: DataFrame, right: DataFrame, level: Column) -> DataFrame:
+    """The ranges that do not hold the same rows on both sides."""
+    columns = ["_n", "_s", "_x"]
+    one, two = (_digests(rows, level) for rows in (left, right))
+    both = one.withColumn("_a", F.struct(*columns)).select("_range", "_a").join(
+        two.withColumn("_b", F.struct(*columns)).select("_range", "_b"), "_range", "full_outer"
+    )
+    return both.filter(~F.col("_a").eqNullSafe(F.col("_b"))).select("_range")
+
+
+def snapshot_diff_ranges(
+    old: DataFrame, new: DataFrame, key: str = "recid", payload: str = "xmlrecord", levels: Sequence[int] = (1 << 10, 1 << 20)
+) -> DataFrame:
+    """What ``snapshot_diff`` returns, for two large states that are mostly equal.
+
+    Ranges of the key's hash are compared by digests, from few ranges to many, and each level looks into the unequal
+    ranges of the one before only. Rows of the ranges left are compared by key and hash; payloads travel for changed keys alone.
+    So what is shuffled grows with the change and with ``levels`` (numbers of ranges, each a multiple of the one before,
+    and a bound on what a digest table holds), not with the states, which are read some times over. Rows are told apart by
+    two 64-bit hashes; keys have to be unique in each state, and a NULL key never has a partner, as in the join.
+    """
+    if any(b % a for a, b in zip(levels, levels[1:], strict=False)):
+        raise ValueError("each level has to be a multiple of the one before")
+    place, narrow = F.xxhash64("_k"), []
+    for side in (old, new):
+        rows = side.filter(F.col(key).isNotNull()).select(F.col(key).alias("_k"), F.col(payload).alias("_v"))
+        # A NULL and an empty text hash alike without the mark.
+        hashes = [F.xxhash64("_k", "_v", F.col("_v").isNull(), F.lit(seed)).alias(f"_h{seed}") for seed in (1, 2)]
+        narrow.append(rows.select("_k", place.alias("_at"), *hashes))
+    left, right = narrow
+    for n in levels:
+        level = F.pmod("_at", F.lit(n))
+        ranges = stored(_unequal(left, right, level), "ranges")
+        left, right = (rows.join(ranges, level == F.col("_range"), "left_semi") for rows in (left, right))
+    hashes = F.struct("_h1", "_h2")
+    both = left.select("_k", hashes.alias("_a")).join(right.select("_k", hashes.alias("_b")), "_k", "full_outer")
+    op = F.when(F.col("_a").isNull(), "c").when(F.col("_b").isNull(), "d").when(F.col("_a") != F.col("_b"), "u")
+    changed = stored(both.select("_k", op.alias("op")).filter(F.col("op").isNotNull()), "changed")
+    nameless = F.col("_k").isNull()
+    gone = changed.filter("op = 'd'").select("_k").unionByName(old.select(F.col(key).alias("_k")).filter(nameless))
+    gone = gone.select(F.lit("d").alias("op"), _image(F.col("_k"), F.lit(UNAVAILABLE)).alias("before"), _no_image().alias("after"))
+    images = new.select(F.col(key).alias("_k"), F.col(payload).alias("_v"))
+    there = images.join(changed.filter("op <> 'd'"), "_k").unionByName(
+        images.filter(nameless).withColumn("op", F.lit("c"))
+    )
+    before = F.when(F.col("op") == "u", _image(F.col("_k"), F.lit(UNAVAILABLE)))
+    return gone.unionByName(there.select("op", before.alias("before"), _image(F.col("_k"), F.col("_v")).alias("after")))
+
+
+def _no_image() -> Column:
+    return F.lit(None).cast("struct<RECID: string, XMLRECORD: string>")
+
+
 def as_log(
     changes: DataFrame, at_ms: int, partitions: int, start: dict[int, int] | None = None, partition: Column | None = None
 ) -> DataFrame:

@@ -45,3 +45,37 @@ def test_repeated_keys_and_no_changes(spark):
     assert sorted(r.kafka_offset for r in got) == list(range(53))
     assert [r.after.RECID for r in sorted(got, key=lambda r: r.kafka_offset)] == [None] * 3 + ["A"] * 50
     assert capture.as_log(capture.snapshot(records.limit(0)), 0, 2).collect() == []
+
+
+STATE = "recid STRING, xmlrecord STRING"
+
+
+def text(changes):
+    return sorted(map(str, changes.collect()))
+
+
+@pytest.mark.parametrize("levels", [(1,), (4, 64), (1 << 10, 1 << 20)])
+def test_difference_by_ranges_is_the_difference(spark, levels):
+    old = [(f"K{i}", f"v{i}") for i in range(300)] + [("N", None), ("E", ""), ("S", None), (None, "x"), (None, "x")]
+    new = [(k, v) for k, v in old if k not in ("K7", "K70")]
+    new = [("K9", "other") if r == ("K9", "v9") else r for r in new if r[0] not in ("N", "E")]
+    new += [("N", ""), ("E", None), ("L", "new"), (None, "y")]
+    old, new = (spark.createDataFrame(rows, STATE) for rows in (old, new))
+    assert text(capture.snapshot_diff_ranges(old, new, levels=levels)) == text(capture.snapshot_diff(old, new))
+    for one, two in ((old, old.limit(0)), (old.limit(0), new), (old.limit(0), old.limit(0))):
+        assert text(capture.snapshot_diff_ranges(one, two, levels=levels)) == text(capture.snapshot_diff(one, two))
+
+
+def test_only_unequal_ranges_are_joined(spark, monkeypatch):
+    kept, store = {}, capture.stored
+    monkeypatch.setattr(capture, "stored", lambda df, name: kept.setdefault(f"{name}-{len(kept)}", store(df, name)))
+    old = spark.range(20_000).select(F.format_string("K%06d", "id").alias("recid"), F.lit("<r/>").alias("xmlrecord"))
+    new = old.withColumn("xmlrecord", F.when(F.col("recid") == "K000100", "<s/>").otherwise(F.col("xmlrecord")))
+    assert capture.snapshot_diff_ranges(old, new).count() == 1
+    assert {name: rows.count() for name, rows in kept.items()} == {"ranges-0": 1, "ranges-1": 1, "changed-2": 1}
+
+
+def test_levels_that_do_not_nest(spark):
+    none = spark.createDataFrame([], STATE)
+    with pytest.raises(ValueError):
+        capture.snapshot_diff_ranges(none, none, levels=(4, 6))
