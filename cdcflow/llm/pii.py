@@ -6,10 +6,17 @@ letters become letters of the same case, digits digits, separators and fixed par
 level domain) stay, check digits hold, a name keeps script and gender. All distinct entities are compared once: two that
 would get one surrogate, or a surrogate that is itself an entity of the data, move on to a further attempt until all
 differ. All of it is DataFrame functions.
+
+The family name and each given name of a person are entities of their own, so "Mr John Smith", "Mrs Smith" and "Dr J. Smith" share
+what their names share. In a text that names a person behind a form of address, the family name is replaced wherever it
+stands as a word, and a given name of the text wherever it stands before such a family name. A number of the US is one entity
+with and without its country code.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,24 +32,25 @@ _ADDRESS = {
     ("latin", "f"): ["Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra"],
     ("cyrillic", "m"): ["господин", "г-н"],
     ("cyrillic", "f"): ["госпожа", "г-жа"],
+    ("latin", "n"): ["Dr", "Prof"],
 }
 _NAME = {
     "latin": r"[A-ZÀ-ÖØ-Þ][a-zß-öø-ÿ]+(?:-[A-ZÀ-ÖØ-Þ][a-zß-öø-ÿ]+)?",
     "cyrillic": r"[А-ЯЁ][а-яё]+(?:-[А-ЯЁ][а-яё]+)?",
 }
-# Names for surrogates; a family name is given in the form of its gender.
+# Names for surrogates; a family name in the form of men, to which Cyrillic adds an ending for women.
 _GIVEN = {
     ("latin", "m"): "Adam Albert Anton Bruno Carl David Edgar Felix Frank Georg Henry Hugo Jonas Julian Leon Lucas Marco Martin Oscar Paul Peter Robert Simon Thomas Victor".split(),
     ("latin", "f"): "Ada Alice Amelia Anna Beatrice Carla Clara Diana Elena Emma Eva Flora Helena Ida Irene Julia Laura Lucia Maria Nora Olga Paula Rosa Sofia Vera".split(),
+    ("latin", "n"): "Alex Andrea Charlie Chris Dominique Jamie Kim Luca Maxime Micha Noa Robin Sacha Sam Sascha Toni".split(),
     ("cyrillic", "m"): "Алексей Андрей Борис Виктор Глеб Денис Егор Иван Кирилл Лев Максим Николай Олег Павел Роман Сергей".split(),
     ("cyrillic", "f"): "Алла Анна Вера Галина Дарья Елена Зоя Инна Кира Лидия Мария Нина Ольга Полина Софья Татьяна".split(),
 }
 _FAMILY = {
-    ("latin", "m"): "Abel Baker Becker Blanc Bond Castillo Dumont Ellis Fischer Garnier Hale Keller Lambert Marin Morel Navarro Parker Quinn Renard Romero Sanders Torres Vogel Weber Young".split(),
-    ("cyrillic", "m"): "Агапов Белов Волков Громов Дымов Ершов Зимин Карпов Ларин Мухин Носов Орлов Панин Рогов Седов Титов".split(),
-    ("cyrillic", "f"): "Агапова Белова Волкова Громова Дымова Ершова Зимина Карпова Ларина Мухина Носова Орлова Панина Рогова Седова Титова".split(),
+    "latin": "Abel Baker Becker Blanc Bond Castillo Dumont Ellis Fischer Garnier Hale Keller Lambert Marin Morel Navarro Parker Quinn Renard Romero Sanders Torres Vogel Weber Young".split(),
+    "cyrillic": "Агапов Белов Волков Громов Дымов Ершов Зимин Карпов Ларин Мухин Носов Орлов Панин Рогов Седов Титов".split(),
 }
-_FAMILY["latin", "f"] = _FAMILY["latin", "m"]
+_ALPHABET = {"latin": "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "cyrillic": "АБВГДЕЖЗИКЛМНОПРСТУФХЦЧШЭЮЯ"}
 _SYLLABLES = {"latin": "ba de fi go lu ma ne ri so tu va we ka lo mi re".split(), "cyrillic": "ба де фи го лу ма не ри со ту ва зе ка ло ми ре".split()}
 
 
@@ -50,10 +58,18 @@ def _titles(script: str, gender: str) -> str:
     return rf"(?:{'|'.join(_ADDRESS[script, gender])})"
 
 
-_PERSON = {
-    (script, gender): rf"{_titles(script, gender)}\.?\s{{1,2}}{_NAME[script]}(?: {_NAME[script]}){{0,2}}"
-    for script, gender in _ADDRESS
-}
+def _addressed(script: str, gender: str) -> str:
+    """A form of address, academic ones behind it taken along."""
+    more = rf"(?:{_titles('latin', 'n')}\.?\s{{1,2}})*" if script == "latin" else ""
+    return rf"{_titles(script, gender)}\.?\s{{1,2}}{more}"
+
+
+def _named(script: str) -> str:
+    initials = rf"(?:[{_ALPHABET[script]}]\. ){{0,2}}"
+    return rf"{initials}{_NAME[script]}(?: {initials}{_NAME[script]}){{0,2}}"
+
+
+_PERSON = {(script, gender): _addressed(script, gender) + _named(script) for script, gender in _ADDRESS}
 # Signs in a whole account number by country, after the IBAN registry and its list of partial users.
 _IBAN_SIZES = {
     15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
@@ -119,6 +135,7 @@ _SEARCHED = KINDS | {"phone": _phone(_BEHIND)}
 ENTITY = rf"(?<![\w.%@-])(?:{'|'.join(_SEARCHED.values())}|{'|'.join(_PERSON.values())})"
 # Without one of these characters or words no entity can stand in a text.
 SIGN = rf"[0-9@]|{'|'.join(t for titles in _ADDRESS.values() for t in titles)}|(?i:token|secret|pass|pwd|key)"
+_WORD_EDGE = r"(?<=[\p{L}\p{N}_-])(?![\p{L}\p{N}_-])|(?<![\p{L}\p{N}_-])(?=[\p{L}\p{N}_-])"
 FURTHER = 8  # attempts after which digits or letters are added, so that small formats never run out
 KEY = "surrogates"  # the default key; a deployment passes its own
 
@@ -167,7 +184,9 @@ def parsed(entity: Column) -> Column:
     secret = F.substr(e, F.length(setting) + 1)
     top = F.regexp_extract(e, r"\.[^.]*$", 0)
     address = F.substr(e, F.lit(1), F.length(e) - F.length(top))
-    country = F.regexp_extract(e, rf"^(?:\(\+\d{{1,3}}\)|\+(?:1(?=\D)|\d{{1,3}}(?=\(|{_JOIN})))", 0)
+    # Of the US the code goes with any form, also with no sign behind it.
+    country = F.regexp_extract(e, rf"^(?:\(\+\d{{1,3}}\)|\+(?:1(?=\D|\d{{10}}$)|\d{{1,3}}(?=\(|{_JOIN}))|1(?=[.-]))", 0)
+    dialled = F.when(e.startswith("+") | e.startswith("(+") | (country != ""), _digits(e)).otherwise(F.concat(F.lit("1"), _digits(e)))
     plain = F.regexp_replace(e, "[ -]", "")
     out = (
         F.when(whole(KINDS["secret"]), made("secret", setting, secret, none, secret))
@@ -176,11 +195,11 @@ def parsed(entity: Column) -> Column:
         .when(whole(KINDS["ip"]), made("ip", none, e, none, e))
         .when(whole(KINDS["ssn"]), made("ssn", none, e, none, _digits(e)))
         .when(whole(KINDS["iban"]) & (_iban_rest(plain) == 1), made("iban", F.substr(e, F.lit(1), F.lit(2)), F.substr(e, F.lit(3)), none, plain))
-        .when(whole(KINDS["phone"]), made("phone", country, F.substr(e, F.length(country) + 1), none, _digits(e)))
+        .when(whole(KINDS["phone"]), made("phone", country, F.substr(e, F.length(country) + 1), none, dialled))
         .when(whole(KINDS["card"]) & (_luhn(_digits(e), 1) % 10 == 0), made("card", none, e, none, _digits(e)))
     )
     for (script, gender), pattern in _PERSON.items():
-        title = F.regexp_extract(e, rf"^{_titles(script, gender)}\.?\s{{1,2}}", 0)
+        title = F.regexp_extract(e, f"^{_addressed(script, gender)}", 0)
         name = F.substr(e, F.length(title) + 1)
         out = out.when(whole(pattern), made(f"person-{script}-{gender}", title, name, none, name))
     return out
@@ -227,22 +246,59 @@ def _mixed(kind: Column, content: Column, stream: Column) -> Column:
     return F.when(is_hex, as_hex).otherwise(F.array_join(chars, ""))
 
 
-def _name(value: Column, stream: Column, attempt: Column, script: str, gender: str) -> Column:
-    given, family, syllables = _GIVEN[script, gender], _FAMILY[script, gender], _SYLLABLES[script]
-    parts = F.split(value, " ")
-    sounds = F.transform(F.sequence(F.lit(30), attempt + 30), lambda n: F.get(_lit(syllables), _number(stream, n) % len(syllables)))
-    family_name = F.when(attempt >= 2, F.initcap(F.array_join(sounds, ""))).otherwise(
-        F.get(_lit(family), _number(stream, F.lit(60)) % len(family))
-    )
-    names = F.transform(
-        parts,
-        lambda p, i: F.when(i == F.size(parts) - 1, family_name).otherwise(F.get(_lit(given), _number(stream, i) % len(given))),
-    )
-    return F.array_join(names, " ")
+def name_parts(e: Column) -> Column:
+    """The given names, initials and the family name of a ``parsed`` person, in order, as entities."""
+    script, gender = (F.split_part(e["kind"], F.lit("-"), F.lit(n)) for n in (2, 3))
+    none = F.lit("")
+
+    def made(kind: Column, value: Column, suffix: Column) -> Column:
+        return F.struct(kind.alias("kind"), none.alias("prefix"), value.alias("value"), suffix.alias("suffix"), value.alias("canonical"))
+
+    def of(names: Column) -> Column:
+        def part(name: Column, i: Column) -> Column:
+            # A woman's family name has an ending behind the form of men.
+            ending = F.when((script == "cyrillic") & (gender == "f") & name.rlike("(?:[оеё]в|[иы]н)а$"), F.lit("а")).otherwise(none)
+            family = _let(ending, lambda x: made(F.concat(F.lit("family-"), script), F.substr(name, F.lit(1), F.length(name) - F.length(x)), x))
+            given = made(F.concat(F.lit("given-"), script, F.lit("-"), gender), name, none)
+            initial = made(F.lit("initial"), name, none)
+            return F.when(name.endswith("."), initial).when(i == F.size(names) - 1, family).otherwise(given)
+
+        return F.transform(names, part)
+
+    return _let(F.split(e["value"], " "), of)
+
+
+def _entities(e: Column) -> Column:
+    """What has to stay distinct in a ``parsed`` match: the names of a person, or all of it."""
+    names = F.filter(name_parts(e), lambda p: p["kind"] != "initial")
+    return F.when(e["kind"].startswith("person-"), names).when(e.isNotNull(), F.array(e))
+
+
+def name_surrogate(key: str, part: Column, attempt: Column) -> Column:
+    """The replacement of one of ``name_parts``; initials move on in the alphabet by the key."""
+    move = 1 + int(hashlib.sha256(key.encode()).hexdigest(), 16) % 25
+
+    def made(stream: Column) -> Column:
+        def out_of(names: list[str], script: str) -> Column:
+            syllables = _SYLLABLES[script]
+            sounds = F.transform(F.sequence(F.lit(30), attempt + 30), lambda n: F.get(_lit(syllables), _number(stream, n) % len(syllables)))
+            named = F.get(_lit(names), _number(stream, F.lit(60)) % len(names))
+            return F.when(attempt >= 2, F.initcap(F.array_join(sounds, ""))).otherwise(named)
+
+        letters = "".join(_ALPHABET.values())
+        moved = "".join(a[move % len(a) :] + a[: move % len(a)] for a in _ALPHABET.values())
+        out = F.when(part["kind"] == "initial", F.translate(part["value"], letters, moved))
+        for script, names in _FAMILY.items():
+            out = out.when(part["kind"] == f"family-{script}", out_of(names, script))
+        for (script, gender), names in _GIVEN.items():
+            out = out.when(part["kind"] == f"given-{script}-{gender}", out_of(names, script))
+        return F.concat(out, part["suffix"])
+
+    return _let(_stream(key, part["kind"], part["canonical"], attempt), made)
 
 
 def surrogate(key: str, e: Column, attempt: Column) -> Column:
-    """The replacement of a ``parsed`` entity (a column or variable)."""
+    """The replacement of a ``parsed`` entity (a column or variable) that is not a person."""
 
     def made(stream: Column, content: Column, mixed: Column) -> Column:
         kind, value = e["kind"], e["value"]
@@ -256,15 +312,18 @@ def surrogate(key: str, e: Column, attempt: Column) -> Column:
             F.substr((_number(stream, F.lit(21)) % 99 + 101).cast("string"), F.lit(2)),
             (_number(stream, F.lit(22)) % 9000 + 1000).cast("string"),
         )
+        # Area codes and exchanges of the US begin with 2 to 9.
+        lead = F.when(e["canonical"].rlike(r"^1\d{10}$") & (F.length(content) == 10), True)
+        first_digits = [(_number(stream, F.lit(n)) % 8 + 2).cast("string") for n in (40, 41)]
+        us = F.concat(first_digits[0], F.substr(mixed, F.lit(2), F.lit(2)), first_digits[1], F.substr(mixed, F.lit(5)))
         more = F.when(attempt >= FURTHER, F.substr(stream, F.lit(100), attempt - FURTHER + 1)).otherwise(F.lit(""))
         out = (
             F.when(kind == "ip", octets)
             .when(kind == "card", _refill(value, card))
             .when(kind == "iban", _refill(value, iban))
             .when(kind == "ssn", _refill(value, ssn))
+            .when((kind == "phone") & lead, F.concat(_refill(value, us), more))
         )
-        for script, gender in _ADDRESS:
-            out = out.when(kind == f"person-{script}-{gender}", _name(value, stream, attempt, script, gender))
         return F.concat(e["prefix"], out.otherwise(F.concat(_refill(value, mixed), more)), e["suffix"])
 
     plain = F.regexp_replace(F.when(e["kind"] == "email", F.lower(e["value"])).otherwise(e["value"]), "[^A-Za-z0-9]", "")
@@ -288,13 +347,17 @@ def retried(docs: DataFrame, key: str, rounds: int = 64) -> DataFrame | None:
     """
     spark, path = docs.sparkSession, scratch_dir(docs.sparkSession, "entities")
     found = docs.select(F.explode(F.array_distinct(_matches("text"))).alias("e")).select(parsed(F.col("e")).alias("e"))
-    found.filter("e IS NOT NULL").groupBy("e.kind", "e.canonical").agg(F.min("e").alias("e")).write.parquet(path)
+    found = found.select(F.explode(_entities(F.col("e"))).alias("e"))
+    found.groupBy("e.kind", "e.canonical").agg(F.min("e").alias("e")).write.parquet(path)
     entities = spark.read.parquet(path)
     tried = entities.withColumn("attempt", F.lit(0))
     for _ in range(rounds):
-        tried = tried.withColumn("text", surrogate(key, F.col("e"), F.col("attempt")))
+        named = F.col("kind").rlike("^(?:family|given)-")
+        of_name = name_surrogate(key, F.col("e").withField("suffix", F.lit("")), F.col("attempt"))
+        tried = tried.withColumn("text", F.when(named, of_name).otherwise(surrogate(key, F.col("e"), F.col("attempt"))))
         # Coreferent forms are compared by canonical form; a text that is no entity stands for itself.
-        tried = tried.withColumn("made", F.coalesce(parsed(F.col("text"))["canonical"], "text")).drop("text")
+        canonical = F.when(~named, parsed(F.col("text"))["canonical"])
+        tried = tried.withColumn("made", F.coalesce(canonical, "text")).drop("text")
         real = entities.select("kind", F.col("canonical").alias("made"), F.lit(True).alias("real"))
         owners = tried.groupBy("kind", "made").agg(F.min(F.struct("attempt", "canonical"))["canonical"].alias("owner"), F.count("*").alias("n"))
         clashes = owners.join(real, ["kind", "made"], "left").filter("n > 1 OR real")
@@ -309,11 +372,32 @@ def retried(docs: DataFrame, key: str, rounds: int = 64) -> DataFrame | None:
     raise RuntimeError("entities still share surrogates")
 
 
+def _bare_names(part: Column, names: Column) -> Column:
+    """``part`` of a text with the names of its persons replaced where they stand without a form of address."""
+
+    def become(word: Column, of: str) -> Column:
+        return F.get(F.filter(names, lambda n: (n["of"] == of) & (n["old"] == word)), 0)["new"]
+
+    def of(words: Column) -> Column:
+        def word(w: Column, i: Column) -> Column:
+            # Words and what is between them take turns, so the next word is two places on.
+            before_family = (F.get(words, i + 1) == " ") & become(F.get(words, i + 2), "family").isNotNull()
+            given = F.when(become(w, "given").isNotNull() & before_family, become(w, "given"))
+            return F.when(w.rlike(r"^\p{Lu}"), F.coalesce(become(w, "family"), given, w)).otherwise(w)
+
+        return F.array_join(F.transform(words, word), "")
+
+    held = F.exists(names, lambda n: (n["of"] == "family") & part.contains(n["old"]))
+    return F.when(held, _let(F.split(part, _WORD_EDGE, -1), of)).otherwise(part)
+
+
 def with_surrogates(docs: DataFrame, key: str = KEY) -> DataFrame:
     """``docs`` with ``text`` replaced, ``n_replaced`` and ``kinds`` (distinct, sorted, comma-joined) added.
 
     All other columns pass unchanged; a column of an added name is replaced. Null and empty texts stay as they are, with
-    0 and ''. Rows that repeat are treated alike.
+    0 and ''. Rows that repeat are treated alike; an empty table gives an empty one. ``n_replaced`` counts entities with
+    their form of address, not the names that stand alone. The time for a very long text grows with its length, and where it names
+    persons with its words times its distinct names.
     """
     again = retried(docs, key)
     spark, columns = docs.sparkSession, docs.columns
@@ -327,7 +411,7 @@ def with_surrogates(docs: DataFrame, key: str = KEY) -> DataFrame:
         own = (
             rows.select(F.col(mark).alias("_m"), F.explode(F.array_distinct(matches)).alias("_e"))
             .select("_m", parsed(F.col("_e")).alias("_e"))
-            .filter("_e IS NOT NULL")
+            .select("_m", F.explode(_entities(F.col("_e"))).alias("_e"))
             .select("_m", F.col("_e.kind").alias("kind"), F.col("_e.canonical").alias("canonical"))
             .join(again, ["kind", "canonical"])
             .select("_m", F.concat_ws("\x1f", "kind", "canonical").alias("k"), "attempt")
@@ -338,20 +422,39 @@ def with_surrogates(docs: DataFrame, key: str = KEY) -> DataFrame:
         own.write.parquet(path)
         rows = rows.join(spark.read.parquet(path), F.col(mark) == F.col("_m"), "left").drop("_m", mark)
 
+    def attempt_of(e: Column) -> Column:
+        return F.coalesce(F.try_element_at(F.col(attempts), F.concat_ws("\x1f", e["kind"], e["canonical"])), F.lit(0))
+
+    def renamed(e: Column) -> Column:
+        """The names of a person and what they become."""
+
+        def of(part: Column) -> Column:
+            new = _let(attempt_of(part), lambda a: name_surrogate(key, part, a))
+            return F.struct(F.concat(part["value"], part["suffix"]).alias("old"), new.alias("new"), F.split_part(part["kind"], F.lit("-"), F.lit(1)).alias("of"))
+
+        return F.transform(name_parts(e), of)
+
     def replaced(entity: Column) -> Column:
         def of(e: Column) -> Column:
-            name = F.concat_ws("\x1f", e["kind"], e["canonical"])
-            attempt = F.coalesce(F.try_element_at(F.col(attempts), name), F.lit(0))
-            text = _let(attempt, lambda a: surrogate(key, e, a))
-            return F.struct(F.when(e.isNull(), entity).otherwise(text).alias("text"), e["kind"].alias("kind"))
+            person = e["kind"].startswith("person-")
+
+            def made(names: Column) -> Column:
+                joined = F.concat(e["prefix"], F.array_join(F.transform(names, lambda n: n["new"]), " "))
+                other = _let(attempt_of(e), lambda a: surrogate(key, e, a))
+                text = F.when(e.isNull(), entity).when(person, joined).otherwise(other)
+                return F.struct(text.alias("text"), e["kind"].alias("kind"), names.alias("names"))
+
+            return _let(F.when(person, renamed(e)), made)
 
         return _let(parsed(entity), of)
 
-    made = free_name(docs, "_made")
+    made, names = free_name(docs, "_made"), free_name(docs, "_names")
     rows = rows.withColumn(made, F.when(F.size(matches) > 0, F.transform(F.col(matches), replaced)))
+    of_text = F.flatten(F.filter(F.transform(F.col(made), lambda m: m["names"]), lambda n: n.isNotNull()))
+    rows = rows.withColumn(names, F.array_distinct(F.coalesce(of_text, F.array().cast("array<struct<old:string,new:string,of:string>>"))))
     between = F.split(F.col("text"), ENTITY, -1)
     whole = F.array_join(
-        F.transform(between, lambda part, i: F.concat(part, F.coalesce(F.get(F.col(made), i)["text"], F.lit("")))), ""
+        F.transform(between, lambda part, i: F.concat(_bare_names(part, F.col(names)), F.coalesce(F.get(F.col(made), i)["text"], F.lit("")))), ""
     )
     kinds = F.filter(F.transform(F.col(made), lambda m: m["kind"]), lambda k: k.isNotNull())
     kept = [F.when(F.col(made).isNotNull(), whole).otherwise(F.col("text")).alias("text") if c == "text" else F.col(f"`{c}`") for c in columns if c not in ("n_replaced", "kinds")]

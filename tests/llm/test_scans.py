@@ -225,6 +225,49 @@ def test_distinct_entities_stay_distinct(docs, monkeypatch):
     assert not set(made.values()) & set(old)
 
 
+def test_names_of_one_person_stay_together(docs):
+    texts = [
+        "Mr John Smith met Mrs Smith. Mr. J. Smith and Dr Smith left; John Smith stayed, Smith's car too, not Smithson or John.",
+        "Herr Müller, Herr Klaus Müller, Frau Dr. Müller und Müller; Klaus kam.",
+        "господин Иванов, госпожа Иванова и Иванов",
+        "Smith and John Smith",
+    ]
+    out = {r.doc_id: r for r in pii.with_surrogates(docs(list(enumerate(texts)))).collect()}
+    name = r"([A-Z]\w+)"
+    one = re.fullmatch(
+        rf"Mr {name} {name} met Mrs {name}\. Mr\. [A-Z]\. {name} and Dr {name} left; {name} {name} stayed, {name}'s car too, not Smithson or John\.",
+        out[0].text,
+    )
+    given, family = one[1], one[2]
+    assert [*one.groups()] == [given, family, family, family, family, given, family, family] and {given, family}.isdisjoint({"John", "Smith"})
+    two = re.fullmatch(rf"Herr {name}, Herr {name} {name}, Frau Dr\. {name} und {name}; Klaus kam\.", out[1].text)
+    assert len({two[1], two[3], two[4], two[5]}) == 1 and two[1] not in ("Müller", family) and two[2] != "Klaus"
+    three = re.fullmatch(r"господин (\w+), госпожа (\w+) и (\w+)", out[2].text)
+    assert three[1] == three[3] != "Иванов" and three[2] == three[1] + "а"
+    assert out[3].text == texts[3]
+    assert [out[n].n_replaced for n in range(4)] == [4, 3, 2, 0]
+
+
+def test_family_names_stay_distinct(docs):
+    rng = random.Random(9)
+    old = sorted({"".join(rng.choice(["ba", "lo", "mer", "tin", "gar"]) for _ in range(3)).capitalize() for _ in range(200)} | set(pii._FAMILY["latin"]))
+    rows = [(n, f"Mr {a} saw {a}") for n, a in enumerate(old)]
+    new = [re.fullmatch(r"Mr (\w+) saw (\w+)", r.text).groups() for r in pii.with_surrogates(docs(rows)).orderBy("doc_id").collect()]
+    assert all(a == b for a, b in new)
+    assert len({a for a, _ in new}) == len(old) and {a for a, _ in new}.isdisjoint(old)
+
+
+def test_one_number_in_several_forms(docs):
+    forms = ["+1 (368) 555-0098", "(368) 555-0098", "368-555-0098", "+13685550098", "1-368-555-0098", "368.555.0098", "+1.368.555.0098"]
+    texts = [f"call {f}, now" for f in forms] + ["call (368) 555-0099, now"]
+    out = [r.text for r in pii.with_surrogates(docs(list(enumerate(texts)))).orderBy("doc_id").collect()]
+    digits = [re.sub(r"\D", "", t)[-10:] for t in out]
+    assert len(set(digits[:-1])) == 1 and digits[0] not in ("3685550098", digits[-1])
+    assert all(re.fullmatch(r"[2-9]\d\d[2-9]\d{6}", d) for d in digits)
+    assert [re.sub(r"\d", "0", t) for t in out] == [re.sub(r"\d", "0", t) for t in texts]
+    assert all(t.startswith("call +1") for t in (out[0], out[3], out[6]))
+
+
 def test_surrogates_of_odd_rows(docs):
     out = pii.replaced_documents(docs(odd_rows()))
     assert out.columns == docs([]).columns
