@@ -5,9 +5,10 @@ end. All of them share one parent restaurant of words without context, and its p
 and one for all others. A customer is an occurrence, a dish a word; of the tables of a dish, one customer each goes to
 the parent. Seating is sampled by Gibbs: a customer of each dish leaves, its table with it if it sat alone, and sits
 down again at a table of its dish or a new one. Only the number of tables of a dish is kept; whether a customer
-sits alone is drawn by the ratio of generalised Stirling numbers, and above ``EXACT`` customers by its limit. All
-dishes of a context move one customer at a time, together; restaurants and their parent move in turn. The predictive
-probabilities of the last ``SAMPLES`` rounds are averaged.
+sits alone is drawn by the ratio of generalised Stirling numbers, and above ``EXACT`` customers by its limit. In a round
+every customer moves: all dishes of a context together, their customers one at a time, or of a dish with more than
+``EXACT`` in as many equal shares. Restaurants and their parent move in turn. The predictive probabilities of the last
+``SAMPLES`` rounds are averaged.
 
 Words and pairs of words are counted over all documents by chunks and buckets (see ``chunks``); restaurants live in
 buckets of contexts, the parent in buckets of words, and both sides send each other sums by bucket. A context with more
@@ -33,7 +34,7 @@ from .common import bucketed, documents, stored
 from .tokens import texts_of
 
 CHUNK_CHARS = 8_000_000
-BURN_IN, SAMPLES, MOVES = 2, 3, 12  # rounds before the samples, samples, customers of a dish that move in a round
+BURN_IN, SAMPLES, MOVES = 2, 3, 1  # rounds before the samples, samples, moves of each customer in a round
 CONCENTRATION = 1.0
 UPPER = 0.8  # the parent's discount; that of the contexts is taken from the counts
 EXACT = 64
@@ -287,23 +288,35 @@ def first_seats(c: np.ndarray, weight: np.ndarray, discount: float) -> np.ndarra
 def moved(
     c: np.ndarray, t: np.ndarray, group: np.ndarray, tables: np.ndarray, discount: float, base: np.ndarray, moves: int, seed: list[int]
 ) -> np.ndarray:
-    """The tables of dishes after a round: up to ``moves`` customers of each have left and sat down again, one of each dish
-    at a time. ``tables`` are those of each ``group``, all its dishes together; ``base`` the parent's probabilities."""
+    """The tables of dishes after a round: every customer has left and sat down again ``moves`` times, those of one dish
+    after the other, those of different dishes together. ``tables`` are those of each ``group``, all its dishes together;
+    ``base`` the parent's probabilities.
+
+    The customers of a dish come in at most ``EXACT`` steps: one in each, or of a larger dish equal shares, whose chances
+    are those at the beginning of the step. So a step takes away or adds about a share of discount / ``EXACT`` of its tables.
+    """
     rng, order = np.random.default_rng(seed), np.argsort(-c, kind="stable")
     c, t, group, base, tables = c[order], t[order].copy(), group[order], base[order], tables.astype(float)
-    ratio = alone_ratio(discount)
-    for move in range(moves):
-        k = int(np.searchsorted(-c, -max(move, 1)))  # those with more customers than moves made, two at least
+    ratio, large = alone_ratio(discount), int(np.searchsorted(-c, -EXACT))
+    for step in range(moves * EXACT):
+        step %= EXACT
+        k = int(np.searchsorted(-c, -max(step, 1)))  # those with more customers than steps made, two at least
         if not k:
-            break
+            continue
         n, now, where = c[:k], t[:k], group[:k]
-        chance = np.where(n <= EXACT, ratio[np.minimum(n, EXACT), np.minimum(now, EXACT)], discount * now / n)
-        leaves = (rng.random(k) < chance) & (now > 1)
-        now = now - leaves
-        new = (CONCENTRATION + discount * (tables[where] - leaves)) * base[:k]
-        opens = rng.random(k) * (new + n - 1 - discount * now) < new
-        tables += np.bincount(where, opens.astype(float) - leaves, minlength=len(tables))
-        t[:k] = now + opens
+        chance = np.where(n <= EXACT, ratio[np.minimum(n, EXACT), np.minimum(now, EXACT)], discount * (now - 1) / (n - 1 - discount))
+        leaves = ((rng.random(k) < chance) & (now > 1)).astype(np.int64)
+        share = (n[:large] * (step + 1)) // EXACT - (n[:large] * step) // EXACT
+        leaves[:large] = np.minimum(rng.binomial(share, chance[:large]), now[:large] - 1)
+        gone = leaves.astype(float)
+        gone[:large] = chance[:large]  # of one customer
+        new = (CONCENTRATION + discount * (tables[where] - gone)) * base[:k]
+        others = n - 1 - discount * (now - gone)
+        opens = (rng.random(k) * (new + others) < new).astype(np.int64)
+        opens[:large] = rng.binomial(share, new[:large] / (new + others)[:large])
+        after = np.minimum(now - leaves + opens, n)
+        tables += np.bincount(where, (after - now).astype(float), minlength=len(tables))
+        t[:k] = after
     out = np.empty_like(t)
     out[order] = t
     return out

@@ -105,6 +105,23 @@ def test_seating_has_the_exact_distribution(c, d, base):
     assert np.abs(met - p).max() < 0.03
 
 
+@pytest.mark.parametrize("c, d, base, start", [(300, 0.5, 0.3, 1), (2000, 0.8, 0.05, 600)])
+def test_every_customer_of_a_large_dish_moves(c, d, base, start):
+    log = np.full(c + 2, -np.inf)
+    log[1], t = 0.0, np.arange(c + 2)
+    for n in range(1, c):
+        stay = np.where((t >= 1) & (t <= n), np.log(np.maximum(n - d * t, 1e-300)), -np.inf) + log
+        log = np.logaddexp(np.append(-np.inf, log[:-1]), stay)
+    log[1:] += np.cumsum(np.append(0, np.log((lm.CONCENTRATION + d * t[1:-1]) * base)))
+    p = np.exp(log - log.max())
+    mean = (p * t).sum() / p.sum()
+    n = 500
+    found = np.full(n, start)
+    for number in range(30):
+        found = lm.moved(np.full(n, c), found, np.arange(n), found.astype(float), d, np.full(n, base), lm.MOVES, [number])
+    assert abs(found.mean() / mean - 1) < 0.1
+
+
 def test_given_documents(spark):
     rows = [tuple(r) for r in documents(spark, SF_DIR).select("doc_id", "text").collect()]
     found = {r.doc_id: r for r in lm.op13_pitman_yor_scores(spark, SF_DIR).collect()}
