@@ -10,6 +10,8 @@ Pure expressions over whole tables, so every expected answer can be restated fro
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +21,7 @@ from cdcflow.plans.account import POSITIONS
 from cdcflow.schema import EVENT_KEY, MESSAGE, OBSERVATION, UNAVAILABLE
 from cdcflow.session import scratch_dir, stored
 from cdcflow.sources.envelope import parse_envelope, to_messages
+from cdcflow.sources.files import names
 from cdcflow.sources.lookup import load_lookup, lookup_rows
 from cdcflow.streaming.feed import change_stream
 
@@ -46,8 +49,9 @@ ORDER_COLUMNS = [
 ]
 EVENT_COLUMNS = ["counter", "order_ref", "total_price", "ship_date_01", "ship_date_02"]
 
-# Files of the message stream, one for each micro-batch.
+# Micro-batches of the message stream, and the rows of a file of it at most.
 BATCHES = 5
+FILE_ROWS = 50_000
 
 
 # A setting of the bench alone: deal each table, mostly one small file here, to so many partitions after reading it.
@@ -262,14 +266,31 @@ def damaged_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return messages(spark, sf_dir).unionByName(bad)
 
 
+def file_stream(parts: list[DataFrame], path: str, schema: str, derive: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> DataFrame:
+    """A stream with a micro-batch for each of ``parts``, as ``derive`` makes it of them, added to ``path`` one after the other.
+
+    Each part has the same number of files, as the source counts files: as many as the largest needs to have about
+    FILE_ROWS rows in a file. What a part lacks is made up by empty files.
+    """
+    spark = parts[0].sparkSession
+    largest = max(part.count() for part in parts)
+    files = max(1, -(-largest // FILE_ROWS))
+    held = 0
+    for part in parts:
+        dealt = derive(part).coalesce(1) if files == 1 else derive(part.repartition(files))
+        dealt.write.mode("append").parquet(path)
+        held += files
+        for _ in range(held - sum(name.startswith("part-") for name in names(spark, path))):
+            spark.createDataFrame([], schema).coalesce(1).write.mode("append").parquet(path)
+    return change_stream(spark, {"maxFilesPerTrigger": str(files)}, "parquet", path, schema)
+
+
 def change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The messages as a stream of BATCHES micro-batches in log order: one file each, added one after the other."""
+    """The messages as a stream of BATCHES micro-batches in log order."""
     path, n = scratch_dir(spark, "topic"), event_count(spark, sf_dir)
     events = table(spark, sf_dir, "events")
-    for k in range(BATCHES):
-        part = events.filter(F.col("event_id").between(n * k // BATCHES, n * (k + 1) // BATCHES - 1))
-        change_messages(part).coalesce(1).write.mode("append").parquet(path)
-    return parse_envelope(change_stream(spark, {"maxFilesPerTrigger": "1"}, "parquet", path, MESSAGE))
+    parts = [events.filter(F.col("event_id").between(n * k // BATCHES, n * (k + 1) // BATCHES - 1)) for k in range(BATCHES)]
+    return parse_envelope(file_stream(parts, path, MESSAGE, change_messages))
 
 
 # ---- observations ----------------------------------------------------------------------------------
@@ -320,9 +341,7 @@ def observation_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     batch = (F.col("event_id") * BATCHES / n).cast("int") + late
     polls = observations(spark, sf_dir).join(ids, EVENT_KEY).withColumn("batch", batch).drop("event_id")
     polls = stored(polls, "polls-by-batch")
-    for k in range(BATCHES + 1):
-        polls.filter(F.col("batch") == k).drop("batch").coalesce(1).write.mode("append").parquet(path)
-    return change_stream(spark, {"maxFilesPerTrigger": "1"}, "parquet", path, OBSERVATION)
+    return file_stream([polls.filter(F.col("batch") == k).drop("batch") for k in range(BATCHES + 1)], path, OBSERVATION)
 
 
 def seed(spark: SparkSession, sf_dir: str) -> DataFrame:
