@@ -1,7 +1,7 @@
 """Metadata-driven flattening: record text to elements, to named elements, to wide rows.
 
-Elements are exploded, joined with the lookup and aggregated by key. There is one way for lookups of any size: Spark
-sees their size and broadcasts or shuffles them, and splits what a frequent field makes uneven.
+Elements are exploded, joined with the lookup and aggregated by key. Spark sees the size of a lookup and broadcasts or
+shuffles it. For one that is shuffled, ``hot_rows`` keeps the elements of a frequent field from meeting in one task.
 
 An element is named by an exact ``(field, position)`` entry, else by the base entry of its field, with a
 ``_NN`` suffix when the field repeats. An element without position never matches an exact entry. Elements
@@ -17,9 +17,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cdcflow.functions.records import element_value, tag_matches, tag_parts, varchar_bytes
+from cdcflow.session import stored
 from cdcflow.sources.envelope import drop_tombstones, image
 from cdcflow.sources.lookup import position_suffix
 
+# Elements of a field above which a large lookup does not shuffle them by field.
+HOT_ROWS = 250_000
+# Elements of a file, of which a task reads up to 32.
+FILE_ROWS = 200_000
+
 
 # ---- elements and names ----------------------------------------------------------------------------
 
@@ -46,9 +52,7 @@ def _lookup_sides(lookup: DataFrame) -> tuple[DataFrame, DataFrame]:
     return exact, base
 
 
-def resolve_names(tags: DataFrame, lookup: DataFrame) -> DataFrame:
-    """Add ``column_name`` to each element; NULL where the lookup has no name for it."""
-    exact, base = _lookup_sides(lookup)
+def _named(tags: DataFrame, exact: DataFrame, base: DataFrame) -> DataFrame:
     named = tags.join(exact, ["field", "position"], "left").join(base, "field", "left")
     base_name = F.when(
         F.col("repeats"), F.concat(F.col("base_name"), position_suffix(F.col("position")))
@@ -56,6 +60,24 @@ def resolve_names(tags: DataFrame, lookup: DataFrame) -> DataFrame:
     return named.select(*tags.columns, F.coalesce("exact_name", base_name).alias("column_name"))
 
 
+def resolve_names(tags: DataFrame, lookup: DataFrame, hot_rows: int | None = None) -> DataFrame:
+    """Add ``column_name`` to each element; NULL where the lookup has no name for it.
+
+    For a lookup too large to be broadcast, ``hot_rows`` takes fields with more than so many elements apart: their entries
+    are broadcast, so that no task gets all elements of a field. The elements are written to the shared folder for it. Like
+    that of ``audit``, the split decides where rows are worked on, never which rows there are.
+    """
+    if hot_rows is None:
+        return _named(tags, *_lookup_sides(lookup))
+    tags = stored(tags, "elements", FILE_ROWS)
+    counts = tags.groupBy("field").count().filter((F.col("count") > hot_rows) & F.col("field").isNotNull())
+    hot = stored(counts.select("field"), "hot-fields")  # one for each hot_rows elements at most
+    entries = stored(lookup.join(F.broadcast(hot), F.col("field_index") == F.col("field"), "left_semi"), "hot-names")
+    frequent = _named(tags.join(F.broadcast(hot), "field", "left_semi").select(*tags.columns), *map(F.broadcast, _lookup_sides(entries)))
+    others = tags.join(F.broadcast(hot), "field", "left_anti").select(*tags.columns)
+    return frequent.unionByName(_named(others, *_lookup_sides(lookup)))
+
+
 def pivot_wide(resolved: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
     """One row per key with one column per name, the greatest value of each.
 
@@ -77,10 +99,15 @@ def pivot_wide(resolved: DataFrame, keys: Sequence[str], names: Sequence[str]) -
 
 
 def flatten_wide(
-    df: DataFrame, lookup: DataFrame, names: Sequence[str], keys: Sequence[str] = ("recid",), xml: str = "xmlrecord"
+    df: DataFrame,
+    lookup: DataFrame,
+    names: Sequence[str],
+    keys: Sequence[str] = ("recid",),
+    xml: str = "xmlrecord",
+    hot_rows: int | None = None,
 ) -> DataFrame:
-    """One wide row per key, with the columns ``names``."""
-    return pivot_wide(resolve_names(unpivot_tags(df, keys, xml), lookup), keys, names)
+    """One wide row per key, with the columns ``names``; ``hot_rows`` as in ``resolve_names``."""
+    return pivot_wide(resolve_names(unpivot_tags(df, keys, xml), lookup, hot_rows), keys, names)
 
 
 # ---- per change ------------------------------------------------------------------------------------

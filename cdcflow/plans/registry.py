@@ -260,7 +260,7 @@ def q_large_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     field = F.concat(F.lit("c"), number.cast("string"))
     element = F.concat(F.lit("<"), field, F.lit(">x</"), field, F.lit("></row>"))
     records = data.orders_xml(spark, sf_dir).withColumn("xmlrecord", F.replace("xmlrecord", F.lit("</row>"), element))
-    return flatten.resolve_names(flatten.unpivot_tags(records, ["recid"]), data.large_lookup(spark, sf_dir))
+    return flatten.resolve_names(flatten.unpivot_tags(records, ["recid"]), data.large_lookup(spark, sf_dir), flatten.HOT_ROWS)
 
 
 def q_flatten_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -276,7 +276,7 @@ def q_flatten_repeated_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_flatten_large_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flatten.flatten_wide(data.orders_xml(spark, sf_dir), data.large_lookup(spark, sf_dir), data.ORDER_COLUMNS)
+    return flatten.flatten_wide(data.orders_xml(spark, sf_dir), data.large_lookup(spark, sf_dir), data.ORDER_COLUMNS, hot_rows=flatten.HOT_ROWS)
 
 
 def q_flatten_events(spark: SparkSession, sf_dir: str) -> DataFrame:

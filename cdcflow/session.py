@@ -28,10 +28,14 @@ def local_session(
     return builder.getOrCreate()
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder and read from there: computed once, lineage cut."""
+def stored(df: DataFrame, name: str, file_rows: int = 0) -> DataFrame:
+    """``df`` written to the shared folder and read from there: computed once, lineage cut.
+
+    ``file_rows`` bounds the rows of a file. Spark counts each file it opens as some MB more, so small files also bound the
+    rows that one task reads, however well they compress.
+    """
     path = scratch_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("maxRecordsPerFile", file_rows).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

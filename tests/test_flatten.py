@@ -257,3 +257,17 @@ def test_damaged_records_are_reported(spark, tmp_path):
     }
     with pytest.raises(Exception, match="damaged record"):
         read_records(spark, str(tmp_path)).collect()
+
+
+def test_frequent_fields_are_taken_apart(spark):
+    names = [("a", None, "x", True), ("a", "2", "second", False), ("b", None, "y", False), ("b", None, "z", False), ("c", None, "w", False)]
+    lookup = lookup_rows(spark, names)
+    tags = [(i, f, p, f"{f}{i}") for i in range(9) for f, p in (("a", None), ("a", "2"), ("a", "3"), ("d", None))]
+    tags += [(i, f, None, "v") for i, f in ((1, "b"), (2, "c"), (3, "e"))]
+    tags = spark.createDataFrame(tags, "recid INT, field STRING, position STRING, value STRING")
+    plain = sorted(map(str, flatten.resolve_names(tags, lookup).collect()))
+    for hot_rows in (0, 5, 1000):
+        split = flatten.resolve_names(tags, lookup, hot_rows)
+        assert sorted(map(str, split.collect())) == plain
+    apart = flatten.resolve_names(tags, lookup, 5)._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" in apart and "LeftSemi" in apart
