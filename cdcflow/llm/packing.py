@@ -21,6 +21,7 @@ from .tokens import batch_ids, broadcast_spec, encoder, texts_of
 PIECE = "doc_id BIGINT, piece INT, start BIGINT, length BIGINT, ids BINARY"
 # Ranks are counted in groups of about so many pieces, so that a very common length is no single task.
 GROUP = 20_000
+CHARS, REMEMBER = 4_000_000, 400_000
 
 
 def cut(size: int, capacity: int) -> list[tuple[int, int]]:
@@ -30,18 +31,21 @@ def cut(size: int, capacity: int) -> list[tuple[int, int]]:
     return list(zip([0, *ends], ends, strict=False))
 
 
-def document_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) -> DataFrame:
+def document_pieces(
+    docs: DataFrame, tokenizer: str, end_id: int, capacity: int, chars: int = CHARS, remember: int = REMEMBER
+) -> DataFrame:
     """``PIECE`` rows of the whole texts, ``end_id`` behind each; ``ids`` are little-endian unsigned 32-bit integers.
 
-    A null or empty text is the end id alone.
+    A null or empty text is the end id alone. A worker encodes about ``chars`` characters at once and remembers the ids of
+    up to twice ``remember`` pieces of texts; less of both takes less memory and more time.
     """
     spec = broadcast_spec(docs, tokenizer)
     kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = encoder(spec.value)
+        own = encoder(spec.value, remember)
         for batch in batches:
-            for doc_ids, ids, ends in batch_ids(batch, own, end_id):
+            for doc_ids, ids, ends in batch_ids(batch, own, end_id, chars):
                 ids, rows = ids.astype("<u4"), []
                 for doc_id, first, end in zip(doc_ids.to_pylist(), [0, *ends.tolist()], ends.tolist(), strict=False):
                     pieces = cut(end - first, capacity)
@@ -240,9 +244,9 @@ def packed(pieces: DataFrame, capacity: int) -> DataFrame:
 CAPACITY, END_ID = 2048, 0
 
 
-def pack_documents(docs: DataFrame, tokenizer: str) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer: str, chars: int = CHARS, remember: int = REMEMBER) -> DataFrame:
     """Pieces of ``docs`` with their places in sequences of ``CAPACITY`` tokens; of the ids, their CRC-32."""
-    pieces = document_pieces(docs, tokenizer, END_ID, CAPACITY)
+    pieces = document_pieces(docs, tokenizer, END_ID, CAPACITY, chars, remember)
     return packed(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"), CAPACITY)
 
 

@@ -33,10 +33,13 @@ def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents and their places in training sequences."""
+    """Pieces of all documents and their places in training sequences.
+
+    Executors still hold what earlier stages took, so workers encode less at once and remember fewer pieces.
+    """
     import public_tokenizers
 
-    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), 1_000_000, 100_000)
 
 
 STAGES = [

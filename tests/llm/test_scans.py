@@ -362,3 +362,13 @@ def test_pipeline_of_odd_tables(spark, docs, tmp_path):
             table = stage(spark, table, sf_dir)
         assert {r.doc_id for r in table.collect()} <= {i for i, _ in rows}, name
     assert SCHEMA.startswith("doc_id")
+
+
+def test_packing_takes_less_memory_for_the_same_pieces(spark, docs):
+    import public_tokenizers
+    from cdcflow.llm import packing
+
+    rows = [(i, f"word{i} other{i * 7} " * (i + 1)) for i in range(60)] + [(60, None), (61, "日本 " * 40)]
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    usual, small = (sorted(map(tuple, packing.pack_documents(docs(rows), path, *how).collect())) for how in ((), (200, 10)))
+    assert small == usual
