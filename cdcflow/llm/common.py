@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from cdcflow.session import scratch_dir
@@ -27,6 +30,26 @@ def small_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+def give_back() -> None:
+    """Return to the system what this process has freed; Arrow's and C's allocators keep it otherwise."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # the GNU C library has it
+    if trim:
+        trim(0)
+
+
+def lean(task: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``task``, behind which its worker gives memory back: it may stand idle, or run a smaller task, while others need it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from task(batches)
+        finally:
+            give_back()
+
+    return run
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the folder that the cluster shares, and read from there: computed once, lineage cut."""
     path = scratch_dir(df.sparkSession, name)

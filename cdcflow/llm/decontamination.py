@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from .common import documents, free_name, small_batches
+from .common import documents, free_name, lean, small_batches
 from .tokens import slices
 
 EDITS, RECALL, SAMPLED, BANDS = 0.15, 0.99, 3, 6
@@ -310,7 +310,7 @@ def with_found(docs: DataFrame, items: DataFrame, name: str = "_found") -> DataF
                 yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
 
         at, last = docs.columns.index("text"), len(docs.columns)
-        return small_batches(df).mapInArrow(task, StructType([*docs.schema.fields, StructField(name, kind)]))
+        return small_batches(df).mapInArrow(lean(task), StructType([*docs.schema.fields, StructField(name, kind)]))
 
     for row in items.orderBy("item_id", "text").toLocalIterator():
         words = word_hashes(row.text)

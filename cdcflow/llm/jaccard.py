@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, small_batches, spread_keys, stored
+from .common import documents, lean, small_batches, spread_keys, stored
 from .components import components
 from .tokens import slices
 
@@ -211,10 +211,10 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
     """``SET`` rows of the documents, stored."""
     spark = docs.sparkSession
     keys = spread_keys(spark)
-    dealt = small_batches(docs).selectExpr("CAST(doc_id AS BIGINT) AS doc_id", "CAST(text AS STRING) AS text").mapInArrow(_deal(keys), PACKET)
+    dealt = small_batches(docs).selectExpr("CAST(doc_id AS BIGINT) AS doc_id", "CAST(text AS STRING) AS text").mapInArrow(lean(_deal(keys)), PACKET)
     by_bucket = dealt.repartition(len(keys), "key").sortWithinPartitions("bucket", "flush")
-    by_flush = by_bucket.mapInArrow(_share, PACKET).repartition(len(keys), "key").sortWithinPartitions("flush", "bucket")
-    return stored(by_flush.mapInArrow(_gather, SET), "sets")
+    by_flush = by_bucket.mapInArrow(lean(_share), PACKET).repartition(len(keys), "key").sortWithinPartitions("flush", "bucket")
+    return stored(by_flush.mapInArrow(lean(_gather), SET), "sets")
 
 
 def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -276,7 +276,7 @@ def _verify(bounded: bool):
 def verified(pairs: DataFrame, sets: DataFrame, bounded: bool = False) -> DataFrame:
     side = {s: sets.select(*(F.col(c).alias(f"{c}_{s}") for c in ("class", "n", "shared"))) for s in "ab"}
     both = pairs.join(side["a"], pairs.a == F.col("class_a")).join(side["b"], pairs.b == F.col("class_b"))
-    return both.select("a", "b", "n_a", "n_b", "shared_a", "shared_b").mapInArrow(_verify(bounded), "a BINARY, b BINARY")
+    return both.select("a", "b", "n_a", "n_b", "shared_a", "shared_b").mapInArrow(lean(_verify(bounded)), "a BINARY, b BINARY")
 
 
 def _width(n: int) -> int:
@@ -355,7 +355,7 @@ def _with_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def links(sets: DataFrame) -> DataFrame:
     """Links (``a, b``) between distinct sets that join all that the least similarity joins."""
-    prefixes = sets.select("class", "n", "shared", "level").mapInArrow(_prefixes, "token BIGINT, class BINARY, n BIGINT, rest BIGINT, centre BIGINT")
+    prefixes = sets.select("class", "n", "shared", "level").mapInArrow(lean(_prefixes), "token BIGINT, class BINARY, n BIGINT, rest BIGINT, centre BIGINT")
     prefixes = stored(prefixes, "prefixes")
     pivots = prefixes.groupBy("token").agg(F.max(F.struct("centre", "class", "n")).alias("p"), F.count("*").alias("members"))
     pivots = pivots.filter("members > 1").select("token", F.col("p.class").alias("a"), F.col("p.n").alias("n_a"))
@@ -392,10 +392,10 @@ def links(sets: DataFrame) -> DataFrame:
         .withColumn("with", F.explode(F.sequence(F.lit(0), F.when(F.col("is_major"), F.col("minors")).otherwise(F.col("blocks")) - 1)))
         .select("token", F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high"), "block", "class", "label", "n", "rest")
     )
-    maps = sets.select("class", "n", "shared").mapInArrow(_with_bits, "class BINARY, s BIGINT, bits BINARY")
+    maps = sets.select("class", "n", "shared").mapInArrow(lean(_with_bits), "class BINARY, s BIGINT, bits BINARY")
     order = ["token", "low", "high"]
     tiles = placed.join(maps, "class").repartition(*order).sortWithinPartitions(*order, "class")
-    second = verified(tiles.mapInArrow(_tiles, "a BINARY, b BINARY").distinct(), sets, bounded=True)
+    second = verified(tiles.mapInArrow(lean(_tiles), "a BINARY, b BINARY").distinct(), sets, bounded=True)
     return first.union(second)
 
 

@@ -15,8 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import documents, stored
-from .tokens import batch_ids, broadcast_spec, encoder, texts_of
+from .common import documents, lean, stored
+from .tokens import batch_ids, broadcast_spec, encoder, forget_encoders, texts_of
 
 PIECE = "doc_id BIGINT, piece INT, start BIGINT, length BIGINT, ids BINARY"
 # Ranks are counted in groups of about so many pieces, so that a very common length is no single task.
@@ -32,12 +32,13 @@ def cut(size: int, capacity: int) -> list[tuple[int, int]]:
 
 
 def document_pieces(
-    docs: DataFrame, tokenizer: str, end_id: int, capacity: int, chars: int = CHARS, remember: int = REMEMBER
+    docs: DataFrame, tokenizer: str, end_id: int, capacity: int, chars: int = CHARS, remember: int = REMEMBER, keep: bool = True
 ) -> DataFrame:
     """``PIECE`` rows of the whole texts, ``end_id`` behind each; ``ids`` are little-endian unsigned 32-bit integers.
 
     A null or empty text is the end id alone. A worker encodes about ``chars`` characters at once and remembers the ids of
-    up to twice ``remember`` pieces of texts; less of both takes less memory and more time.
+    up to twice ``remember`` pieces of texts; less of both takes less memory and more time. Unless it is to ``keep`` them for
+    its next task, it lets them go behind each.
     """
     spec = broadcast_spec(docs, tokenizer)
     kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
@@ -54,8 +55,11 @@ def document_pieces(
                     [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)],
                     ["doc_id", "piece", "start", "length", "ids"],
                 )
+        if not keep:
+            del own
+            forget_encoders()
 
-    return texts_of(docs).mapInArrow(task, PIECE)
+    return texts_of(docs).mapInArrow(lean(task), PIECE)
 
 
 class _Sizes:
@@ -244,9 +248,11 @@ def packed(pieces: DataFrame, capacity: int) -> DataFrame:
 CAPACITY, END_ID = 2048, 0
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, chars: int = CHARS, remember: int = REMEMBER) -> DataFrame:
+def pack_documents(
+    docs: DataFrame, tokenizer: str, chars: int = CHARS, remember: int = REMEMBER, keep: bool = True
+) -> DataFrame:
     """Pieces of ``docs`` with their places in sequences of ``CAPACITY`` tokens; of the ids, their CRC-32."""
-    pieces = document_pieces(docs, tokenizer, END_ID, CAPACITY, chars, remember)
+    pieces = document_pieces(docs, tokenizer, END_ID, CAPACITY, chars, remember, keep)
     return packed(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"), CAPACITY)
 
 

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from .common import documents, free_name, small_batches, stored
+from .common import documents, free_name, lean, small_batches, stored
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_ended", "n_upper", "n_lower", "n_shouts"]
 SYMBOLS, UPPER, LOWER = b"#*$%&|<>", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz"
@@ -80,7 +80,7 @@ def with_counts(docs: DataFrame, name: str = "_counts") -> DataFrame:
     at = docs.columns.index("text")
     empty = docs.sparkSession.createDataFrame([], f"c STRUCT<{', '.join(f'{c}: BIGINT' for c in COUNTS)}>")
     schema = StructType([*docs.schema.fields, StructField(name, empty.schema[0].dataType)])
-    return small_batches(docs).mapInArrow(task, schema)
+    return small_batches(docs).mapInArrow(lean(task), schema)
 
 
 def base_failed(counts: str) -> Column:

@@ -192,6 +192,11 @@ def encoder(spec: str, remember: int = 400_000) -> PieceEncoder:
     return _ENCODERS[name]
 
 
+def forget_encoders() -> None:
+    """Let this worker's encoder go; the next task makes one anew."""
+    _ENCODERS.clear()
+
+
 def id_type(vocabulary: int) -> str:
     """The narrowest little-endian integer type for ids below ``vocabulary``."""
     return "<u2" if vocabulary <= 1 << 16 else "<u4"

@@ -35,11 +35,12 @@ def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents and their places in training sequences.
 
-    Executors still hold what earlier stages took, so workers encode less at once and remember fewer pieces.
+    Executors still hold what earlier stages took, so workers encode less at once, remember fewer pieces, and keep none of
+    them from task to task.
     """
     import public_tokenizers
 
-    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), 1_000_000, 100_000)
+    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), 1_000_000, 100_000, keep=False)
 
 
 STAGES = [

@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
+import ctypes
 import random
 import zlib
 from collections import defaultdict
 
 import numpy as np
+import psutil
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from conftest import odd_rows
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from cdcflow.llm import packing, token_file
-from cdcflow.llm.common import documents
+from cdcflow.llm import packing, token_file, tokens
+from cdcflow.llm.common import documents, lean
 from cdcflow.llm.tokens import PieceEncoder
 from cdcflow.session import scratch_dir
 
@@ -205,3 +208,46 @@ def test_plan_places_every_rank_once(counts):
             assert offset == end
             end += size
         assert end <= 64
+
+
+@pytest.mark.skipif(not hasattr(ctypes.CDLL(None), "malloc_trim"), reason="needs the GNU C library")
+def test_a_lean_task_gives_its_memory_back():
+    def task(batches):
+        held = [np.ones(2000, np.uint8) for _ in range(100_000)]
+        last = np.ones(2000, np.uint8)  # behind all the others, so that they do not go by themselves
+        del held
+        yield last
+
+    resident = lambda: psutil.Process().memory_info().rss / 1e6
+    pins = list(task(iter([])))
+    before = resident()
+    pins += lean(task)(iter([]))
+    assert resident() < before - 100
+    done = []
+    first = lean(lambda batches: (done.append(b) or b for b in batches))(iter([1, 2]))
+    assert next(first) == 1 and list(first) == [2] and done == [1, 2]
+
+
+def test_an_encoder_is_let_go_unless_it_is_kept(monkeypatch):
+    class Rows:
+        def mapInArrow(self, task, schema):
+            return task
+
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        spec = type("Spec", (), {"value": file.read()})
+    monkeypatch.setattr(packing, "texts_of", lambda docs: Rows())
+    monkeypatch.setattr(packing, "broadcast_spec", lambda docs, tokenizer: spec)
+    monkeypatch.setattr(tokens, "_ENCODERS", {})
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array(["some words", None])], ["doc_id", "text"])
+    found = []
+    for keep in (True, False):
+        task = packing.document_pieces(None, "", 0, 2048, keep=keep)
+        found.append([x.to_pylist() for x in task(iter([batch]))])
+        assert bool(tokens._ENCODERS) == keep
+    assert found[0] == found[1]
+
+
+def test_packing_without_kept_encoders_gives_the_same(spark, docs):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    kept, fresh = (sorted(packing.pack_documents(docs([(i, f"word{i} " * 99) for i in range(30)]), path, keep=k).collect()) for k in (True, False))
+    assert kept == fresh
