@@ -39,7 +39,8 @@ def prior_images(flat: DataFrame, hot_rows: int = HOT_ROWS, span: int = SPAN) ->
     """``link_images`` over the whole history of each key, with hot keys split by offset range.
 
     No task sorts more than ``hot_rows`` rows of an ordinary key, or ``span`` of a hot one. From range to range goes
-    the offset of the newest known image alone; its payload is joined once it is known which one a range needs.
+    the offset of the newest known image alone; its payload is joined once it is known which one a range needs. Ranges
+    are few, one for each ``span`` rows or so, so they and their payloads are broadcast and no other row moves for them.
     ``flat`` is read several times, so it should be stored.
     """
     bucketed = add_buckets(flat, "recid", "kafka_offset", hot_rows, span)
@@ -51,8 +52,8 @@ def prior_images(flat: DataFrame, hot_rows: int = HOT_ROWS, span: int = SPAN) ->
         "recid", "bucket", F.last("tail", ignorenulls=True).over(earlier).alias("kafka_offset")
     ).filter(F.col("kafka_offset").isNotNull())
     images = flat.select("recid", "kafka_offset", F.struct("xmlrecord").alias("carried"))
-    carried = needed.join(images, ["recid", "kafka_offset"]).drop("kafka_offset")
-    filled = linked.join(carried, ["recid", "bucket"], "left")
+    carried = images.join(F.broadcast(needed), ["recid", "kafka_offset"]).drop("kafka_offset")
+    filled = linked.join(F.broadcast(carried), ["recid", "bucket"], "left")
     return filled.withColumn("prior", F.coalesce("prior", "carried")).drop("carried", "bucket")
 
 

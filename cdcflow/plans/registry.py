@@ -490,15 +490,11 @@ def q_stream_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_live_views(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A report in SQL over live state, live wide rows and live history."""
-    path, lookup = scratch_dir(spark, "live-views"), data.lookup(spark)
-    feed.run_to_end(current.upsert_stream(data.change_feed(spark, sf_dir), f"{path}/state", f"{path}/checkpoint-state", None, 2))
-    feed.run_to_end(
-        current.flatten_stream(
-            data.change_feed(spark, sf_dir), lookup, data.EVENT_COLUMNS, f"{path}/wide", f"{path}/checkpoint-wide", None, 2
-        )
-    )
-    feed.run_to_end(live_history.audit_stream(data.change_feed(spark, sf_dir), f"{path}/audit", seconds=None, every=2))
+    """A report in SQL over live state, live wide rows and live history, three streams of one topic."""
+    path, lookup, changes = scratch_dir(spark, "live-views"), data.lookup(spark), data.change_feed(spark, sf_dir)
+    feed.run_to_end(current.upsert_stream(changes, f"{path}/state", f"{path}/checkpoint-state", None, 2))
+    feed.run_to_end(current.flatten_stream(changes, lookup, data.EVENT_COLUMNS, f"{path}/wide", f"{path}/checkpoint-wide", None, 2))
+    feed.run_to_end(live_history.audit_stream(changes, f"{path}/audit", seconds=None, every=2))
     register_live_views(spark, f"{path}/state", f"{path}/wide", f"{path}/audit")
     return spark.sql(
         """
