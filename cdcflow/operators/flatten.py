@@ -84,18 +84,21 @@ def pivot_wide(resolved: DataFrame, keys: Sequence[str], names: Sequence[str]) -
     Two aggregations instead of one aggregate per name: greatest value per (key, name), combined before
     its shuffle, then at most ``len(names)`` entries per key into a map. The first shuffle spreads a key that repeats
     very often over its names, and gets one row a task of each; so it is not saved. Names outside the list keep their
-    record's row alive and add nothing else.
+    record's row alive and add nothing else. Names go by their places in the list, as each column is looked for among the
+    values of its row and numbers are compared faster than names.
     """
     keys = list(keys)
-    wanted = F.when(F.col("column_name").isin(list(names)), F.col("column_name"))
+    places = {name: place for place, name in enumerate(dict.fromkeys(names))}
+    listed = F.array(*map(F.lit, places)).cast("array<string>")
+    wanted = resolved.sparkSession.range(1).select(F.posexplode(listed).alias("_place", "column_name"))
     best = (
-        resolved.withColumn("column_name", wanted)
-        .groupBy(*keys, "column_name")
+        resolved.join(F.broadcast(wanted), "column_name", "left")
+        .groupBy(*keys, "_place")
         .agg(F.max("value").alias("value"))
     )
-    entry = F.when(F.col("column_name").isNotNull(), F.struct("column_name", "value"))
+    entry = F.when(F.col("_place").isNotNull(), F.struct("_place", "value"))
     packed = best.groupBy(*keys).agg(F.map_from_entries(F.collect_list(entry)).alias("_values"))
-    return packed.select(*keys, *[F.col("_values")[n].alias(n) for n in names])
+    return packed.select(*keys, *[F.col("_values")[places[n]].alias(n) for n in names])
 
 
 def flatten_wide(

@@ -36,3 +36,20 @@ def test_polls_keep_their_batch(spark, tmp_path, monkeypatch):
     got = spark.read.parquet(f"{tmp_path}/table").groupBy("batch_id").count().collect()
     assert {r.batch_id: r["count"] for r in got} == {0: 50, 2: 7}
     assert len(list((tmp_path / "polls").glob("part-*"))) == 9
+
+
+def test_live_views_read_one_feed(monkeypatch):
+    from types import SimpleNamespace
+
+    from cdcflow.plans import registry
+
+    feeds, read = [], []
+    monkeypatch.setattr(registry.data, "change_feed", lambda *a: feeds.append(object()) or feeds[-1])
+    monkeypatch.setattr(registry.data, "lookup", lambda spark: None)
+    monkeypatch.setattr(registry, "scratch_dir", lambda spark, name: name)
+    monkeypatch.setattr(registry, "register_live_views", lambda *a: None)
+    monkeypatch.setattr(registry.feed, "run_to_end", lambda query: None)
+    for module, name in ((registry.current, "upsert_stream"), (registry.current, "flatten_stream"), (registry.live_history, "audit_stream")):
+        monkeypatch.setattr(module, name, lambda changes, *a, **b: read.append(changes))
+    registry.q_live_views(SimpleNamespace(sql=lambda text: None), "")
+    assert len(feeds) == 1 and read == feeds * 3

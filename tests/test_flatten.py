@@ -271,3 +271,16 @@ def test_frequent_fields_are_taken_apart(spark):
         assert sorted(map(str, split.collect())) == plain
     apart = flatten.resolve_names(tags, lookup, 5)._jdf.queryExecution().optimizedPlan().toString()
     assert "LeftAnti" in apart and "LeftSemi" in apart
+
+
+def test_wide_rows_are_shuffled_by_the_places_of_names(spark):
+    rows = [("a", "x", "1"), ("a", "x", "3"), ("a", "z", "2"), ("b", None, "9"), ("b", "w", "8"), (None, "z", "7"), ("c", "x", None)]
+    named = spark.createDataFrame(rows, "recid STRING, column_name STRING, value STRING")
+    wide = flatten.pivot_wide(named, ["recid"], ["z", "x", "y"])
+    assert {tuple(r) for r in wide.collect()} == {("a", "2", "3", None), ("b", None, None, None), (None, "7", None, None), ("c", None, None, None)}
+    assert wide.columns == ["recid", "z", "x", "y"]
+    plan = wide._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"hashpartitioning\(recid#\d+, _place", plan) and not re.search(r"hashpartitioning\([^)]*column_name", plan)
+    twice = flatten.pivot_wide(named, ["recid"], ["x", "x"]).filter("recid = 'a'").first()
+    assert tuple(twice) == ("a", "3", "3")
+    assert flatten.pivot_wide(named, ["recid"], []).count() == 4

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -223,3 +224,21 @@ def test_table_writes_repeat(spark, tmp_path):
     tables.live_view(df, "live_ids")
     tables.live_view(df, "live_ids")
     assert spark.sql("SELECT count(*) FROM live_ids").head()[0] == 3
+
+
+def test_changes_do_not_move_to_look_for_the_images_of_ranges(spark, tmp_path):
+    rows = [("a", "u", None if i % 3 else f"<x>{i}</x>", 0, i) for i in range(40)] + [("b", "c", "<y/>", 0, 99), (None, "c", "<z/>", 0, 100)]
+    changes = spark.createDataFrame(rows, "recid STRING, op STRING, xmlrecord STRING, kafka_partition INT, kafka_offset BIGINT")
+    changes.write.parquet(f"{tmp_path}/flat")
+    flat, key = spark.read.parquet(f"{tmp_path}/flat"), "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        linked = history.prior_images(flat, hot_rows=10, span=5)
+        plan = linked._jdf.queryExecution().executedPlan().toString()
+        found = {tuple(r) for r in linked.selectExpr("recid", "kafka_offset", "prior.xmlrecord", "prior IS NULL").collect()}
+    finally:
+        spark.conf.set(key, before)
+    assert not re.search(r"hashpartitioning\([^)]*kafka_offset", plan)
+    whole = history.link_images(flat, ["recid"]).selectExpr("recid", "kafka_offset", "prior.xmlrecord", "prior IS NULL")
+    assert found == {tuple(r) for r in whole.collect()} and len(found) == 42
