@@ -27,8 +27,9 @@ SEPARATOR = "\0"  # stands between texts; it is not in PLAIN
 
 
 def _classes() -> np.ndarray:
-    table = np.full(0x2100, OTHER, np.uint8)
-    for code in range(0x250):
+    table = np.full(0x3000, OTHER, np.uint8)
+    # The last two are the only letters that two of PLAIN have in lower case and that are not in it.
+    for code in (*range(0x250), 0x2C65, 0x2C66):
         char = chr(code)
         if char.isalpha():
             table[code] = LETTER
@@ -40,30 +41,45 @@ def _classes() -> np.ndarray:
 
 
 CLASSES = _classes()
+BYTE_CLASSES = bytes(CLASSES[:0x100])
 
 
-def piece_starts(codes: np.ndarray, by_word: bool) -> np.ndarray:
-    """Whether a piece begins at each character of joined texts; ``codes`` are their code points.
+def piece_starts(raw: bytes, by_word: bool) -> np.ndarray:
+    """Whether a piece begins at each byte of joined texts; ``raw`` is their UTF-8, characters of up to three bytes.
 
     Pieces are runs of letters, of digits (one each, ``by_word``) or of other signs; an apostrophe that begins such a
     run with s, t, re, ve, m, ll or d behind it is a piece with these letters. Otherwise than ``by_word``, a blank
     belongs to the run behind it, and white space but for its last character to a piece of its own.
     """
-    kind = CLASSES[codes]
-    before = np.concatenate([[np.uint8(BETWEEN)], kind[:-1]])
-    start = (kind != before) | (kind == BETWEEN)
+    codes = np.frombuffer(raw, np.uint8)
+    # A byte at a time for ASCII; what is longer gets the class of its character in each of its bytes.
+    kind = np.frombuffer(bytearray(raw.translate(BYTE_CLASSES)), np.uint8)
+    lead = np.flatnonzero(codes >= 0xC0)
+    if len(lead):
+        first, second = codes[lead].astype(np.int32), codes[lead + 1] & 0x3F
+        long = np.flatnonzero(first >= 0xE0)
+        code = (first & 0x1F) << 6 | second
+        code[long] = (first[long] & 0xF) << 12 | second[long].astype(np.int32) << 6 | codes[lead[long] + 2] & 0x3F
+        kinds = CLASSES[code]
+        kind[lead] = kind[lead + 1] = kinds
+        kind[lead[long] + 2] = kinds[long]
+    start = np.ones(len(kind), bool)
+    np.not_equal(kind[1:], kind[:-1], out=start[1:])
+    start |= kind == BETWEEN
+    apostrophe = np.flatnonzero(codes == 39)
+    before = kind[apostrophe - 1]
     if by_word:
         start |= kind == DIGIT
+        if len(lead):
+            start &= codes & 0xC0 != 0x80
         free = before != OTHER
     else:
-        after = np.concatenate([kind[1:], [np.uint8(BETWEEN)]])
-        start[(kind == SPACE) & (after < SPACE)] = True
-        behind_blank = np.concatenate([[False], codes[:-1] == 32])
-        start[behind_blank & (kind < SPACE)] = False
-        free = (before != OTHER) & ~behind_blank
-    for at in np.flatnonzero((codes == 39) & free).tolist():
-        next_two = "".join(map(chr, codes[at + 1 : at + 3]))
-        size = 2 if next_two[:1] in ("s", "t", "m", "d") else 3 if next_two in ("re", "ve", "ll") else 0
+        last = np.flatnonzero((kind[:-1] == SPACE) & (kind[1:] < SPACE))
+        start[last] = True
+        start[last[codes[last] == 32] + 1] = False
+        free = (before != OTHER) & (codes[apostrophe - 1] != 32)
+    for at in apostrophe[free | (apostrophe == 0)].tolist():
+        size = 2 if raw[at + 1 : at + 2] in (b"s", b"t", b"m", b"d") else 3 if raw[at + 1 : at + 3] in (b"re", b"ve", b"ll") else 0
         if size:
             start[at + 1 : at + size] = False
             if at + size < len(codes) and kind[at + size] == LETTER:
@@ -94,14 +110,20 @@ class PieceEncoder:
         self.split = (self.by_word or by_byte) and not (parts["normalizer"] and any(t["normalized"] for t in added))
         # In any case, as pieces are of texts in lower case.
         self.added = re.compile("|".join(re.escape(t["content"]) for t in added) or "(?!)", re.IGNORECASE)
+        # Signs that all of these have; to look for a sign is faster.
+        self.signs = "".join(c for c in map(chr, range(33, 127)) if added and not c.isalpha() and all(c in t["content"] for t in added))
         # The ids that end a word, or begin with a blank (written as this letter in byte-level vocabularies).
         self.marked = np.zeros(self.tokenizer.get_vocab_size(), bool)
         for token, n in self.tokenizer.get_vocab().items():
             self.marked[n] = token.endswith("</w>") if self.by_word else token.startswith("\u0120")
 
+    def spelled(self, text: str) -> bool:
+        """Whether an added token is spelled out in a text."""
+        return all(c in text for c in self.signs) and bool(self.added.search(text))
+
     def odd(self, text: str) -> bool:
         """Whether a text has to go through the library whole."""
-        return not self.split or bool(PLAIN.search(text) or self.added.search(text))
+        return not self.split or bool(PLAIN.search(text)) or self.spelled(text)
 
     def whole(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian integers of ``dtype``, by the library alone."""
@@ -112,7 +134,7 @@ class PieceEncoder:
         """The ids of pieces that are words (with a blank before each, unless ``by_word``): in one text, the library
         splits them apart again, and the first or last id of each is marked as such in the vocabulary."""
         text = ("" if not self.by_word else " ").join(pieces)
-        if self.added.search(text):
+        if self.spelled(text):
             return self.whole(pieces)
         found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
         ids = np.array(found[0].ids, self.dtype)
@@ -123,42 +145,42 @@ class PieceEncoder:
         raw, cuts = ids.tobytes(), (cuts * ids.itemsize).tolist()
         return [raw[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
 
-    def _learn(self, pieces: set[str]) -> None:
-        if len(self.known) + len(pieces) > self.remember:
-            self.known, self.older = {}, self.known
-        again = pieces.intersection(self.older)
-        self.known.update((p, self.older[p]) for p in again)
+    def _learn(self, pieces: list[str]) -> list[bytes]:
+        """The ids of distinct pieces that are not ``known``, which they are from now on."""
+        found = list(map(self.older.get, pieces))
         words, others = [], []
-        for piece in pieces - again:
-            is_word = piece.isalpha() if self.by_word else piece[0] == " " and piece[1:].isalpha()
-            (words if is_word else others).append(piece)
+        for piece, ids in zip(pieces, found, strict=True):
+            if ids is None:
+                is_word = piece.isalpha() if self.by_word else piece[0] == " " and piece[1:].isalpha()
+                (words if is_word else others).append(piece)
+        new = dict(zip(others, self.whole(others), strict=True))
         for at in range(0, len(words), 1000):
             part = words[at : at + 1000]
-            self.known.update(zip(part, self._words(part), strict=True))
-        self.known.update(zip(others, self.whole(others), strict=True))
+            new.update(zip(part, self._words(part), strict=True))
+        found = [new[p] if x is None else x for p, x in zip(pieces, found, strict=True)]
+        if len(self.known) + len(pieces) > self.remember:
+            self.known, self.older = {}, self.known
+        self.known.update(zip(pieces, found, strict=True))
+        return found
 
     def joined(self, texts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """The ids of texts that are not ``odd`` one after the other, ``end_id`` behind each, and where each text ends."""
         text = "".join(t + SEPARATOR for t in texts)
         if self.by_word:
             text = text.lower()
-        codes = np.frombuffer(text.encode("utf-32-le"), "<u4")
-        starts = np.flatnonzero(piece_starts(codes, self.by_word))
         raw = text.encode()
-        if len(raw) > len(codes):
-            sizes = 1 + (codes >= 0x80).astype(np.uint8) + (codes >= 0x800)
-            starts = (np.cumsum(sizes, dtype=np.int64) - sizes)[starts]
-        offsets = np.append(starts, len(raw)).astype(np.int32)
+        starts = np.flatnonzero(piece_starts(raw, self.by_word))
+        offsets = np.full(len(starts) + 1, len(raw), np.int32)
+        offsets[:-1] = starts
         pieces = pa.StringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(raw)).dictionary_encode()
-        names, which = pieces.dictionary.to_pylist(), pieces.indices.to_numpy()
+        names, which = pieces.dictionary.to_numpy(zero_copy_only=False).tolist(), pieces.indices.to_numpy()
         ids = list(map(self.known.get, names))
         end = names.index(SEPARATOR) if texts else -1
         if texts:
             ids[end] = np.array([end_id], self.dtype).tobytes()
         missing = [i for i, x in enumerate(ids) if x is None]
-        self._learn({names[i] for i in missing})
-        for i in missing:
-            ids[i] = self.known[names[i]]
+        for i, found in zip(missing, self._learn([names[i] for i in missing]), strict=True):
+            ids[i] = found
         flat = np.frombuffer(b"".join(ids), self.dtype)
         sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // flat.itemsize
         first = np.cumsum(sizes) - sizes

@@ -49,6 +49,26 @@ def test_short_forms_and_blanks(encoder):
     assert encoder.encode(texts) == encoder.whole(texts)
 
 
+def test_letters_that_lower_case_makes_longer(encoder):
+    texts = ["ȺB Ⱦ'S ɏx", "²³ 1½ aªº ½'s €’s–", "'Ⱥ"]
+    assert encoder.encode(texts) == encoder.whole(texts)
+
+
+@pytest.mark.parametrize("name", FILES)
+def test_what_is_remembered_is_not_encoded_again(name, monkeypatch):
+    with open(public_tokenizers.path(name), encoding="utf-8") as file:
+        own = PieceEncoder(file.read(), remember=60)
+    texts = [" ".join(f"{chr(97 + i)}{chr(97 + k)}q" for k in range(25)) for i in range(3)]
+    for text in texts:  # the third one fills the younger generation
+        own.encode([text])
+    assert len(own.older) > 40
+    want, asked, words = own.whole([texts[0]]), [], own._words
+    monkeypatch.setattr(own, "_words", lambda pieces: asked.extend(pieces) or words(pieces))
+    fresh = " ".join(f"zz{chr(97 + k)}" for k in range(25)) + " " + " ".join(f"yy{chr(97 + k)}" for k in range(25))
+    assert own.encode([f"{fresh} {texts[0]}"])[0].endswith(want[0][-8:])  # the generations change in this step
+    assert len(asked) <= 52
+
+
 SPELLED = ["a <|endoftext|> b", "<|endoftext|>", "it<|startoftext|>'s <|endoftext|><|endoftext|>", "<|ENDOFTEXT|> <|endof text|>", "a b"]
 
 
