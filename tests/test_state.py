@@ -242,3 +242,45 @@ def test_changes_do_not_move_to_look_for_the_images_of_ranges(spark, tmp_path):
     assert not re.search(r"hashpartitioning\([^)]*kafka_offset", plan)
     whole = history.link_images(flat, ["recid"]).selectExpr("recid", "kafka_offset", "prior.xmlrecord", "prior IS NULL")
     assert found == {tuple(r) for r in whole.collect()} and len(found) == 42
+
+
+@pytest.mark.parametrize("places", [1, 5, 1 << 18])
+def test_what_ranges_need_is_not_broadcast(spark, tmp_path, monkeypatch, places):
+    """Keys whose offsets lie far apart have a range for each change; only hash places are broadcast, so many at most."""
+    monkeypatch.setattr(history, "PLACES", places, raising=False)
+    rng = random.Random(places)
+    log = [(f"K{rng.randrange(6)}", rng.choice("cuud"), rng.choice([UNAVAILABLE, UNAVAILABLE, None, f"<x>{k}</x>"]), 0, 7 * k) for k in range(300)]
+    schema = "recid STRING, op STRING, xmlrecord STRING, kafka_partition INT, kafka_offset BIGINT"
+    spark.createDataFrame(log, schema).write.parquet(f"{tmp_path}/flat")
+    flat, key = spark.read.parquet(f"{tmp_path}/flat"), "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        linked = history.prior_images(flat, hot_rows=10, span=5)
+        plan = linked._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(key, before)
+    sent = re.findall(r"BroadcastExchange [^\n]*\n[ :+|-]*(\w+\(keys=\[\w+|\w+)", plan)
+    assert sent == ["HashAggregate(keys=[place"]
+    pick = ["recid", "kafka_offset", "prior.xmlrecord", "prior IS NULL"]
+    whole = history.link_images(flat, ["recid"])
+    order = ["recid", "kafka_offset"]
+    assert rows(linked.selectExpr(*pick), *order) == rows(whole.selectExpr(*pick), *order)
+
+
+def test_a_hot_key_is_ordered_by_several_tasks(spark, tmp_path):
+    """Also where the join of hot keys has dealt the rows by key."""
+    log = [("HOT", "c", f"<x>{k}</x>", 0, k) for k in range(200)]
+    schema = "recid STRING, op STRING, xmlrecord STRING, kafka_partition INT, kafka_offset BIGINT"
+    spark.createDataFrame(log, schema).write.parquet(f"{tmp_path}/flat")
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {key: spark.conf.get(key) for key in conf}
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    try:
+        linked = history.prior_images(spark.read.parquet(f"{tmp_path}/flat"), hot_rows=10, span=5)
+        tasks = linked.select(F.spark_partition_id().alias("task")).distinct().count()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert tasks > 1
